@@ -203,3 +203,41 @@ def _matrix(spark, d):
 def _matrix_pct(spark, d):
     return lc.life_cycle_matrix(lc.segmentation_backfill(fx.tx_orders(spark, d), MONTHLY_CUTS, MAIN),
                                 normalise=True)
+
+
+# ------------------------------------------------------- transactional store
+
+from loyalspark.operators import transactional as tr  # noqa: E402
+
+ORD_FEATURES = MAIN.with_features(products=fx.ORD_PRODUCTS, categories=fx.ORD_CATEGORIES)
+ORD_FEATURES_REFS = REFS.with_features(products=fx.ORD_PRODUCTS, categories=fx.ORD_CATEGORIES)
+
+
+def _fs_tx_orders(spark, d, cuts, cfg):
+    return tr.fs_transactional(fx.tx_orders(spark, d), cuts, cfg,
+                               items=fx.tx_items(spark, d), products=fx.products(spark, d))
+
+
+@register("fs_transactional_main")
+def _fs_tx_main(spark, d):
+    return _fs_tx_orders(spark, d, [ORD_CUT], ORD_FEATURES)
+
+
+@register("fs_transactional_refs")
+def _fs_tx_refs(spark, d):
+    return _fs_tx_orders(spark, d, [ORD_CUT], ORD_FEATURES_REFS)
+
+
+@register("fs_transactional_events")
+def _fs_tx_events(spark, d):
+    return tr.fs_transactional(fx.tx_events(spark, d), [EV_CUT], MAIN)
+
+
+@register("fs_transactional_backfill")
+def _fs_tx_backfill(spark, d):
+    return tr.fs_transactional(fx.tx_events_thin(spark, d), spine_dates(D(2024, 1, 5), D(2024, 1, 31)), MAIN)
+
+
+@register("fs_transactional_monthly")
+def _fs_tx_monthly(spark, d):
+    return _fs_tx_orders(spark, d, spine_dates(D(1999, 1, 1), D(2000, 12, 1), "month"), ORD_FEATURES_REFS)

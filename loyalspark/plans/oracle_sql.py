@@ -207,4 +207,103 @@ FROM lc GROUP BY ref_date"""
 SELECT ref_date, strftime(ref_date, '%Y-%m') AS month,
        {pct}
 FROM lc GROUP BY ref_date"""
+    o.update(build_features())
+    return o
+
+
+def _wn(w):
+    return "life" if w is None else f"d{w}"
+
+
+def fs_transactional_sql(tx_sql: str, cut_sql: str, p: Preset = MAIN, with_products: bool = True,
+                         products: tuple = fx.ORD_PRODUCTS, categories: tuple = fx.ORD_CATEGORIES) -> str:
+    """Transactional feature store per cut-off, as conditional aggregates."""
+    from loyalspark.operators.transactional import slug
+    fc = p.features
+    wins = [None, 7, 14, 28, 56]
+
+    def cond(w):
+        return "TRUE" if w is None else f"day >= cutoff - INTERVAL {w} DAY"
+    aggs = []
+    for w in wins:
+        aggs.append(f"CAST(count(DISTINCT CASE WHEN {cond(w)} THEN day END) AS BIGINT) AS active_days_{_wn(w)}")
+    for w in wins:
+        aggs.append(f"CAST(count(DISTINCT CASE WHEN {cond(w)} THEN tx_id END) AS BIGINT) AS tx_{_wn(w)}")
+    for w in wins:
+        aggs.append(f"CAST(sum(CASE WHEN {cond(w)} THEN points ELSE 0 END) AS BIGINT) AS pts_net_{_wn(w)}")
+    for w in wins:
+        aggs.append(f"CAST(sum(CASE WHEN {cond(w)} AND points > 0 THEN points ELSE 0 END) AS BIGINT) AS pts_pos_{_wn(w)}")
+    neg = "points" if fc.signed_negative_points else "abs(points)"
+    for w in wins:
+        aggs.append(f"CAST(sum(CASE WHEN {cond(w)} AND points < 0 THEN {neg} ELSE 0 END) AS BIGINT) AS pts_neg_{_wn(w)}")
+    bands = {"morning": "hr BETWEEN 10 AND 14", "afternoon": "hr BETWEEN 15 AND 21", "night": "hr > 21 OR hr < 10"}
+    den = "nullif(count(DISTINCT tx_id), 0)" if fc.daypart_denominator == "distinct_tx" else "nullif(count(tx_id), 0)"
+    for b, c in bands.items():
+        aggs.append(f"CAST(count(CASE WHEN {c} THEN tx_id END) AS BIGINT) AS tx_{b}")
+    for b, c in bands.items():
+        aggs.append(f"round(1.0 * count(CASE WHEN {c} THEN tx_id END) / {den}, 6) AS pct_{b}")
+    if fc.fractional_age:
+        aggs.insert(0, "round(date_diff('microsecond', min(ts), CAST(cutoff - INTERVAL 1 DAY AS TIMESTAMP)) / 86400000000.0, 6) AS age_days")
+    else:
+        aggs.insert(0, "CAST(date_diff('day', min(day), cutoff) AS DOUBLE) AS age_days")
+    agg_sql = ",\n       ".join(aggs)
+    per_day = ",\n       ".join(
+        f"round(coalesce(1.0 * tx_{_wn(w)} / nullif(active_days_{_wn(w)}, 0), 0), 6) AS tx_per_day_{_wn(w)}" for w in wins)
+    hours = ",\n       ".join(
+        f"sum(CASE WHEN {cond(w)} THEN dur ELSE 0 END) AS hours_{_wn(w)}" for w in wins)
+    hours_out = ", ".join(f"round(hu.hours_{_wn(w)}, 6) AS hours_{_wn(w)}" for w in wins)
+    share_sel, share_cte, share_join = "", "", ""
+    if with_products:
+        sden = "count(DISTINCT b.tx_id)" if fc.product_denominator == "distinct_tx" else "count(b.tx_id)"
+        sh = [f"round(1.0 * count(CASE WHEN pr.category = {q(c)} THEN b.tx_id END) / {sden}, 6) AS share_cat_{slug(c)}"
+              for c in categories]
+        sh += [f"round(1.0 * count(CASE WHEN pr.name = {q(n)} THEN b.tx_id END) / {sden}, 6) AS share_prod_{slug(n)}"
+               for n in products]
+        share_cte = (",\nsp AS (SELECT b.cutoff, b.user_id,\n       " + ",\n       ".join(sh) +
+                     f"\n  FROM base b LEFT JOIN ({fx.SQL_ITEMS}) it ON b.tx_id = it.tx_id"
+                     f" LEFT JOIN ({fx.SQL_PRODUCTS}) pr ON it.product_id = pr.product_id GROUP BY b.cutoff, b.user_id)")
+        share_sel = ", " + ", ".join(
+            [f"sp.share_cat_{slug(c)}" for c in categories] + [f"sp.share_prod_{slug(n)}" for n in products])
+        share_join = " LEFT JOIN sp ON a.cutoff = sp.cutoff AND a.user_id = sp.user_id"
+    core = ["a.age_days"] + [f"a.{b}_{_wn(w)}" for b in ("active_days", "tx", "pts_net", "pts_pos", "pts_neg")
+                              for w in wins]
+    core += [f"a.tx_{b}" for b in bands] + [f"a.pct_{b}" for b in bands]
+    return f"""WITH tx AS ({tx_sql}),
+cuts AS ({cut_sql}),
+base AS (SELECT c.cutoff, t.tx_id, t.user_id, t.ts, t.points, CAST(t.ts AS DATE) AS day, hour(t.ts) AS hr
+         FROM tx t JOIN cuts c ON t.ts < c.cutoff),
+agg AS (SELECT cutoff, user_id,
+       {agg_sql}
+  FROM base GROUP BY cutoff, user_id),
+hd AS (SELECT cutoff, user_id, day, date_diff('microsecond', min(ts), max(ts)) / 3600000000.0 AS dur
+       FROM base GROUP BY cutoff, user_id, day),
+hu AS (SELECT cutoff, user_id,
+       {hours}
+  FROM hd GROUP BY cutoff, user_id),
+lg AS (SELECT cutoff, user_id, day,
+              date_diff('day', lag(day) OVER (PARTITION BY cutoff, user_id ORDER BY day), day) AS gap FROM hd),
+gp AS (SELECT cutoff, user_id, round(avg(gap), 6) AS gap_mean_life,
+              round(avg(CASE WHEN day >= cutoff - INTERVAL 28 DAY THEN gap END), 6) AS gap_mean_d28
+       FROM lg GROUP BY cutoff, user_id){share_cte}
+SELECT CAST(a.cutoff - INTERVAL 1 DAY AS DATE) AS ref_date, a.cutoff, a.user_id,
+       {', '.join(core)},
+       {per_day},
+       round(a.active_days_d28 / 28.0, 6) AS pct_active_mau,
+       {hours_out}, gp.gap_mean_life, gp.gap_mean_d28{share_sel}
+FROM agg a
+LEFT JOIN hu ON a.cutoff = hu.cutoff AND a.user_id = hu.user_id
+LEFT JOIN gp ON a.cutoff = gp.cutoff AND a.user_id = gp.user_id{share_join}"""
+
+
+def build_features() -> dict:
+    o = {}
+    ordq, ev, thin = fx.SQL_ORD, fx.SQL_EV, fx.SQL_EV_THIN
+    one = cutoffs_cte(["2000-01-01"])
+    o["fs_transactional_main"] = fs_transactional_sql(ordq, one, MAIN)
+    o["fs_transactional_refs"] = fs_transactional_sql(ordq, one, REFS)
+    o["fs_transactional_events"] = fs_transactional_sql(ev, cutoffs_cte(["2024-01-31"]), MAIN, with_products=False)
+    o["fs_transactional_backfill"] = fs_transactional_sql(
+        thin, cutoff_series("2024-01-05", "2024-01-31"), MAIN, with_products=False)
+    o["fs_transactional_monthly"] = fs_transactional_sql(
+        ordq, cutoff_series("1999-01-01", "2000-12-01", "1 MONTH"), REFS)
     return o

@@ -1,0 +1,22 @@
+"""Size checks before broadcasting.
+
+A side is broadcast only when it is proven small: ``limit(n + 1).count()``
+reads at most ``n + 1`` rows, so the check itself stays cheap on a huge
+table, and beyond the bound the plain shuffle join is used.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def row_count_at_most(df: DataFrame, n: int) -> bool:
+    return df.limit(n + 1).count() <= n
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
