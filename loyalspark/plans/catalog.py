@@ -241,3 +241,47 @@ def _fs_tx_backfill(spark, d):
 @register("fs_transactional_monthly")
 def _fs_tx_monthly(spark, d):
     return _fs_tx_orders(spark, d, spine_dates(D(1999, 1, 1), D(2000, 12, 1), "month"), ORD_FEATURES_REFS)
+
+
+# ------------------------------------------------------------ education store
+
+from loyalspark.operators import education as ed  # noqa: E402
+
+
+def _edu(spark, d, cuts, cfg):
+    return ed.fs_education(fx.edu_done(spark, d), fx.edu_register(spark, d), fx.edu_rewards(spark, d),
+                           fx.edu_skills(spark, d), fx.edu_bridge(spark, d), cuts, fx.edu_slugs(), cfg)
+
+
+@register("course_progress")
+def _course_progress(spark, d):
+    return ed.course_progress(fx.edu_done(spark, d), fx.edu_register(spark, d), [ORD_CUT])
+
+
+@register("course_pivot")
+def _course_pivot(spark, d):
+    prog = ed.course_progress(fx.edu_done(spark, d), fx.edu_register(spark, d), [ORD_CUT])
+    return ed.course_pivot(prog, fx.edu_slugs())
+
+
+@register("course_last_activity")
+def _course_last_activity(spark, d):
+    prog = ed.course_progress(fx.edu_done(spark, d), fx.edu_register(spark, d), [ORD_CUT])
+    keys = prog.select("user", "cutoff").distinct()
+    return ed.last_activity([fx.edu_skills(spark, d), fx.edu_rewards(spark, d), fx.edu_done(spark, d)],
+                            keys, [ORD_CUT])
+
+
+@register("fs_education")
+def _fs_education(spark, d):
+    return _edu(spark, d, [ORD_CUT], MAIN)
+
+
+@register("fs_education_refs")
+def _fs_education_refs(spark, d):
+    return _edu(spark, d, [ORD_CUT], REFS)
+
+
+@register("fs_education_monthly")
+def _fs_education_monthly(spark, d):
+    return _edu(spark, d, spine_dates(D(1999, 1, 1), D(2000, 12, 1), "month"), MAIN)

@@ -208,6 +208,7 @@ SELECT ref_date, strftime(ref_date, '%Y-%m') AS month,
        {pct}
 FROM lc GROUP BY ref_date"""
     o.update(build_features())
+    o.update(build_education())
     return o
 
 
@@ -307,3 +308,61 @@ def build_features() -> dict:
     o["fs_transactional_monthly"] = fs_transactional_sql(
         ordq, cutoff_series("1999-01-01", "2000-12-01", "1 MONTH"), REFS)
     return o
+
+
+def fs_education_sql(cut_sql: str, p: Preset = MAIN, slugs: tuple | None = None, part: str = "fs") -> str:
+    from loyalspark.operators.transactional import slug
+    slugs = slugs or fx.edu_slugs()
+    fill = "0" if p.features.course_fill_zero else "NULL"
+    shares = ",\n       ".join(
+        f"round(sum(CASE WHEN course = {q(c)} THEN share ELSE {fill} END), 6) AS share_{slug(c)}" for c in slugs)
+    if p.features.fractional_edu_recency:
+        days = "round(date_diff('microsecond', act.last_ts, CAST(act.cutoff AS TIMESTAMP)) / 86400000000.0, 6)"
+    else:
+        days = "CAST(date_diff('day', CAST(act.last_ts AS DATE), act.cutoff) AS DOUBLE)"
+    head = f"""WITH cuts AS ({cut_sql}),
+done AS ({fx.SQL_EDU_DONE}),
+reg AS ({fx.SQL_EDU_REGISTER}),
+rew AS ({fx.SQL_EDU_REWARDS}),
+sk AS ({fx.SQL_EDU_SKILLS}),
+br AS ({fx.SQL_EDU_BRIDGE}),
+tot AS (SELECT course, CAST(count(episode) AS BIGINT) AS total_eps FROM reg GROUP BY course),
+uc AS (SELECT c.cutoff, d."user", d.course, CAST(count(d.episode) AS BIGINT) AS n_eps
+       FROM done d JOIN cuts c ON d.ts < c.cutoff GROUP BY 1, 2, 3),
+pc AS (SELECT uc.*, t.total_eps, 1.0 * uc.n_eps / t.total_eps AS share FROM uc LEFT JOIN tot t ON uc.course = t.course)"""
+    if part == "progress":
+        return head + """
+SELECT "user", course, cutoff, n_eps, total_eps, round(share, 6) AS share FROM pc"""
+    pv = f""",
+pv AS (SELECT cutoff, "user",
+       CAST(sum(CASE WHEN share = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_complete,
+       CAST(sum(CASE WHEN share > 0 AND share < 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_in_progress,
+       {shares}
+  FROM pc GROUP BY cutoff, "user"),
+act AS (SELECT c.cutoff, s."user", max(s.ts) AS last_ts
+        FROM (SELECT "user", ts FROM sk UNION ALL SELECT "user", ts FROM rew UNION ALL SELECT "user", ts FROM done) s
+        JOIN cuts c ON s.ts < c.cutoff GROUP BY 1, 2)"""
+    if part == "pivot":
+        return head + pv + "\nSELECT * FROM pv"
+    if part == "recency":
+        return head + pv + f"""
+SELECT pv."user", pv.cutoff, {days} AS days_since_activity
+FROM pv LEFT JOIN act ON pv.cutoff = act.cutoff AND pv."user" = act."user\""""
+    cols = ", ".join(f"pv.share_{slug(c)}" for c in slugs)
+    return head + pv + f"""
+SELECT CAST(pv.cutoff - INTERVAL 1 DAY AS DATE) AS ref_date, pv.cutoff, br.customer_id, pv."user",
+       pv.n_complete, pv.n_in_progress, {cols}, {days} AS days_since_activity
+FROM pv LEFT JOIN act ON pv.cutoff = act.cutoff AND pv."user" = act."user"
+JOIN br ON pv."user" = br."user\""""
+
+
+def build_education() -> dict:
+    one = cutoffs_cte(["2000-01-01"])
+    return {
+        "course_progress": fs_education_sql(one, MAIN, part="progress"),
+        "course_pivot": fs_education_sql(one, MAIN, part="pivot"),
+        "course_last_activity": fs_education_sql(one, MAIN, part="recency"),
+        "fs_education": fs_education_sql(one, MAIN),
+        "fs_education_refs": fs_education_sql(one, REFS),
+        "fs_education_monthly": fs_education_sql(cutoff_series("1999-01-01", "2000-12-01", "1 MONTH"), MAIN),
+    }
