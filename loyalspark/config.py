@@ -127,7 +127,7 @@ MAIN = Preset(
     name="main",
     lifecycle=LifecycleCfg(labels=LIFECYCLE_LABELS_MAIN),
     rfv=RfvCfg(variant="main", labels=RFV_LABELS_MAIN),
-    features=FeatureCfg(variant="main", lc_current_offset=1, moving_average=True),
+    features=FeatureCfg(variant="main", lc_current_offset=0, moving_average=True),
 )
 
 REFS = Preset(

@@ -285,3 +285,30 @@ def _fs_education_refs(spark, d):
 @register("fs_education_monthly")
 def _fs_education_monthly(spark, d):
     return _edu(spark, d, spine_dates(D(1999, 1, 1), D(2000, 12, 1), "month"), MAIN)
+
+
+# ------------------------------------------------------- life-cycle features
+
+from loyalspark.operators import lifecycle_features as lf  # noqa: E402
+
+LC_DAILY_CUTS = spine_dates(D(2024, 1, 1), D(2024, 1, 31))
+
+
+def lc_daily(spark, d, cfg=MAIN):
+    """LC_DAILY: segmentation backfill of EV_THIN for every day of January 2024."""
+    return lc.segmentation_backfill(fx.tx_events_thin(spark, d), LC_DAILY_CUTS, cfg)
+
+
+@register("fs_life_cycle")
+def _fs_lc(spark, d):
+    return lf.fs_life_cycle(lc_daily(spark, d), [D(2024, 1, 30)], MAIN)
+
+
+@register("fs_life_cycle_refs")
+def _fs_lc_refs(spark, d):
+    return lf.fs_life_cycle(lc_daily(spark, d, REFS), [D(2024, 1, 31)], REFS)
+
+
+@register("fs_life_cycle_backfill")
+def _fs_lc_backfill(spark, d):
+    return lf.fs_life_cycle(lc_daily(spark, d), spine_dates(D(2024, 1, 8), D(2024, 1, 30)), MAIN)

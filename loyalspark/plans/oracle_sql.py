@@ -209,6 +209,7 @@ SELECT ref_date, strftime(ref_date, '%Y-%m') AS month,
 FROM lc GROUP BY ref_date"""
     o.update(build_features())
     o.update(build_education())
+    o.update(build_lifecycle_features())
     return o
 
 
@@ -366,3 +367,59 @@ def build_education() -> dict:
         "fs_education_refs": fs_education_sql(one, REFS),
         "fs_education_monthly": fs_education_sql(cutoff_series("1999-01-01", "2000-12-01", "1 MONTH"), MAIN),
     }
+
+
+LC_DAILY_CUTS = ("2024-01-01", "2024-01-31")
+
+
+def lc_daily_sql(p: Preset = MAIN) -> str:
+    """LC_DAILY: segmentation backfill of EV_THIN for every day of January 2024."""
+    return segmentation_sql(fx.SQL_EV_THIN, cutoff_series(*LC_DAILY_CUTS), p)
+
+
+def fs_life_cycle_sql(lc_sql: str, cut_sql: str, p: Preset = MAIN) -> str:
+    from loyalspark.operators.lifecycle_features import pct_column
+    off = p.features.lc_current_offset
+    labels = p.lifecycle.labels
+    den = "nullif(count(*), 0)"
+    pcts = ",\n       ".join(
+        f"1.0 * sum(CASE WHEN l.state = {q(s)} THEN 1 ELSE 0 END) / {den} AS {pct_column(s)}" for s in labels)
+    pct_out = ", ".join(f"round(shr.{pct_column(s)}, 6) AS {pct_column(s)}" for s in labels)
+    mov_cte, mov_out, mov_join = "", "", ""
+    if p.features.moving_average:
+        mov_cte = f""",
+mv AS (SELECT c.cutoff, l.user_id, l.frequency,
+              row_number() OVER (PARTITION BY c.cutoff, l.user_id ORDER BY l.ref_date DESC) AS rn
+       FROM lc l JOIN cuts c ON l.ref_date BETWEEN c.cutoff - INTERVAL {off + 13} DAY AND c.cutoff - INTERVAL {off} DAY),
+mva AS (SELECT cutoff, user_id, avg(CASE WHEN rn <= 7 THEN frequency END) AS avg_freq_d7,
+               avg(frequency) AS avg_freq_d14 FROM mv GROUP BY cutoff, user_id)"""
+        mov_out = """,
+       round(mva.avg_freq_d7, 6) AS avg_freq_d7, round(mva.avg_freq_d14, 6) AS avg_freq_d14,
+       round(cur.frequency / nullif(mva.avg_freq_d7, 0), 6) AS ratio_freq_d7,
+       round(cur.frequency / nullif(mva.avg_freq_d14, 0), 6) AS ratio_freq_d14"""
+        mov_join = "\nLEFT JOIN mva ON cur.cutoff = mva.cutoff AND cur.user_id = mva.user_id"
+    return f"""WITH lc AS ({lc_sql}),
+cuts AS ({cut_sql}),
+cur AS (SELECT c.cutoff, l.user_id, l.state AS state_current, l.frequency
+        FROM lc l JOIN cuts c ON l.ref_date = c.cutoff - INTERVAL {off} DAY),
+d28 AS (SELECT c.cutoff, l.user_id, l.state AS state_d28 FROM lc l JOIN cuts c ON l.ref_date = c.cutoff - INTERVAL 29 DAY),
+shr AS (SELECT c.cutoff, l.user_id,
+       {pcts}
+  FROM lc l JOIN cuts c ON l.ref_date < c.cutoff GROUP BY c.cutoff, l.user_id),
+grp AS (SELECT cutoff, state_current, avg(frequency) AS avg_freq_group FROM cur GROUP BY cutoff, state_current){mov_cte}
+SELECT CAST(cur.cutoff - INTERVAL 1 DAY AS DATE) AS ref_date, cur.cutoff, cur.user_id, cur.state_current, cur.frequency,
+       d28.state_d28, {pct_out},
+       round(grp.avg_freq_group, 6) AS avg_freq_group,
+       round(cur.frequency / nullif(grp.avg_freq_group, 0), 6) AS ratio_freq_group{mov_out}
+FROM cur
+LEFT JOIN d28 ON cur.cutoff = d28.cutoff AND cur.user_id = d28.user_id
+LEFT JOIN shr ON cur.cutoff = shr.cutoff AND cur.user_id = shr.user_id
+LEFT JOIN grp ON cur.cutoff = grp.cutoff AND cur.state_current = grp.state_current{mov_join}"""
+
+
+def build_lifecycle_features() -> dict:
+    return {
+        "fs_life_cycle": fs_life_cycle_sql(lc_daily_sql(MAIN), cutoffs_cte(["2024-01-30"]), MAIN),
+        "fs_life_cycle_refs": fs_life_cycle_sql(lc_daily_sql(REFS), cutoffs_cte(["2024-01-31"]), REFS),
+        "fs_life_cycle_backfill": fs_life_cycle_sql(lc_daily_sql(MAIN), cutoff_series("2024-01-08", "2024-01-30"), MAIN),
+    }
