@@ -312,3 +312,70 @@ def _fs_lc_refs(spark, d):
 @register("fs_life_cycle_backfill")
 def _fs_lc_backfill(spark, d):
     return lf.fs_life_cycle(lc_daily(spark, d), spine_dates(D(2024, 1, 8), D(2024, 1, 30)), MAIN)
+
+
+# -------------------------------------------------------- labels, cohort, ABT
+
+from loyalspark.operators import target as tg  # noqa: E402
+
+COHORT_TRAIN = (D(2024, 1, 4), D(2024, 1, 26))
+COHORT_OOT = (D(2024, 1, 27), D(2024, 1, 30))
+ABT_CUTS = spine_dates(D(2024, 1, 5), D(2024, 1, 31))
+ABT_PRESET = MAIN.with_features(lc_current_offset=1)
+LC_ORD_CUTS = spine_dates(D(1999, 11, 1), D(2000, 1, 1))
+
+
+def labels_7d(spark, d):
+    return tg.label(lc_daily(spark, d), 7, MAIN, lo=D(2024, 1, 4), hi=D(2024, 1, 30))
+
+
+def cohort_7d(spark, d):
+    return tg.cohort(labels_7d(spark, d), 2, 42, train=COHORT_TRAIN, oot=COHORT_OOT)
+
+
+def edu_by_user(fs_ed):
+    """Education store keyed by the loyalty user id (bridge id 'C<n>')."""
+    return (fs_ed.withColumn("user_id", F.expr("cast(substring(customer_id, 2) as bigint)"))
+            .drop("customer_id", "user"))
+
+
+@register("label_7d")
+def _label_7d(spark, d):
+    return labels_7d(spark, d)
+
+
+@register("label_28d_orders")
+def _label_28d_orders(spark, d):
+    cuts = [D(1998, 1, 5) + _dt.timedelta(days=28 * i) for i in range(0, 26)]
+    return tg.label(lc.segmentation_backfill(fx.tx_orders(spark, d), cuts, MAIN), 28, MAIN)
+
+
+@register("label_pairs")
+def _label_pairs(spark, d):
+    return tg.label_pairs(lc_daily(spark, d), D(2024, 1, 1), horizon=7)
+
+
+@register("cohort_sample")
+def _cohort(spark, d):
+    return cohort_7d(spark, d)
+
+
+def abt_frame(spark, d):
+    fs_tx = tr.fs_transactional(fx.tx_events_thin(spark, d), ABT_CUTS, ABT_PRESET)
+    fs_lc = lf.fs_life_cycle(lc_daily(spark, d), ABT_CUTS, ABT_PRESET)
+    fs_ed = edu_by_user(_edu(spark, d, ABT_CUTS, ABT_PRESET))
+    return tg.abt(cohort_7d(spark, d), fs_tx, fs_lc, fs_ed)
+
+
+@register("abt")
+def _abt(spark, d):
+    return abt_frame(spark, d)
+
+
+@register("fs_all")
+def _fs_all(spark, d):
+    fs_tx = _fs_tx_orders(spark, d, [ORD_CUT], ORD_FEATURES_REFS)
+    lc_ord = lc.segmentation_backfill(fx.tx_orders(spark, d), LC_ORD_CUTS, REFS)
+    fs_lc = lf.fs_life_cycle(lc_ord, [ORD_CUT], REFS)
+    fs_ed = edu_by_user(_edu(spark, d, [ORD_CUT], REFS))
+    return tg.fs_all(fs_tx, fs_lc, fs_ed)

@@ -210,6 +210,7 @@ FROM lc GROUP BY ref_date"""
     o.update(build_features())
     o.update(build_education())
     o.update(build_lifecycle_features())
+    o.update(build_target())
     return o
 
 
@@ -423,3 +424,86 @@ def build_lifecycle_features() -> dict:
         "fs_life_cycle_refs": fs_life_cycle_sql(lc_daily_sql(REFS), cutoffs_cte(["2024-01-31"]), REFS),
         "fs_life_cycle_backfill": fs_life_cycle_sql(lc_daily_sql(MAIN), cutoff_series("2024-01-08", "2024-01-30"), MAIN),
     }
+
+
+def label_sql(lc_sql: str, horizon: int, p: Preset = MAIN, lo: str | None = None, hi: str | None = None) -> str:
+    cond = "TRUE"
+    if lo:
+        cond += f" AND t1.ref_date >= DATE '{lo}'"
+    if hi:
+        cond += f" AND t1.ref_date <= DATE '{hi}'"
+    return f"""WITH lc AS ({lc_sql})
+SELECT t1.ref_date, t1.user_id, t1.state, t2.state AS future_state,
+       CAST(CASE WHEN t2.state = {q(p.lifecycle.loyal)} THEN 1 ELSE 0 END AS BIGINT) AS label
+FROM lc t1 LEFT JOIN lc t2 ON t1.user_id = t2.user_id AND t1.ref_date + INTERVAL {horizon} DAY = t2.ref_date
+WHERE {cond} AND t1.state <> {q(p.lifecycle.zombie)}"""
+
+
+def cohort_sql(label_q: str, k: int, seed: int, train: tuple, oot: tuple | None) -> str:
+    def part(rng, tag):
+        return f"""SELECT ref_date, user_id, label, '{tag}' AS tag FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY
+         md5(concat_ws('-', '{seed}', CAST(user_id AS VARCHAR), CAST(ref_date AS VARCHAR))), ref_date) AS rn
+  FROM lab WHERE ref_date BETWEEN DATE '{rng[0]}' AND DATE '{rng[1]}') s WHERE rn <= {k}"""
+    body = part(train, "ABT")
+    if oot:
+        body += "\nUNION ALL\n" + part(oot, "OOT")
+    return f"WITH lab AS ({label_q})\n{body}"
+
+
+COHORT_TRAIN = ("2024-01-04", "2024-01-26")
+COHORT_OOT = ("2024-01-27", "2024-01-30")
+ABT_CUTS = ("2024-01-05", "2024-01-31")
+ABT_PRESET = MAIN.with_features(lc_current_offset=1)
+LC_ORD_CUTS = ("1999-11-01", "2000-01-01")
+
+
+def _edu_by_user(cut_sql: str, p: Preset) -> str:
+    """Education store keyed by the loyalty user id (bridge id 'C<n>')."""
+    return f"""SELECT CAST(substr(customer_id, 2) AS BIGINT) AS user_id, * EXCLUDE (customer_id, "user", cutoff)
+FROM ({fs_education_sql(cut_sql, p)})"""
+
+
+def _abt_stores_sql(base: str, tx_q: str, lc_q: str, ed_q: str | None) -> str:
+    sql = f"""SELECT b.*, t.* EXCLUDE (user_id, ref_date, cutoff), l.* EXCLUDE (user_id, ref_date, cutoff)"""
+    if ed_q:
+        sql += ", e.* EXCLUDE (user_id, ref_date)"
+    sql += f"""
+FROM ({base}) b
+LEFT JOIN ({tx_q}) t ON b.user_id = t.user_id AND b.ref_date = t.ref_date
+LEFT JOIN ({lc_q}) l ON b.user_id = l.user_id AND b.ref_date = l.ref_date"""
+    if ed_q:
+        sql += f"\nLEFT JOIN ({ed_q}) e ON b.user_id = e.user_id AND b.ref_date = e.ref_date"
+    return sql
+
+
+def build_target() -> dict:
+    lcd = lc_daily_sql(MAIN)
+    o = {}
+    o["label_7d"] = label_sql(lcd, 7, MAIN, "2024-01-04", "2024-01-30")
+    lc_ord = segmentation_sql(fx.SQL_ORD, cutoff_series("1998-01-05", "1999-12-20", "28 DAY"), MAIN)
+    o["label_28d_orders"] = label_sql(lc_ord, 28, MAIN)
+    o["label_pairs"] = f"""WITH lc AS ({lcd})
+SELECT t1.ref_date AS t1_ref_date, t1.user_id AS t1_user_id, t1.state AS t1_state,
+       t2.ref_date AS t2_ref_date, t2.state AS t2_state
+FROM lc t1 LEFT JOIN lc t2 ON t1.user_id = t2.user_id AND t2.ref_date = DATE '2024-01-08'
+WHERE t1.ref_date = DATE '2024-01-01' AND day(t1.ref_date) = 1"""
+    lab = label_sql(lcd, 7, MAIN, "2024-01-04", "2024-01-30")
+    coh = cohort_sql(lab, 2, 42, COHORT_TRAIN, COHORT_OOT)
+    o["cohort_sample"] = coh
+    cuts = cutoff_series(*ABT_CUTS)
+    tx_q = fs_transactional_sql(fx.SQL_EV_THIN, cuts, ABT_PRESET, with_products=False)
+    lc_q = fs_life_cycle_sql(lcd, cuts, ABT_PRESET)
+    o["abt"] = _abt_stores_sql(coh, tx_q, lc_q, _edu_by_user(cuts, ABT_PRESET))
+    # fs_all: compact-variant stores at the latest transactional date (ORD + EDU)
+    one = cutoffs_cte(["2000-01-01"])
+    ftx = fs_transactional_sql(fx.SQL_ORD, one, REFS)
+    flc = fs_life_cycle_sql(segmentation_sql(fx.SQL_ORD, cutoff_series(*LC_ORD_CUTS), REFS), one, REFS)
+    fed = _edu_by_user(one, REFS)
+    o["fs_all"] = f"""WITH ftx AS ({ftx})
+SELECT t.* EXCLUDE (cutoff), l.* EXCLUDE (user_id, ref_date, cutoff), e.* EXCLUDE (user_id, ref_date)
+FROM ftx t
+LEFT JOIN ({flc}) l ON t.user_id = l.user_id AND t.ref_date = l.ref_date
+LEFT JOIN ({fed}) e ON t.user_id = e.user_id AND t.ref_date = e.ref_date
+WHERE t.ref_date = (SELECT max(ref_date) FROM ftx)"""
+    return o
