@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from loyalspark.config import LifecycleCfg, Preset, RfvCfg, preset as _preset
 from loyalspark.functions.classify import classify_lifecycle, classify_rfv
 from loyalspark.functions.expr import as_date, days_between
-from loyalspark.plans.asof import Cutoffs, Frame, asof_frames, current_rows
+from loyalspark.plans.asof import Cutoffs, Frame, asof_rollup, current_rows
 from loyalspark.sources.calendar import lookback
 
 
@@ -51,12 +51,11 @@ def segmentation_backfill(tx: DataFrame, cutoffs, cfg: Preset | str = "main",
     k = lookback_days or lc.lookback_days
     cuts = Cutoffs(cutoffs)
     ud = _user_days(tx, cuts.last)
-    cur = current_rows(ud.select("user_id", "day"), ["user_id"], cuts)
-    fv = asof_frames(
-        ud, cur, ["user_id"],
-        [Frame("frequency", "sum", "is_day", k), Frame("points_pos", "sum", "pts_pos", k),
-         Frame("points_redeem", "sum", "pts_redeem", k)],
-        carry=["first_day", "last_day", "prev_day"])
+    fv = asof_rollup(
+        ud, ["user_id"], cuts,
+        [Frame("first_day", "min", "day", None),
+         Frame("frequency", "sum", "is_day", k), Frame("points_pos", "sum", "pts_pos", k),
+         Frame("points_redeem", "sum", "pts_redeem", k)])
     c = F.col("cutoff")
     out = fv.select(
         F.date_sub(c, 1).alias("ref_date"), "user_id",

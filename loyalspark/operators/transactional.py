@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from loyalspark.config import DAYPART_AFTERNOON, DAYPART_MORNING, FeatureCfg, Preset, preset as _preset
 from loyalspark.functions.expr import (as_date, daypart, fractional_days, hours_between,
                                        ratio_or_null, safe_ratio)
-from loyalspark.plans.asof import Cutoffs, Frame, after_first, asof_frames
+from loyalspark.plans.asof import Cutoffs, Frame, asof_rollup
 from loyalspark.plans.sizing import bounded_broadcast
 
 
@@ -37,14 +37,34 @@ def _wname(w) -> str:
     return "life" if w is None else f"d{w}"
 
 
-def user_days(tx: DataFrame, last_cutoff, fcfg: FeatureCfg) -> DataFrame:
-    """Step 1: (user_id, day) facts."""
+def product_flags(items: DataFrame, products: DataFrame, fcfg: FeatureCfg) -> DataFrame:
+    """Per transaction: number of line items and matches per named product /
+    category (items joined with a size-checked product flag table)."""
+    flags = [(f"cnt_cat_{slug(c)}", F.col("category") == c) for c in fcfg.categories]
+    flags += [(f"cnt_prod_{slug(n)}", F.col("name") == n) for n in fcfg.products]
+    prod = products.select("product_id", *[F.when(cond, 1).otherwise(0).alias(nm) for nm, cond in flags])
+    per_item = items.select("tx_id", "product_id").join(bounded_broadcast(prod), "product_id", "left")
+    return per_item.groupBy("tx_id").agg(
+        F.count(F.lit(1)).alias("n_items"),
+        *[F.sum(F.coalesce(F.col(nm), F.lit(0))).alias(nm) for nm, _ in flags])
+
+
+def user_days(tx: DataFrame, last_cutoff, fcfg: FeatureCfg, per_tx: DataFrame | None = None) -> DataFrame:
+    """One row per (user_id, day): distinct transactions, rows, net / positive
+    / negative points, day-part counts, first / last timestamp, and with
+    ``per_tx`` the fanned-out row count and product / category matches (a
+    transaction without items counts as one row)."""
     p = F.col("points")
     dp = daypart(F.hour("ts"), DAYPART_MORNING, DAYPART_AFTERNOON)
     neg = F.when(p < 0, p).otherwise(0) if fcfg.signed_negative_points \
         else F.when(p < 0, F.abs(p)).otherwise(0)
-    return (tx.filter(F.col("ts") < F.lit(as_date(last_cutoff)))
-            .groupBy("user_id", F.to_date("ts").alias("day"))
+    t = tx.filter(F.col("ts") < F.lit(as_date(last_cutoff)))
+    extra = []
+    if per_tx is not None:
+        t = t.join(per_tx, "tx_id", "left")
+        extra = [F.sum(F.greatest(F.coalesce(F.col("n_items"), F.lit(0)), F.lit(1))).alias("fan_rows")]
+        extra += [F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in per_tx.columns if c.startswith("cnt_")]
+    return (t.groupBy("user_id", F.to_date("ts").alias("day"))
             .agg(F.countDistinct("tx_id").alias("n_tx"),
                  F.count("tx_id").alias("n_rows"),
                  F.sum(p).alias("pts_net"),
@@ -54,29 +74,12 @@ def user_days(tx: DataFrame, last_cutoff, fcfg: FeatureCfg) -> DataFrame:
                  F.count(F.when(dp["afternoon"], F.col("tx_id"))).alias("n_afternoon"),
                  F.count(F.when(dp["night"], F.col("tx_id"))).alias("n_night"),
                  F.min("ts").alias("first_ts"),
-                 F.max("ts").alias("last_ts"))
+                 F.max("ts").alias("last_ts"),
+                 *extra)
             .withColumn("hours", hours_between("first_ts", "last_ts"))
             .withColumn("is_day", F.lit(1)))
 
 
-def product_days(tx: DataFrame, items: DataFrame, products: DataFrame, last_cutoff,
-                 fcfg: FeatureCfg) -> DataFrame:
-    """Step 2: per (user, day) fanned-out row count and matches per named
-    product / category. A transaction without items counts as one row."""
-    flags = [(f"cnt_cat_{slug(c)}", F.col("category") == c) for c in fcfg.categories]
-    flags += [(f"cnt_prod_{slug(n)}", F.col("name") == n) for n in fcfg.products]
-    prod = products.select("product_id", *[F.when(cond, 1).otherwise(0).alias(nm) for nm, cond in flags])
-    per_item = items.select("tx_id", "product_id").join(bounded_broadcast(prod), "product_id", "left")
-    per_tx = per_item.groupBy("tx_id").agg(
-        F.count(F.lit(1)).alias("n_items"), *[F.sum(F.coalesce(F.col(nm), F.lit(0))).alias(nm) for nm, _ in flags])
-    t = (tx.filter(F.col("ts") < F.lit(as_date(last_cutoff)))
-         .select("tx_id", "user_id", F.to_date("ts").alias("day")))
-    j = t.join(per_tx, "tx_id", "left")
-    return (j.groupBy("user_id", "day")
-            .agg(F.sum(F.greatest(F.coalesce(F.col("n_items"), F.lit(0)), F.lit(1))).alias("fan_rows"),
-                 *[F.sum(F.coalesce(F.col(nm), F.lit(0))).alias(nm) for nm, _ in flags]))
-
-
 def fs_transactional(tx: DataFrame, cutoffs, cfg: Preset | str = "main",
                      items: DataFrame | None = None, products: DataFrame | None = None) -> DataFrame:
     """C15 for one or many cut-offs. Without ``items``/``products`` the
@@ -84,19 +87,10 @@ def fs_transactional(tx: DataFrame, cutoffs, cfg: Preset | str = "main",
     cfg = _preset(cfg)
     fc = cfg.features
     cuts = Cutoffs(cutoffs)
-    ud = user_days(tx, cuts.last, fc)
-    w = Window.partitionBy("user_id").orderBy("day")
-    ud = (ud.withColumn("gap", F.datediff("day", F.lag("day").over(w)).cast("long"))
-            .withColumn("first_day", F.min("day").over(Window.partitionBy("user_id"))))
-    markers = after_first(ud.filter(F.col("day") == F.col("first_day")).select("user_id", "first_day"),
-                          ["user_id"], cuts)
-    facts = ud.drop("first_day")
     with_products = items is not None and products is not None
-    share_cols = []
-    if with_products:
-        pdays = product_days(tx, items, products, cuts.last, fc)
-        facts = facts.unionByName(pdays, allowMissingColumns=True)
-        share_cols = [c for c in pdays.columns if c.startswith("cnt_")]
+    per_tx = product_flags(items, products, fc) if with_products else None
+    ud = user_days(tx, cuts.last, fc, per_tx)
+    share_cols = [c for c in ud.columns if c.startswith("cnt_")]
 
     wins = [None] + list(fc.windows)
     frames = []
@@ -121,7 +115,7 @@ def fs_transactional(tx: DataFrame, cutoffs, cfg: Preset | str = "main",
     if with_products:
         frames += [Frame("fan_rows_life", "sum", "fan_rows", None)]
         frames += [Frame(f"{c}_life", "sum", c, None) for c in share_cols]
-    agg = asof_frames(facts, markers, ["user_id"], frames)
+    agg = asof_rollup(ud, ["user_id"], cuts, frames, gap="gap")
 
     c = F.col("cutoff")
     if fc.fractional_age:

@@ -172,3 +172,57 @@ def asof_frames(facts: DataFrame, markers: DataFrame, keys: list, frames: list,
     return (u.select(*keys, "cutoff", "_marker", *carry, *outs)
             .filter(F.col("_marker"))
             .drop("_marker"))
+
+
+def asof_rollup(days: DataFrame, keys: list, cuts: Cutoffs, frames: list,
+                day_col: str = "day", gap: str | None = None) -> DataFrame:
+    """Single-pass as-of aggregation over per-key daily facts.
+
+    ``days`` holds one row per (keys, day) with measure columns. In one window
+    over the key partition every day row gets ``prev_day`` (lag) and the
+    cut-off index range (day, next active day]; each row then emits itself
+    plus one marker row per cut-off for which it is the latest activity, with
+    a single ``explode``. The frame window runs on the same partitioning (no
+    further shuffle, no re-scan of the input) and only the marker rows are
+    kept. Output: keys, cutoff, last_day, prev_day and one column per frame;
+    exactly one row per key and cut-off after the key's first day. With
+    ``gap`` set, a measure of that name = days since the previous active day
+    (computed on the full history) is available to the frames.
+    """
+    spark = days.sparkSession
+    cal = cuts.calendar(spark)
+    measures = sorted({f.column for f in frames})
+    w = Window.partitionBy(*keys).orderBy(day_col)
+    d = days.select(*keys, *[c for c in days.columns if c not in keys and c != day_col],
+                    F.col(day_col).alias("_day"),
+                    F.lag(day_col).over(w).alias("_prev"),
+                    F.lead(day_col).over(w).alias("_next"))
+    if gap:
+        d = d.withColumn(gap, F.datediff("_day", "_prev").cast("long"))
+    d = _index_of(d, "_day", "_lo", cuts, cal)
+    d = _index_of(d, "_next", "_hi", cuts, cal)
+    types = {f.name: f.dataType for f in d.schema.fields}
+    types["_day"] = types["_prev"]
+
+    def row(cutoff, dn, marker, fact: bool):
+        fields = [cutoff.alias("cutoff"), dn.alias("_dn"), F.lit(marker).alias("_marker"),
+                  F.col("_day").alias("last_day"), F.col("_prev").alias("prev_day")]
+        for m in measures:
+            src = "_day" if m == day_col else m
+            fields.append((F.col(src) if fact else F.lit(None).cast(types[src])).alias(m))
+        return F.struct(*fields)
+
+    arr = cuts.array()
+    fact = row(F.lit(None).cast("date"), F.unix_date("_day"), False, True)
+    mk = F.transform(
+        F.when(F.col("_hi") > F.col("_lo"), F.sequence(F.col("_lo") + 1, F.col("_hi")))
+        .otherwise(F.array().cast("array<int>")),
+        lambda i: row(F.element_at(arr, i), F.unix_date(F.element_at(arr, i)), True, False))
+    u = d.select(*keys, F.explode(F.concat(F.array(fact), mk)).alias("_r")).select(*keys, "_r.*")
+    base = Window.partitionBy(*keys).orderBy("_dn")
+    outs = []
+    for fr in frames:
+        lo = Window.unboundedPreceding if fr.days is None else -int(fr.days)
+        outs.append(_FUNCS[fr.func](F.col(fr.column)).over(base.rangeBetween(lo, -1)).alias(fr.name))
+    return (u.select(*keys, "cutoff", "_marker", "last_day", "prev_day", *outs)
+            .filter(F.col("_marker")).drop("_marker"))
