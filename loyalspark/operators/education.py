@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from loyalspark.config import Preset, preset as _preset
 from loyalspark.functions.expr import as_date, fractional_days
 from loyalspark.operators.transactional import slug
-from loyalspark.plans.asof import Cutoffs, Frame, after_first, asof_frames
+from loyalspark.plans.asof import Cutoffs, Frame, asof_rollup
 from loyalspark.plans.sizing import bounded_broadcast
 
 
@@ -34,9 +34,7 @@ def course_progress(done: DataFrame, register: DataFrame, cutoffs) -> DataFrame:
     facts = (done.filter(F.col("ts") < F.lit(cuts.last))
              .groupBy("user", "course", F.to_date("ts").alias("day"))
              .agg(F.count("episode").alias("n")))
-    first = facts.groupBy("user", "course").agg(F.min("day").alias("first_day"))
-    markers = after_first(first, ["user", "course"], cuts)
-    prog = asof_frames(facts, markers, ["user", "course"], [Frame("n_eps", "sum", "n", None)])
+    prog = asof_rollup(facts, ["user", "course"], cuts, [Frame("n_eps", "sum", "n", None)])
     totals = bounded_broadcast(episodes_per_course(register))
     return (prog.join(totals, "course", "left")
             .select("user", "course", "cutoff", F.col("n_eps").cast("long").alias("n_eps"), "total_eps",
@@ -56,10 +54,10 @@ def course_pivot(progress: DataFrame, slugs, fill_zero: bool = False) -> DataFra
     return counters
 
 
-def last_activity(sources: list, keys: DataFrame, cutoffs, fractional: bool = False) -> DataFrame:
-    """G28 + U1: per (user, cutoff) in ``keys``, days from the latest activity
-    before the cut-off (over all sources) to the cut-off. Whole days on dates
-    (main) or fractional days on timestamps (refs)."""
+def last_activity(sources: list, cutoffs, fractional: bool = False) -> DataFrame:
+    """G28 + U1: per user active before each cut-off, days from the latest
+    activity (over all sources) to the cut-off. Whole days on dates (main)
+    or fractional days on timestamps (refs)."""
     cuts = Cutoffs(cutoffs)
     acts = None
     for src in sources:
@@ -68,8 +66,7 @@ def last_activity(sources: list, keys: DataFrame, cutoffs, fractional: bool = Fa
     facts = (acts.filter(F.col("ts") < F.lit(cuts.last))
              .groupBy("user", F.to_date("ts").alias("day"))
              .agg(F.max("ts").alias("last_ts")))
-    latest = asof_frames(facts, keys.select("user", "cutoff"), ["user"],
-                         [Frame("last_day", "max", "day", None), Frame("last_ts", "max", "last_ts", None)])
+    latest = asof_rollup(facts, ["user"], cuts, [Frame("last_ts", "max", "last_ts", None)])
     if fractional:
         days = fractional_days("last_ts", F.col("cutoff").cast("timestamp_ntz"))
     else:
@@ -87,8 +84,7 @@ def fs_education(done: DataFrame, register: DataFrame, rewards: DataFrame, skill
     fc = _preset(cfg).features
     prog = course_progress(done, register, cutoffs)
     piv = course_pivot(prog, slugs, fill_zero=fc.course_fill_zero)
-    rec = last_activity([skills, rewards, done], piv.select("user", "cutoff"), cutoffs,
-                        fractional=fc.fractional_edu_recency)
+    rec = last_activity([skills, rewards, done], cutoffs, fractional=fc.fractional_edu_recency)
     out = (piv.join(rec, ["user", "cutoff"], "left")
            .join(bounded_broadcast(bridge.select("user", "customer_id")), "user", "inner"))
     share_cols = [f"share_{slug(c)}" for c in slugs]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loyalspark.config import Preset, preset as _preset
-from loyalspark.plans.asof import Cutoffs, Frame, asof_frames
+from loyalspark.plans.asof import Cutoffs, Frame, asof_rollup
 from loyalspark.plans.sizing import bounded_broadcast
 
 
@@ -81,7 +81,7 @@ def fs_life_cycle(lc: DataFrame, cutoffs, cfg: Preset | str = "main") -> DataFra
                            for i, s in enumerate(labels)])
     frames = [Frame("_n", "sum", "_one", None)] + [Frame(f"_c{i}", "sum", f"_s{i}", None)
                                                      for i in range(len(labels))]
-    shares = asof_frames(onehot, current.select("user_id", "cutoff"), ["user_id"], frames)
+    shares = asof_rollup(onehot, ["user_id"], cuts, frames)
     shares = shares.select("user_id", "cutoff", *[
         F.try_divide(F.col(f"_c{i}").cast("double"), F.col("_n").cast("double")).alias(pct_column(s))
         for i, s in enumerate(labels)])

@@ -268,8 +268,9 @@ def _course_pivot(spark, d):
 def _course_last_activity(spark, d):
     prog = ed.course_progress(fx.edu_done(spark, d), fx.edu_register(spark, d), [ORD_CUT])
     keys = prog.select("user", "cutoff").distinct()
-    return ed.last_activity([fx.edu_skills(spark, d), fx.edu_rewards(spark, d), fx.edu_done(spark, d)],
-                            keys, [ORD_CUT])
+    rec = ed.last_activity([fx.edu_skills(spark, d), fx.edu_rewards(spark, d), fx.edu_done(spark, d)],
+                           [ORD_CUT])
+    return keys.join(rec, ["user", "cutoff"], "left")
 
 
 @register("fs_education")
