@@ -380,3 +380,172 @@ def _fs_all(spark, d):
     fs_lc = lf.fs_life_cycle(lc_ord, [ORD_CUT], REFS)
     fs_ed = edu_by_user(_edu(spark, d, [ORD_CUT], REFS))
     return tg.fs_all(fs_tx, fs_lc, fs_ed)
+
+
+# --------------------------------------------------------- profiling and ML
+
+from loyalspark.ml import assess as ma  # noqa: E402
+from loyalspark.ml import model as mm  # noqa: E402
+from loyalspark.ml import prepare as mp  # noqa: E402
+from loyalspark.ml import segment as ms  # noqa: E402
+from loyalspark.operators import profile as pf  # noqa: E402
+from loyalspark.config import LIFECYCLE_LABELS_MAIN, NON_USER_MAIN  # noqa: E402
+
+PROFILE_COLS = ["frequency", "active_days_d28", "tx_life", "pts_pos_d28", "hours_d7", "gap_mean_life",
+                "pct_02_fiel", "avg_freq_group", "days_since_activity", "n_in_progress"]
+IMPUTE_COLS = ["state_current", "state_d28", "frequency", "gap_mean_life", "days_since_activity",
+               "hours_d7", "share_brand_1", "pct_02_fiel", "avg_freq_group", "tx_per_day_d28"]
+STATE_VOCAB = list(LIFECYCLE_LABELS_MAIN) + [NON_USER_MAIN]
+
+
+@register("feature_null_rate")
+def _null_rate(spark, d):
+    abt_df = abt_frame(spark, d)
+    return pf.null_rates(abt_df, mp.feature_columns(abt_df))
+
+
+@register("feature_label_median_ratio")
+def _median_ratio(spark, d):
+    return pf.label_median_ratio(abt_frame(spark, d), "label", PROFILE_COLS)
+
+
+@register("label_rate_by_state")
+def _label_rate(spark, d):
+    return pf.label_rate(abt_frame(spark, d), "state_current")
+
+
+@register("split_label_rate")
+def _split_rate(spark, d):
+    return pf.split_summary(abt_frame(spark, d), "tag")
+
+
+@register("describe_by_cluster")
+def _describe(spark, d):
+    seg = lc.segmentation_snapshot(fx.tx_orders(spark, d), ORD_CUT, MAIN)
+    return pf.describe_by(seg.filter(F.col("cluster").isNotNull()), "cluster", ["frequency", "points_pos"])
+
+
+def _fv_scaled(spark, d):
+    fv = lc.rfv_cluster(lc.frequency_value(fx.tx_events(spark, d), EV_CUT), MAIN)
+    return pf.minmax(fv, ["frequency", "points_pos"])
+
+
+@register("minmax_scale")
+def _minmax(spark, d):
+    return _fv_scaled(spark, d)
+
+
+@register("impute_policy")
+def _impute(spark, d):
+    return mp.impute(abt_frame(spark, d)).select("ref_date", "user_id", *IMPUTE_COLS)
+
+
+@register("onehot_states")
+def _onehot(spark, d):
+    df = mp.impute(abt_frame(spark, d)).select("ref_date", "user_id", "state_current")
+    return pf.onehot(df, "state_current", STATE_VOCAB, prefix="is")
+
+
+def _fv_thin_scaled(spark, d):
+    fv = lc.rfv_cluster(lc.frequency_value(fx.tx_events_thin(spark, d), EV_CUT), MAIN)
+    return pf.minmax(fv, ["frequency", "points_pos"])
+
+
+@register("calinski_harabasz")
+def _ch(spark, d):
+    return ms.calinski_harabasz(_fv_thin_scaled(spark, d), ["frequency_scaled", "points_pos_scaled"], "cluster")
+
+
+@register("davies_bouldin")
+def _db(spark, d):
+    return ms.davies_bouldin(_fv_thin_scaled(spark, d), ["frequency_scaled", "points_pos_scaled"], "cluster")
+
+
+def _scored_fixed(spark, d):
+    """ABT with a fixed score column (28-day activation) for curve formulas."""
+    return (abt_frame(spark, d).select("ref_date", "user_id", "label", "tag", "pct_active_mau")
+            .withColumn("score", F.coalesce(F.col("pct_active_mau"), F.lit(0.0)))
+            .withColumn("prediction", (F.col("score") >= 0.5).cast("double")))
+
+
+@register("roc_curve")
+def _roc(spark, d):
+    return ma.roc_curve(_scored_fixed(spark, d))
+
+
+@register("lift_curve")
+def _lift(spark, d):
+    return ma.lift_curve(_scored_fixed(spark, d))
+
+
+@register("confusion")
+def _confusion(spark, d):
+    return ma.confusion(_scored_fixed(spark, d))
+
+
+@register("baseline")
+def _baseline(spark, d):
+    return ma.baseline(abt_frame(spark, d), "label", "tag")
+
+
+# rows-only (model fits and k-means labels are not SQL-expressible)
+
+@register("kmeans_segments")
+def _kmeans(spark, d):
+    return ms.kmeans(_fv_scaled(spark, d), ["frequency_scaled", "points_pos_scaled"], k=5).select(
+        "user_id", "segment")
+
+
+@register("elbow")
+def _elbow(spark, d):
+    return ms.elbow(_fv_scaled(spark, d), ["frequency_scaled", "points_pos_scaled"], range(1, 7))
+
+
+@register("silhouette")
+def _silhouette(spark, d):
+    return ms.silhouette(_fv_scaled(spark, d), ["frequency_scaled", "points_pos_scaled"], range(2, 11))
+
+
+def model_table(spark, d):
+    """Imputed, typed and split ABT, staged as a table for iterative fitting."""
+    from loyalspark.sources.store import stage
+    t = mp.impute(mp.cast_by_policy(abt_frame(spark, d)))
+    return stage(mp.stratified_split(t), "model_table")
+
+
+def model_features(df):
+    return [c for c in mp.feature_columns(df) if c not in mm.CATEGORICAL and c != "split"
+            and dict(df.dtypes)[c] in ("bigint", "int", "double")]
+
+
+def _train_score(spark, d, kind):
+    t = model_table(spark, d)
+    train = t.filter((F.col("tag") == "ABT") & (F.col("split") == "train"))
+    feats = model_features(t)
+    model = mm.build_pipeline(feats, list(mm.CATEGORICAL), kind).fit(train)
+    return mm.with_score(model.transform(t)).select("ref_date", "user_id", "tag", "split", "label",
+                                                    "score", "prediction")
+
+
+@register("train_score_rf")
+def _rf(spark, d):
+    return _train_score(spark, d, "rf")
+
+
+@register("train_score_dt")
+def _dt(spark, d):
+    return _train_score(spark, d, "dt")
+
+
+@register("train_score_adaboost")
+def _ada(spark, d):
+    t = model_table(spark, d)
+    train = t.filter((F.col("tag") == "ABT") & (F.col("split") == "train"))
+    model = mm.fit_adaboost(train, model_features(t), list(mm.CATEGORICAL), rounds=20, learning_rate=0.1)
+    return mm.predict(model, t).select("ref_date", "user_id", "tag", "split", "label", "score", "prediction")
+
+
+@register("model_metrics")
+def _metrics(spark, d):
+    s = _rf(spark, d).withColumn("part", F.when(F.col("tag") == "OOT", "oot").otherwise(F.col("split")))
+    return ma.metrics(s, split="part")

@@ -211,6 +211,7 @@ FROM lc GROUP BY ref_date"""
     o.update(build_education())
     o.update(build_lifecycle_features())
     o.update(build_target())
+    o.update(build_profile())
     return o
 
 
@@ -507,3 +508,118 @@ LEFT JOIN ({flc}) l ON t.user_id = l.user_id AND t.ref_date = l.ref_date
 LEFT JOIN ({fed}) e ON t.user_id = e.user_id AND t.ref_date = e.ref_date
 WHERE t.ref_date = (SELECT max(ref_date) FROM ftx)"""
     return o
+
+
+def build_profile() -> dict:
+    from loyalspark.config import LIFECYCLE_LABELS_MAIN, NON_USER_MAIN
+    lcd = lc_daily_sql(MAIN)
+    lab = label_sql(lcd, 7, MAIN, "2024-01-04", "2024-01-30")
+    coh = cohort_sql(lab, 2, 42, COHORT_TRAIN, COHORT_OOT)
+    cuts = cutoff_series(*ABT_CUTS)
+    tx_q = fs_transactional_sql(fx.SQL_EV_THIN, cuts, ABT_PRESET, with_products=False)
+    lc_q = fs_life_cycle_sql(lcd, cuts, ABT_PRESET)
+    abt = _abt_stores_sql(coh, tx_q, lc_q, _edu_by_user(cuts, ABT_PRESET))
+    o = {}
+    o["feature_null_rate"] = f"""WITH abt AS ({abt}),
+txt AS (SELECT COLUMNS(* EXCLUDE (ref_date, user_id, label, tag))::VARCHAR FROM abt),
+lng AS (SELECT * FROM txt UNPIVOT INCLUDE NULLS (v FOR feature IN (COLUMNS(*))))
+SELECT feature, round(avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_rate
+FROM lng GROUP BY feature"""
+    cols = ["frequency", "active_days_d28", "tx_life", "pts_pos_d28", "hours_d7", "gap_mean_life",
+            "pct_02_fiel", "avg_freq_group", "days_since_activity", "n_in_progress"]
+    parts = []
+    for c in cols:
+        parts.append(f"""SELECT '{c}' AS feature,
+  round(avg(CAST({c} AS DOUBLE)) FILTER (WHERE label = 0), 6) AS mean0,
+  round(avg(CAST({c} AS DOUBLE)) FILTER (WHERE label = 1), 6) AS mean1,
+  round(quantile_disc(CAST({c} AS DOUBLE), 0.5) FILTER (WHERE label = 0), 6) AS median0,
+  round(quantile_disc(CAST({c} AS DOUBLE), 0.5) FILTER (WHERE label = 1), 6) AS median1
+FROM abt""")
+    o["feature_label_median_ratio"] = f"""WITH abt AS ({abt}), m AS ({' UNION ALL '.join(parts)})
+SELECT *, round((median1 + 0.001) / (median0 + 0.001), 6) AS median_ratio FROM m"""
+    o["label_rate_by_state"] = f"""WITH abt AS ({abt})
+SELECT state_current, CAST(count(*) AS BIGINT) AS n, round(avg(CAST(label AS DOUBLE)), 6) AS label_rate
+FROM abt GROUP BY state_current"""
+    o["split_label_rate"] = f"""WITH abt AS ({abt})
+SELECT tag, CAST(count(*) AS BIGINT) AS n, CAST(sum(label) AS BIGINT) AS positives,
+       round(avg(CAST(label AS DOUBLE)), 6) AS label_rate FROM abt GROUP BY tag"""
+    seg = segmentation_sql(fx.SQL_ORD, cutoffs_cte(["2000-01-01"]), MAIN)
+    desc = []
+    for c in ("frequency", "points_pos"):
+        x = f"CAST({c} AS DOUBLE)"
+        desc.append(f"""round(avg({x}), 6) AS {c}_mean, round(stddev_samp({x}), 6) AS {c}_std,
+       round(min({x}), 6) AS {c}_min, round(quantile_disc({x}, 0.25), 6) AS {c}_p25,
+       round(quantile_disc({x}, 0.5), 6) AS {c}_p50, round(quantile_disc({x}, 0.75), 6) AS {c}_p75,
+       round(max({x}), 6) AS {c}_max""")
+    o["describe_by_cluster"] = f"""WITH seg AS ({seg})
+SELECT cluster, CAST(count(*) AS BIGINT) AS n, {', '.join(desc)}
+FROM seg WHERE cluster IS NOT NULL GROUP BY cluster"""
+    fvc = f"SELECT *, {rfv_case(MAIN)} AS cluster FROM ({fv_sql(fx.SQL_EV, '2024-01-31')})"
+    scaled = f"""WITH fv AS ({fvc}), b AS (SELECT min(frequency) lf, max(frequency) hf, min(points_pos) lp, max(points_pos) hp FROM fv)
+SELECT fv.*, CASE WHEN hf > lf THEN (frequency - lf) / (hf - lf) ELSE 0.0 END AS frequency_scaled,
+       CASE WHEN hp > lp THEN (points_pos - lp) / (hp - lp) ELSE 0.0 END AS points_pos_scaled FROM fv, b"""
+    o["minmax_scale"] = f"""SELECT * REPLACE (round(frequency_scaled, 6) AS frequency_scaled,
+                   round(points_pos_scaled, 6) AS points_pos_scaled) FROM ({scaled})"""
+    thin_scaled = scaled.replace(f"({fv_sql(fx.SQL_EV, '2024-01-31')})", f"({fv_sql(fx.SQL_EV_THIN, '2024-01-31')})")
+    o["calinski_harabasz"] = f"""WITH pts AS (SELECT cluster AS c, frequency_scaled AS x1, points_pos_scaled AS x2 FROM ({thin_scaled})),
+g AS (SELECT avg(x1) m1, avg(x2) m2, count(*) n, count(DISTINCT c) k FROM pts),
+cl AS (SELECT c, count(*) nj, avg(x1) c1, avg(x2) c2 FROM pts GROUP BY c),
+bb AS (SELECT sum(nj * ((c1 - m1) ^ 2 + (c2 - m2) ^ 2)) b FROM cl, g),
+ww AS (SELECT sum((x1 - c1) ^ 2 + (x2 - c2) ^ 2) w FROM pts JOIN cl USING (c))
+SELECT CAST(k AS INTEGER) AS k,
+       CASE WHEN k > 1 AND n > k AND w > 0 THEN round((b / (k - 1)) / (w / (n - k)), 6) END AS calinski_harabasz
+FROM bb, ww, g"""
+    o["davies_bouldin"] = f"""WITH pts AS (SELECT cluster AS c, frequency_scaled AS x1, points_pos_scaled AS x2 FROM ({thin_scaled})),
+cl AS (SELECT c, avg(x1) c1, avg(x2) c2 FROM pts GROUP BY c),
+s AS (SELECT c, avg(sqrt((x1 - c1) ^ 2 + (x2 - c2) ^ 2)) s FROM pts JOIN cl USING (c) GROUP BY c),
+r AS (SELECT a.c, max((sa.s + sb.s) / sqrt((a.c1 - b.c1) ^ 2 + (a.c2 - b.c2) ^ 2)) r
+      FROM cl a JOIN cl b ON a.c <> b.c JOIN s sa ON sa.c = a.c JOIN s sb ON sb.c = b.c GROUP BY a.c)
+SELECT CAST((SELECT count(*) FROM cl) AS INTEGER) AS k, round(avg(r), 6) AS davies_bouldin FROM r"""
+    imp_cols = {
+        "state_current": f"coalesce(state_current, {q(NON_USER_MAIN)})",
+        "state_d28": f"coalesce(state_d28, {q(NON_USER_MAIN)})",
+        "frequency": "coalesce(frequency, 0)",
+        "gap_mean_life": "round(coalesce(gap_mean_life, 1000.0), 6)",
+        "days_since_activity": "round(coalesce(days_since_activity, 1000.0), 6)",
+        "hours_d7": "round(coalesce(hours_d7, 0.0), 6)",
+        "share_brand_1": "round(coalesce(share_brand_1, 0.0), 6)",
+        "pct_02_fiel": "round(coalesce(pct_02_fiel, 0.0), 6)",
+        "avg_freq_group": "round(coalesce(avg_freq_group, 1000.0), 6)",
+        "tx_per_day_d28": "round(coalesce(tx_per_day_d28, 0.0), 6)",
+    }
+    o["impute_policy"] = f"""WITH abt AS ({abt})
+SELECT ref_date, user_id, {', '.join(f'{v} AS {k}' for k, v in imp_cols.items())}
+FROM abt WHERE age_days IS NOT NULL"""
+    import re as _re
+    vocab = list(LIFECYCLE_LABELS_MAIN) + [NON_USER_MAIN]
+    oh = ", ".join(
+        f"CAST(CASE WHEN coalesce(state_current, {q(NON_USER_MAIN)}) = {q(v)} THEN 1 ELSE 0 END AS BIGINT) AS "
+        f"is_{_re.sub(r'[^0-9a-zA-Z]+', '_', v).strip('_').lower()}" for v in vocab)
+    o["onehot_states"] = f"""WITH abt AS ({abt})
+SELECT ref_date, user_id, coalesce(state_current, {q(NON_USER_MAIN)}) AS state_current, {oh}
+FROM abt WHERE age_days IS NOT NULL"""
+    sc = f"""SELECT label, coalesce(pct_active_mau, 0.0) AS score FROM ({abt})"""
+    o["roc_curve"] = f"""WITH s AS ({sc}),
+b AS (SELECT round(score, 4) AS threshold, sum(label) pos, sum(1 - label) neg FROM s GROUP BY 1)
+SELECT threshold,
+       round(sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) / sum(pos) OVER (), 6) AS tpr,
+       round(sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) / sum(neg) OVER (), 6) AS fpr
+FROM b"""
+    o["lift_curve"] = f"""WITH s AS ({sc}),
+b AS (SELECT round(score, 4) AS threshold, sum(label) pos, sum(1 - label) neg FROM s GROUP BY 1),
+c AS (SELECT threshold,
+             sum(pos + neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) cn,
+             sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) cp,
+             sum(pos + neg) OVER () n, sum(pos) OVER () p FROM b)
+SELECT threshold, round(cn / n, 6) AS population, round(cp / cn, 6) AS precision,
+       round((cp / cn) / (p / n), 6) AS lift FROM c"""
+    o["confusion"] = f"""WITH s AS ({sc})
+SELECT CAST(label AS BIGINT) AS label,
+       CAST(sum(CASE WHEN score < 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS pred_0,
+       CAST(sum(CASE WHEN score >= 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS pred_1
+FROM s GROUP BY label"""
+    o["baseline"] = f"""WITH abt AS ({abt})
+SELECT tag, CAST(count(*) AS BIGINT) AS n, round(avg(CAST(label AS DOUBLE)), 6) AS base_rate,
+       round(avg(CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END), 6) AS accuracy_zero, 0.5 AS auc_constant
+FROM abt GROUP BY tag"""
+    return o

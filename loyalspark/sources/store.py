@@ -98,6 +98,16 @@ def write_replace(df: DataFrame, path: str, partition_by: str | None = None) ->
     w.parquet(path)
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table in the shared checkpoint folder and
+    read it back: iterative consumers (model fitting) then scan a compact
+    table instead of recomputing the lineage, and the table survives the
+    loss of executors."""
+    import uuid
+    from loyalspark.session import scratch_path
+    return materialize(df, scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}"))
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to a shared folder and read it back (cuts lineage and
     survives executor loss, unlike a machine-local checkpoint)."""
