@@ -67,27 +67,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def write_snapshot(df: DataFrame, path: str, dates=None, date_col: str = "ref_date") -> None:
     """S4 + S6: idempotent dated write.
 
-    Rows are written with ``partitionBy(date_col)`` and dynamic partition
-    overwrite, so only the dates present in ``df`` are replaced. Dates listed
-    in ``dates`` that have no rows in ``df`` are deleted afterwards (an empty
-    re-run clears the old snapshot). The target is created on first run.
+    The partitions of the requested ``dates`` are removed first (the
+    delete-then-append of the original jobs, so an empty re-run clears its
+    date), then ``df`` is written with ``partitionBy(date_col)`` and dynamic
+    partition overwrite, which replaces any other date present in ``df`` and
+    leaves every other date untouched. The job commit publishes files only
+    when all tasks succeed. The target is created on first run.
     """
     spark = df.sparkSession
+    for d in sorted({as_date(x) for x in (dates or [])}):
+        part = os.path.join(path, f"{date_col}={d.isoformat()}")
+        fs, p, _ = _hadoop_fs(spark, part)
+        if fs.exists(p):
+            fs.delete(p, True)
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(date_col).parquet(path))
-    if not dates:
-        return
-    wanted = sorted({as_date(d) for d in dates})
-    present = {r[0] for r in (spark.read.parquet(path)
-                              .filter(F.col(date_col).isin(wanted))
-                              .select(date_col).distinct().collect())}
-    for d in wanted:
-        if d not in present:
-            part = os.path.join(path, f"{date_col}={d.isoformat()}")
-            fs, p, _ = _hadoop_fs(spark, part)
-            if fs.exists(p):
-                fs.delete(p, True)
 
 
 def write_replace(df: DataFrame, path: str, partition_by: str | None = None) -> None:
