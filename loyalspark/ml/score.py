@@ -36,7 +36,7 @@ def save_model(spark: SparkSession, model: PipelineModel, meta: dict, root: str)
     v = (max(_versions(spark, root)) if _versions(spark, root) else 0) + 1
     path = os.path.join(root, f"v{v}")
     model.write().overwrite().save(os.path.join(path, "model"))
-    meta = dict(meta, version=v, saved_at=_dt.datetime.utcnow().isoformat())
+    meta = dict(meta, version=v, saved_at=_dt.datetime.now(_dt.timezone.utc).isoformat())
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(
         os.path.join(path, "meta"))
     return path
@@ -72,7 +72,7 @@ def score_batch(spark: SparkSession, model_root: str, table: DataFrame, out_path
 def log_run(spark: SparkSession, runs_path: str, tags: dict, params: dict, metrics: dict,
             features: list[str]) -> None:
     """Append one row (tags, parameters, metrics, feature list) to the runs table."""
-    row = (_dt.datetime.utcnow().isoformat(), json.dumps(tags), json.dumps(params),
+    row = (_dt.datetime.now(_dt.timezone.utc).isoformat(), json.dumps(tags), json.dumps(params),
            json.dumps(metrics), json.dumps(list(features)))
     (spark.createDataFrame([row], "logged_at string, tags string, params string, metrics string, features string")
      .write.mode("append").parquet(runs_path))
