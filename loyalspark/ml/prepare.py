@@ -93,6 +93,18 @@ def impute(df: DataFrame, non_user: str = NON_USER_MAIN) -> DataFrame:
     return out.na.fill(fills) if fills else out
 
 
+def drop_uninformative(df: DataFrame, label: str = "label", drop_null: bool = True) -> tuple:
+    """Drop numeric features whose label-wise median ratio is 1 (and
+    NULL, main variant). Returns (reduced DataFrame, dropped feature list);
+    the ratios come from one aggregate job."""
+    from loyalspark.operators.profile import label_median_ratio, numeric_columns, uninformative
+    cols = [c for c in numeric_columns(df, exclude=KEY_COLUMNS)]
+    if not cols:
+        return df, []
+    drop = [r[0] for r in uninformative(label_median_ratio(df, label, cols), drop_null).collect()]
+    return df.drop(*drop), drop
+
+
 def feature_profile(df: DataFrame) -> DataFrame:
     """M9: null rate per feature joined with its policy group and action."""
     cols = feature_columns(df)

@@ -43,9 +43,16 @@ class Cutoffs:
     dates: list
 
     def __init__(self, dates):
-        ds = sorted({as_date(d) for d in (dates if isinstance(dates, (list, tuple, set)) else [dates])})
-        if not ds:
-            raise ValueError("at least one cut-off date is required")
+        ds = set()
+        for d in (dates if isinstance(dates, (list, tuple, set)) else [dates]):
+            try:
+                ds.add(as_date(d))
+            except (TypeError, ValueError):
+                continue  # S10: an unparsable cut-off contributes no rows
+        # no valid cut-off: keep a sentinel date for the plan shape and mark
+        # the list invalid, so the as-of plans return no rows
+        self.valid = bool(ds)
+        ds = sorted(ds) or [_dt.date(1970, 1, 1)]
         if len(ds) > MAX_CUTOFFS:
             raise ValueError(f"{len(ds)} cut-offs exceed the bound {MAX_CUTOFFS}")
         if (ds[-1] - ds[0]).days > MAX_SPAN_DAYS:
@@ -98,6 +105,8 @@ def current_rows(daily: DataFrame, keys: list, cuts: Cutoffs, day_col: str = "da
     before each cut-off. ``daily`` holds distinct (keys, day)."""
     spark = daily.sparkSession
     cal = cuts.calendar(spark)
+    if not cuts.valid:
+        daily = daily.filter(F.lit(False))
     w = Window.partitionBy(*keys).orderBy(day_col)
     d = daily.select(
         *keys, F.col(day_col).alias("last_day"),
@@ -191,6 +200,8 @@ def asof_rollup(days: DataFrame, keys: list, cuts: Cutoffs, frames: list,
     """
     spark = days.sparkSession
     cal = cuts.calendar(spark)
+    if not cuts.valid:
+        days = days.filter(F.lit(False))
     measures = sorted({f.column for f in frames})
     w = Window.partitionBy(*keys).orderBy(day_col)
     d = days.select(*keys, *[c for c in days.columns if c not in keys and c != day_col],

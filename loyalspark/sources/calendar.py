@@ -100,3 +100,15 @@ def month_starts(df: DataFrame, column: str = "ref_date") -> DataFrame:
 
 def is_month_start(c: Column) -> Column:
     return F.dayofmonth(c) == 1
+
+
+def drop_incomplete(df: DataFrame, subset: list[str]) -> DataFrame:
+    """Drop rows with a NULL in any of ``subset``."""
+    return df.dropna(subset=list(subset))
+
+
+def select_fixed(df: DataFrame, columns: list[str], fill=0) -> DataFrame:
+    """Exactly ``columns`` in that order; absent ones are created as
+    the constant ``fill``."""
+    have = set(df.columns)
+    return df.select(*[F.col(f"`{c}`") if c in have else F.lit(fill).alias(c) for c in columns])
