@@ -528,12 +528,12 @@ def _train_score(spark, d, kind):
 
 
 @register("train_score_rf")
-def _rf(spark, d):
+def _train_rf(spark, d):
     return _train_score(spark, d, "rf")
 
 
 @register("train_score_dt")
-def _dt(spark, d):
+def _train_dt(spark, d):
     return _train_score(spark, d, "dt")
 
 
@@ -547,5 +547,5 @@ def _ada(spark, d):
 
 @register("model_metrics")
 def _metrics(spark, d):
-    s = _rf(spark, d).withColumn("part", F.when(F.col("tag") == "OOT", "oot").otherwise(F.col("split")))
+    s = _train_rf(spark, d).withColumn("part", F.when(F.col("tag") == "OOT", "oot").otherwise(F.col("split")))
     return ma.metrics(s, split="part")
