@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loyalspark.config import Preset, preset as _preset
-from loyalspark.plans.asof import Cutoffs, Frame, asof_rollup
+from loyalspark.plans.asof import Cutoffs
 from loyalspark.plans.sizing import bounded_broadcast
 
 
@@ -33,14 +33,6 @@ def pct_column(label: str) -> str:
     return "pct_" + re.sub(r"[^0-9a-z]+", "_", label.lower()).strip("_")
 
 
-def _shifted(lc: DataFrame, days: int, cuts: Cutoffs) -> DataFrame:
-    """Snapshot rows whose ``ref_date + days`` is a cut-off (literal list, so
-    a ``ref_date``-partitioned table is pruned to those dates)."""
-    wanted = [d - _dt.timedelta(days=days) for d in cuts.dates]
-    return (lc.filter(F.col("ref_date").isin(wanted))
-            .withColumn("cutoff", F.date_add("ref_date", days)))
-
-
 def own_moving_frequency(lc: DataFrame) -> DataFrame:
     """Per snapshot row, mean frequency over the latest 7 rows that lie
     within the 14 calendar days ending at the row, and over all rows of those
@@ -62,53 +54,62 @@ def own_moving_frequency(lc: DataFrame) -> DataFrame:
 
 
 def fs_life_cycle(lc: DataFrame, cutoffs, cfg: Preset | str = "main") -> DataFrame:
-    """C17 for one or many cut-offs. ``lc`` = segmentation snapshots
-    (ref_date, user_id, state, frequency, ...)."""
+    """C17 for one or many cut-offs in one window pass.
+
+    ``lc`` = segmentation snapshots (ref_date, user_id, state, frequency, ...).
+    Over each user's snapshot rows ordered by date, every row r gets: the
+    state of the snapshot 29 - o days earlier (a one-day range frame), the
+    state counts of all snapshots before r + o (frame ``(unbounded, o - 1)``),
+    the 14-day mean frequency (frame ``(-13, 0)``) and the latest-7-rows mean
+    (six lags). The rows that are current for a cut-off (``ref_date + o`` in
+    the list) are kept; the per-state mean frequency (cut-offs x 7 rows) is
+    broadcast back.
+    """
     cfg = _preset(cfg)
     fc = cfg.features
     labels = cfg.lifecycle.labels
     cuts = Cutoffs(cutoffs)
     off = fc.lc_current_offset
+    dn = F.unix_date("ref_date")
     base = lc.select("ref_date", "user_id", "state", "frequency")
-
-    current = _shifted(base, off, cuts).select(
-        "user_id", "cutoff", "ref_date", F.col("state").alias("state_current"), "frequency")
-    d28 = _shifted(base, 29, cuts).select("user_id", "cutoff", F.col("state").alias("state_d28"))
-
-    # state shares over every snapshot strictly before the cut-off
-    onehot = base.select("user_id", F.col("ref_date").alias("day"), F.lit(1).alias("_one"),
-                         *[F.when(F.col("state") == s, 1).otherwise(0).alias(f"_s{i}")
-                           for i, s in enumerate(labels)])
-    frames = [Frame("_n", "sum", "_one", None)] + [Frame(f"_c{i}", "sum", f"_s{i}", None)
-                                                     for i in range(len(labels))]
-    shares = asof_rollup(onehot, ["user_id"], cuts, frames)
-    shares = shares.select("user_id", "cutoff", *[
-        F.try_divide(F.col(f"_c{i}").cast("double"), F.col("_n").cast("double")).alias(pct_column(s))
-        for i, s in enumerate(labels)])
-
-    # mean frequency of each current state (cut-offs x 7 rows)
-    group = current.groupBy("cutoff", "state_current").agg(F.avg("frequency").alias("avg_freq_group"))
-
-    out = (current.join(d28, ["user_id", "cutoff"], "left")
-           .join(shares, ["user_id", "cutoff"], "left")
-           .join(bounded_broadcast(group), ["cutoff", "state_current"], "left")
+    w = Window.partitionBy("user_id").orderBy(dn)
+    d28 = 29 - off
+    cols = [
+        "ref_date", "user_id", "state", "frequency",
+        F.first("state").over(w.rangeBetween(-d28, -d28)).alias("state_d28"),
+        F.count(F.lit(1)).over(w.rangeBetween(Window.unboundedPreceding, off - 1)).alias("_n"),
+        *[F.sum(F.when(F.col("state") == s, 1).otherwise(0))
+          .over(w.rangeBetween(Window.unboundedPreceding, off - 1)).alias(f"_c{i}")
+          for i, s in enumerate(labels)],
+    ]
+    if fc.moving_average:
+        wl = Window.partitionBy("user_id").orderBy("ref_date")
+        cols += [*[F.lag("frequency", k).over(wl).alias(f"_f{k}") for k in range(1, 7)],
+                 *[F.lag(dn, k).over(wl).alias(f"_d{k}") for k in range(1, 7)],
+                 F.avg("frequency").over(w.rangeBetween(-13, 0)).alias("avg_freq_d14")]
+    wanted = [c - _dt.timedelta(days=off) for c in cuts.dates] if cuts.valid else []
+    cur = (base.select(*cols)
+           .filter(F.col("ref_date").isin(wanted))
+           .withColumn("cutoff", F.date_add("ref_date", off))
+           .withColumnRenamed("state", "state_current"))
+    group = cur.groupBy("cutoff", "state_current").agg(F.avg("frequency").alias("avg_freq_group"))
+    out = (cur.join(bounded_broadcast(group), ["cutoff", "state_current"], "left")
            .withColumn("ratio_freq_group",
                        F.try_divide(F.col("frequency").cast("double"), F.col("avg_freq_group"))))
-    cols = ["cutoff", "user_id", "state_current", "frequency", "state_d28",
-            *[pct_column(s) for s in labels], "avg_freq_group", "ratio_freq_group"]
+    shares = [F.try_divide(F.col(f"_c{i}").cast("double"),
+                           F.when(F.col("_n") > 0, F.col("_n")).cast("double")).alias(pct_column(s))
+              for i, s in enumerate(labels)]
+    sel = [F.date_sub("cutoff", 1).alias("ref_date"), "cutoff", "user_id", "state_current", "frequency",
+           "state_d28", *shares, "avg_freq_group", "ratio_freq_group"]
     if fc.moving_average:
-        mov = own_moving_frequency(_window_rows(base, cuts, off))
-        out = (out.join(mov, ["user_id", "ref_date"], "left")
-               .withColumn("ratio_freq_d7", F.try_divide(F.col("frequency").cast("double"), F.col("avg_freq_d7")))
-               .withColumn("ratio_freq_d14", F.try_divide(F.col("frequency").cast("double"), F.col("avg_freq_d14"))))
-        cols += ["avg_freq_d7", "avg_freq_d14", "ratio_freq_d7", "ratio_freq_d14"]
-    out = out.drop("ref_date")
-    return out.select(F.date_sub("cutoff", 1).alias("ref_date"), *cols)
-
-
-def _window_rows(base: DataFrame, cuts: Cutoffs, off: int) -> DataFrame:
-    """Snapshot rows that can fall in a 14-day window ending at a current
-    snapshot date (prunes a ``ref_date``-partitioned table)."""
-    lo = cuts.first - _dt.timedelta(days=off + 13)
-    hi = cuts.last - _dt.timedelta(days=off)
-    return base.filter(F.col("ref_date").between(F.lit(lo), F.lit(hi)))
+        rowcur = F.unix_date("ref_date")
+        terms = [(F.col("frequency"), F.lit(True))] + [
+            (F.col(f"_f{k}"), F.col(f"_d{k}") >= rowcur - 13) for k in range(1, 7)]
+        s7 = sum((F.when(ok & v.isNotNull(), v).otherwise(0) for v, ok in terms), F.lit(0))
+        n7 = sum((F.when(ok & v.isNotNull(), 1).otherwise(0) for v, ok in terms), F.lit(0))
+        d7 = F.try_divide(s7.cast("double"), n7.cast("double"))
+        out = out.withColumn("avg_freq_d7", d7)
+        sel += ["avg_freq_d7", "avg_freq_d14",
+                F.try_divide(F.col("frequency").cast("double"), F.col("avg_freq_d7")).alias("ratio_freq_d7"),
+                F.try_divide(F.col("frequency").cast("double"), F.col("avg_freq_d14")).alias("ratio_freq_d14")]
+    return out.select(*sel)
