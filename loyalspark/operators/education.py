@@ -120,7 +120,8 @@ def last_activity(sources: list, cutoffs, fractional: bool = False) -> DataFrame
 
 
 def fs_education(done: DataFrame, register: DataFrame, rewards: DataFrame, skills: DataFrame,
-                 bridge: DataFrame, cutoffs, slugs, cfg: Preset | str = "main") -> DataFrame:
+                 bridge: DataFrame, cutoffs, slugs, cfg: Preset | str = "main",
+                 keys: DataFrame | None = None) -> DataFrame:
     """C16 for one or many cut-offs, in one pass over the three sources.
 
     Episodes, rewards and skills are unioned and reduced per (user, course,
@@ -131,7 +132,8 @@ def fs_education(done: DataFrame, register: DataFrame, rewards: DataFrame, skill
     bridge maps the rest to loyalty customer ids (inner join).
 
     Output: ref_date, cutoff, customer_id, user, n_complete, n_in_progress,
-    share_<slug>..., days_since_activity.
+    share_<slug>..., days_since_activity. ``keys`` (user, cutoff) restricts
+    the output to those course-platform users and cut-offs.
     """
     from pyspark.sql import Window
     fc = _preset(cfg).features
@@ -162,7 +164,7 @@ def fs_education(done: DataFrame, register: DataFrame, rewards: DataFrame, skill
     frames = [Frame("n_eps", "sum", "n_all", None), Frame("last_ts", "max", "last_ts", None),
               Frame("n_complete", "sum", "d_complete", None), Frame("n_in_progress", "sum", "d_progress", None)]
     frames += [Frame(f"c_{i}", "sum", f"d_{i}", None) for i in range(len(slugs))]
-    r = asof_rollup(per_day, ["user"], cuts, frames).filter(F.col("n_eps") > 0)
+    r = asof_rollup(per_day, ["user"], cuts, frames, requested=keys).filter(F.col("n_eps") > 0)
     shares = []
     for i, c in enumerate(slugs):
         total = tot.get(c)

@@ -53,7 +53,8 @@ def own_moving_frequency(lc: DataFrame) -> DataFrame:
                          "avg_freq_d14")
 
 
-def fs_life_cycle(lc: DataFrame, cutoffs, cfg: Preset | str = "main") -> DataFrame:
+def fs_life_cycle(lc: DataFrame, cutoffs, cfg: Preset | str = "main",
+                  keys: DataFrame | None = None) -> DataFrame:
     """C17 for one or many cut-offs in one window pass.
 
     ``lc`` = segmentation snapshots (ref_date, user_id, state, frequency, ...).
@@ -92,7 +93,10 @@ def fs_life_cycle(lc: DataFrame, cutoffs, cfg: Preset | str = "main") -> DataFra
            .filter(F.col("ref_date").isin(wanted))
            .withColumn("cutoff", F.date_add("ref_date", off))
            .withColumnRenamed("state", "state_current"))
+    # the group mean is over all current users (not only requested keys)
     group = cur.groupBy("cutoff", "state_current").agg(F.avg("frequency").alias("avg_freq_group"))
+    if keys is not None:
+        cur = cur.join(keys.select("user_id", "cutoff").distinct(), ["user_id", "cutoff"], "left_semi")
     out = (cur.join(bounded_broadcast(group), ["cutoff", "state_current"], "left")
            .withColumn("ratio_freq_group",
                        F.try_divide(F.col("frequency").cast("double"), F.col("avg_freq_group"))))

@@ -81,9 +81,11 @@ def user_days(tx: DataFrame, last_cutoff, fcfg: FeatureCfg, per_tx: DataFrame |
 
 
 def fs_transactional(tx: DataFrame, cutoffs, cfg: Preset | str = "main",
-                     items: DataFrame | None = None, products: DataFrame | None = None) -> DataFrame:
+                     items: DataFrame | None = None, products: DataFrame | None = None,
+                     keys: DataFrame | None = None) -> DataFrame:
     """C15 for one or many cut-offs. Without ``items``/``products`` the
-    product-share block is omitted."""
+    product-share block is omitted; ``keys`` (user_id, cutoff) restricts the
+    output to those pairs (point-in-time features of a cohort)."""
     cfg = _preset(cfg)
     fc = cfg.features
     cuts = Cutoffs(cutoffs)
@@ -115,7 +117,7 @@ def fs_transactional(tx: DataFrame, cutoffs, cfg: Preset | str = "main",
     if with_products:
         frames += [Frame("fan_rows_life", "sum", "fan_rows", None)]
         frames += [Frame(f"{c}_life", "sum", c, None) for c in share_cols]
-    agg = asof_rollup(ud, ["user_id"], cuts, frames, gap="gap")
+    agg = asof_rollup(ud, ["user_id"], cuts, frames, gap="gap", requested=keys)
 
     c = F.col("cutoff")
     if fc.fractional_age:

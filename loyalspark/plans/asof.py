@@ -184,7 +184,8 @@ def asof_frames(facts: DataFrame, markers: DataFrame, keys: list, frames: list,
 
 
 def asof_rollup(days: DataFrame, keys: list, cuts: Cutoffs, frames: list,
-                day_col: str = "day", gap: str | None = None) -> DataFrame:
+                day_col: str = "day", gap: str | None = None,
+                requested: DataFrame | None = None) -> DataFrame:
     """Single-pass as-of aggregation over per-key daily facts.
 
     ``days`` holds one row per (keys, day) with measure columns. In one window
@@ -197,12 +198,21 @@ def asof_rollup(days: DataFrame, keys: list, cuts: Cutoffs, frames: list,
     exactly one row per key and cut-off after the key's first day. With
     ``gap`` set, a measure of that name = days since the previous active day
     (computed on the full history) is available to the frames.
+
+    ``requested`` (keys, cutoff) restricts the output to those pairs (e.g. a
+    training cohort): the requested cut-offs are gathered per key (at most one
+    entry per cut-off) and joined on the keys, which is the same shuffle the
+    window needs; the explode then emits only requested markers.
     """
     spark = days.sparkSession
     cal = cuts.calendar(spark)
     if not cuts.valid:
         days = days.filter(F.lit(False))
     measures = sorted({f.column for f in frames})
+    if requested is not None:
+        req = (requested.select(*keys, "cutoff").distinct()
+               .groupBy(*keys).agg(F.collect_set("cutoff").alias("_req")))
+        days = days.join(req, list(keys), "inner")
     w = Window.partitionBy(*keys).orderBy(day_col)
     d = days.select(*keys, *[c for c in days.columns if c not in keys and c != day_col],
                     F.col(day_col).alias("_day"),
@@ -225,10 +235,11 @@ def asof_rollup(days: DataFrame, keys: list, cuts: Cutoffs, frames: list,
 
     arr = cuts.array()
     fact = row(F.lit(None).cast("date"), F.unix_date("_day"), False, True)
-    mk = F.transform(
-        F.when(F.col("_hi") > F.col("_lo"), F.sequence(F.col("_lo") + 1, F.col("_hi")))
-        .otherwise(F.array().cast("array<int>")),
-        lambda i: row(F.element_at(arr, i), F.unix_date(F.element_at(arr, i)), True, False))
+    idx = (F.when(F.col("_hi") > F.col("_lo"), F.sequence(F.col("_lo") + 1, F.col("_hi")))
+           .otherwise(F.array().cast("array<int>")))
+    if requested is not None:
+        idx = F.filter(idx, lambda i: F.array_contains(F.col("_req"), F.element_at(arr, i)))
+    mk = F.transform(idx, lambda i: row(F.element_at(arr, i), F.unix_date(F.element_at(arr, i)), True, False))
     u = d.select(*keys, F.explode(F.concat(F.array(fact), mk)).alias("_r")).select(*keys, "_r.*")
     base = Window.partitionBy(*keys).orderBy("_dn")
     outs = []

@@ -248,9 +248,10 @@ def _fs_tx_monthly(spark, d):
 from loyalspark.operators import education as ed  # noqa: E402
 
 
-def _edu(spark, d, cuts, cfg):
+def _edu(spark, d, cuts, cfg, keys=None):
     return ed.fs_education(fx.edu_done(spark, d), fx.edu_register(spark, d), fx.edu_rewards(spark, d),
-                           fx.edu_skills(spark, d), fx.edu_bridge(spark, d), cuts, fx.edu_slugs(), cfg)
+                           fx.edu_skills(spark, d), fx.edu_bridge(spark, d), cuts, fx.edu_slugs(), cfg,
+                           keys=keys)
 
 
 @register("course_progress")
@@ -362,10 +363,19 @@ def _cohort(spark, d):
 
 
 def abt_frame(spark, d):
-    fs_tx = tr.fs_transactional(fx.tx_events_thin(spark, d), ABT_CUTS, ABT_PRESET)
-    fs_lc = lf.fs_life_cycle(lc_daily(spark, d), ABT_CUTS, ABT_PRESET)
-    fs_ed = edu_by_user(_edu(spark, d, ABT_CUTS, ABT_PRESET))
-    return tg.abt(cohort_7d(spark, d), fs_tx, fs_lc, fs_ed)
+    """Cohort + point-in-time features computed only for the cohort's
+    (user, cutoff) pairs. The cohort (at most 2 rows per user) is staged once
+    as a table so the three stores and the final join read it instead of
+    recomputing the snapshot / label / sampling lineage."""
+    from loyalspark.sources.store import stage
+    coh = stage(cohort_7d(spark, d), "cohort")
+    keys = coh.select("user_id", F.date_add("ref_date", 1).alias("cutoff"))
+    fs_tx = tr.fs_transactional(fx.tx_events_thin(spark, d), ABT_CUTS, ABT_PRESET, keys=keys)
+    fs_lc = lf.fs_life_cycle(lc_daily(spark, d), ABT_CUTS, ABT_PRESET, keys=keys)
+    # course-platform ids of the cohort through the bridge ('C<n>')
+    ed_keys = keys.select(F.col("user_id").alias("user"), "cutoff")
+    fs_ed = edu_by_user(_edu(spark, d, ABT_CUTS, ABT_PRESET, keys=ed_keys))
+    return tg.abt(coh, fs_tx, fs_lc, fs_ed)
 
 
 @register("abt")
