@@ -83,3 +83,27 @@ def test_model_versions_batch_and_stream(spark, scratch):
     scores = spark.read.parquet(os.path.join(out, "scores"))
     assert sorted(r.user_id for r in scores.collect()) == ["a", "b", "c"]
     assert spark.read.parquet(os.path.join(out, "rejected")).count() == 1
+
+
+def test_incremental_stream_rebuilds_touched_days(spark, scratch):
+    from loyalspark.operators import lifecycle as lc
+    from loyalspark.streaming.score import run_incremental
+    tx = fx.tx_events_thin(spark, SF001)
+    tx_dir = os.path.join(scratch, "tx")
+    tx.filter(F.to_date("ts") < F.lit(D(2024, 1, 20))).write.parquet(tx_dir)
+    snap = os.path.join(scratch, "life_cycle")
+    ck = os.path.join(scratch, "ckpt_inc")
+    q = run_incremental(spark, tx_dir, tx.schema, snap, ck, lc.segmentation_backfill)
+    q.awaitTermination(120)
+    first = spark.read.parquet(snap).select("ref_date").distinct().count()
+    # a new file with later activity: only the touched days are (re)built
+    tx.filter(F.to_date("ts") >= F.lit(D(2024, 1, 20))).write.mode("append").parquet(tx_dir)
+    q = run_incremental(spark, tx_dir, tx.schema, snap, ck, lc.segmentation_backfill)
+    q.awaitTermination(120)
+    out = spark.read.parquet(snap)
+    assert out.select("ref_date").distinct().count() > first
+    day = tx.agg(F.max(F.to_date("ts"))).first()[0]
+    expect = lc.segmentation_snapshot(tx, day + dt.timedelta(days=1))
+    got = out.filter(F.col("ref_date") == F.lit(day)).select(*expect.columns)
+    assert got.count() == expect.count() > 0
+    assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
