@@ -48,7 +48,8 @@ def label_median_ratio(df: DataFrame, label: str, cols: list[str], accuracy: int
     row = df.agg(*aggs)
     parts = ", ".join(f"'{c}', `mean0_{c}`, `mean1_{c}`, `med0_{c}`, `med1_{c}`" for c in cols)
     long = row.selectExpr(f"stack({len(cols)}, {parts}) as (feature, mean0, mean1, median0, median1)")
-    return long.withColumn("median_ratio", (F.col("median1") + 0.001) / (F.col("median0") + 0.001))
+    return (long.withColumn("median_ratio", (F.col("median1") + 0.001) / (F.col("median0") + 0.001))
+            .orderBy(F.desc_nulls_last("median_ratio")))  # O4: most informative first
 
 
 def uninformative(ratios: DataFrame, drop_null: bool = True) -> DataFrame:

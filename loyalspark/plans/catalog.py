@@ -559,3 +559,37 @@ def _ada(spark, d):
 def _metrics(spark, d):
     s = _train_rf(spark, d).withColumn("part", F.when(F.col("tag") == "OOT", "oot").otherwise(F.col("split")))
     return ma.metrics(s, split="part")
+
+
+# ------------------------------------------- transactional store sub-blocks
+
+def _w(prefix):
+    return [f"{prefix}_{w}" for w in ("life", "d7", "d14", "d28", "d56")]
+
+
+TX_BLOCKS = {
+    "tx_ages": ("EV", ["age_days"]),
+    "tx_active_days": ("EV", _w("active_days") + ["pct_active_mau"]),
+    "tx_counts": ("EV", _w("tx") + _w("tx_per_day")),
+    "tx_points": ("EV", _w("pts_net") + _w("pts_pos") + _w("pts_neg")),
+    "tx_dayparts": ("EV", ["tx_morning", "tx_afternoon", "tx_night", "pct_morning", "pct_afternoon", "pct_night"]),
+    "tx_hours": ("EV", _w("hours")),
+    "tx_gaps": ("EV_THIN", ["gap_mean_life", "gap_mean_d28"]),
+    "tx_product_share": ("ORD", ["share_cat_" + tr.slug(c) for c in fx.ORD_CATEGORIES]
+                         + ["share_prod_" + tr.slug(p) for p in fx.ORD_PRODUCTS]),
+}
+
+
+def _tx_block(name, fixture, cols):
+    def q(spark, d):
+        if fixture == "ORD":
+            fs = _fs_tx_orders(spark, d, [ORD_CUT], ORD_FEATURES)
+        else:
+            fs = tr.fs_transactional(fx.TX_BUILDERS[fixture](spark, d), [EV_CUT], MAIN)
+        return fs.select("ref_date", "user_id", *cols)
+    q.__doc__ = f"Transactional store block {name} on {fixture}."
+    return q
+
+
+for _name, (_fix, _cols) in TX_BLOCKS.items():
+    register(_name)(_tx_block(_name, _fix, _cols))

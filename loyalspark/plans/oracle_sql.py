@@ -212,6 +212,7 @@ FROM lc GROUP BY ref_date"""
     o.update(build_lifecycle_features())
     o.update(build_target())
     o.update(build_profile())
+    o.update(build_tx_blocks())
     return o
 
 
@@ -623,3 +624,15 @@ SELECT tag, CAST(count(*) AS BIGINT) AS n, round(avg(CAST(label AS DOUBLE)), 6)
        round(avg(CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END), 6) AS accuracy_zero, 0.5 AS auc_constant
 FROM abt GROUP BY tag"""
     return o
+
+
+def build_tx_blocks() -> dict:
+    from loyalspark.plans.catalog import TX_BLOCKS
+    o = {}
+    for name, (fixture, cols) in TX_BLOCKS.items():
+        if fixture == "ORD":
+            base = fs_transactional_sql(fx.SQL_ORD, cutoffs_cte(["2000-01-01"]), MAIN)
+        else:
+            base = fs_transactional_sql(fx.TX_SQL[fixture], cutoffs_cte(["2024-01-31"]), MAIN, with_products=False)
+        o[name] = f"SELECT ref_date, user_id, {', '.join(cols)} FROM ({base})"
+    return o
