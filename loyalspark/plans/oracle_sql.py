@@ -621,7 +621,7 @@ SELECT CAST(label AS BIGINT) AS label,
 FROM s GROUP BY label"""
     o["baseline"] = f"""WITH abt AS ({abt})
 SELECT tag, CAST(count(*) AS BIGINT) AS n, round(avg(CAST(label AS DOUBLE)), 6) AS base_rate,
-       round(avg(CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END), 6) AS accuracy_zero, 0.5 AS auc_constant
+       round(avg(CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END), 6) AS accuracy_zero, CAST(0.5 AS DOUBLE) AS auc_constant
 FROM abt GROUP BY tag"""
     return o
 
