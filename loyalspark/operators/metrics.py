@@ -46,13 +46,12 @@ def mau(tx: DataFrame, window: int = 28) -> DataFrame:
     cover_end = F.least(F.date_add("day", window - 1),
                         F.coalesce(F.date_sub(nxt, 1), F.date_add("day", window - 1)))
     iv = daily.select(F.col("day").alias("start"), cover_end.alias("end"))
-    deltas = (iv.select(F.col("start").alias("day"), F.lit(1).alias("delta"))
-              .unionByName(iv.select(F.date_add("end", 1).alias("day"), F.lit(-1).alias("delta"))))
-    per_day = (deltas.groupBy("day").agg(F.sum("delta").alias("delta"))
-               .withColumn("active", F.lit(0)))
-    active_days = daily.select("day").distinct().select("day", F.lit(0).alias("delta"),
-                                                        F.lit(1).alias("active"))
-    merged = (per_day.unionByName(active_days)
+    # every active day starts an interval: one explode yields the +1 (active)
+    # and -1 delta rows, so the input is read and shuffled once
+    ev = iv.select(F.explode(F.array(
+        F.struct(F.col("start").alias("day"), F.lit(1).alias("delta"), F.lit(1).alias("active")),
+        F.struct(F.date_add("end", 1).alias("day"), F.lit(-1).alias("delta"), F.lit(0).alias("active")))).alias("e"))
+    merged = (ev.select("e.*")
               .groupBy("day").agg(F.sum("delta").alias("delta"), F.max("active").alias("active"))
               .withColumn("_dn", day_number("day")))
     # single ordered pass over one row per calendar day
