@@ -16,6 +16,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# the pairwise centroid step of Davies-Bouldin is k x k on the driver
+MAX_CLUSTERS = 1_000
+
 
 def _vec(df: DataFrame, cols: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol="features").transform(df)
@@ -92,9 +95,12 @@ def davies_bouldin(df: DataFrame, cols: list[str], cluster: str) -> DataFrame:
     the mean Euclidean distance of a cluster's points to its centroid."""
     spark = df.sparkSession
     cents = df.groupBy(cluster).agg(*[F.avg(c).alias(f"c_{c}") for c in cols])
+    if cents.limit(MAX_CLUSTERS + 1).count() > MAX_CLUSTERS:
+        raise ValueError(f"{cluster} has more than {MAX_CLUSTERS} clusters")
     dist = F.sqrt(sum(((F.col(c) - F.col(f"c_{c}")) ** 2 for c in cols), F.lit(0.0)))
-    # k-row centroid table: broadcast is bounded by the number of clusters
-    spread = {r[0]: r[1] for r in df.join(F.broadcast(cents), cluster)
+    # k-row centroid table: broadcast only behind the row-count check
+    from loyalspark.plans.sizing import bounded_broadcast
+    spread = {r[0]: r[1] for r in df.join(bounded_broadcast(cents, 100_000), cluster)
               .groupBy(cluster).agg(F.avg(dist)).collect()}
     cen = {r[cluster]: [r[f"c_{c}"] for c in cols] for r in cents.collect()}
     keys = sorted(cen)
