@@ -363,16 +363,25 @@ def _cohort(spark, d):
 
 
 def abt_frame(spark, d):
-    """Cohort + point-in-time features computed only for the cohort's
-    (user, cutoff) pairs. The cohort (at most 2 rows per user) is staged once
-    as a table so the three stores and the final join read it instead of
-    recomputing the snapshot / label / sampling lineage."""
+    """Cohort + the three feature stores at every cut-off, joined point in
+    time. (``fs_*(..., keys=cohort_keys)`` computes only the cohort's pairs;
+    it pays off when the cut-off list is long — hundreds of daily dates —
+    and costs an extra key join at this fixture's 27 dates, so the query
+    uses the feature-store form.)"""
+    fs_tx = tr.fs_transactional(fx.tx_events_thin(spark, d), ABT_CUTS, ABT_PRESET)
+    fs_lc = lf.fs_life_cycle(lc_daily(spark, d), ABT_CUTS, ABT_PRESET)
+    fs_ed = edu_by_user(_edu(spark, d, ABT_CUTS, ABT_PRESET))
+    return tg.abt(cohort_7d(spark, d), fs_tx, fs_lc, fs_ed)
+
+
+def abt_frame_keyed(spark, d):
+    """Same ABT with features computed only for the staged cohort's
+    (user, cutoff) pairs."""
     from loyalspark.sources.store import stage
     coh = stage(cohort_7d(spark, d), "cohort")
     keys = coh.select("user_id", F.date_add("ref_date", 1).alias("cutoff"))
     fs_tx = tr.fs_transactional(fx.tx_events_thin(spark, d), ABT_CUTS, ABT_PRESET, keys=keys)
     fs_lc = lf.fs_life_cycle(lc_daily(spark, d), ABT_CUTS, ABT_PRESET, keys=keys)
-    # course-platform ids of the cohort through the bridge ('C<n>')
     ed_keys = keys.select(F.col("user_id").alias("user"), "cutoff")
     fs_ed = edu_by_user(_edu(spark, d, ABT_CUTS, ABT_PRESET, keys=ed_keys))
     return tg.abt(coh, fs_tx, fs_lc, fs_ed)

@@ -53,3 +53,12 @@ def test_cohort_at_most_k_per_user_and_deterministic(spark):
     assert per_user.filter("count > 2").count() == 0
     c2 = tg.cohort(lab, 2, 42, train=(D(2024, 1, 1), D(2024, 1, 25)), oot=(D(2024, 1, 26), D(2024, 1, 30)))
     assert c1.exceptAll(c2).count() == 0
+
+
+def test_keyed_abt_equals_feature_store_abt(spark):
+    from loyalspark.plans import catalog as C
+    d = "/root/testdata/sf0.001"
+    a = C.abt_frame(spark, d)
+    b = C.abt_frame_keyed(spark, d).select(*a.columns)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
