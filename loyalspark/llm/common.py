@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -16,6 +17,21 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that
+    their Python workers can import it wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        where = tempfile.mkdtemp(prefix="llm-ship-")
+        name = shutil.make_archive(f"{where}/{os.path.basename(root)}", "zip", os.path.dirname(root), os.path.basename(root))
+        spark.sparkContext.addPyFile(name)
+        _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,23 +2,48 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, url_filter
-from .common import table
+from . import bpe, decontaminate, exact_dedup, quality, secret_scan, url_filter
+from .common import ship, table
 
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), url_filter.rule_frame(spark, URL_RULES))
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.encode_decode(table(spark, sf_dir, "documents"), TOKENIZER)
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["name"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, secret_scan.KINDS), F.sha2(secret_scan.digest(base), 256).alias("base_sha256"),
+                        secret_scan.digest(F.col("spans")).alias("spans"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -27,8 +52,20 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
+def _ready(query):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+    run.__name__, run.__doc__ = query.__name__, query.__doc__
+    return run
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_bpe": op2_bpe,
+    "op4_secret_scan": op4_secret_scan,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
     "op8_decontamination": op8_decontamination,
 }
+QUERIES = {name: _ready(query) for name, query in QUERIES.items()}
