@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, quality, secret_scan, url_filter
+from . import bpe, decontaminate, exact_dedup, quality, secret_scan, suffix_dedup, url_filter
 from .common import ship, table
 
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -52,6 +52,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def _ready(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -67,5 +73,6 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_decontamination": op8_decontamination,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 QUERIES = {name: _ready(query) for name, query in QUERIES.items()}
