@@ -18,11 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import size_of, stage, text_or_empty
+from .common import keep_rows, stage, text_or_empty
 
 KEY = ["digest", "n_bytes", "proof"]
-#: Rows (12 bytes each) of the table of dropped ids that may be broadcast.
-MAX_BROADCAST_IDS = 1_000_000
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -72,21 +70,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep: str = "largest") -> DataFrame:
     """The rows of ``docs`` that stay, all columns unchanged.
 
-    Only ids travel: the dropped ids are anti-joined, so texts are not
-    shuffled as long as those ids fit a broadcast. An id that occurs with
-    several texts is settled per (id, text). Rows without an id stay.
+    An id that occurs with several texts is settled per (id, text); of rows
+    that repeat both one stays. Rows without an id stay.
     """
-    spark = docs.sparkSession
-    out = stage(spark, exact_groups(docs, id_col, text_col, keep), "exact-groups")
-    lost = stage(spark, out.filter(~F.col("kept")).select(
-        F.col(id_col).alias("__id"), F.unhex("text_sha256").alias("__sha")).distinct(), "lost")
-    sha = F.unhex(F.sha2(text_or_empty(text_col), 256))
-    side = F.broadcast(lost) if size_of(lost, MAX_BROADCAST_IDS) else lost
-    rest = docs.join(side, (F.col(id_col) == F.col("__id")) & (sha == F.col("__sha")), "left_anti")
-    repeated = (out.filter(F.col("kept") & F.col(id_col).isNotNull())
-                .groupBy(id_col, "text_sha256").count().filter("count > 1").limit(1).count())
-    if repeated:
-        with_id = rest.filter(F.col(id_col).isNotNull())
-        one = (with_id.withColumn("__sha", sha).dropDuplicates([id_col, "__sha"]).drop("__sha"))
-        rest = one.unionByName(rest.filter(F.col(id_col).isNull()))
-    return rest
+    out = stage(docs.sparkSession, exact_groups(docs, id_col, text_col, keep), "exact-groups")
+    decided = out.select(F.col(id_col).alias("id"), F.unhex("text_sha256").alias("sha"), "kept")
+    return keep_rows(docs, decided, id_col, text_col)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, quality, secret_scan, suffix_dedup, url_filter
+from . import bpe, decontaminate, exact_dedup, minhash, quality, secret_scan, suffix_dedup, url_filter
 from .common import ship, table
 
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -44,6 +44,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_classes(table(spark, sf_dir, "documents")).drop("sha")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -72,6 +76,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_decontamination": op8_decontamination,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
