@@ -23,11 +23,12 @@ from .common import keep_rows, stage, text_or_empty
 KEY = ["digest", "n_bytes", "proof"]
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, digest, n_bytes, proof) per row; a null text counts as empty."""
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: tuple = ()) -> DataFrame:
+    """(id, digest, n_bytes, proof) and ``more`` columns per row; a null text
+    counts as empty."""
     text = text_or_empty(text_col)
     return docs.select(F.col(id_col).alias("id"), F.unhex(F.sha2(text, 256)).alias("digest"),
-                       F.octet_length(text).alias("n_bytes"), F.xxhash64(text).alias("proof"))
+                       F.octet_length(text).alias("n_bytes"), F.xxhash64(text).alias("proof"), *more)
 
 
 def tree_merge(rows: DataFrame, keep: str = "largest", leaves: int = 256, fan_in: int = 16) -> DataFrame:

@@ -62,4 +62,21 @@ SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM doc LEFT JOIN hit ON doc.doc_id = hit.doc_id LEFT JOIN its ON doc.doc_id = its.doc_id
 """
 
-SQL = {"op1_url_filters": OP1, "op5_exact_dedup": OP5, "op8_decontamination": OP8}
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+OP9 = f"""
+WITH d AS (
+  SELECT source, lang, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC) AS copy
+  FROM documents
+), n AS (
+  SELECT source, lang,
+         len(regexp_extract_all(text, '[0-9]|[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS words,
+         len(regexp_extract_all(text, '{_WORD}|[\\x21-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7E]')) AS pieces
+  FROM d WHERE copy = 1
+)
+SELECT source, lang, 'words-1' AS tokenizer, count(*) AS docs, CAST(sum(words) AS BIGINT) AS tokens FROM n GROUP BY source, lang
+UNION ALL
+SELECT source, lang, 'pieces-1', count(*), CAST(sum(pieces) AS BIGINT) FROM n GROUP BY source, lang
+"""
+
+SQL = {"op1_url_filters": OP1, "op5_exact_dedup": OP5, "op8_decontamination": OP8, "op9_token_counts": OP9}

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, minhash, quality, secret_scan, suffix_dedup, url_filter
-from .common import ship, table
+from . import bpe, decontaminate, exact_dedup, minhash, quality, secret_scan, suffix_dedup, token_counts, url_filter
+from .common import shared_dir, ship, stage, table
 
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
@@ -56,6 +58,28 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches over all documents: every document is inserted under two
+    tokenizer versions; exact copies, all but the largest id, are deleted; the
+    remaining counts of the first version are revised, digit by digit. The
+    revision is committed twice, which changes nothing."""
+    docs = table(spark, sf_dir, "documents")
+    count = {p: token_counts.count_by(p) for p in (token_counts.WORD, token_counts.WORD_DIGITS, token_counts.PIECE)}
+    counted = stage(spark, exact_dedup.digests(docs, more=(
+        "source", "lang", *[c.alias(f"n{i}") for i, c in enumerate(count.values())])), "counted")
+    counted = counted.join(exact_dedup.tree_merge(counted), exact_dedup.KEY)
+    counted = stage(spark, counted.withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id"))), "counted")
+    both = {"words-1": F.col("n0"), "pieces-1": F.col("n2")}
+    rollup = token_counts.Rollup(spark, f"{shared_dir(spark)}/llm/rollup-{uuid.uuid4().hex}")
+    rollup.commit("insert", token_counts.inserts(counted, both))
+    rollup.commit("delete", token_counts.deletes(counted.filter(~F.col("kept")), both))
+    revised = token_counts.revisions(counted.filter("kept"), {"words-1": F.col("n0")}, {"words-1": F.col("n1")})
+    rollup.commit("revise", revised)
+    rollup.compact()
+    rollup.commit("revise", revised)
+    return rollup.totals()
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
@@ -78,6 +102,7 @@ QUERIES = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_token_counts": op9_token_counts,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 QUERIES = {name: _ready(query) for name, query in QUERIES.items()}
