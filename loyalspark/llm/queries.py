@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, minhash, quality, secret_scan, suffix_dedup, token_counts, url_filter
+from . import bpe, decontaminate, exact_dedup, html_extract, minhash, quality, secret_scan, suffix_dedup, token_counts, url_filter
 from .common import shared_dir, ship, stage, table
 
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -26,6 +26,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract.extract(table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] < 3)
@@ -97,6 +102,7 @@ def _ready(query):
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_bpe": op2_bpe,
+    "op3_html_extraction": op3_html_extraction,
     "op4_secret_scan": op4_secret_scan,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_classifier": op6_quality_classifier,
