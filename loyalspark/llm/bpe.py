@@ -30,11 +30,14 @@ from .common import slices, text_or_empty, utf8
 
 #: Closes a word where the vocabulary has its end-of-word suffix.
 END = "\0"
-#: Entries of a worker's cache of encoded chunks, which is emptied when full.
+#: Entries of each of a worker's caches, which are emptied when full.
 CACHE = 200_000
 #: White space of the splitting pattern; str.split() also takes U+001C-U+001F.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CONTROL = re.compile("[\x1c-\x1f]")
+#: Words that are letters of ASCII, and characters beyond Latin.
+_PLAIN = re.compile("[A-Za-z]+")
+_RARE = re.compile("[^\x00-\u024f]")
 
 
 def byte_alphabet() -> list[str]:
@@ -83,6 +86,7 @@ class Bpe:
             self.key[i] = token[:-len(suffix)] + END if suffix and token.endswith(suffix) else token
         self._judged: dict[tuple[int, int], bool] = {}
         self._words: dict[str, list[int]] = {}
+        self._chunks: dict[str, list[int]] = {}
         # usable: merging the token's own characters does end in the token
         usable = []
         good = [False] * size
@@ -96,13 +100,18 @@ class Bpe:
         for i in usable:
             self.automaton.add_word(self.key[i], i)
         self.automaton.make_automaton()
+        # longest token that starts each path of the automaton's trie, and the
+        # next shorter token that starts each token
+        self.first: dict[str, int] = {}
         self.shorter = [-1] * size
         for i in usable:
             k = self.key[i]
-            for n in range(len(k) - 1, 0, -1):
-                if (j := self.id_of.get(k[:n], -1)) >= 0:
-                    self.shorter[i] = j
-                    break
+            found = -1
+            for n in range(1, len(k)):
+                found = self.id_of.get(k[:n], found)
+                self.first[k[:n]] = found
+            self.shorter[i] = found
+        self.first.update(self.id_of)
         self.byte_map = {b: c for b, c in enumerate(byte_alphabet())}
         texts = [b""] * size
         for token, i in [*vocab.items(), *self.special.items()]:
@@ -130,44 +139,48 @@ class Bpe:
                 over_b, b = rb, self.parts[b][0]
 
     def compatible(self, a: int, b: int) -> bool:
-        known = self._judged.get((a, b))
-        if known is None:
-            if len(self._judged) >= CACHE:
-                self._judged.clear()
-            known = self._judged[a, b] = self._apart(a, b, 1 << 60)
+        if len(self._judged) >= CACHE:
+            self._judged.clear()
+        known = self._judged[a, b] = self._apart(a, b, 1 << 60)
         return known
 
-    def word(self, key: str) -> tuple[int, ...]:
+    def word(self, key: str) -> list[int]:
         """Ids of one word, given in the byte alphabet with END."""
         whole = self.id_of.get(key)
         if whole is not None:
-            return (whole,)
+            return [whole]
+        keys, shorter, judged, first = self.key, self.shorter, self._judged, self.first
+        reach = self.automaton.longest_prefix
         n = len(key)
-        longest = [-1] * n
-        for end, i in self.automaton.iter(key):
-            longest[end - len(self.key[i]) + 1] = i
         open_to = bytearray(b"\1") * (n + 1)
         out: list[int] = []
-        at, token = 0, longest[0]
+        at, token = 0, first[key[:reach(key)]]
         while True:
             while token >= 0:
-                end = at + len(self.key[token])
-                if open_to[end] and (not out or self.compatible(out[-1], token)):
-                    break
-                token = self.shorter[token]
+                end = at + len(keys[token])
+                if open_to[end]:
+                    if not out:
+                        break
+                    ok = judged.get((out[-1], token))
+                    if ok is None:
+                        ok = self.compatible(out[-1], token)
+                    if ok:
+                        break
+                token = shorter[token]
             if token >= 0:
                 out.append(token)
                 at = end
                 if at == n:
-                    return tuple(out)
-                token = longest[at]
+                    return out
+                rest = key[at:]
+                token = first.get(rest[:reach(rest)], -1)
             else:
                 open_to[at] = 0
                 if not out:
                     raise ValueError(f"the vocabulary cannot spell {key!r}")
                 token = out.pop()
-                at -= len(self.key[token])
-                token = self.shorter[token]
+                at -= len(keys[token])
+                token = shorter[token]
 
     def chunk(self, chunk: str) -> list[int]:
         """Ids of a text without white space: composed, lower-cased character
@@ -175,23 +188,37 @@ class Bpe:
         that this Python's Unicode tables lack are left to the tokenizers
         library's tables."""
         end = END if self.suffix else ""
+        if _PLAIN.fullmatch(chunk):
+            return self.known(chunk.lower() + end)
         out: list[int] = []
-        if not chunk.isascii() and any(unicodedata.category(c) == "Cn" for c in chunk):
+        if _RARE.search(chunk) and any(unicodedata.category(c) == "Cn" for c in chunk):
             if self._newer is None:
                 self._newer = Tokenizer.from_str(self.rules)
             found = self._newer.pre_tokenizer.pre_tokenize_str(self._newer.normalizer.normalize_str(chunk))
             for w, _ in found:
-                out += self.word(w + end)
+                out += self.known(w + end)
             return out
         text = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
         for w in self.pattern.findall(text):
-            out += self.word(w.encode("utf-8").decode("latin-1").translate(self.byte_map) + end)
+            out += self.known((w if _PLAIN.fullmatch(w) else
+                               w.encode("utf-8").decode("latin-1").translate(self.byte_map)) + end)
         return out
 
+    def known(self, key: str) -> list[int]:
+        """``word`` behind a cache."""
+        found = self._words.get(key)
+        if found is None:
+            found = self.word(key)
+            if len(key) <= 64:
+                if len(self._words) >= CACHE:
+                    self._words.clear()
+                self._words[key] = found
+        return found
+
     def encode(self, text: str) -> np.ndarray:
         ids: list[int] = []
         parts = self.split_special.split(text) if self.split_special and "<|" in text else (text,)
-        known = self._words
+        known = self._chunks
         for part in parts:
             if part in self.special:
                 ids.append(self.special[part])
