@@ -105,45 +105,51 @@ class Bucket:
         self.ids = table.column("id").combine_chunks()
         self.raw, self.offsets = utf8(table.column("text"))
 
-    def pieces(self):
-        """(bytes, place in its text, bytes left of its text) slice by slice."""
+    def pieces(self, shape: Shape):
+        """(bytes, offsets, sampled suffixes, their texts) slice by slice."""
+        longest = int(np.diff(self.offsets).max(initial=0))
+        places = np.flatnonzero(np.resize(shape.cover, max(0, longest - 9 * shape.block + 1)))
         for lo, hi in slices(self.offsets):
             off = self.offsets[lo: hi + 1] - self.offsets[lo]
-            raw = self.raw[self.offsets[lo]: self.offsets[hi]]
-            n = np.diff(off)
-            place = np.arange(len(raw)) - np.repeat(off[:-1], n)
-            yield raw, place, np.repeat(n, n) - place
+            count = np.searchsorted(places, np.diff(off) - 9 * shape.block, side="right")
+            text = np.repeat(np.arange(hi - lo), count)
+            at = places[np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)] + off[text]
+            yield self.raw[self.offsets[lo]: self.offsets[hi]], off, at, text
 
     def samples(self, shape: Shape):
-        """Names of all sampled suffixes, and per slice where they start."""
-        names, where = [np.zeros(0, np.uint64)], []
-        for raw, place, left in self.pieces():
-            at = np.flatnonzero(shape.cover[place % shape.period] & (left >= 9 * shape.block))
-            names.append(Prefixes(raw).triple(at, shape.block, 2))
-            where.append(at)
-        return np.concatenate(names), where
-
-    def windows(self, shape: Shape, marked: np.ndarray, where):
-        """(hi, lo) names of all remaining suffixes, and per slice their starts.
-        ``marked`` says of every sampled suffix whether its name repeats."""
-        hi, lo, starts, done = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)], [], 0
-        for (raw, place, left), at in zip(self.pieces(), where):
-            at = at[marked[done: done + len(at)]] if len(at) else at
-            done += len(where[len(starts)])
-            edge = np.zeros(len(raw) + 1, np.int32)
-            np.add.at(edge, at - np.minimum(place[at], shape.period - 1), 1)
-            np.add.at(edge, at + 1, -1)
-            begin = np.flatnonzero((np.cumsum(edge[:-1]) > 0) & (left >= shape.length))
-            hi.append(Prefixes(raw).name(begin, shape.length))
-            lo.append((Prefixes(raw, 1).name(begin, shape.length) >> np.uint64(32)).astype(np.uint32))
-            starts.append(begin)
-        return np.concatenate(hi), np.concatenate(lo), starts
+        """Names of all sampled suffixes, in order."""
+        return np.concatenate([np.zeros(0, np.uint64)] + [
+            Prefixes(raw).triple(at, shape.block, 2) for raw, _, at, _ in self.pieces(shape)])
+
+    def windows(self, shape: Shape, told: pa.Table):
+        """(hi, lo, starts): names and starts of all remaining suffixes, those
+        within a period before a sampled suffix whose name repeats."""
+        names = self.samples(shape)
+        order, first, count = _distinct(names)
+        marked = np.zeros(len(names), bool)
+        marked[order] = np.repeat(_replied(told, count, "samples"), count)
+        hi, lo, starts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        done = base = 0
+        for raw, off, at, text in self.pieces(shape):
+            mark = marked[done: done + len(at)]
+            done += len(at)
+            at, text = at[mark], text[mark]
+            from_, to = np.maximum(at - shape.period + 1, off[text]), np.minimum(at, off[text + 1] - shape.length)
+            fits = from_ <= to
+            edge = (np.bincount(from_[fits], minlength=len(raw) + 1) - np.bincount(to[fits] + 1, minlength=len(raw) + 1))
+            begin = np.flatnonzero(np.cumsum(edge[:-1]))
+            if len(begin):
+                hi.append(Prefixes(raw).name(begin, shape.length))
+                lo.append((Prefixes(raw, 1).name(begin, shape.length) >> np.uint64(32)).astype(np.uint32))
+                starts.append(begin + base)
+            base += len(raw)
+        return np.concatenate(hi), np.concatenate(lo), np.concatenate(starts)
 
 
 def _distinct(hi: np.ndarray, lo: np.ndarray | None = None):
     """(order, first, count): sorted order, where each distinct name first
     stands in it, and how often it occurs."""
-    order = np.argsort(hi, kind="stable")
+    order = np.argsort(hi)
     h = hi[order]
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
@@ -172,10 +178,10 @@ def _compared(kind) -> callable:
         sent = [np.frombuffer(x.as_buffer(), kind) for x in table.column("names")]
         names = np.concatenate(sent)
         if kind == np.dtype("<u4"):
-            order = np.argsort(names, kind="stable")
+            order = np.argsort(names)
             equal = names[order][1:] == names[order][:-1]
         else:
-            order = np.argsort(names["hi"], kind="stable")
+            order = np.argsort(np.ascontiguousarray(names["hi"]))
             h, low = names["hi"][order], names["lo"][order]
             if (low[1:] != low[:-1])[h[1:] == h[:-1]].any():
                 order = np.lexsort((names["lo"], names["hi"]))
@@ -207,14 +213,6 @@ def _replied(table: pa.Table, count: np.ndarray, step: str) -> np.ndarray:
     return told | (count > 1)
 
 
-def _marked(bucket: Bucket, shape: Shape, replies: pa.Table):
-    names, where = bucket.samples(shape)
-    order, first, count = _distinct(names)
-    marked = np.zeros(len(names), bool)
-    marked[order] = np.repeat(_replied(replies, count, "samples"), count)
-    return marked, where
-
-
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200,
                    bucket_bytes: int = BUCKET_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(id, n_bytes, spans, kept) for every row of ``docs``.
@@ -239,7 +237,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = src.withColumn("k", F.xxhash64("id", "text")).withColumn("bucket", F.pmod(F.col("k"), F.lit(buckets)))
 
     def sample(key, table):
-        names, _ = Bucket(table).samples(shape)
+        names = Bucket(table).samples(shape)
         order, first, _ = _distinct(names)
         names = names[order][first]
         return _dealt(key[0].as_py(), shape.range_of(names, ranges), (names & np.uint64(0xFFFFFFFF)).astype("<u4"))
@@ -256,7 +254,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
         def run(key, table, told):
             bucket = Bucket(table)
-            hi, lo, _ = bucket.windows(shape, *_marked(bucket, shape, told))
+            hi, lo, _ = bucket.windows(shape, told)
             part = shape.range_of(hi, parts)
             mine = (part >= lowest) & (part < highest)
             hi, lo = hi[mine], lo[mine]
@@ -277,20 +275,19 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def cover(key, table, told):
         bucket = Bucket(table)
-        hi, lo, starts = bucket.windows(shape, *_marked(bucket, shape, told))
+        hi, lo, starts = bucket.windows(shape, told)
         order, first, count = _distinct(hi, lo)
         hit = np.zeros(len(hi), bool)
         hit[order] = np.repeat(_replied(told, count, "windows"), count)
-        edge = np.zeros(len(bucket.raw) + 1, np.int32)
-        done = base = 0
-        for (raw, _, _), begin in zip(bucket.pieces(), starts):
-            at = base + begin[hit[done: done + len(begin)]]
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + length, -1)
-            done, base = done + len(begin), base + len(raw)
-        gone = np.cumsum(edge[:-1]) > 0
+        at, size = starts[hit], len(bucket.raw) + 1
+        gone = np.cumsum(np.bincount(at, minlength=size) - np.bincount(at + length, minlength=size))[:-1] > 0
+        before = np.concatenate([[0], np.cumsum(gone)])[bucket.offsets]
         spans, kept = [], []
-        for a, b in zip(bucket.offsets[:-1], bucket.offsets[1:]):
+        for a, b, n in zip(bucket.offsets[:-1].tolist(), bucket.offsets[1:].tolist(), np.diff(before).tolist()):
+            if not n:
+                spans.append([])
+                kept.append(bucket.raw[a:b].tobytes())
+                continue
             step = np.diff(np.concatenate([[False], gone[a:b], [False]]).astype(np.int8))
             spans.append([{"start": x, "end": y} for x, y in
                           zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist())])
