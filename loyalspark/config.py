@@ -13,7 +13,8 @@ from dataclasses import dataclass, field, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the original analysis for identical results:
-# life-cycle state labels, cluster labels, course slugs and product names.
+# life-cycle state labels, cluster labels and product names. Course slugs are
+# a parameter of the education store.
 # ---------------------------------------------------------------------------
 
 # Life-cycle state labels, in rule order: curious, loyal, regained, reborn,
@@ -47,18 +48,6 @@ PRODUCT_NAMES_DEFAULT = (
 )
 PRODUCT_CATEGORIES_DEFAULT = ("rpg", "churn_model")
 
-# Course slugs pivoted by the education feature store (main variant).
-COURSE_SLUGS_MAIN = (
-    "carreira", "coleta-dados-2024", "data-platform-2025", "ds-databricks-2024",
-    "ds-pontos-2024", "estatistica-2024", "estatistica-2025", "github-2024",
-    "github-2025", "go-2026", "ia-canal-2025", "lago-mago-2024",
-    "loyalty-predict-2025", "machine-learning-2025",
-    "matchmaking-trampar-de-casa-2024", "ml-2024", "mlflow-2025", "nekt-2025",
-    "pandas-2024", "pandas-2025", "python-2024", "python-2025", "speed-f1",
-    "sql-2020", "sql-2025", "streamlit-2025", "trampar-lakehouse-2024",
-    "tse-analytics-2024",
-)
-
 # Fill value for the categorical state columns before one-hot encoding.
 NON_USER_MAIN = "Não-usuário"
 NON_USER_REFS = "Nao-Usuario"
@@ -106,6 +95,7 @@ class FeatureCfg:
     product_denominator: str = "distinct_tx"   # refs: "rows" (fanned-out)
     products: tuple = PRODUCT_NAMES_DEFAULT
     categories: tuple = PRODUCT_CATEGORIES_DEFAULT
+    courses: tuple = ()                 # pivoted course slugs (default: all of the register)
     course_fill_zero: bool = False      # refs fills untaken courses with 0
     fractional_edu_recency: bool = False
     lc_current_offset: int = 1          # snapshot read at cutoff - offset

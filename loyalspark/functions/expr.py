@@ -24,10 +24,12 @@ def as_date(d) -> _dt.date:
     return _dt.date.fromisoformat(str(d))
 
 
-def try_date(value: str) -> Column:
-    """An unparsable cut-off becomes NULL (empty result), not an error."""
-    return F.try_to_date(F.lit(value), "yyyy-MM-dd") if hasattr(F, "try_to_date") \
-        else F.expr(f"try_cast('{value}' AS DATE)")
+def utc(df, column: str = "ts"):
+    """``df`` with ``column`` as a UTC wall-clock timestamp, whatever time zone
+    the session is set to (F5); a timestamp without zone is taken as UTC."""
+    if df.schema[column].dataType.simpleString() != "timestamp":
+        return df
+    return df.withColumn(column, F.to_utc_timestamp(column, F.current_timezone()).cast("timestamp_ntz"))
 
 
 def safe_ratio(a, b, default: float | None = 0.0) -> Column:

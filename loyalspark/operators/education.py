@@ -20,7 +20,6 @@ from loyalspark.config import Preset, preset as _preset
 from loyalspark.functions.expr import as_date, fractional_days
 from loyalspark.operators.transactional import slug
 from loyalspark.plans.asof import Cutoffs, Frame, asof_rollup
-from loyalspark.plans.sizing import bounded_broadcast
 
 
 def episodes_per_course(register: DataFrame) -> DataFrame:
@@ -35,8 +34,7 @@ def course_progress(done: DataFrame, register: DataFrame, cutoffs) -> DataFrame:
              .groupBy("user", "course", F.to_date("ts").alias("day"))
              .agg(F.count("episode").alias("n")))
     prog = asof_rollup(facts, ["user", "course"], cuts, [Frame("n_eps", "sum", "n", None)])
-    totals = bounded_broadcast(episodes_per_course(register))
-    return (prog.join(totals, "course", "left")
+    return (prog.join(episodes_per_course(register), "course", "left")
             .select("user", "course", "cutoff", F.col("n_eps").cast("long").alias("n_eps"), "total_eps",
                     F.try_divide(F.col("n_eps").cast("double"), F.col("total_eps").cast("double")).alias("share")))
 
@@ -54,51 +52,6 @@ def course_pivot(progress: DataFrame, slugs, fill_zero: bool = False) -> DataFra
     return counters
 
 
-def course_state_asof(done: DataFrame, register: DataFrame, cutoffs, slugs,
-                      fill_zero: bool = False) -> DataFrame:
-    """G25-G27 for many cut-offs without exploding (user, course, cutoff).
-
-    Per (user, course, day) the cumulative episode count is a window over the
-    (user, course) history; each day contributes integer deltas — episodes
-    per pivoted course, and +1/-1 when a course enters or leaves the
-    "complete" (count = register total) or "in progress" (0 < count < total)
-    state. Summing the deltas per (user, day) and then over all days before
-    each cut-off (one as-of frame per column) yields the pivot at every
-    cut-off; the explode is users x cut-offs, the output size. Shares are
-    exact count ratios, so ``share = 1`` stays an exact test.
-    """
-    from pyspark.sql import Window
-    slugs = list(slugs)
-    cuts = Cutoffs(cutoffs)
-    totals = episodes_per_course(register)
-    tot = {r["course"]: r["total_eps"] for r in totals.filter(F.col("course").isin(slugs)).collect()}
-    facts = (done.filter(F.col("ts") < F.lit(cuts.last))
-             .groupBy("user", "course", F.to_date("ts").alias("day"))
-             .agg(F.count("episode").alias("n"))
-             .join(bounded_broadcast(totals), "course", "left"))
-    w = Window.partitionBy("user", "course").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    cum = F.sum("n").over(w)
-    t = F.col("total_eps")
-    complete = lambda x: F.when(x == t, 1).otherwise(0)
-    progress = lambda x: F.when((x > 0) & (x < t), 1).otherwise(0)
-    f = facts.select("user", "course", "day", "n", cum.alias("cum"), t)
-    prev = F.col("cum") - F.col("n")
-    per_day = f.groupBy("user", "day").agg(
-        F.sum(complete(F.col("cum")) - complete(prev)).alias("d_complete"),
-        F.sum(progress(F.col("cum")) - progress(prev)).alias("d_progress"),
-        *[F.sum(F.when(F.col("course") == c, F.col("n"))).alias(f"d_{i}") for i, c in enumerate(slugs)])
-    frames = [Frame("n_complete", "sum", "d_complete", None), Frame("n_in_progress", "sum", "d_progress", None)]
-    frames += [Frame(f"c_{i}", "sum", f"d_{i}", None) for i in range(len(slugs))]
-    r = asof_rollup(per_day, ["user"], cuts, frames)
-    shares = []
-    for i, c in enumerate(slugs):
-        total = tot.get(c)
-        v = (F.col(f"c_{i}").cast("double") / F.lit(float(total))) if total else F.lit(None).cast("double")
-        shares.append((F.coalesce(v, F.lit(0.0)) if fill_zero else v).alias(f"share_{slug(c)}"))
-    return r.select("user", "cutoff", F.col("n_complete").cast("long").alias("n_complete"),
-                    F.col("n_in_progress").cast("long").alias("n_in_progress"), *shares)
-
-
 def last_activity(sources: list, cutoffs, fractional: bool = False) -> DataFrame:
     """G28 + U1: per user active before each cut-off, days from the latest
     activity (over all sources) to the cut-off. Whole days on dates (main)
@@ -126,8 +79,10 @@ def fs_education(done: DataFrame, register: DataFrame, rewards: DataFrame, skill
 
     Episodes, rewards and skills are unioned and reduced per (user, course,
     day); a (user, course) window gives cumulative episode counts and the
-    integer deltas described in ``course_state_asof``; per (user, day) these
-    deltas and the latest activity timestamp feed one as-of rollup per user.
+    integer deltas: episodes per pivoted course, and +1 / -1 when a course
+    becomes complete (count = register total) or is in progress (below it).
+    Per (user, day) these deltas, the courses' totals and the latest activity
+    feed one as-of rollup per user; shares are ratios of exact counts.
     Users without a completed episode before the cut-off are dropped, and the
     bridge maps the rest to loyalty customer ids (inner join).
 
@@ -139,17 +94,14 @@ def fs_education(done: DataFrame, register: DataFrame, rewards: DataFrame, skill
     fc = _preset(cfg).features
     slugs = list(slugs)
     cuts = Cutoffs(cutoffs)
-    totals = episodes_per_course(register)
-    tot = {r["course"]: r["total_eps"] for r in totals.filter(F.col("course").isin(slugs)).collect()}
     lim = F.col("ts") < F.lit(cuts.last)
-    acts = (done.filter(lim).select("user", "course", "ts", F.lit(1).alias("ep"))
-            .unionByName(rewards.filter(lim).select("user", F.lit(None).cast("string").alias("course"), "ts",
-                                                    F.lit(0).alias("ep")))
-            .unionByName(skills.filter(lim).select("user", F.lit(None).cast("string").alias("course"), "ts",
-                                                   F.lit(0).alias("ep"))))
-    facts = (acts.groupBy("user", "course", F.to_date("ts").alias("day"))
-             .agg(F.sum("ep").alias("n"), F.max("ts").alias("last_ts"))
-             .join(bounded_broadcast(totals), "course", "left"))
+    day = F.to_date("ts").alias("day")
+    # only episodes have a course; rewards and skills never meet the register
+    eps = (done.filter(lim).groupBy("user", "course", day).agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_ts"))
+           .join(episodes_per_course(register), "course", "left"))
+    other = rewards.filter(lim).select("user", "ts").unionByName(skills.filter(lim).select("user", "ts"))
+    facts = eps.unionByName(other.groupBy("user", day).agg(F.max("ts").alias("last_ts"))
+                            .withColumn("n", F.lit(0).cast("long")), allowMissingColumns=True)
     w = Window.partitionBy("user", "course").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     t = F.col("total_eps")
     complete = lambda x: F.when(x == t, 1).otherwise(0)
@@ -160,21 +112,22 @@ def fs_education(done: DataFrame, register: DataFrame, rewards: DataFrame, skill
         F.sum("n").alias("n_all"), F.max("last_ts").alias("last_ts"),
         F.sum(complete(F.col("cum")) - complete(prev)).alias("d_complete"),
         F.sum(progress(F.col("cum")) - progress(prev)).alias("d_progress"),
-        *[F.sum(F.when(F.col("course") == c, F.col("n"))).alias(f"d_{i}") for i, c in enumerate(slugs)])
+        *[F.sum(F.when(F.col("course") == c, F.col("n"))).alias(f"d_{i}") for i, c in enumerate(slugs)],
+        *[F.max(F.when(F.col("course") == c, t)).alias(f"t_{i}") for i, c in enumerate(slugs)])
     frames = [Frame("n_eps", "sum", "n_all", None), Frame("last_ts", "max", "last_ts", None),
               Frame("n_complete", "sum", "d_complete", None), Frame("n_in_progress", "sum", "d_progress", None)]
     frames += [Frame(f"c_{i}", "sum", f"d_{i}", None) for i in range(len(slugs))]
+    frames += [Frame(f"t_{i}", "max", f"t_{i}", None) for i in range(len(slugs))]
     r = asof_rollup(per_day, ["user"], cuts, frames, requested=keys).filter(F.col("n_eps") > 0)
     shares = []
     for i, c in enumerate(slugs):
-        total = tot.get(c)
-        v = (F.col(f"c_{i}").cast("double") / F.lit(float(total))) if total else F.lit(None).cast("double")
+        v = F.try_divide(F.col(f"c_{i}").cast("double"), F.col(f"t_{i}").cast("double"))
         shares.append((F.coalesce(v, F.lit(0.0)) if fc.course_fill_zero else v).alias(f"share_{slug(c)}"))
     if fc.fractional_edu_recency:
         days = fractional_days("last_ts", F.col("cutoff").cast("timestamp_ntz"))
     else:
         days = F.datediff("cutoff", F.to_date("last_ts")).cast("double")
-    out = r.join(bounded_broadcast(bridge.select("user", "customer_id")), "user", "inner")
+    out = r.join(bridge.select("user", "customer_id"), "user", "inner")
     return out.select(F.date_sub("cutoff", 1).alias("ref_date"), "cutoff", "customer_id", "user",
                       F.col("n_complete").cast("long").alias("n_complete"),
                       F.col("n_in_progress").cast("long").alias("n_in_progress"), *shares,

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from loyalspark.config import LifecycleCfg, Preset, RfvCfg, preset as _preset
 from loyalspark.functions.classify import classify_lifecycle, classify_rfv
-from loyalspark.functions.expr import as_date, days_between
+from loyalspark.functions.expr import as_date, days_between, utc
 from loyalspark.plans.asof import Cutoffs, Frame, asof_rollup, current_rows
 from loyalspark.sources.calendar import lookback
 
@@ -29,7 +29,7 @@ def _user_days(tx: DataFrame, last_cutoff) -> DataFrame:
     sums needed by the frequency-value window (partial aggregation runs
     before the shuffle, so a hot user is already collapsed per day)."""
     p = F.col("points")
-    return (tx.filter(F.col("ts") < F.lit(as_date(last_cutoff)))
+    return (utc(tx).filter(F.col("ts") < F.lit(as_date(last_cutoff)))
             .groupBy("user_id", F.to_date("ts").alias("day"))
             .agg(F.sum(F.when(p > 0, p).otherwise(0)).alias("pts_pos"),
                  F.sum(F.when(p > 0, p).otherwise(F.abs(p))).alias("pts_total"),
@@ -82,7 +82,7 @@ def life_cycle(tx: DataFrame, cutoff, cfg: Preset | str = "main") -> DataFrame:
     cut-off) and the recency state for every user active before it."""
     cfg = _preset(cfg)
     cuts = Cutoffs([cutoff])
-    daily = (tx.filter(F.col("ts") < F.lit(cuts.last))
+    daily = (utc(tx).filter(F.col("ts") < F.lit(cuts.last))
              .select("user_id", F.to_date("ts").alias("day")).distinct())
     cur = current_rows(daily, ["user_id"], cuts)
     c = F.col("cutoff")
@@ -99,7 +99,7 @@ def frequency_value(tx: DataFrame, cutoff, days: int = 28) -> DataFrame:
     positive / absolute / gained / redeemed points. The window filter is on
     the bare timestamp and reaches the parquet scan."""
     p = F.col("points")
-    return (lookback(tx, cutoff, days)
+    return (lookback(utc(tx), cutoff, days)
             .groupBy("user_id")
             .agg(F.countDistinct(F.to_date("ts")).cast("long").alias("frequency"),
                  F.sum(F.when(p > 0, p).otherwise(0)).cast("long").alias("points_pos"),
@@ -126,18 +126,22 @@ def cluster_sizes(clustered: DataFrame) -> DataFrame:
             .orderBy("cluster"))
 
 
-def latest_date(df: DataFrame, column: str = "ref_date"):
-    """``max(column)`` as a Python value (one-row aggregate), so the
-    follow-up filter is a literal that prunes ``ref_date`` partitions."""
-    return df.agg(F.max(column)).first()[0]
+def at_latest(df: DataFrame, column: str = "ref_date") -> DataFrame:
+    """The rows of the latest date, joined with the one-row maximum
+    of the date column (over a stored table a scan of that column alone)."""
+    last = df.agg(F.max(column).alias(column))
+    return df.join(F.broadcast(last), column, "left_semi")
 
 
 def life_cycle_report(lc: DataFrame, ref_date=None, cfg: Preset | str = "main") -> DataFrame:
     """Users per state at ``ref_date`` (default: latest), zombies
     excluded."""
     cfg = _preset(cfg)
-    d = as_date(ref_date) if ref_date is not None else latest_date(lc)
-    return (lc.filter((F.col("ref_date") == F.lit(d)) & (F.col("state") != cfg.lifecycle.zombie))
+    if ref_date is not None:
+        at = lc.filter(F.col("ref_date") == F.lit(as_date(ref_date)))
+    else:
+        at = at_latest(lc)
+    return (at.filter(F.col("state") != cfg.lifecycle.zombie)
             .groupBy("ref_date", "state").agg(F.count(F.lit(1)).cast("long").alias("n"))
             .orderBy("ref_date", "state"))
 

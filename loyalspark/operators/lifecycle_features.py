@@ -26,33 +26,12 @@ from pyspark.sql import functions as F
 
 from loyalspark.config import Preset, preset as _preset
 from loyalspark.plans.asof import Cutoffs
-from loyalspark.plans.sizing import bounded_broadcast
 
 
 def pct_column(label: str) -> str:
     return "pct_" + re.sub(r"[^0-9a-z]+", "_", label.lower()).strip("_")
 
 
-def own_moving_frequency(lc: DataFrame) -> DataFrame:
-    """Per snapshot row, mean frequency over the latest 7 rows that lie
-    within the 14 calendar days ending at the row, and over all rows of those
-    14 days (NULL frequencies ignored)."""
-    w = Window.partitionBy("user_id").orderBy("ref_date")
-    dn = F.unix_date("ref_date")
-    lagged = lc.select("user_id", "ref_date", "frequency", dn.alias("_dn"),
-                       *[F.lag("frequency", k).over(w).alias(f"_f{k}") for k in range(1, 7)],
-                       *[F.lag(dn, k).over(w).alias(f"_d{k}") for k in range(1, 7)],
-                       F.avg("frequency").over(Window.partitionBy("user_id").orderBy(dn)
-                                               .rangeBetween(-13, 0)).alias("avg_freq_d14"))
-    terms = [(F.col("frequency"), F.lit(True))] + [
-        (F.col(f"_f{k}"), F.col(f"_d{k}") >= F.col("_dn") - 13) for k in range(1, 7)]
-    s = sum((F.when(ok & v.isNotNull(), v).otherwise(0) for v, ok in terms), F.lit(0))
-    n = sum((F.when(ok & v.isNotNull(), 1).otherwise(0) for v, ok in terms), F.lit(0))
-    return lagged.select("user_id", "ref_date",
-                         F.try_divide(s.cast("double"), n.cast("double")).alias("avg_freq_d7"),
-                         "avg_freq_d14")
-
-
 def fs_life_cycle(lc: DataFrame, cutoffs, cfg: Preset | str = "main",
                   keys: DataFrame | None = None) -> DataFrame:
     """C17 for one or many cut-offs in one window pass.
@@ -72,7 +51,9 @@ def fs_life_cycle(lc: DataFrame, cutoffs, cfg: Preset | str = "main",
     cuts = Cutoffs(cutoffs)
     off = fc.lc_current_offset
     dn = F.unix_date("ref_date")
-    base = lc.select("ref_date", "user_id", "state", "frequency")
+    # later snapshots play no part: the filter reaches the date partitions
+    last = cuts.last - _dt.timedelta(days=min(off, 1))
+    base = lc.filter(F.col("ref_date") <= F.lit(last)).select("ref_date", "user_id", "state", "frequency")
     w = Window.partitionBy("user_id").orderBy(dn)
     d28 = 29 - off
     cols = [
@@ -97,7 +78,8 @@ def fs_life_cycle(lc: DataFrame, cutoffs, cfg: Preset | str = "main",
     group = cur.groupBy("cutoff", "state_current").agg(F.avg("frequency").alias("avg_freq_group"))
     if keys is not None:
         cur = cur.join(keys.select("user_id", "cutoff").distinct(), ["user_id", "cutoff"], "left_semi")
-    out = (cur.join(bounded_broadcast(group), ["cutoff", "state_current"], "left")
+    # cut-offs x 7 states by construction
+    out = (cur.join(F.broadcast(group), ["cutoff", "state_current"], "left")
            .withColumn("ratio_freq_group",
                        F.try_divide(F.col("frequency").cast("double"), F.col("avg_freq_group"))))
     shares = [F.try_divide(F.col(f"_c{i}").cast("double"),

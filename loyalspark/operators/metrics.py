@@ -3,17 +3,15 @@ means, C5 histograms, C6 activity bounds, C22 user drill-down."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loyalspark.functions.expr import day_number
+from loyalspark.functions.expr import day_number, utc
 
 
 def daily_users(tx: DataFrame) -> DataFrame:
     """Distinct (user_id, day)."""
-    return tx.select("user_id", F.to_date("ts").alias("day")).distinct()
+    return utc(tx).select("user_id", F.to_date("ts").alias("day")).distinct()
 
 
 def dau(tx: DataFrame, approx: bool = False) -> DataFrame:
@@ -24,7 +22,7 @@ def dau(tx: DataFrame, approx: bool = False) -> DataFrame:
     ``approx=True`` switches to HyperLogLog for very large inputs.
     """
     agg = (F.approx_count_distinct("user_id") if approx else F.countDistinct("user_id"))
-    return (tx.groupBy(F.to_date("ts").alias("day"))
+    return (utc(tx).groupBy(F.to_date("ts").alias("day"))
             .agg(agg.cast("long").alias("dau"))
             .orderBy("day"))
 
@@ -78,40 +76,32 @@ def monthly_smoothing(metric: DataFrame, day_col: str = "day", value_col: str =
     return metric.withColumn(f"{value_col}_monthly", F.avg(value_col).over(w))
 
 
-def sturges_bins(n: int) -> int:
-    return int(math.ceil(math.log2(n)) + 1) if n > 0 else 1
-
-
 def histogram(df: DataFrame, column: str, bins="sturges", by: list | None = None) -> DataFrame:
     """Equal-width histogram over shared edges.
 
     ``bins`` is an int or ``'sturges'`` (ceil(log2 n) + 1). Edges span
     [min, max] of the whole column; the maximum falls in the last bin. With
     ``by`` (e.g. year, month) counts and densities (count / (n_group * width))
-    are computed per group on the same edges. One aggregate for the edges,
-    one grouped aggregate for the counts.
+    are computed per group on the same edges. The edges are a scalar subquery
+    (one row); the counts one grouped aggregate.
     """
     by = list(by or [])
-    # three scalars (one-row aggregate) fix the shared edges
-    lo, hi, n = df.agg(F.min(column), F.max(column), F.count(column)).first()
-    if not n:
-        return df.sparkSession.createDataFrame(
-            [], "bin long, bin_lo double, bin_hi double, count long, density double")
-    nb = sturges_bins(n) if bins == "sturges" else int(bins)
-    width = (float(hi) - float(lo)) / nb if hi > lo else 1.0
-    b = F.least(F.floor((F.col(column) - F.lit(float(lo))) / F.lit(width)).cast("long"), F.lit(nb - 1))
-    counted = (df.filter(F.col(column).isNotNull())
-               .groupBy(*by, b.alias("bin"))
-               .agg(F.count(F.lit(1)).alias("count")))
+    nb = (F.ceil(F.log2(F.count(column))) + 1 if bins == "sturges" else F.lit(int(bins))).cast("long")
+    lo, hi = F.min(column).cast("double"), F.max(column).cast("double")
+    edges = df.agg(F.struct(lo.alias("lo"), nb.alias("nb"), F.when(hi > lo, (hi - lo) / nb).otherwise(F.lit(1.0)).alias("width"))
+                   .alias("e")).scalar()
+    e = F.col("__e")
+    placed = df.filter(F.col(column).isNotNull()).withColumn("__e", edges)
+    bin_ = F.least(F.floor((F.col(column) - e["lo"]) / e["width"]).cast("long"), e["nb"] - 1)
+    counted = (placed.groupBy(*by, bin_.alias("bin")).agg(F.count(F.lit(1)).alias("count"), F.first("__e").alias("__e")))
     # per-group totals: one row per (group, bin), bounded by the bin count
     wg = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    n_group = F.sum("count").over(wg)
     return (counted.select(
                 *by, "bin",
-                (F.lit(float(lo)) + F.col("bin") * F.lit(width)).alias("bin_lo"),
-                (F.lit(float(lo)) + (F.col("bin") + 1) * F.lit(width)).alias("bin_hi"),
+                (e["lo"] + F.col("bin") * e["width"]).alias("bin_lo"),
+                (e["lo"] + (F.col("bin") + 1) * e["width"]).alias("bin_hi"),
                 F.col("count").cast("long").alias("count"),
-                (F.col("count") / (n_group * F.lit(width))).alias("density"))
+                (F.col("count") / (F.sum("count").over(wg) * e["width"])).alias("density"))
             .orderBy(*by, "bin"))
 
 

@@ -2,19 +2,27 @@
 
 Every profile is one aggregate job over all columns at once (no per-column
 loops of jobs) and is returned long (one row per feature) with ``stack``.
-Medians and quartiles use ``percentile_approx`` — a bounded sketch per group,
-so a label or cluster holding most rows never has its values collected into
-one task; with the default accuracy the result is exact up to 10,000 rows
-per group and within 1/10,000 rank error beyond.
+Medians and quartiles are exact and interpolated (``percentile``, which keeps
+counts per distinct value). ``approx=accuracy`` is the named opt-in for columns
+with too many distinct values: a bounded sketch, within 1/accuracy in rank.
+Means are sums of decimals over a count, so they do not depend on the order
+in which partitions are added up.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-PCT_ACCURACY = 10_000
+
+def mean(x) -> Column:
+    """Mean over decimals with nine places."""
+    return F.sum(x.cast("decimal(28,9)")).cast("double") / F.nullif(F.count(x), F.lit(0))
+
+
+def quantile(x, at, approx: int | None = None) -> Column:
+    return F.percentile(x, at) if approx is None else F.percentile_approx(x, at, approx)
 
 
 def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
@@ -35,7 +43,7 @@ def null_rates(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return _long(agg, cols, "nr_", "null_rate")
 
 
-def label_median_ratio(df: DataFrame, label: str, cols: list[str], accuracy: int = PCT_ACCURACY) -> DataFrame:
+def label_median_ratio(df: DataFrame, label: str, cols: list[str], approx: int | None = None) -> DataFrame:
     """Per feature, mean and median for label 1 and 0 and the ratio
     (median1 + 0.001) / (median0 + 0.001)."""
     aggs = []
@@ -43,8 +51,7 @@ def label_median_ratio(df: DataFrame, label: str, cols: list[str], accuracy: int
         x = F.col(f"`{c}`").cast("double")
         for v in (0, 1):
             sel = F.when(F.col(label) == v, x)
-            aggs += [F.avg(sel).alias(f"mean{v}_{c}"),
-                     F.percentile_approx(sel, 0.5, accuracy).alias(f"med{v}_{c}")]
+            aggs += [mean(sel).alias(f"mean{v}_{c}"), quantile(sel, 0.5, approx).alias(f"med{v}_{c}")]
     row = df.agg(*aggs)
     parts = ", ".join(f"'{c}', `mean0_{c}`, `mean1_{c}`, `med0_{c}`, `med1_{c}`" for c in cols)
     long = row.selectExpr(f"stack({len(cols)}, {parts}) as (feature, mean0, mean1, median0, median1)")
@@ -75,29 +82,29 @@ def split_summary(df: DataFrame, split: str = "tag", label: str = "label") -> Da
             .orderBy(split))
 
 
-def describe_by(df: DataFrame, group: str, cols: list[str], accuracy: int = PCT_ACCURACY) -> DataFrame:
+def describe_by(df: DataFrame, group: str, cols: list[str], approx: int | None = None) -> DataFrame:
     """Count, mean, stddev, min, quartiles, max per group and column."""
     aggs = [F.count(F.lit(1)).cast("long").alias("n")]
     for c in cols:
         x = F.col(f"`{c}`").cast("double")
-        q = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-        aggs += [F.avg(x).alias(f"{c}_mean"), F.stddev(x).alias(f"{c}_std"),
+        q = quantile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)) if approx is None else [0.25, 0.5, 0.75], approx)
+        aggs += [mean(x).alias(f"{c}_mean"), F.stddev(x).alias(f"{c}_std"),
                  F.min(x).alias(f"{c}_min"), q[0].alias(f"{c}_p25"), q[1].alias(f"{c}_p50"),
                  q[2].alias(f"{c}_p75"), F.max(x).alias(f"{c}_max")]
     return df.groupBy(group).agg(*aggs).orderBy(group)
 
 
 def minmax(df: DataFrame, cols: list[str], suffix: str = "_scaled") -> DataFrame:
-    """M1: (x - min) / (max - min) with min / max from one aggregate (the
-    two scalars per column are bound as literals); constant columns -> 0."""
-    row = df.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).first()
-    out = df
+    """M1: (x - min) / (max - min) with min and max as a scalar subquery (one
+    row); constant columns -> 0."""
+    ends = df.agg(F.struct(*[F.min(c).cast("double").alias(f"lo_{c}") for c in cols],
+                           *[F.max(c).cast("double").alias(f"hi_{c}") for c in cols]).alias("e")).scalar()
+    out = df.withColumn("__ends", ends)
     for c in cols:
-        lo, hi = row[f"lo_{c}"], row[f"hi_{c}"]
-        span = (float(hi) - float(lo)) if (lo is not None and hi is not None) else 0.0
-        expr = ((F.col(c) - F.lit(lo)) / F.lit(span)) if span else F.lit(0.0)
-        out = out.withColumn(f"{c}{suffix}", expr.cast("double"))
-    return out
+        lo, hi = F.col("__ends")[f"lo_{c}"], F.col("__ends")[f"hi_{c}"]
+        x = F.when(hi > lo, (F.col(c).cast("double") - lo) / (hi - lo)).when(F.col(c).isNotNull(), F.lit(0.0))
+        out = out.withColumn(f"{c}{suffix}", x)
+    return out.drop("__ends")
 
 
 def onehot(df: DataFrame, column: str, categories: list, prefix: str | None = None) -> DataFrame:
@@ -112,11 +119,3 @@ def onehot(df: DataFrame, column: str, categories: list, prefix: str | None = No
     return out
 
 
-def fitted_categories(df: DataFrame, column: str, max_categories: int = 1000) -> list:
-    """Distinct non-null values of a categorical column (bounded; raises when
-    the column is not categorical enough to expand)."""
-    vals = (df.select(column).filter(F.col(column).isNotNull()).distinct()
-            .limit(max_categories + 1).collect())
-    if len(vals) > max_categories:
-        raise ValueError(f"{column} has more than {max_categories} categories")
-    return sorted(r[0] for r in vals)

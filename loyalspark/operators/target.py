@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from loyalspark.config import Preset, preset as _preset
 from loyalspark.functions.expr import as_date, hash_order
+from loyalspark.operators.lifecycle import at_latest
 
 
 def label(lc: DataFrame, horizon: int = 28, cfg: Preset | str = "main", positive: str | None = None,
@@ -107,12 +108,11 @@ def abt(cohort_df: DataFrame, fs_tx: DataFrame, fs_lc: DataFrame, fs_ed: DataFra
 
 def fs_all(fs_tx: DataFrame, fs_lc: DataFrame, fs_ed: DataFrame | None, ref_date=None) -> DataFrame:
     """Scoring table = all features at the latest transactional date."""
-    d = as_date(ref_date) if ref_date is not None else fs_tx.agg(F.max("ref_date")).first()[0]
-    base = fs_tx.filter(F.col("ref_date") == F.lit(d)).drop("cutoff")
-    stores = [fs_lc.filter(F.col("ref_date") == F.lit(d)).drop("cutoff")]
-    if fs_ed is not None:
-        stores.append(fs_ed.filter(F.col("ref_date") == F.lit(d)).drop("cutoff"))
-    return point_in_time_join(base, stores)
+    stores = [s.drop("cutoff") for s in (fs_lc, fs_ed) if s is not None]
+    if ref_date is None:
+        return point_in_time_join(at_latest(fs_tx).drop("cutoff"), stores)
+    at = F.col("ref_date") == F.lit(as_date(ref_date))
+    return point_in_time_join(fs_tx.filter(at).drop("cutoff"), [s.filter(at) for s in stores])
 
 
 def label_pairs(lc: DataFrame, ref_date, state: str | None = None, horizon: int = 28,
@@ -130,4 +130,4 @@ def label_pairs(lc: DataFrame, ref_date, state: str | None = None, horizon: int
         F.col("a.ref_date").alias("t1_ref_date"), F.col("a.user_id").alias("t1_user_id"),
         F.col("a.state").alias("t1_state"), F.col("b.ref_date").alias("t2_ref_date"),
         F.col("b.state").alias("t2_state"))
-    return out.limit(limit) if limit else out
+    return out.orderBy("t1_user_id").limit(limit) if limit else out

@@ -2,11 +2,11 @@
 
 Plan (one job for any number of cut-offs):
 
-1. ``tx`` before the last cut-off -> one row per (user, day) with distinct
-   transactions, row count, net / positive / negative points, day-part counts
+1. ``tx`` before the last cut-off -> one row per (user, day) with the number
+   of transactions, net / positive / negative points, day-part counts
    and first / last timestamp (partial aggregation before the shuffle).
-2. Line items are pre-aggregated per transaction (items joined with a
-   size-checked product flag table), so the transaction join is 1:1 instead
+2. Line items of those transactions are counted per transaction (joined with
+   the products that match a name or category), so the transaction join is 1:1 instead
    of a fan-out, then summed per (user, day).
 3. ``lag(day)`` per user gives the gap to the previous active day on the full
    history (the D28 mean gap uses that history, as the original does).
@@ -18,15 +18,15 @@ Plan (one job for any number of cut-offs):
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loyalspark.config import DAYPART_AFTERNOON, DAYPART_MORNING, FeatureCfg, Preset, preset as _preset
-from loyalspark.functions.expr import (as_date, daypart, fractional_days, hours_between,
-                                       ratio_or_null, safe_ratio)
+from loyalspark.functions.expr import daypart, fractional_days, hours_between, ratio_or_null, safe_ratio, utc
 from loyalspark.plans.asof import Cutoffs, Frame, asof_rollup
-from loyalspark.plans.sizing import bounded_broadcast
 
 
 def slug(value: str) -> str:
@@ -37,36 +37,39 @@ def _wname(w) -> str:
     return "life" if w is None else f"d{w}"
 
 
-def product_flags(items: DataFrame, products: DataFrame, fcfg: FeatureCfg) -> DataFrame:
-    """Per transaction: number of line items and matches per named product /
-    category (items joined with a size-checked product flag table)."""
+def product_flags(items: DataFrame, products: DataFrame, fcfg: FeatureCfg, tx: DataFrame | None = None) -> DataFrame:
+    """Per transaction (only those of ``tx`` when given): number of line items
+    and matches per named product / category. Only products that match some
+    name or category take part in the join."""
+    if tx is not None:
+        items = items.join(tx.select("tx_id"), "tx_id", "left_semi")
     flags = [(f"cnt_cat_{slug(c)}", F.col("category") == c) for c in fcfg.categories]
     flags += [(f"cnt_prod_{slug(n)}", F.col("name") == n) for n in fcfg.products]
-    prod = products.select("product_id", *[F.when(cond, 1).otherwise(0).alias(nm) for nm, cond in flags])
-    per_item = items.select("tx_id", "product_id").join(bounded_broadcast(prod), "product_id", "left")
+    prod = products.filter(reduce(or_, (cond for _, cond in flags), F.lit(False))).select(
+        "product_id", *[F.when(cond, 1).otherwise(0).alias(nm) for nm, cond in flags])
+    per_item = items.select("tx_id", "product_id").join(prod, "product_id", "left")
     return per_item.groupBy("tx_id").agg(
         F.count(F.lit(1)).alias("n_items"),
         *[F.sum(F.coalesce(F.col(nm), F.lit(0))).alias(nm) for nm, _ in flags])
 
 
-def user_days(tx: DataFrame, last_cutoff, fcfg: FeatureCfg, per_tx: DataFrame | None = None) -> DataFrame:
-    """One row per (user_id, day): distinct transactions, rows, net / positive
-    / negative points, day-part counts, first / last timestamp, and with
-    ``per_tx`` the fanned-out row count and product / category matches (a
-    transaction without items counts as one row)."""
+def user_days(tx: DataFrame, fcfg: FeatureCfg, per_tx: DataFrame | None = None) -> DataFrame:
+    """One row per (user_id, day): transactions, net / positive / negative
+    points, day-part counts, first / last timestamp, and with ``per_tx`` the
+    fanned-out row count and product / category matches (a transaction without
+    items counts as one row). ``tx_id`` is unique, so transactions are rows
+    and the day's sums combine before the only shuffle."""
     p = F.col("points")
     dp = daypart(F.hour("ts"), DAYPART_MORNING, DAYPART_AFTERNOON)
     neg = F.when(p < 0, p).otherwise(0) if fcfg.signed_negative_points \
         else F.when(p < 0, F.abs(p)).otherwise(0)
-    t = tx.filter(F.col("ts") < F.lit(as_date(last_cutoff)))
-    extra = []
+    t, extra = tx, []
     if per_tx is not None:
         t = t.join(per_tx, "tx_id", "left")
         extra = [F.sum(F.greatest(F.coalesce(F.col("n_items"), F.lit(0)), F.lit(1))).alias("fan_rows")]
         extra += [F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in per_tx.columns if c.startswith("cnt_")]
     return (t.groupBy("user_id", F.to_date("ts").alias("day"))
-            .agg(F.countDistinct("tx_id").alias("n_tx"),
-                 F.count("tx_id").alias("n_rows"),
+            .agg(F.count("tx_id").alias("n_tx"),
                  F.sum(p).alias("pts_net"),
                  F.sum(F.when(p > 0, p).otherwise(0)).alias("pts_pos"),
                  F.sum(neg).alias("pts_neg"),
@@ -77,21 +80,25 @@ def user_days(tx: DataFrame, last_cutoff, fcfg: FeatureCfg, per_tx: DataFrame |
                  F.max("ts").alias("last_ts"),
                  *extra)
             .withColumn("hours", hours_between("first_ts", "last_ts"))
-            .withColumn("is_day", F.lit(1)))
+            .withColumn("is_day", F.lit(1)).withColumn("n_rows", F.col("n_tx")))
 
 
 def fs_transactional(tx: DataFrame, cutoffs, cfg: Preset | str = "main",
                      items: DataFrame | None = None, products: DataFrame | None = None,
-                     keys: DataFrame | None = None) -> DataFrame:
-    """C15 for one or many cut-offs. Without ``items``/``products`` the
+                     keys: DataFrame | None = None, unique_tx: bool = True) -> DataFrame:
+    """C15 for one or many cut-offs. ``tx_id`` identifies a transaction; with
+    ``unique_tx=False`` repeated rows of one are dropped first. Without ``items``/``products`` the
     product-share block is omitted; ``keys`` (user_id, cutoff) restricts the
     output to those pairs (point-in-time features of a cohort)."""
     cfg = _preset(cfg)
     fc = cfg.features
     cuts = Cutoffs(cutoffs)
     with_products = items is not None and products is not None
-    per_tx = product_flags(items, products, fc) if with_products else None
-    ud = user_days(tx, cuts.last, fc, per_tx)
+    tx = utc(tx).filter(F.col("ts") < F.lit(cuts.last))
+    if not unique_tx:
+        tx = tx.dropDuplicates(["tx_id"])
+    per_tx = product_flags(items, products, fc, tx) if with_products else None
+    ud = user_days(tx, fc, per_tx)
     share_cols = [c for c in ud.columns if c.startswith("cnt_")]
 
     wins = [None] + list(fc.windows)

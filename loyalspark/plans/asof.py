@@ -11,12 +11,9 @@ list of cut-offs and reads its input once:
                      cut-offs c with d < c <= next active day. A calendar
                      lookup turns that into an index range that is exploded,
                      so the output is exactly keys x cut-offs, no range join.
-* ``after_first``    markers (key, cutoff) for every cut-off after a key's
-                     first activity.
-* ``asof_frames``    facts (key, day, measures) unioned with markers and
-                     aggregated with ``rangeBetween`` frames over day numbers:
-                     ``(-k, -1)`` is "the k days before the cut-off",
-                     ``(unbounded, -1)`` is "all history before the cut-off".
+* ``asof_rollup``    measures over frames that end the day before each cut-off:
+                     for one cut-off a grouped aggregate, for many markers
+                     among the day rows and ``rangeBetween`` frames.
 
 Every window is partitioned by the entity key over rows that were first
 reduced to one row per key and day, so a hot key holds at most one row per
@@ -26,6 +23,7 @@ calendar day plus one per cut-off.
 from __future__ import annotations
 
 import datetime as _dt
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,30 +31,24 @@ from pyspark.sql import functions as F
 
 from loyalspark.functions.expr import as_date
 
-# Proven size bounds for what is broadcast (cut-off calendar).
-MAX_CUTOFFS = 50_000
-MAX_SPAN_DAYS = 200_000
-
 
 @dataclass
 class Cutoffs:
     dates: list
 
     def __init__(self, dates):
-        ds = set()
+        ds, bad = set(), []
         for d in (dates if isinstance(dates, (list, tuple, set)) else [dates]):
             try:
                 ds.add(as_date(d))
             except (TypeError, ValueError):
-                continue  # S10: an unparsable cut-off contributes no rows
+                bad.append(d)
+        if bad:  # S10: they contribute no rows, which is worth knowing in a backfill
+            warnings.warn(f"no dates, left out: {bad}", stacklevel=2)
         # no valid cut-off: keep a sentinel date for the plan shape and mark
         # the list invalid, so the as-of plans return no rows
         self.valid = bool(ds)
         ds = sorted(ds) or [_dt.date(1970, 1, 1)]
-        if len(ds) > MAX_CUTOFFS:
-            raise ValueError(f"{len(ds)} cut-offs exceed the bound {MAX_CUTOFFS}")
-        if (ds[-1] - ds[0]).days > MAX_SPAN_DAYS:
-            raise ValueError("cut-off span exceeds the calendar bound")
         self.dates = ds
 
     @property
@@ -80,12 +72,13 @@ class Cutoffs:
 
     def calendar(self, spark: SparkSession) -> DataFrame:
         """``(cal_day, cal_idx)`` for every day in [first, last]; ``cal_idx`` =
-        number of cut-offs <= cal_day. At most ``MAX_SPAN_DAYS`` rows."""
-        span = (self.last - self.first).days
-        arr = self.array()
-        return (spark.range(span + 1)
-                .select(F.date_add(F.lit(self.first), F.col("id").cast("int")).alias("cal_day"))
-                .select("cal_day", F.size(F.filter(arr, lambda c: c <= F.col("cal_day"))).alias("cal_idx")))
+        number of cut-offs <= cal_day. Each cut-off lists the days up to the
+        next one, so the cost is the span, whatever the number of cut-offs."""
+        ends = [d - _dt.timedelta(days=1) for d in self.dates[1:]] + [self.last]
+        spans = F.array(*[F.struct(F.lit(a).alias("lo"), F.lit(b).alias("hi"), F.lit(i).alias("cal_idx"))
+                          for i, (a, b) in enumerate(zip(self.dates, ends), 1)])
+        return (spark.range(1).select(F.inline(spans))
+                .select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("cal_day"), "cal_idx"))
 
 
 def _index_of(df: DataFrame, day_col: str, out_col: str, cuts: Cutoffs, cal: DataFrame) -> DataFrame:
@@ -123,17 +116,6 @@ def current_rows(daily: DataFrame, keys: list, cuts: Cutoffs, day_col: str = "da
                     "first_day", "last_day", "prev_day"))
 
 
-def after_first(first_days: DataFrame, keys: list, cuts: Cutoffs, day_col: str = "first_day") -> DataFrame:
-    """(keys, cutoff) for every cut-off strictly after the key's first day."""
-    spark = first_days.sparkSession
-    cal = cuts.calendar(spark)
-    d = _index_of(first_days.select(*keys, day_col), day_col, "_lo", cuts, cal)
-    idx = F.explode(F.when(F.col("_lo") < cuts.n, F.sequence(F.col("_lo") + 1, F.lit(cuts.n))))
-    arr = cuts.array()
-    return (d.select(*keys, idx.alias("_i"))
-            .select(*keys, F.element_at(arr, F.col("_i")).alias("cutoff")))
-
-
 @dataclass(frozen=True)
 class Frame:
     """One windowed aggregate: ``func(column)`` over the ``days`` before the
@@ -147,40 +129,21 @@ class Frame:
 _FUNCS = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "avg": F.avg}
 
 
-def asof_frames(facts: DataFrame, markers: DataFrame, keys: list, frames: list,
-                day_col: str = "day", carry: list | None = None) -> DataFrame:
-    """Aggregate ``facts`` for each marker row over frames ending the day
-    before the marker's cut-off.
-
-    ``facts``: keys, ``day_col``, measure columns (ideally one row per key-day).
-    ``markers``: keys, ``cutoff`` and optional ``carry`` columns passed through.
-    Returns one row per marker with keys, cutoff, carry and one column per frame.
-    """
-    carry = list(carry or [])
-    measures = sorted({f.column for f in frames})
-    fact_cols = [F.col(k) for k in keys] + [
-        F.lit(None).cast("date").alias("cutoff"),
-        F.unix_date(F.col(day_col)).alias("_dn"),
-        F.lit(False).alias("_marker")]
-    fact_cols += [F.lit(None).alias(c) for c in carry]
-    fact_cols += [F.col(m) for m in measures]
-    f = facts.select(*fact_cols)
-    mk_cols = [F.col(k) for k in keys] + [
-        F.col("cutoff"), F.unix_date(F.col("cutoff")).alias("_dn"), F.lit(True).alias("_marker")]
-    mk_cols += [F.col(c) for c in carry]
-    mk_cols += [F.lit(None).cast(f.schema[m].dataType).alias(m) for m in measures]
-    m = markers.select(*mk_cols)
-    # carry columns are typed from the markers side
-    f = f.select(*[F.col(c) if c not in carry else F.col(c).cast(m.schema[c].dataType) for c in f.columns])
-    u = f.unionByName(m)
-    base = Window.partitionBy(*keys).orderBy("_dn")
-    outs = []
+def _at_one_cutoff(days: DataFrame, keys: list, cutoff: _dt.date, frames: list, day_col: str, gap: str | None) -> DataFrame:
+    """``asof_rollup`` for one cut-off: a grouped aggregate with conditional
+    measures. The day before each day comes from one ``lag`` on the grouping
+    keys (planned only where the gap or ``prev_day`` is asked for)."""
+    before = F.lag(day_col).over(Window.partitionBy(*keys).orderBy(day_col))
+    d = days.filter(F.col(day_col) < F.lit(cutoff)).withColumn("_prev", before)
+    if gap:
+        d = d.withColumn(gap, F.datediff(day_col, "_prev").cast("long"))
+    outs = [F.max(day_col).alias("last_day"), F.max("_prev").alias("prev_day")]
     for fr in frames:
-        lo = Window.unboundedPreceding if fr.days is None else -int(fr.days)
-        outs.append(_FUNCS[fr.func](F.col(fr.column)).over(base.rangeBetween(lo, -1)).alias(fr.name))
-    return (u.select(*keys, "cutoff", "_marker", *carry, *outs)
-            .filter(F.col("_marker"))
-            .drop("_marker"))
+        x = F.col(fr.column)
+        if fr.days is not None:
+            x = F.when(F.col(day_col) >= F.lit(cutoff - _dt.timedelta(days=fr.days)), x)
+        outs.append(_FUNCS[fr.func](x).alias(fr.name))
+    return d.groupBy(*keys).agg(*outs).select(*keys, F.lit(cutoff).alias("cutoff"), "last_day", "prev_day", *[f.name for f in frames])
 
 
 def asof_rollup(days: DataFrame, keys: list, cuts: Cutoffs, frames: list,
@@ -205,9 +168,11 @@ def asof_rollup(days: DataFrame, keys: list, cuts: Cutoffs, frames: list,
     window needs; the explode then emits only requested markers.
     """
     spark = days.sparkSession
-    cal = cuts.calendar(spark)
     if not cuts.valid:
         days = days.filter(F.lit(False))
+    if cuts.n == 1 and requested is None:
+        return _at_one_cutoff(days, keys, cuts.last, frames, day_col, gap)
+    cal = cuts.calendar(spark)
     measures = sorted({f.column for f in frames})
     if requested is not None:
         req = (requested.select(*keys, "cutoff").distinct()

@@ -100,15 +100,24 @@ def _bounds(spark, d):
     return cal.activity_bounds(fx.tx_orders(spark, d))
 
 
+@register("mau_smoothed")
+def _mau_smoothed(spark, d):
+    return mt.monthly_smoothing(mt.mau(fx.tx_events(spark, d), 28), "ref_day", "mau")
+
+
 @register("date_spine_day")
 def _spine_day(spark, d):
-    b = cal.activity_bounds(fx.tx_orders(spark, d))
-    return b.select(F.explode(F.sequence("first_day", "last_day", F.expr("INTERVAL 1 DAY"))).alias("cutoff"))
+    return cal.spine_between(cal.activity_bounds(fx.tx_orders(spark, d)))
 
 
 @register("date_spine_month")
 def _spine_month(spark, d):
-    return _spine_day(spark, d).filter(F.dayofmonth("cutoff") == 1)
+    return cal.spine_between(cal.activity_bounds(fx.tx_orders(spark, d)), "month")
+
+
+@register("date_spine_month_padded")
+def _spine_month_padded(spark, d):
+    return cal.spine_between(cal.activity_bounds(fx.tx_orders(spark, d)), "month", pad=True)
 
 
 @register("user_history")
@@ -149,6 +158,11 @@ def _fv_orders(spark, d):
     return lc.frequency_value(fx.tx_orders(spark, d), ORD_CUT)
 
 
+@register("frequency_value_trimmed")
+def _fv_trimmed(spark, d):
+    return lc.trim(lc.frequency_value(fx.tx_events(spark, d), EV_CUT), "points_pos", 3000)
+
+
 @register("rfv_cluster_main")
 def _rfv_main(spark, d):
     return lc.rfv_cluster(lc.frequency_value(fx.tx_events_thin(spark, d), EV_CUT), MAIN)
@@ -174,6 +188,16 @@ def _seg(spark, d):
     return lc.segmentation_snapshot(fx.tx_orders(spark, d), ORD_CUT, MAIN)
 
 
+@register("segmentation_complete_rows")
+def _seg_complete(spark, d):
+    return cal.drop_incomplete(_seg(spark, d), ["frequency", "prev_age"])
+
+
+@register("segmentation_fixed_columns")
+def _seg_fixed(spark, d):
+    return cal.select_fixed(_seg(spark, d), ["user_id", "state", "not_there", "frequency"])
+
+
 @register("segmentation_snapshot_refs")
 def _seg_refs(spark, d):
     return lc.segmentation_snapshot(fx.tx_events_thin(spark, d), EV_CUT, REFS)
@@ -191,7 +215,8 @@ def _seg_monthly(spark, d):
 
 @register("lifecycle_report_latest")
 def _report(spark, d):
-    return lc.life_cycle_report(lc.segmentation_backfill(fx.tx_orders(spark, d), MONTHLY_CUTS, MAIN))
+    snapshots = lc.segmentation_backfill(fx.tx_orders(spark, d), MONTHLY_CUTS, MAIN)
+    return lc.life_cycle_report(snapshots, MONTHLY_CUTS[-1] - _dt.timedelta(days=1))
 
 
 @register("lifecycle_matrix")
@@ -319,12 +344,14 @@ def _fs_lc_backfill(spark, d):
 # -------------------------------------------------------- labels, cohort, ABT
 
 from loyalspark.operators import target as tg  # noqa: E402
+from loyalspark.sources.store import stage  # noqa: E402
 
 COHORT_TRAIN = (D(2024, 1, 4), D(2024, 1, 26))
 COHORT_OOT = (D(2024, 1, 27), D(2024, 1, 30))
 ABT_CUTS = spine_dates(D(2024, 1, 5), D(2024, 1, 31))
 ABT_PRESET = MAIN.with_features(lc_current_offset=1)
-LC_ORD_CUTS = spine_dates(D(1999, 11, 1), D(2000, 1, 1))
+# the whole order history, every seventh day up to the cut-off
+LC_ORD_CUTS = [ORD_CUT - _dt.timedelta(days=7 * k) for k in range(260, -1, -1)]
 
 
 def labels_7d(spark, d):
@@ -346,6 +373,16 @@ def _label_7d(spark, d):
     return labels_7d(spark, d)
 
 
+@register("label_7d_mature")
+def _label_7d_mature(spark, d):
+    return tg.label(lc_daily(spark, d), 7, MAIN, lo=D(2024, 1, 4), hi=D(2024, 1, 30), mature_only=True)
+
+
+@register("label_7d_extra_date")
+def _label_7d_extra(spark, d):
+    return tg.label(lc_daily(spark, d), 7, MAIN, lo=D(2024, 1, 4), hi=D(2024, 1, 10), extra=D(2024, 1, 20))
+
+
 @register("label_28d_orders")
 def _label_28d_orders(spark, d):
     cuts = [D(1998, 1, 5) + _dt.timedelta(days=28 * i) for i in range(0, 26)]
@@ -357,6 +394,11 @@ def _label_pairs(spark, d):
     return tg.label_pairs(lc_daily(spark, d), D(2024, 1, 1), horizon=7)
 
 
+@register("label_pairs_top")
+def _label_pairs_top(spark, d):
+    return tg.label_pairs(lc_daily(spark, d), D(2024, 1, 1), horizon=7, limit=10)
+
+
 @register("cohort_sample")
 def _cohort(spark, d):
     return cohort_7d(spark, d)
@@ -364,32 +406,47 @@ def _cohort(spark, d):
 
 def abt_frame(spark, d):
     """Cohort + the three feature stores at every cut-off, joined point in
-    time. (``fs_*(..., keys=cohort_keys)`` computes only the cohort's pairs;
-    it pays off when the cut-off list is long — hundreds of daily dates —
-    and costs an extra key join at this fixture's 27 dates, so the query
-    uses the feature-store form.)"""
+    time: the plain form, which the tests hold the keyed one against."""
     fs_tx = tr.fs_transactional(fx.tx_events_thin(spark, d), ABT_CUTS, ABT_PRESET)
     fs_lc = lf.fs_life_cycle(lc_daily(spark, d), ABT_CUTS, ABT_PRESET)
     fs_ed = edu_by_user(_edu(spark, d, ABT_CUTS, ABT_PRESET))
     return tg.abt(cohort_7d(spark, d), fs_tx, fs_lc, fs_ed)
 
 
-def abt_frame_keyed(spark, d):
-    """Same ABT with features computed only for the staged cohort's
-    (user, cutoff) pairs."""
-    from loyalspark.sources.store import stage
-    coh = stage(cohort_7d(spark, d), "cohort")
+def abt_frame_keyed(spark, d, require_lc=False):
+    """The same ABT with snapshots and cohort staged once and features
+    computed only for the cohort's (user, cutoff) pairs."""
+    snapshots = stage(lc_daily(spark, d), "lc_daily")
+    lab = tg.label(snapshots, 7, MAIN, lo=D(2024, 1, 4), hi=D(2024, 1, 30))
+    coh = stage(tg.cohort(lab, 2, 42, train=COHORT_TRAIN, oot=COHORT_OOT), "cohort")
     keys = coh.select("user_id", F.date_add("ref_date", 1).alias("cutoff"))
     fs_tx = tr.fs_transactional(fx.tx_events_thin(spark, d), ABT_CUTS, ABT_PRESET, keys=keys)
-    fs_lc = lf.fs_life_cycle(lc_daily(spark, d), ABT_CUTS, ABT_PRESET, keys=keys)
+    fs_lc = lf.fs_life_cycle(snapshots, ABT_CUTS, ABT_PRESET, keys=keys)
     ed_keys = keys.select(F.col("user_id").alias("user"), "cutoff")
     fs_ed = edu_by_user(_edu(spark, d, ABT_CUTS, ABT_PRESET, keys=ed_keys))
-    return tg.abt(coh, fs_tx, fs_lc, fs_ed)
+    return tg.abt(coh, fs_tx, fs_lc, fs_ed, require_lc=require_lc)
+
+
+_STAGED: dict[tuple, object] = {}
+
+
+def staged_abt(spark, d):
+    """The ABT as one table that all its consumers read: staged by the first
+    of them in an application, per input folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STAGED:
+        _STAGED[key] = stage(abt_frame_keyed(spark, d), "abt")
+    return _STAGED[key]
 
 
 @register("abt")
 def _abt(spark, d):
-    return abt_frame(spark, d)
+    return abt_frame_keyed(spark, d)
+
+
+@register("abt_with_life_cycle")
+def _abt_lc(spark, d):
+    return abt_frame_keyed(spark, d, require_lc=True)
 
 
 @register("fs_all")
@@ -419,23 +476,39 @@ STATE_VOCAB = list(LIFECYCLE_LABELS_MAIN) + [NON_USER_MAIN]
 
 @register("feature_null_rate")
 def _null_rate(spark, d):
-    abt_df = abt_frame(spark, d)
+    abt_df = staged_abt(spark, d)
     return pf.null_rates(abt_df, mp.feature_columns(abt_df))
 
 
 @register("feature_label_median_ratio")
 def _median_ratio(spark, d):
-    return pf.label_median_ratio(abt_frame(spark, d), "label", PROFILE_COLS)
+    return pf.label_median_ratio(staged_abt(spark, d), "label", PROFILE_COLS)
+
+
+@register("uninformative_features")
+def _uninformative(spark, d):
+    return pf.uninformative(pf.label_median_ratio(staged_abt(spark, d), "label", PROFILE_COLS))
+
+
+@register("feature_profile")
+def _feature_profile(spark, d):
+    return mp.feature_profile(staged_abt(spark, d))
+
+
+@register("stratified_split_sizes")
+def _split_sizes(spark, d):
+    return (mp.stratified_split(staged_abt(spark, d)).groupBy("label", "split")
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("label_rate_by_state")
 def _label_rate(spark, d):
-    return pf.label_rate(abt_frame(spark, d), "state_current")
+    return pf.label_rate(staged_abt(spark, d), "state_current")
 
 
 @register("split_label_rate")
 def _split_rate(spark, d):
-    return pf.split_summary(abt_frame(spark, d), "tag")
+    return pf.split_summary(staged_abt(spark, d), "tag")
 
 
 @register("describe_by_cluster")
@@ -456,12 +529,12 @@ def _minmax(spark, d):
 
 @register("impute_policy")
 def _impute(spark, d):
-    return mp.impute(abt_frame(spark, d)).select("ref_date", "user_id", *IMPUTE_COLS)
+    return mp.impute(staged_abt(spark, d)).select("ref_date", "user_id", *IMPUTE_COLS)
 
 
 @register("onehot_states")
 def _onehot(spark, d):
-    df = mp.impute(abt_frame(spark, d)).select("ref_date", "user_id", "state_current")
+    df = mp.impute(staged_abt(spark, d)).select("ref_date", "user_id", "state_current")
     return pf.onehot(df, "state_current", STATE_VOCAB, prefix="is")
 
 
@@ -482,7 +555,7 @@ def _db(spark, d):
 
 def _scored_fixed(spark, d):
     """ABT with a fixed score column (28-day activation) for curve formulas."""
-    return (abt_frame(spark, d).select("ref_date", "user_id", "label", "tag", "pct_active_mau")
+    return (staged_abt(spark, d).select("ref_date", "user_id", "label", "tag", "pct_active_mau")
             .withColumn("score", F.coalesce(F.col("pct_active_mau"), F.lit(0.0)))
             .withColumn("prediction", (F.col("score") >= 0.5).cast("double")))
 
@@ -504,7 +577,17 @@ def _confusion(spark, d):
 
 @register("baseline")
 def _baseline(spark, d):
-    return ma.baseline(abt_frame(spark, d), "label", "tag")
+    return ma.baseline(staged_abt(spark, d), "label", "tag")
+
+
+@register("metrics_fixed_score")
+def _metrics_fixed(spark, d):
+    return ma.metrics(_scored_fixed(spark, d), split="tag")
+
+
+@register("wcss_one_cluster")
+def _wcss_one(spark, d):
+    return ms.total_sum_squares(_fv_scaled(spark, d), ["frequency_scaled", "points_pos_scaled"])
 
 
 # rows-only (model fits and k-means labels are not SQL-expressible)
@@ -517,7 +600,17 @@ def _kmeans(spark, d):
 
 @register("elbow")
 def _elbow(spark, d):
-    return ms.elbow(_fv_scaled(spark, d), ["frequency_scaled", "points_pos_scaled"], range(1, 7))
+    return ms.elbow(_fv_scaled(spark, d), ["frequency_scaled", "points_pos_scaled"], range(1, 11))
+
+
+@register("elbow_raw")
+def _elbow_raw(spark, d):
+    return ms.elbow(_fv_scaled(spark, d), ["frequency", "points_pos"], range(1, 11))
+
+
+@register("cluster_indices")
+def _cluster_indices(spark, d):
+    return ms.index_sweep(_fv_scaled(spark, d), ["frequency_scaled", "points_pos_scaled"], range(2, 11))
 
 
 @register("silhouette")
@@ -526,24 +619,26 @@ def _silhouette(spark, d):
 
 
 def model_table(spark, d):
-    """Imputed, typed and split ABT, staged as a table for iterative fitting."""
-    from loyalspark.sources.store import stage
-    t = mp.impute(mp.cast_by_policy(abt_frame(spark, d)))
-    return stage(mp.stratified_split(t), "model_table")
+    """Raw ABT with its stratified split, staged for iterative fitting."""
+    return stage(mp.stratified_split(staged_abt(spark, d)), "model_table")
 
 
-def model_features(df):
-    return [c for c in mp.feature_columns(df) if c not in mm.CATEGORICAL and c != "split"
-            and dict(df.dtypes)[c] in ("bigint", "int", "double")]
+def fit_model(t, kind, **params):
+    """The whole pipeline, from raw rows to score, fitted on the train split
+    with the features that separate its labels."""
+    train = t.filter((F.col("tag") == "ABT") & (F.col("split") == "train"))
+    types = {c: k for c, k in t.dtypes if c in mp.feature_columns(t) and c != "split"}
+    dropped = set(mp.drop_uninformative(train.drop("split"))[1])
+    numeric = [c for c, k in types.items() if c not in mm.CATEGORICAL and k in ("bigint", "int", "double")
+               and c not in dropped and mp.rule_for(c)]
+    pipeline = mm.build_pipeline(numeric, list(mm.CATEGORICAL), kind, prepare=mp.policy_stages(types, numeric), **params)
+    return pipeline, train
 
 
 def _train_score(spark, d, kind):
     t = model_table(spark, d)
-    train = t.filter((F.col("tag") == "ABT") & (F.col("split") == "train"))
-    feats = model_features(t)
-    model = mm.build_pipeline(feats, list(mm.CATEGORICAL), kind).fit(train)
-    return mm.with_score(model.transform(t)).select("ref_date", "user_id", "tag", "split", "label",
-                                                    "score", "prediction")
+    pipeline, train = fit_model(t, kind)
+    return mm.predict(pipeline.fit(train), t).select("ref_date", "user_id", "tag", "split", "label", "score", "prediction")
 
 
 @register("train_score_rf")
@@ -558,16 +653,40 @@ def _train_dt(spark, d):
 
 @register("train_score_adaboost")
 def _ada(spark, d):
-    t = model_table(spark, d)
-    train = t.filter((F.col("tag") == "ABT") & (F.col("split") == "train"))
-    model = mm.fit_adaboost(train, model_features(t), list(mm.CATEGORICAL), rounds=20, learning_rate=0.1)
-    return mm.predict(model, t).select("ref_date", "user_id", "tag", "split", "label", "score", "prediction")
+    return _train_score(spark, d, "adaboost")
 
 
 @register("model_metrics")
 def _metrics(spark, d):
     s = _train_rf(spark, d).withColumn("part", F.when(F.col("tag") == "OOT", "oot").otherwise(F.col("split")))
-    return ma.metrics(s, split="part")
+    return ma.metrics(stage(s, "scored"), split="part")
+
+
+@register("feature_importance")
+def _importance(spark, d):
+    pipeline, train = fit_model(model_table(spark, d), "adaboost")
+    return ma.importance(pipeline.fit(train), train)
+
+
+@register("tune_tree")
+def _tune(spark, d):
+    """Cross-validated AUC of every point of the tree's default grid."""
+    pipeline, train = fit_model(model_table(spark, d), "dt")
+    cv = mm.tune(pipeline, train, "dt")
+    return spark.createDataFrame([(int(v), float(a)) for v, a in zip(mm.GRIDS["dt"]["minInstancesPerNode"], cv.avgMetrics)],
+                                 "min_instances int, auc double")
+
+
+@register("score_batch")
+def _score_batch(spark, d):
+    """A saved model, loaded again and run over the raw table."""
+    from loyalspark.ml import score as mscore
+    from loyalspark.session import scratch_path
+    t = model_table(spark, d)
+    pipeline, train = fit_model(t, "adaboost")
+    root = scratch_path(spark, f"models-{spark.sparkContext.applicationId}")
+    mscore.save_model(spark, pipeline.fit(train), {"kind": "adaboost"}, root)
+    return mscore.score_batch(spark, root, t)
 
 
 # ------------------------------------------- transactional store sub-blocks
@@ -602,3 +721,10 @@ def _tx_block(name, fixture, cols):
 
 for _name, (_fix, _cols) in TX_BLOCKS.items():
     register(_name)(_tx_block(_name, _fix, _cols))
+
+
+#: The feature policy as SQL rows for the oracle (its patterns without
+#: look-ahead, which no column of the ABT needs).
+POLICY_SQL = " UNION ALL ".join(
+    f"SELECT {i} AS step, '{r.group}' AS policy_group, '{r.pattern.split('|^share_(?!')[0]}' AS pattern, '{r.action}' AS action, "
+    f"'{r.dtype}' AS dtype, '{r.note}' AS note" for i, r in enumerate(mp.POLICY, 1))

@@ -57,7 +57,9 @@ def _build_fs_tx(spark, src, cuts, cfg):
 
 def _build_fs_edu(spark, src, cuts, cfg):
     r = lambda t: read_source(spark, src, EDUCATION, t)
-    slugs = [x[0] for x in r("episodes").select("course").distinct().orderBy("course").collect()]
+    # the pivot's columns: named in the preset, or else the register's courses
+    slugs = cfg.features.courses or [
+        x[0] for x in r("episodes").select("course").distinct().orderBy("course").collect()]
     return ed.fs_education(r("episodes_done"), r("episodes"), r("rewards"), r("skills"), r("user_bridge"),
                            cuts, slugs, cfg)
 
@@ -66,11 +68,35 @@ def _build_fs_lc(spark, src, cuts, cfg):
     return lf.fs_life_cycle(read_table(spark, src.path(ANALYTICS, "life_cycle")), cuts, cfg)
 
 
+def _dates(cuts):
+    return [c - _dt.timedelta(days=1) for c in cuts]
+
+
+def _build_labels(spark, src, cuts, cfg):
+    days = _dates(cuts)
+    snapshots = read_table(spark, src.path(ANALYTICS, "life_cycle"))
+    return tg.label(snapshots, HORIZON, cfg, lo=days[0], hi=days[-1])
+
+
+def _build_abt(spark, src, cuts, cfg):
+    """Sampled label rows with the stored features of their own date."""
+    a = lambda t: read_table(spark, src.path(ANALYTICS, t)).filter(F.col("ref_date").between(*map(F.lit, span)))
+    days = _dates(cuts)
+    span = (days[0], days[-1])
+    fs_ed = a("fs_education").drop("user").withColumnRenamed("customer_id", "user_id")
+    return tg.abt(tg.cohort(a("labels"), 2, 42, train=span), a("fs_transactional"), a("fs_life_cycle"), fs_ed)
+
+
+#: Days between a snapshot and the one its label looks at.
+HORIZON = 28
+
 JOBS: dict[str, Job] = {
     "life_cycle": Job("life_cycle", LOYALTY, "life_cycle", _build_life_cycle),
     "fs_transactional": Job("fs_transactional", LOYALTY, "fs_transactional", _build_fs_tx),
     "fs_education": Job("fs_education", EDUCATION, "fs_education", _build_fs_edu),
     "fs_life_cycle": Job("fs_life_cycle", ANALYTICS, "fs_life_cycle", _build_fs_lc),
+    "labels": Job("labels", ANALYTICS, "labels", _build_labels),
+    "abt": Job("abt", ANALYTICS, "abt", _build_abt),
 }
 
 
@@ -94,8 +120,11 @@ def run_chain(spark: SparkSession, day, sources: Sources, cfg="refs") -> None:
     for the same day (every step is an idempotent dated write, fs_all a full
     replace)."""
     d = as_date(day)
-    # fs_life_cycle needs the snapshot history up to the cut-off
-    for name in ("life_cycle", "fs_transactional", "fs_education", "fs_life_cycle"):
+    # fs_life_cycle reads the snapshot stamped cut-off - offset; the job at
+    # cut-off c writes the one stamped c - 1
+    ahead = d + _dt.timedelta(days=1 - min(1, _preset(cfg).features.lc_current_offset))
+    run_job(spark, "life_cycle", d, ahead, sources, cfg=cfg)
+    for name in ("fs_transactional", "fs_education", "fs_life_cycle"):
         run_job(spark, name, d, d, sources, cfg=cfg)
     a = lambda t: read_table(spark, sources.path(ANALYTICS, t))
     # the id bridge maps course-platform users to loyalty customer ids

@@ -1,638 +1,500 @@
-"""Independent SQL formulations (DuckDB dialect) of the registered queries.
+"""DuckDB SQL of the registered queries, the correctness oracle.
 
-These are written as plain SQL over the driver tables, the way the original
-analysis states each query, and serve as the correctness oracle for the
-Spark plans (which are built differently: user-day reduction, as-of frames,
-coverage intervals). Doubles are rounded to 6 places on both sides.
+Derived from the rules of SURVEY §2.13, not from the Spark plans: a user's
+history is one sorted list of day records, and a cut-off looks at the part of
+the list before it (list functions); the transactional store is filtered
+aggregates over one user-day table. Doubles are rounded to 6 places on both
+sides; means of doubles are taken over decimals, so no sum depends on order.
 """
 
 from __future__ import annotations
 
-from loyalspark.config import MAIN, REFS, Preset
+import re
+
+from loyalspark.config import LIFECYCLE_LABELS_MAIN, MAIN, NON_USER_MAIN, REFS, Preset
 from loyalspark.sources import fixtures as fx
 
+WINDOWS = {"life": None, "d7": 7, "d14": 14, "d28": 28, "d56": 56}
+
 
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def lifecycle_case(p: Preset, first="first_age", last="last_age", prev="prev_age") -> str:
-    cu, lo, rg, rb, to, de, zo = p.lifecycle.labels
-    return f"""CASE
-    WHEN {first} <= 7 THEN {q(cu)}
-    WHEN {last} <= 7 AND ({prev} - {last}) <= 14 THEN {q(lo)}
-    WHEN {last} <= 7 AND ({prev} - {last}) BETWEEN 15 AND 27 THEN {q(rg)}
-    WHEN {last} <= 7 AND ({prev} - {last}) >= 28 THEN {q(rb)}
-    WHEN {last} BETWEEN 8 AND 14 THEN {q(to)}
-    WHEN {last} BETWEEN 15 AND 28 THEN {q(de)}
-    WHEN {last} > 28 THEN {q(zo)}
-  END"""
+def pick(rules: list[tuple[str, str]]) -> str:
+    """Label of the first rule that holds."""
+    return "CASE " + " ".join(f"WHEN {cond} THEN {q(label)}" for label, cond in rules) + " END"
+
 
+def state_of(p: Preset, first: str, last: str, prev: str) -> str:
+    """State from the ages of the first, last and last but one active day."""
+    curious, loyal, regained, reborn, tourist, disenchanted, zombie = p.lifecycle.labels
+    pause = f"({prev} - {last})"
+    return pick([(curious, f"{first} <= 7"), (loyal, f"{last} <= 7 AND {pause} < 15"),
+                 (regained, f"{last} <= 7 AND {pause} < 28"), (reborn, f"{last} <= 7 AND {pause} >= 28"),
+                 (tourist, f"{last} BETWEEN 8 AND 14"), (disenchanted, f"{last} BETWEEN 15 AND 28"), (zombie, f"{last} > 28")])
 
-def rfv_case(p: Preset, f="frequency", v="points_pos") -> str:
-    lu, la, po, un, ha, hy, ef = p.rfv.labels
+
+def cluster_of(p: Preset, f: str = "frequency", v: str = "points_pos") -> str:
+    lurker, lazy, potential, undecided, hard, hyper, efficient = p.rfv.labels
     if p.rfv.variant == "main":
-        return f"""CASE
-    WHEN {f} < 5 AND {v} < 900 THEN {q(lu)}
-    WHEN {f} BETWEEN 5 AND 10 AND {v} < 900 THEN {q(la)}
-    WHEN {f} >= 10 AND {v} < 900 THEN {q(po)}
-    WHEN {f} < 10 AND {v} BETWEEN 900 AND 1500 THEN {q(un)}
-    WHEN {f} >= 10 AND {v} BETWEEN 900 AND 1500 THEN {q(ha)}
-    WHEN {f} < 10 AND {v} > 1500 THEN {q(hy)}
-    WHEN {f} >= 10 AND {v} > 1500 THEN {q(ef)}
-  END"""
-    return f"""CASE
-    WHEN {f} <= 10 AND {v} >= 1500 THEN {q(hy)}
-    WHEN {f} > 10 AND {v} >= 1500 THEN {q(ef)}
-    WHEN {f} <= 10 AND {v} >= 750 THEN {q(un)}
-    WHEN {f} > 10 AND {v} >= 750 THEN {q(ha)}
-    WHEN {f} < 5 THEN {q(lu)}
-    WHEN {f} <= 10 THEN {q(la)}
-    WHEN {f} > 10 THEN {q(po)}
-  END"""
-
-
-def cutoffs_cte(dates: list) -> str:
-    rows = ", ".join(f"(DATE '{d}')" for d in dates)
-    return f"SELECT * FROM (VALUES {rows}) AS t(cutoff)"
-
-
-def cutoff_series(start: str, stop: str, step: str = "1 DAY") -> str:
-    return (f"SELECT CAST(unnest(generate_series(DATE '{start}', DATE '{stop}', INTERVAL {step})) AS DATE)"
-            f" AS cutoff")
-
-
-def segmentation_sql(tx_sql: str, cut_sql: str, p: Preset = MAIN, days: int = 28) -> str:
-    """The life_cycle snapshot for every cut-off in ``cut_sql`` (brute force:
-    one join of every user-day with every later cut-off)."""
-    return f"""WITH tx AS ({tx_sql}),
-cuts AS ({cut_sql}),
-daily AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM tx),
-hist AS (SELECT c.cutoff, d.user_id, d.day FROM daily d JOIN cuts c ON d.day < c.cutoff),
-ages AS (SELECT cutoff, user_id,
-                CAST(date_diff('day', min(day), cutoff) AS BIGINT) AS first_age,
-                CAST(date_diff('day', max(day), cutoff) AS BIGINT) AS last_age
-         FROM hist GROUP BY cutoff, user_id),
-rn AS (SELECT cutoff, user_id, day,
-              row_number() OVER (PARTITION BY cutoff, user_id ORDER BY day DESC) AS rn FROM hist),
-pen AS (SELECT cutoff, user_id, CAST(date_diff('day', day, cutoff) AS BIGINT) AS prev_age FROM rn WHERE rn = 2),
-lc AS (SELECT a.cutoff, a.user_id, a.first_age, a.last_age, p.prev_age
-       FROM ages a LEFT JOIN pen p ON a.cutoff = p.cutoff AND a.user_id = p.user_id),
-fv AS (SELECT c.cutoff, t.user_id,
-              CAST(count(DISTINCT CAST(t.ts AS DATE)) AS BIGINT) AS frequency,
-              CAST(sum(CASE WHEN t.points > 0 THEN t.points ELSE 0 END) AS BIGINT) AS points_pos,
-              CAST(sum(CASE WHEN t.points < 0 THEN abs(t.points) ELSE 0 END) AS BIGINT) AS points_redeem
-       FROM tx t JOIN cuts c ON t.ts < c.cutoff AND t.ts >= c.cutoff - INTERVAL {days} DAY
-       GROUP BY c.cutoff, t.user_id)
-SELECT CAST(lc.cutoff - INTERVAL 1 DAY AS DATE) AS ref_date, lc.user_id, lc.first_age, lc.last_age, lc.prev_age,
-       {lifecycle_case(p, 'lc.first_age', 'lc.last_age', 'lc.prev_age')} AS state,
-       fv.frequency, fv.points_pos, fv.points_pos AS points_gain, fv.points_redeem,
-       {rfv_case(p, 'fv.frequency', 'fv.points_pos')} AS cluster
-FROM lc LEFT JOIN fv ON lc.cutoff = fv.cutoff AND lc.user_id = fv.user_id"""
-
-
-def lifecycle_sql(tx_sql: str, cutoff: str, p: Preset = MAIN) -> str:
-    return f"""WITH tx AS ({tx_sql}),
-daily AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM tx WHERE ts < DATE '{cutoff}'),
-ages AS (SELECT user_id, CAST(date_diff('day', min(day), DATE '{cutoff}') AS BIGINT) AS first_age,
-                CAST(date_diff('day', max(day), DATE '{cutoff}') AS BIGINT) AS last_age
-         FROM daily GROUP BY user_id),
-rn AS (SELECT user_id, day, row_number() OVER (PARTITION BY user_id ORDER BY day DESC) AS rn FROM daily),
-pen AS (SELECT user_id, CAST(date_diff('day', day, DATE '{cutoff}') AS BIGINT) AS prev_age FROM rn WHERE rn = 2)
-SELECT a.user_id, a.first_age, a.last_age, p.prev_age,
-       {lifecycle_case(p, 'a.first_age', 'a.last_age', 'p.prev_age')} AS state
-FROM ages a LEFT JOIN pen p ON a.user_id = p.user_id"""
-
-
-def fv_sql(tx_sql: str, cutoff: str, days: int = 28) -> str:
-    return f"""WITH tx AS ({tx_sql})
-SELECT user_id,
-       CAST(count(DISTINCT CAST(ts AS DATE)) AS BIGINT) AS frequency,
-       CAST(sum(CASE WHEN points > 0 THEN points ELSE 0 END) AS BIGINT) AS points_pos,
-       CAST(sum(CASE WHEN points > 0 THEN points ELSE abs(points) END) AS BIGINT) AS points_total,
-       CAST(sum(CASE WHEN points > 0 THEN points ELSE 0 END) AS BIGINT) AS points_gain,
-       CAST(sum(CASE WHEN points < 0 THEN abs(points) ELSE 0 END) AS BIGINT) AS points_redeem
-FROM tx
-WHERE ts < DATE '{cutoff}' AND ts >= DATE '{cutoff}' - INTERVAL {days} DAY
-GROUP BY user_id"""
+        return pick([(lurker, f"{v} < 900 AND {f} < 5"), (lazy, f"{v} < 900 AND {f} <= 10"), (potential, f"{v} < 900 AND {f} > 10"),
+                     (undecided, f"{v} <= 1500 AND {f} < 10"), (hard, f"{v} <= 1500 AND {f} >= 10"),
+                     (hyper, f"{v} > 1500 AND {f} < 10"), (efficient, f"{v} > 1500 AND {f} >= 10")])
+    return pick([(hyper, f"{v} >= 1500 AND {f} <= 10"), (efficient, f"{v} >= 1500 AND {f} > 10"),
+                 (undecided, f"{v} >= 750 AND {f} <= 10"), (hard, f"{v} >= 750 AND {f} > 10"),
+                 (lurker, f"{f} < 5"), (lazy, f"{f} <= 10"), (potential, f"{f} > 10")])
 
 
-def build() -> dict:
-    o = {}
-    ev, thin, ordq = fx.SQL_EV, fx.SQL_EV_THIN, fx.SQL_ORD
-
-    o["dau"] = f"""WITH tx AS ({ev})
-SELECT CAST(ts AS DATE) AS day, CAST(count(DISTINCT user_id) AS BIGINT) AS dau FROM tx GROUP BY 1"""
-    o["dau_orders"] = o["dau"].replace(ev, ordq)
-    o["dau_monthly_mean"] = f"""WITH tx AS ({ev}),
-d AS (SELECT CAST(ts AS DATE) AS day, count(DISTINCT user_id) AS dau FROM tx GROUP BY 1)
-SELECT strftime(day, '%Y-%m') AS month, round(avg(dau), 6) AS dau_mean FROM d GROUP BY 1"""
-    o["dau_smoothed"] = f"""WITH tx AS ({ev}),
-d AS (SELECT CAST(ts AS DATE) AS day, count(DISTINCT user_id) AS dau FROM tx GROUP BY 1)
-SELECT day, CAST(dau AS BIGINT) AS dau, round(avg(dau) OVER (PARTITION BY date_trunc('month', day)), 6) AS dau_monthly FROM d"""
-    o["dau_histogram"] = f"""WITH tx AS ({ev}),
-d AS (SELECT CAST(ts AS DATE) AS day, CAST(count(DISTINCT user_id) AS DOUBLE) AS dau FROM tx GROUP BY 1),
-e AS (SELECT min(dau) AS lo, 30 AS nb,
-             CASE WHEN max(dau) > min(dau) THEN (max(dau) - min(dau)) / 30 ELSE 1.0 END AS w FROM d),
-b AS (SELECT least(CAST(floor((d.dau - e.lo) / e.w) AS BIGINT), e.nb - 1) AS bin, e.lo, e.w FROM d, e)
-SELECT bin, round(lo + bin * w, 6) AS bin_lo, round(lo + (bin + 1) * w, 6) AS bin_hi,
-       CAST(count(*) AS BIGINT) AS count,
-       round(count(*) / (sum(count(*)) OVER () * w), 6) AS density
-FROM b GROUP BY bin, lo, w"""
-    o["dau_histogram_by_month"] = f"""WITH tx AS ({ordq}),
-d AS (SELECT CAST(ts AS DATE) AS day, CAST(count(DISTINCT user_id) AS DOUBLE) AS dau FROM tx GROUP BY 1),
-s AS (SELECT min(dau) AS lo, max(dau) AS hi, CAST(ceil(log2(count(dau))) AS BIGINT) + 1 AS nb FROM d),
-e AS (SELECT lo, nb, CASE WHEN hi > lo THEN (hi - lo) / nb ELSE 1.0 END AS w FROM s),
-b AS (SELECT CAST(year(d.day) AS BIGINT) AS year, CAST(month(d.day) AS BIGINT) AS month,
-             least(CAST(floor((d.dau - e.lo) / e.w) AS BIGINT), e.nb - 1) AS bin, e.lo, e.w FROM d, e)
-SELECT year, month, bin, round(lo + bin * w, 6) AS bin_lo, round(lo + (bin + 1) * w, 6) AS bin_hi,
-       CAST(count(*) AS BIGINT) AS count,
-       round(count(*) / (sum(count(*)) OVER (PARTITION BY year, month) * w), 6) AS density
-FROM b GROUP BY year, month, bin, lo, w"""
-    mau = """WITH tx AS ({tx}),
-daily AS (SELECT DISTINCT CAST(ts AS DATE) AS day, user_id FROM tx),
-days AS (SELECT DISTINCT day AS ref_day FROM daily)
-SELECT t1.ref_day, CAST(count(DISTINCT t2.day) AS BIGINT) AS days_in_window,
-       CAST(count(DISTINCT t2.user_id) AS BIGINT) AS mau
-FROM days t1 LEFT JOIN daily t2 ON t2.day <= t1.ref_day AND date_diff('day', t2.day, t1.ref_day) < 28
-GROUP BY t1.ref_day"""
-    o["mau_rolling_28"] = mau.format(tx=thin)
-    o["mau_rolling_28_events"] = mau.format(tx=ev)
-    o["mau_rolling_28_orders"] = mau.format(tx=ordq)
-    o["activity_bounds"] = f"""WITH tx AS ({ordq})
-SELECT min(CAST(ts AS DATE)) AS first_day, max(CAST(ts AS DATE)) AS last_day FROM tx"""
-    o["date_spine_day"] = f"""WITH tx AS ({ordq}), b AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM tx)
-SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS cutoff FROM b"""
-    o["date_spine_month"] = f"""WITH tx AS ({ordq}), b AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM tx),
-s AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS cutoff FROM b)
-SELECT cutoff FROM s WHERE day(cutoff) = 1"""
-    o["user_history"] = f"""WITH tx AS ({ev})
-SELECT user_id, ts, CAST(count(DISTINCT CAST(ts AS DATE)) AS BIGINT) AS frequency,
-       CAST(sum(CASE WHEN points > 0 THEN points ELSE 0 END) AS BIGINT) AS points_pos,
-       CAST(sum(CASE WHEN points > 0 THEN points ELSE abs(points) END) AS BIGINT) AS points_total,
-       CAST(sum(CASE WHEN points < 0 THEN abs(points) ELSE 0 END) AS BIGINT) AS points_redeem,
-       CAST(count(*) AS BIGINT) AS n_tx
-FROM tx WHERE user_id = 7 GROUP BY user_id, ts"""
-
-    o["lifecycle_snapshot_main"] = lifecycle_sql(thin, "2024-01-31", MAIN)
-    o["lifecycle_snapshot_refs"] = lifecycle_sql(thin, "2024-01-31", REFS)
-    o["lifecycle_snapshot_orders"] = lifecycle_sql(ordq, "2000-01-01", MAIN)
-    o["frequency_value"] = fv_sql(thin, "2024-01-31")
-    o["frequency_value_orders"] = fv_sql(ordq, "2000-01-01")
-    o["rfv_cluster_main"] = f"SELECT *, {rfv_case(MAIN)} AS cluster FROM ({fv_sql(thin, '2024-01-31')})"
-    o["rfv_cluster_refs"] = f"SELECT *, {rfv_case(REFS)} AS cluster FROM ({fv_sql(thin, '2024-01-31')})"
-    o["rfv_cluster_events"] = f"SELECT *, {rfv_case(MAIN)} AS cluster FROM ({fv_sql(ev, '2024-01-31')})"
-    o["cluster_sizes"] = f"""SELECT cluster, CAST(count(*) AS BIGINT) AS n FROM (SELECT {rfv_case(MAIN)} AS cluster
-FROM ({fv_sql(thin, '2024-01-31')})) GROUP BY cluster"""
-    o["segmentation_snapshot"] = segmentation_sql(ordq, cutoffs_cte(["2000-01-01"]), MAIN)
-    o["segmentation_snapshot_refs"] = segmentation_sql(thin, cutoffs_cte(["2024-01-31"]), REFS)
-    o["segmentation_backfill_daily"] = segmentation_sql(thin, cutoff_series("2024-01-02", "2024-01-31"), MAIN)
-    o["segmentation_backfill_monthly"] = segmentation_sql(ordq, cutoff_series("1998-01-01", "2001-08-01", "1 MONTH"), MAIN)
-    o["lifecycle_report_latest"] = f"""WITH lc AS ({segmentation_sql(ordq, cutoff_series('1998-01-01', '2001-08-01', '1 MONTH'), MAIN)})
-SELECT ref_date, state, CAST(count(*) AS BIGINT) AS n FROM lc
-WHERE state <> '05-ZUMBI' AND ref_date = (SELECT max(ref_date) FROM lc) GROUP BY ref_date, state"""
-    states = [s for s in MAIN.lifecycle.labels if s != MAIN.lifecycle.zombie]
-    from loyalspark.operators.lifecycle import state_column
-    cnt = ",\n       ".join(f"CAST(count(*) FILTER (WHERE state = {q(s)}) AS BIGINT) AS {state_column(s)}" for s in states)
-    base_lc = segmentation_sql(ordq, cutoff_series("1998-01-01", "2001-08-01", "1 MONTH"), MAIN)
-    o["lifecycle_matrix"] = f"""WITH lc AS ({base_lc})
-SELECT ref_date, strftime(ref_date, '%Y-%m') AS month,
-       {cnt}
-FROM lc GROUP BY ref_date"""
-    tot = " + ".join(f"count(*) FILTER (WHERE state = {q(s)})" for s in states)
-    pct = ",\n       ".join(
-        f"round(100.0 * count(*) FILTER (WHERE state = {q(s)}) / ({tot}), 6) AS {state_column(s).replace('n_', 'pct_', 1)}"
-        for s in states)
-    o["lifecycle_matrix_pct"] = f"""WITH lc AS ({base_lc})
-SELECT ref_date, strftime(ref_date, '%Y-%m') AS month,
-       {pct}
-FROM lc GROUP BY ref_date"""
-    o.update(build_features())
-    o.update(build_education())
-    o.update(build_lifecycle_features())
-    o.update(build_target())
-    o.update(build_profile())
-    o.update(build_tx_blocks())
+def dates(*days: str) -> str:
+    return f"SELECT unnest([{', '.join(f'DATE {q(d)}' for d in days)}]) AS cutoff"
+
+
+def every(start: str, stop: str, step: str = "1 DAY") -> str:
+    return f"SELECT unnest(generate_series(DATE '{start}', DATE '{stop}', INTERVAL {step}))::DATE AS cutoff"
+
+
+def mean(x: str) -> str:
+    """Mean over decimals with nine places."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(28, 9))) AS DOUBLE) / nullif(count({x}), 0)"
+
+
+# ------------------------------------------------------------- histories
+
+def user_days(tx: str) -> str:
+    """One row per user and active day."""
+    return f"""SELECT user_id, ts::DATE AS day, count(DISTINCT tx_id) AS n_tx, count(tx_id) AS n_rows, sum(points) AS net,
+       sum(greatest(points, 0)) AS pos, sum(least(points, 0)) AS neg, min(ts) AS t0, max(ts) AS t1,
+       count(tx_id) FILTER (hour(ts) BETWEEN 10 AND 14) AS mo, count(tx_id) FILTER (hour(ts) BETWEEN 15 AND 21) AS af,
+       count(tx_id) FILTER (hour(ts) NOT BETWEEN 10 AND 21) AS ni
+FROM ({tx}) GROUP BY ALL"""
+
+
+def known_at(tx: str, cuts: str) -> str:
+    """(cutoff, user_id, h): the day records before the cut-off, in order."""
+    return f"""SELECT * FROM (
+  SELECT cutoff, user_id, list_filter(h, lambda x: x.d < cutoff) AS h
+  FROM (SELECT user_id, list({{'d': day, 'pos': pos, 'neg': neg}} ORDER BY day) AS h FROM ({user_days(tx)}) GROUP BY user_id), ({cuts})
+) WHERE len(h) > 0"""
+
+
+def life_cycle(tx: str, cuts: str, p: Preset) -> str:
+    ages = f"""SELECT cutoff, user_id, h, cutoff - h[1].d AS first_age, cutoff - h[-1].d AS last_age, cutoff - h[-2].d AS prev_age
+FROM ({known_at(tx, cuts)})"""
+    return f"SELECT *, {state_of(p, 'first_age', 'last_age', 'prev_age')} AS state FROM ({ages})"
+
+
+def segmentation(tx: str, cuts: str, p: Preset = MAIN, days: int = 28) -> str:
+    """The dated snapshot: ages, state, and frequency and value of the last
+    ``days`` days (null without activity in them)."""
+    recent = f"SELECT *, list_filter(h, lambda x: x.d >= cutoff - {days}) AS r FROM ({life_cycle(tx, cuts, p)})"
+    return f"""SELECT *, {cluster_of(p)} AS cluster FROM (
+  SELECT cutoff - 1 AS ref_date, user_id, first_age, last_age, prev_age, state, nullif(len(r), 0) AS frequency,
+         list_sum(list_transform(r, lambda x: x.pos))::BIGINT AS points_pos, list_sum(list_transform(r, lambda x: x.pos))::BIGINT AS points_gain,
+         list_sum(list_transform(r, lambda x: -x.neg))::BIGINT AS points_redeem
+  FROM ({recent}))"""
+
+
+def snapshot_states(tx: str, cutoff: str, p: Preset) -> str:
+    return f"SELECT user_id, first_age, last_age, prev_age, state FROM ({life_cycle(tx, dates(cutoff), p)})"
+
+
+def frequency_value(tx: str, cutoff: str, days: int = 28) -> str:
+    return f"""SELECT user_id, count(*) AS frequency, sum(pos)::BIGINT AS points_pos, sum(pos - neg)::BIGINT AS points_total,
+       sum(pos)::BIGINT AS points_gain, sum(-neg)::BIGINT AS points_redeem
+FROM ({user_days(tx)}) WHERE DATE '{cutoff}' - day BETWEEN 1 AND {days} GROUP BY user_id"""
+
+
+def clustered(fv: str, p: Preset = MAIN) -> str:
+    return f"SELECT *, {cluster_of(p)} AS cluster FROM ({fv})"
+
+
+def daily(tx: str) -> str:
+    return f"SELECT day, count(*) AS dau FROM ({user_days(tx)}) GROUP BY day"
+
+
+def rolling(tx: str, days: int = 28) -> str:
+    """Every active day of a user counts for the ``days`` dates from it on."""
+    return f"""SELECT ref_day, count(DISTINCT day) AS days_in_window, count(DISTINCT user_id) AS mau FROM (
+  SELECT user_id, day, unnest(generate_series(day, day + {days - 1}, INTERVAL 1 DAY))::DATE AS ref_day FROM ({user_days(tx)})
+) SEMI JOIN (SELECT DISTINCT day AS ref_day FROM ({user_days(tx)})) USING (ref_day) GROUP BY ref_day"""
+
+
+def monthly(metric: str, day: str, value: str) -> str:
+    return f"""SELECT m.*, round(month_mean, 6) AS {value}_monthly FROM ({metric}) m
+JOIN (SELECT date_trunc('month', {day}) AS mo, avg({value}) AS month_mean FROM ({metric}) GROUP BY 1) ON date_trunc('month', {day}) = mo"""
+
+
+def histogram(values: str, bins: str, by: tuple = ()) -> str:
+    """``values`` has a column x and the ``by`` columns."""
+    keys = "".join(f"{k}, " for k in by)
+    return f"""WITH v AS ({values}),
+g AS (SELECT min(x) AS lo, {bins} AS nb, CASE WHEN max(x) > min(x) THEN (max(x) - min(x)) / ({bins}) ELSE 1.0 END AS width FROM v),
+placed AS (SELECT {keys}least(floor((x - lo) / width)::BIGINT, nb - 1) AS bin FROM v, g),
+counted AS (SELECT {keys}bin, count(*) AS n FROM placed GROUP BY ALL),
+whole AS (SELECT {keys}sum(n) AS total FROM counted {'GROUP BY ALL' if by else ''})
+SELECT {keys}bin, round(lo + bin * width, 6) AS bin_lo, round(lo + (bin + 1) * width, 6) AS bin_hi, n AS count,
+       round(n / (total * width), 6) AS density
+FROM counted {'JOIN whole USING (' + ', '.join(by) + ')' if by else ', whole'}, g"""
+
+
+def activity() -> dict:
+    o, ev, thin, ords = {}, fx.SQL_EV, fx.SQL_EV_THIN, fx.SQL_ORD
+    o["dau"] = daily(ev)
+    o["dau_orders"] = daily(ords)
+    o["dau_monthly_mean"] = f"SELECT strftime(day, '%Y-%m') AS month, round(avg(dau), 6) AS dau_mean FROM ({daily(ev)}) GROUP BY 1"
+    o["dau_smoothed"] = monthly(daily(ev), "day", "dau")
+    o["dau_histogram"] = histogram(f"SELECT dau::DOUBLE AS x FROM ({daily(ev)})", "30")
+    o["dau_histogram_by_month"] = histogram(
+        f"SELECT year(day) AS year, month(day) AS month, dau::DOUBLE AS x FROM ({daily(ords)})",
+        "ceil(log2(count(x)))::BIGINT + 1", ("year", "month"))
+    o["mau_rolling_28"], o["mau_rolling_28_events"], o["mau_rolling_28_orders"] = rolling(thin), rolling(ev), rolling(ords)
+    o["mau_smoothed"] = monthly(rolling(ev), "ref_day", "mau")
+    o["activity_bounds"] = f"SELECT min(ts)::DATE AS first_day, max(ts)::DATE AS last_day FROM ({ords})"
+    spine = f"SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY))::DATE AS cutoff FROM ({o['activity_bounds']})"
+    o["date_spine_day"] = spine
+    o["date_spine_month"] = f"SELECT cutoff FROM ({spine}) WHERE day(cutoff) = 1"
+    o["date_spine_month_padded"] = f"""SELECT cutoff FROM ({spine}) WHERE day(cutoff) = 1
+UNION ALL SELECT (date_trunc('month', last_day) + INTERVAL 1 MONTH)::DATE FROM ({o['activity_bounds']}) WHERE day(last_day) > 1"""
+    o["user_history"] = f"""SELECT user_id, ts, 1::BIGINT AS frequency, sum(greatest(points, 0))::BIGINT AS points_pos,
+       sum(abs(points))::BIGINT AS points_total, sum(greatest(-points, 0))::BIGINT AS points_redeem, count(*) AS n_tx
+FROM ({ev}) WHERE user_id = 7 GROUP BY ALL"""
     return o
 
 
-def _wn(w):
-    return "life" if w is None else f"d{w}"
+def segments() -> dict:
+    o, ev, thin, ords = {}, fx.SQL_EV, fx.SQL_EV_THIN, fx.SQL_ORD
+    cut, year = "2024-01-31", "2000-01-01"
+    o["lifecycle_snapshot_main"] = snapshot_states(thin, cut, MAIN)
+    o["lifecycle_snapshot_refs"] = snapshot_states(thin, cut, REFS)
+    o["lifecycle_snapshot_orders"] = snapshot_states(ords, year, MAIN)
+    o["frequency_value"] = frequency_value(thin, cut)
+    o["frequency_value_orders"] = frequency_value(ords, year)
+    o["frequency_value_trimmed"] = f"SELECT * FROM ({frequency_value(ev, cut)}) WHERE points_pos < 3000"
+    o["rfv_cluster_main"] = clustered(frequency_value(thin, cut))
+    o["rfv_cluster_refs"] = clustered(frequency_value(thin, cut), REFS)
+    o["rfv_cluster_events"] = clustered(frequency_value(ev, cut))
+    o["cluster_sizes"] = f"SELECT cluster, count(*) AS n FROM ({o['rfv_cluster_main']}) GROUP BY cluster"
+    o["segmentation_snapshot"] = segmentation(ords, dates(year))
+    o["segmentation_complete_rows"] = f"SELECT * FROM ({o['segmentation_snapshot']}) WHERE frequency IS NOT NULL AND prev_age IS NOT NULL"
+    o["segmentation_fixed_columns"] = f"SELECT user_id, state, 0 AS not_there, frequency FROM ({o['segmentation_snapshot']})"
+    o["segmentation_snapshot_refs"] = segmentation(thin, dates(cut), REFS)
+    o["segmentation_backfill_daily"] = segmentation(thin, every("2024-01-02", cut))
+    months = segmentation(ords, every("1998-01-01", "2001-08-01", "1 MONTH"))
+    o["segmentation_backfill_monthly"] = months
+    o["lifecycle_report_latest"] = f"""SELECT ref_date, state, count(*) AS n FROM ({months})
+WHERE ref_date = DATE '2001-07-31' AND state <> {q(MAIN.lifecycle.zombie)} GROUP BY ALL"""
+    from loyalspark.operators.lifecycle import state_column
+    names = {s: state_column(s) for s in MAIN.lifecycle.labels if s != MAIN.lifecycle.zombie}
+    counts = ", ".join(f"count(*) FILTER (state = {q(s)}) AS {n}" for s, n in names.items())
+    o["lifecycle_matrix"] = f"SELECT ref_date, strftime(ref_date, '%Y-%m') AS month, {counts} FROM ({months}) GROUP BY ref_date"
+    shares = ", ".join(f"round(100.0 * {n} / ({' + '.join(names.values())}), 6) AS {n.replace('n_', 'pct_', 1)}" for n in names.values())
+    o["lifecycle_matrix_pct"] = f"SELECT ref_date, month, {shares} FROM ({o['lifecycle_matrix']})"
+    return o
 
 
-def fs_transactional_sql(tx_sql: str, cut_sql: str, p: Preset = MAIN, with_products: bool = True,
-                         products: tuple = fx.ORD_PRODUCTS, categories: tuple = fx.ORD_CATEGORIES) -> str:
-    """Transactional feature store per cut-off, as conditional aggregates."""
+# ------------------------------------------------------ transactional store
+
+def transactional(tx: str, cuts: str, p: Preset = MAIN, with_products: bool = True, products: tuple = fx.ORD_PRODUCTS,
+                  categories: tuple = fx.ORD_CATEGORIES) -> str:
+    """Every feature is an aggregate over the user-day rows before the
+    cut-off, filtered by age; gaps are between neighbouring active days."""
     from loyalspark.operators.transactional import slug
     fc = p.features
-    wins = [None, 7, 14, 28, 56]
-
-    def cond(w):
-        return "TRUE" if w is None else f"day >= cutoff - INTERVAL {w} DAY"
-    aggs = []
-    for w in wins:
-        aggs.append(f"CAST(count(DISTINCT CASE WHEN {cond(w)} THEN day END) AS BIGINT) AS active_days_{_wn(w)}")
-    for w in wins:
-        aggs.append(f"CAST(count(DISTINCT CASE WHEN {cond(w)} THEN tx_id END) AS BIGINT) AS tx_{_wn(w)}")
-    for w in wins:
-        aggs.append(f"CAST(sum(CASE WHEN {cond(w)} THEN points ELSE 0 END) AS BIGINT) AS pts_net_{_wn(w)}")
-    for w in wins:
-        aggs.append(f"CAST(sum(CASE WHEN {cond(w)} AND points > 0 THEN points ELSE 0 END) AS BIGINT) AS pts_pos_{_wn(w)}")
-    neg = "points" if fc.signed_negative_points else "abs(points)"
-    for w in wins:
-        aggs.append(f"CAST(sum(CASE WHEN {cond(w)} AND points < 0 THEN {neg} ELSE 0 END) AS BIGINT) AS pts_neg_{_wn(w)}")
-    bands = {"morning": "hr BETWEEN 10 AND 14", "afternoon": "hr BETWEEN 15 AND 21", "night": "hr > 21 OR hr < 10"}
-    den = "nullif(count(DISTINCT tx_id), 0)" if fc.daypart_denominator == "distinct_tx" else "nullif(count(tx_id), 0)"
-    for b, c in bands.items():
-        aggs.append(f"CAST(count(CASE WHEN {c} THEN tx_id END) AS BIGINT) AS tx_{b}")
-    for b, c in bands.items():
-        aggs.append(f"round(1.0 * count(CASE WHEN {c} THEN tx_id END) / {den}, 6) AS pct_{b}")
-    if fc.fractional_age:
-        aggs.insert(0, "round(date_diff('microsecond', min(ts), CAST(cutoff - INTERVAL 1 DAY AS TIMESTAMP)) / 86400000000.0, 6) AS age_days")
-    else:
-        aggs.insert(0, "CAST(date_diff('day', min(day), cutoff) AS DOUBLE) AS age_days")
-    agg_sql = ",\n       ".join(aggs)
-    per_day = ",\n       ".join(
-        f"round(coalesce(1.0 * tx_{_wn(w)} / nullif(active_days_{_wn(w)}, 0), 0), 6) AS tx_per_day_{_wn(w)}" for w in wins)
-    hours = ",\n       ".join(
-        f"sum(CASE WHEN {cond(w)} THEN dur ELSE 0 END) AS hours_{_wn(w)}" for w in wins)
-    hours_out = ", ".join(f"round(hu.hours_{_wn(w)}, 6) AS hours_{_wn(w)}" for w in wins)
-    share_sel, share_cte, share_join = "", "", ""
+    out = {}
+
+    def within(days):
+        return "" if days is None else f" FILTER (cutoff - day <= {days})"
+
+    sums = {"active_days": "1", "tx": "n_tx", "pts_net": "net", "pts_pos": "pos",
+            "pts_neg": "neg" if fc.signed_negative_points else "-neg"}
+    for name, x in sums.items():
+        for w, days in WINDOWS.items():
+            out[f"{name}_{w}"] = f"coalesce(sum({x}){within(days)}, 0)::BIGINT"
+    for w, days in WINDOWS.items():
+        out[f"hours_{w}"] = f"round(coalesce(sum(date_diff('microsecond', t0, t1) / 3600000000.0){within(days)}, 0), 6)"
+        n, d = f"sum(n_tx){within(days)}", f"count(*){within(days)}"
+        out[f"tx_per_day_{w}"] = f"round(coalesce({n} / nullif({d}, 0), 0), 6)"
+    tx_total = "sum(n_tx)" if fc.daypart_denominator == "distinct_tx" else "sum(n_rows)"
+    for name, x in {"morning": "mo", "afternoon": "af", "night": "ni"}.items():
+        out[f"tx_{name}"] = f"sum({x})::BIGINT"
+        out[f"pct_{name}"] = f"round(sum({x}) / nullif({tx_total}, 0), 6)"
+    out["pct_active_mau"] = "round((count(*) FILTER (cutoff - day <= 28)) / 28.0, 6)"
+    out["gap_mean_life"] = "round(avg(gap), 6)"
+    out["gap_mean_d28"] = "round(avg(gap) FILTER (cutoff - day <= 28), 6)"
+    out["age_days"] = ("round(date_diff('microsecond', min(t0), CAST(cutoff - 1 AS TIMESTAMP)) / 86400000000.0, 6)"
+                       if fc.fractional_age else "(cutoff - min(day))::DOUBLE")
+    items = ""
     if with_products:
-        sden = "count(DISTINCT b.tx_id)" if fc.product_denominator == "distinct_tx" else "count(b.tx_id)"
-        sh = [f"round(1.0 * count(CASE WHEN pr.category = {q(c)} THEN b.tx_id END) / {sden}, 6) AS share_cat_{slug(c)}"
-              for c in categories]
-        sh += [f"round(1.0 * count(CASE WHEN pr.name = {q(n)} THEN b.tx_id END) / {sden}, 6) AS share_prod_{slug(n)}"
-               for n in products]
-        share_cte = (",\nsp AS (SELECT b.cutoff, b.user_id,\n       " + ",\n       ".join(sh) +
-                     f"\n  FROM base b LEFT JOIN ({fx.SQL_ITEMS}) it ON b.tx_id = it.tx_id"
-                     f" LEFT JOIN ({fx.SQL_PRODUCTS}) pr ON it.product_id = pr.product_id GROUP BY b.cutoff, b.user_id)")
-        share_sel = ", " + ", ".join(
-            [f"sp.share_cat_{slug(c)}" for c in categories] + [f"sp.share_prod_{slug(n)}" for n in products])
-        share_join = " LEFT JOIN sp ON a.cutoff = sp.cutoff AND a.user_id = sp.user_id"
-    core = ["a.age_days"] + [f"a.{b}_{_wn(w)}" for b in ("active_days", "tx", "pts_net", "pts_pos", "pts_neg")
-                              for w in wins]
-    core += [f"a.tx_{b}" for b in bands] + [f"a.pct_{b}" for b in bands]
-    return f"""WITH tx AS ({tx_sql}),
-cuts AS ({cut_sql}),
-base AS (SELECT c.cutoff, t.tx_id, t.user_id, t.ts, t.points, CAST(t.ts AS DATE) AS day, hour(t.ts) AS hr
-         FROM tx t JOIN cuts c ON t.ts < c.cutoff),
-agg AS (SELECT cutoff, user_id,
-       {agg_sql}
-  FROM base GROUP BY cutoff, user_id),
-hd AS (SELECT cutoff, user_id, day, date_diff('microsecond', min(ts), max(ts)) / 3600000000.0 AS dur
-       FROM base GROUP BY cutoff, user_id, day),
-hu AS (SELECT cutoff, user_id,
-       {hours}
-  FROM hd GROUP BY cutoff, user_id),
-lg AS (SELECT cutoff, user_id, day,
-              date_diff('day', lag(day) OVER (PARTITION BY cutoff, user_id ORDER BY day), day) AS gap FROM hd),
-gp AS (SELECT cutoff, user_id, round(avg(gap), 6) AS gap_mean_life,
-              round(avg(CASE WHEN day >= cutoff - INTERVAL 28 DAY THEN gap END), 6) AS gap_mean_d28
-       FROM lg GROUP BY cutoff, user_id){share_cte}
-SELECT CAST(a.cutoff - INTERVAL 1 DAY AS DATE) AS ref_date, a.cutoff, a.user_id,
-       {', '.join(core)},
-       {per_day},
-       round(a.active_days_d28 / 28.0, 6) AS pct_active_mau,
-       {hours_out}, gp.gap_mean_life, gp.gap_mean_d28{share_sel}
-FROM agg a
-LEFT JOIN hu ON a.cutoff = hu.cutoff AND a.user_id = hu.user_id
-LEFT JOIN gp ON a.cutoff = gp.cutoff AND a.user_id = gp.user_id{share_join}"""
-
-
-def build_features() -> dict:
+        wanted = {f"share_cat_{slug(c)}": f"category = {q(c)}" for c in categories} | \
+                 {f"share_prod_{slug(n)}": f"name = {q(n)}" for n in products}
+        total = "sum(n_tx)" if fc.product_denominator == "distinct_tx" else "sum(fan)"
+        for k, name in enumerate(wanted):
+            out[name] = f"round(sum(i{k}) / {total}, 6)"
+        hits = ", ".join(f"count(*) FILTER ({c}) AS c{k}" for k, c in enumerate(wanted.values()))
+        per_tx = f"SELECT tx_id, count(*) AS n_items, {hits} FROM ({fx.SQL_ITEMS}) LEFT JOIN ({fx.SQL_PRODUCTS}) USING (product_id) GROUP BY tx_id"
+        per_day = ", ".join(f"coalesce(sum(c{k}), 0) AS i{k}" for k in range(len(wanted)))
+        items = f""" JOIN (SELECT user_id, ts::DATE AS day, sum(greatest(coalesce(n_items, 0), 1)) AS fan, {per_day}
+  FROM ({tx}) LEFT JOIN ({per_tx}) USING (tx_id) GROUP BY ALL) USING (user_id, day)"""
+    cols = ",\n       ".join(f"{x} AS {name}" for name, x in out.items())
+    return f"""SELECT cutoff - 1 AS ref_date, cutoff, user_id,
+       {cols}
+FROM (SELECT *, day - lag(day) OVER (PARTITION BY user_id ORDER BY day) AS gap FROM ({user_days(tx)}){items})
+JOIN ({cuts}) ON day < cutoff GROUP BY cutoff, user_id"""
+
+
+def transactional_stores() -> dict:
+    ords, one = fx.SQL_ORD, dates("2000-01-01")
+    return {
+        "fs_transactional_main": transactional(ords, one),
+        "fs_transactional_refs": transactional(ords, one, REFS),
+        "fs_transactional_events": transactional(fx.SQL_EV, dates("2024-01-31"), with_products=False),
+        "fs_transactional_backfill": transactional(fx.SQL_EV_THIN, every("2024-01-05", "2024-01-31"), with_products=False),
+        "fs_transactional_monthly": transactional(ords, every("1999-01-01", "2000-12-01", "1 MONTH"), REFS),
+    }
+
+
+def transactional_blocks() -> dict:
+    from loyalspark.plans.catalog import TX_BLOCKS
     o = {}
-    ordq, ev, thin = fx.SQL_ORD, fx.SQL_EV, fx.SQL_EV_THIN
-    one = cutoffs_cte(["2000-01-01"])
-    o["fs_transactional_main"] = fs_transactional_sql(ordq, one, MAIN)
-    o["fs_transactional_refs"] = fs_transactional_sql(ordq, one, REFS)
-    o["fs_transactional_events"] = fs_transactional_sql(ev, cutoffs_cte(["2024-01-31"]), MAIN, with_products=False)
-    o["fs_transactional_backfill"] = fs_transactional_sql(
-        thin, cutoff_series("2024-01-05", "2024-01-31"), MAIN, with_products=False)
-    o["fs_transactional_monthly"] = fs_transactional_sql(
-        ordq, cutoff_series("1999-01-01", "2000-12-01", "1 MONTH"), REFS)
+    for name, (fixture, cols) in TX_BLOCKS.items():
+        base = (transactional(fx.SQL_ORD, dates("2000-01-01")) if fixture == "ORD"
+                else transactional(fx.TX_SQL[fixture], dates("2024-01-31"), with_products=False))
+        o[name] = f"SELECT ref_date, user_id, {', '.join(cols)} FROM ({base})"
     return o
 
 
-def fs_education_sql(cut_sql: str, p: Preset = MAIN, slugs: tuple | None = None, part: str = "fs") -> str:
+# ---------------------------------------------------------- education store
+
+def progress(cuts: str) -> str:
+    """Episodes done before the cut-off over the episodes of the register."""
+    return f"""SELECT "user", course, cutoff, n_eps, total_eps, n_eps / total_eps AS share FROM (
+  SELECT "user", course, cutoff, count(episode) AS n_eps FROM ({fx.SQL_EDU_DONE}), ({cuts}) WHERE ts < cutoff GROUP BY ALL
+) LEFT JOIN (SELECT course, count(episode) AS total_eps FROM ({fx.SQL_EDU_REGISTER}) GROUP BY course) USING (course)"""
+
+
+def course_table(cuts: str, p: Preset) -> str:
     from loyalspark.operators.transactional import slug
-    slugs = slugs or fx.edu_slugs()
-    fill = "0" if p.features.course_fill_zero else "NULL"
-    shares = ",\n       ".join(
-        f"round(sum(CASE WHEN course = {q(c)} THEN share ELSE {fill} END), 6) AS share_{slug(c)}" for c in slugs)
-    if p.features.fractional_edu_recency:
-        days = "round(date_diff('microsecond', act.last_ts, CAST(act.cutoff AS TIMESTAMP)) / 86400000000.0, 6)"
-    else:
-        days = "CAST(date_diff('day', CAST(act.last_ts AS DATE), act.cutoff) AS DOUBLE)"
-    head = f"""WITH cuts AS ({cut_sql}),
-done AS ({fx.SQL_EDU_DONE}),
-reg AS ({fx.SQL_EDU_REGISTER}),
-rew AS ({fx.SQL_EDU_REWARDS}),
-sk AS ({fx.SQL_EDU_SKILLS}),
-br AS ({fx.SQL_EDU_BRIDGE}),
-tot AS (SELECT course, CAST(count(episode) AS BIGINT) AS total_eps FROM reg GROUP BY course),
-uc AS (SELECT c.cutoff, d."user", d.course, CAST(count(d.episode) AS BIGINT) AS n_eps
-       FROM done d JOIN cuts c ON d.ts < c.cutoff GROUP BY 1, 2, 3),
-pc AS (SELECT uc.*, t.total_eps, 1.0 * uc.n_eps / t.total_eps AS share FROM uc LEFT JOIN tot t ON uc.course = t.course)"""
-    if part == "progress":
-        return head + """
-SELECT "user", course, cutoff, n_eps, total_eps, round(share, 6) AS share FROM pc"""
-    pv = f""",
-pv AS (SELECT cutoff, "user",
-       CAST(sum(CASE WHEN share = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_complete,
-       CAST(sum(CASE WHEN share > 0 AND share < 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_in_progress,
-       {shares}
-  FROM pc GROUP BY cutoff, "user"),
-act AS (SELECT c.cutoff, s."user", max(s.ts) AS last_ts
-        FROM (SELECT "user", ts FROM sk UNION ALL SELECT "user", ts FROM rew UNION ALL SELECT "user", ts FROM done) s
-        JOIN cuts c ON s.ts < c.cutoff GROUP BY 1, 2)"""
-    if part == "pivot":
-        return head + pv + "\nSELECT * FROM pv"
-    if part == "recency":
-        return head + pv + f"""
-SELECT pv."user", pv.cutoff, {days} AS days_since_activity
-FROM pv LEFT JOIN act ON pv.cutoff = act.cutoff AND pv."user" = act."user\""""
-    cols = ", ".join(f"pv.share_{slug(c)}" for c in slugs)
-    return head + pv + f"""
-SELECT CAST(pv.cutoff - INTERVAL 1 DAY AS DATE) AS ref_date, pv.cutoff, br.customer_id, pv."user",
-       pv.n_complete, pv.n_in_progress, {cols}, {days} AS days_since_activity
-FROM pv LEFT JOIN act ON pv.cutoff = act.cutoff AND pv."user" = act."user"
-JOIN br ON pv."user" = br."user\""""
-
-
-def build_education() -> dict:
-    one = cutoffs_cte(["2000-01-01"])
+    shares = ", ".join(
+        f"round(max(share) FILTER (course = {q(c)}), 6) AS share_{slug(c)}" if not p.features.course_fill_zero else
+        f"round(coalesce(max(share) FILTER (course = {q(c)}), 0), 6) AS share_{slug(c)}" for c in fx.edu_slugs())
+    return f"""SELECT cutoff, "user", count(*) FILTER (share = 1) AS n_complete, count(*) FILTER (share > 0 AND share < 1) AS n_in_progress, {shares}
+FROM ({progress(cuts)}) GROUP BY cutoff, "user\""""
+
+
+def recency(cuts: str, p: Preset) -> str:
+    since = ("round(date_diff('microsecond', max(ts), CAST(cutoff AS TIMESTAMP)) / 86400000000.0, 6)"
+             if p.features.fractional_edu_recency else "(cutoff - max(ts)::DATE)::DOUBLE")
+    acts = " UNION ALL ".join(f'SELECT "user", ts FROM ({s})' for s in (fx.SQL_EDU_DONE, fx.SQL_EDU_REWARDS, fx.SQL_EDU_SKILLS))
+    return f'SELECT cutoff, "user", {since} AS days_since_activity FROM ({acts}), ({cuts}) WHERE ts < cutoff GROUP BY cutoff, "user"'
+
+
+def education(cuts: str, p: Preset) -> str:
+    return f"""SELECT cutoff - 1 AS ref_date, customer_id, c.*, days_since_activity
+FROM ({course_table(cuts, p)}) c JOIN ({recency(cuts, p)}) USING (cutoff, "user") JOIN ({fx.SQL_EDU_BRIDGE}) USING ("user")"""
+
+
+def education_stores() -> dict:
+    one = dates("2000-01-01")
     return {
-        "course_progress": fs_education_sql(one, MAIN, part="progress"),
-        "course_pivot": fs_education_sql(one, MAIN, part="pivot"),
-        "course_last_activity": fs_education_sql(one, MAIN, part="recency"),
-        "fs_education": fs_education_sql(one, MAIN),
-        "fs_education_refs": fs_education_sql(one, REFS),
-        "fs_education_monthly": fs_education_sql(cutoff_series("1999-01-01", "2000-12-01", "1 MONTH"), MAIN),
+        "course_progress": f'SELECT * REPLACE (round(share, 6) AS share) FROM ({progress(one)})',
+        "course_pivot": course_table(one, MAIN),
+        "course_last_activity": f"""SELECT "user", cutoff, days_since_activity FROM ({recency(one, MAIN)})
+SEMI JOIN ({progress(one)}) USING ("user", cutoff)""",
+        "fs_education": education(one, MAIN),
+        "fs_education_refs": education(one, REFS),
+        "fs_education_monthly": education(every("1999-01-01", "2000-12-01", "1 MONTH"), MAIN),
     }
 
 
-LC_DAILY_CUTS = ("2024-01-01", "2024-01-31")
+# --------------------------------------------------------- life-cycle store
 
+def january(p: Preset = MAIN) -> str:
+    """Snapshots of EV_THIN for every day of January 2024."""
+    return segmentation(fx.SQL_EV_THIN, every("2024-01-01", "2024-01-31"), p)
 
-def lc_daily_sql(p: Preset = MAIN) -> str:
-    """LC_DAILY: segmentation backfill of EV_THIN for every day of January 2024."""
-    return segmentation_sql(fx.SQL_EV_THIN, cutoff_series(*LC_DAILY_CUTS), p)
 
-
-def fs_life_cycle_sql(lc_sql: str, cut_sql: str, p: Preset = MAIN) -> str:
+def life_cycle_store(snapshots: str, cuts: str, p: Preset) -> str:
+    """From each user's list of snapshots: the one at the cut-off less the
+    offset, the one 28 days before the last, and shares of all before."""
     from loyalspark.operators.lifecycle_features import pct_column
     off = p.features.lc_current_offset
-    labels = p.lifecycle.labels
-    den = "nullif(count(*), 0)"
-    pcts = ",\n       ".join(
-        f"1.0 * sum(CASE WHEN l.state = {q(s)} THEN 1 ELSE 0 END) / {den} AS {pct_column(s)}" for s in labels)
-    pct_out = ", ".join(f"round(shr.{pct_column(s)}, 6) AS {pct_column(s)}" for s in labels)
-    mov_cte, mov_out, mov_join = "", "", ""
+    shares = ", ".join(f"round(len(list_filter(past, lambda x: x.s = {q(s)})) / nullif(len(past), 0), 6) AS {pct_column(s)}"
+                       for s in p.lifecycle.labels)
+    moving = ""
     if p.features.moving_average:
-        mov_cte = f""",
-mv AS (SELECT c.cutoff, l.user_id, l.frequency,
-              row_number() OVER (PARTITION BY c.cutoff, l.user_id ORDER BY l.ref_date DESC) AS rn
-       FROM lc l JOIN cuts c ON l.ref_date BETWEEN c.cutoff - INTERVAL {off + 13} DAY AND c.cutoff - INTERVAL {off} DAY),
-mva AS (SELECT cutoff, user_id, avg(CASE WHEN rn <= 7 THEN frequency END) AS avg_freq_d7,
-               avg(frequency) AS avg_freq_d14 FROM mv GROUP BY cutoff, user_id)"""
-        mov_out = """,
-       round(mva.avg_freq_d7, 6) AS avg_freq_d7, round(mva.avg_freq_d14, 6) AS avg_freq_d14,
-       round(cur.frequency / nullif(mva.avg_freq_d7, 0), 6) AS ratio_freq_d7,
-       round(cur.frequency / nullif(mva.avg_freq_d14, 0), 6) AS ratio_freq_d14"""
-        mov_join = "\nLEFT JOIN mva ON cur.cutoff = mva.cutoff AND cur.user_id = mva.user_id"
-    return f"""WITH lc AS ({lc_sql}),
-cuts AS ({cut_sql}),
-cur AS (SELECT c.cutoff, l.user_id, l.state AS state_current, l.frequency
-        FROM lc l JOIN cuts c ON l.ref_date = c.cutoff - INTERVAL {off} DAY),
-d28 AS (SELECT c.cutoff, l.user_id, l.state AS state_d28 FROM lc l JOIN cuts c ON l.ref_date = c.cutoff - INTERVAL 29 DAY),
-shr AS (SELECT c.cutoff, l.user_id,
-       {pcts}
-  FROM lc l JOIN cuts c ON l.ref_date < c.cutoff GROUP BY c.cutoff, l.user_id),
-grp AS (SELECT cutoff, state_current, avg(frequency) AS avg_freq_group FROM cur GROUP BY cutoff, state_current){mov_cte}
-SELECT CAST(cur.cutoff - INTERVAL 1 DAY AS DATE) AS ref_date, cur.cutoff, cur.user_id, cur.state_current, cur.frequency,
-       d28.state_d28, {pct_out},
-       round(grp.avg_freq_group, 6) AS avg_freq_group,
-       round(cur.frequency / nullif(grp.avg_freq_group, 0), 6) AS ratio_freq_group{mov_out}
-FROM cur
-LEFT JOIN d28 ON cur.cutoff = d28.cutoff AND cur.user_id = d28.user_id
-LEFT JOIN shr ON cur.cutoff = shr.cutoff AND cur.user_id = shr.user_id
-LEFT JOIN grp ON cur.cutoff = grp.cutoff AND cur.state_current = grp.state_current{mov_join}"""
-
-
-def build_lifecycle_features() -> dict:
+        moving = """, round(list_avg(near[-7:].list_transform(lambda x: x.f)), 6) AS avg_freq_d7,
+       round(list_avg(list_transform(near, lambda x: x.f)), 6) AS avg_freq_d14,
+       round(frequency / nullif(list_avg(near[-7:].list_transform(lambda x: x.f)), 0), 6) AS ratio_freq_d7,
+       round(frequency / nullif(list_avg(list_transform(near, lambda x: x.f)), 0), 6) AS ratio_freq_d14"""
+    return f"""WITH h AS (SELECT user_id, list({{'d': ref_date, 's': state, 'f': frequency}} ORDER BY ref_date) AS h FROM ({snapshots}) GROUP BY user_id),
+seen AS (SELECT cutoff, user_id, list_filter(h, lambda x: x.d = cutoff - {off}) AS now, list_filter(h, lambda x: x.d = cutoff - 29) AS earlier,
+              list_filter(h, lambda x: x.d < cutoff) AS past,
+              list_filter(h, lambda x: x.d BETWEEN cutoff - {off + 13} AND cutoff - {off}) AS near FROM h, ({cuts})),
+cur AS (SELECT *, now[1].s AS state_current, now[1].f AS frequency, earlier[1].s AS state_d28 FROM seen WHERE len(now) = 1),
+grp AS (SELECT cutoff, state_current, avg(frequency) AS group_mean FROM cur GROUP BY ALL)
+SELECT cutoff - 1 AS ref_date, cutoff, user_id, state_current, frequency, state_d28, {shares},
+       round(group_mean, 6) AS avg_freq_group, round(frequency / nullif(group_mean, 0), 6) AS ratio_freq_group{moving}
+FROM cur JOIN grp USING (cutoff, state_current)"""
+
+
+def life_cycle_stores() -> dict:
     return {
-        "fs_life_cycle": fs_life_cycle_sql(lc_daily_sql(MAIN), cutoffs_cte(["2024-01-30"]), MAIN),
-        "fs_life_cycle_refs": fs_life_cycle_sql(lc_daily_sql(REFS), cutoffs_cte(["2024-01-31"]), REFS),
-        "fs_life_cycle_backfill": fs_life_cycle_sql(lc_daily_sql(MAIN), cutoff_series("2024-01-08", "2024-01-30"), MAIN),
+        "fs_life_cycle": life_cycle_store(january(), dates("2024-01-30"), MAIN),
+        "fs_life_cycle_refs": life_cycle_store(january(REFS), dates("2024-01-31"), REFS),
+        "fs_life_cycle_backfill": life_cycle_store(january(), every("2024-01-08", "2024-01-30"), MAIN),
     }
 
 
-def label_sql(lc_sql: str, horizon: int, p: Preset = MAIN, lo: str | None = None, hi: str | None = None) -> str:
-    cond = "TRUE"
-    if lo:
-        cond += f" AND t1.ref_date >= DATE '{lo}'"
-    if hi:
-        cond += f" AND t1.ref_date <= DATE '{hi}'"
-    return f"""WITH lc AS ({lc_sql})
-SELECT t1.ref_date, t1.user_id, t1.state, t2.state AS future_state,
-       CAST(CASE WHEN t2.state = {q(p.lifecycle.loyal)} THEN 1 ELSE 0 END AS BIGINT) AS label
-FROM lc t1 LEFT JOIN lc t2 ON t1.user_id = t2.user_id AND t1.ref_date + INTERVAL {horizon} DAY = t2.ref_date
-WHERE {cond} AND t1.state <> {q(p.lifecycle.zombie)}"""
-
+# ----------------------------------------------------- labels, cohorts, ABT
 
-def cohort_sql(label_q: str, k: int, seed: int, train: tuple, oot: tuple | None) -> str:
-    def part(rng, tag):
-        return f"""SELECT ref_date, user_id, label, '{tag}' AS tag FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY
-         md5(concat_ws('-', '{seed}', CAST(user_id AS VARCHAR), CAST(ref_date AS VARCHAR))), ref_date) AS rn
-  FROM lab WHERE ref_date BETWEEN DATE '{rng[0]}' AND DATE '{rng[1]}') s WHERE rn <= {k}"""
-    body = part(train, "ABT")
-    if oot:
-        body += "\nUNION ALL\n" + part(oot, "OOT")
-    return f"WITH lab AS ({label_q})\n{body}"
+def labels(snapshots: str, horizon: int, p: Preset = MAIN, keep: str = "TRUE", mature: bool = False) -> str:
+    """Each snapshot is counted once for its own date and once, as the
+    future, for the date ``horizon`` days before."""
+    return f"""SELECT ref_date, user_id, state, future_state, (future_state IS NOT DISTINCT FROM {q(p.lifecycle.loyal)})::BIGINT AS label FROM (
+  SELECT ref_date, user_id, max(now) AS state, max(later) AS future_state FROM (
+    SELECT ref_date, user_id, state AS now, NULL AS later FROM ({snapshots}) UNION ALL
+    SELECT ref_date - {horizon}, user_id, NULL, state FROM ({snapshots})
+  ) GROUP BY ref_date, user_id
+) WHERE state <> {q(p.lifecycle.zombie)} AND ({keep}){' AND future_state IS NOT NULL' if mature else ''}"""
 
 
 COHORT_TRAIN = ("2024-01-04", "2024-01-26")
 COHORT_OOT = ("2024-01-27", "2024-01-30")
 ABT_CUTS = ("2024-01-05", "2024-01-31")
 ABT_PRESET = MAIN.with_features(lc_current_offset=1)
-LC_ORD_CUTS = ("1999-11-01", "2000-01-01")
+LC_ORD_CUTS = ("1995-01-07", "2000-01-01", "7 DAY")
+WEEK = "ref_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-30'"
 
 
-def _edu_by_user(cut_sql: str, p: Preset) -> str:
+def cohort(label_q: str, k: int, seed: int, parts: dict) -> str:
+    tag = pick([(t, f"ref_date BETWEEN DATE '{lo}' AND DATE '{hi}'") for t, (lo, hi) in parts.items()])
+    return f"""SELECT ref_date, user_id, label, tag FROM (SELECT *, {tag} AS tag FROM ({label_q})) WHERE tag IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY tag, user_id ORDER BY md5('{seed}-' || user_id || '-' || ref_date), ref_date) <= {k}"""
+
+
+def education_by_user(cuts: str, p: Preset) -> str:
     """Education store keyed by the loyalty user id (bridge id 'C<n>')."""
-    return f"""SELECT CAST(substr(customer_id, 2) AS BIGINT) AS user_id, * EXCLUDE (customer_id, "user", cutoff)
-FROM ({fs_education_sql(cut_sql, p)})"""
-
-
-def _abt_stores_sql(base: str, tx_q: str, lc_q: str, ed_q: str | None) -> str:
-    sql = f"""SELECT b.*, t.* EXCLUDE (user_id, ref_date, cutoff), l.* EXCLUDE (user_id, ref_date, cutoff)"""
-    if ed_q:
-        sql += ", e.* EXCLUDE (user_id, ref_date)"
-    sql += f"""
-FROM ({base}) b
-LEFT JOIN ({tx_q}) t ON b.user_id = t.user_id AND b.ref_date = t.ref_date
-LEFT JOIN ({lc_q}) l ON b.user_id = l.user_id AND b.ref_date = l.ref_date"""
-    if ed_q:
-        sql += f"\nLEFT JOIN ({ed_q}) e ON b.user_id = e.user_id AND b.ref_date = e.ref_date"
+    return f'SELECT customer_id[2:]::BIGINT AS user_id, * EXCLUDE (customer_id, "user", cutoff) FROM ({education(cuts, p)})'
+
+
+def joined(base: str, *stores: str, how: str = "LEFT") -> str:
+    sql = f"SELECT * FROM ({base})"
+    for i, s in enumerate(stores):
+        sql += f"\n{how if i == 1 else 'LEFT'} JOIN ({s}) USING (user_id, ref_date)"
     return sql
 
 
-def build_target() -> dict:
-    lcd = lc_daily_sql(MAIN)
+def abt_sql(how: str = "LEFT") -> str:
+    cuts = every(*ABT_CUTS)
+    lab = labels(january(), 7, MAIN, WEEK)
+    return joined(cohort(lab, 2, 42, {"ABT": COHORT_TRAIN, "OOT": COHORT_OOT}),
+                  f"SELECT * EXCLUDE (cutoff) FROM ({transactional(fx.SQL_EV_THIN, cuts, ABT_PRESET, with_products=False)})",
+                  f"SELECT * EXCLUDE (cutoff) FROM ({life_cycle_store(january(), cuts, ABT_PRESET)})",
+                  education_by_user(cuts, ABT_PRESET), how=how)
+
+
+def targets() -> dict:
     o = {}
-    o["label_7d"] = label_sql(lcd, 7, MAIN, "2024-01-04", "2024-01-30")
-    lc_ord = segmentation_sql(fx.SQL_ORD, cutoff_series("1998-01-05", "1999-12-20", "28 DAY"), MAIN)
-    o["label_28d_orders"] = label_sql(lc_ord, 28, MAIN)
-    o["label_pairs"] = f"""WITH lc AS ({lcd})
-SELECT t1.ref_date AS t1_ref_date, t1.user_id AS t1_user_id, t1.state AS t1_state,
-       t2.ref_date AS t2_ref_date, t2.state AS t2_state
-FROM lc t1 LEFT JOIN lc t2 ON t1.user_id = t2.user_id AND t2.ref_date = DATE '2024-01-08'
-WHERE t1.ref_date = DATE '2024-01-01' AND day(t1.ref_date) = 1"""
-    lab = label_sql(lcd, 7, MAIN, "2024-01-04", "2024-01-30")
-    coh = cohort_sql(lab, 2, 42, COHORT_TRAIN, COHORT_OOT)
-    o["cohort_sample"] = coh
-    cuts = cutoff_series(*ABT_CUTS)
-    tx_q = fs_transactional_sql(fx.SQL_EV_THIN, cuts, ABT_PRESET, with_products=False)
-    lc_q = fs_life_cycle_sql(lcd, cuts, ABT_PRESET)
-    o["abt"] = _abt_stores_sql(coh, tx_q, lc_q, _edu_by_user(cuts, ABT_PRESET))
-    # fs_all: compact-variant stores at the latest transactional date (ORD + EDU)
-    one = cutoffs_cte(["2000-01-01"])
-    ftx = fs_transactional_sql(fx.SQL_ORD, one, REFS)
-    flc = fs_life_cycle_sql(segmentation_sql(fx.SQL_ORD, cutoff_series(*LC_ORD_CUTS), REFS), one, REFS)
-    fed = _edu_by_user(one, REFS)
-    o["fs_all"] = f"""WITH ftx AS ({ftx})
-SELECT t.* EXCLUDE (cutoff), l.* EXCLUDE (user_id, ref_date, cutoff), e.* EXCLUDE (user_id, ref_date)
-FROM ftx t
-LEFT JOIN ({flc}) l ON t.user_id = l.user_id AND t.ref_date = l.ref_date
-LEFT JOIN ({fed}) e ON t.user_id = e.user_id AND t.ref_date = e.ref_date
-WHERE t.ref_date = (SELECT max(ref_date) FROM ftx)"""
+    snaps = january()
+    o["label_7d"] = labels(snaps, 7, MAIN, WEEK)
+    o["label_7d_mature"] = labels(snaps, 7, MAIN, WEEK, mature=True)
+    o["label_7d_extra_date"] = labels(snaps, 7, MAIN, "ref_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-10' OR ref_date = DATE '2024-01-20'")
+    o["label_28d_orders"] = labels(segmentation(fx.SQL_ORD, every("1998-01-05", "1999-12-20", "28 DAY")), 28)
+    pairs = f"""SELECT a.ref_date AS t1_ref_date, a.user_id AS t1_user_id, a.state AS t1_state, b.ref_date AS t2_ref_date, b.state AS t2_state
+FROM (FROM ({snaps}) WHERE ref_date = DATE '2024-01-01') a LEFT JOIN (FROM ({snaps}) WHERE ref_date = DATE '2024-01-08') b USING (user_id)"""
+    o["label_pairs"] = pairs
+    o["label_pairs_top"] = f"{pairs} ORDER BY t1_user_id LIMIT 10"
+    o["cohort_sample"] = cohort(o["label_7d"], 2, 42, {"ABT": COHORT_TRAIN, "OOT": COHORT_OOT})
+    o["abt"] = abt_sql()
+    o["abt_with_life_cycle"] = abt_sql("INNER")
+    one = dates("2000-01-01")
+    o["fs_all"] = joined(f"SELECT * EXCLUDE (cutoff) FROM ({transactional(fx.SQL_ORD, one, REFS)})",
+                         f"SELECT * EXCLUDE (cutoff) FROM ({life_cycle_store(segmentation(fx.SQL_ORD, every(*LC_ORD_CUTS), REFS), one, REFS)})",
+                         education_by_user(one, REFS))
     return o
 
 
-def build_profile() -> dict:
-    from loyalspark.config import LIFECYCLE_LABELS_MAIN, NON_USER_MAIN
-    lcd = lc_daily_sql(MAIN)
-    lab = label_sql(lcd, 7, MAIN, "2024-01-04", "2024-01-30")
-    coh = cohort_sql(lab, 2, 42, COHORT_TRAIN, COHORT_OOT)
-    cuts = cutoff_series(*ABT_CUTS)
-    tx_q = fs_transactional_sql(fx.SQL_EV_THIN, cuts, ABT_PRESET, with_products=False)
-    lc_q = fs_life_cycle_sql(lcd, cuts, ABT_PRESET)
-    abt = _abt_stores_sql(coh, tx_q, lc_q, _edu_by_user(cuts, ABT_PRESET))
-    o = {}
-    o["feature_null_rate"] = f"""WITH abt AS ({abt}),
-txt AS (SELECT COLUMNS(* EXCLUDE (ref_date, user_id, label, tag))::VARCHAR FROM abt),
-lng AS (SELECT * FROM txt UNPIVOT INCLUDE NULLS (v FOR feature IN (COLUMNS(*))))
-SELECT feature, round(avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_rate
-FROM lng GROUP BY feature"""
-    cols = ["frequency", "active_days_d28", "tx_life", "pts_pos_d28", "hours_d7", "gap_mean_life",
-            "pct_02_fiel", "avg_freq_group", "days_since_activity", "n_in_progress"]
-    parts = []
-    for c in cols:
-        parts.append(f"""SELECT '{c}' AS feature,
-  round(avg(CAST({c} AS DOUBLE)) FILTER (WHERE label = 0), 6) AS mean0,
-  round(avg(CAST({c} AS DOUBLE)) FILTER (WHERE label = 1), 6) AS mean1,
-  round(quantile_disc(CAST({c} AS DOUBLE), 0.5) FILTER (WHERE label = 0), 6) AS median0,
-  round(quantile_disc(CAST({c} AS DOUBLE), 0.5) FILTER (WHERE label = 1), 6) AS median1
-FROM abt""")
-    o["feature_label_median_ratio"] = f"""WITH abt AS ({abt}), m AS ({' UNION ALL '.join(parts)})
-SELECT *, round((median1 + 0.001) / (median0 + 0.001), 6) AS median_ratio FROM m"""
-    o["label_rate_by_state"] = f"""WITH abt AS ({abt})
-SELECT state_current, CAST(count(*) AS BIGINT) AS n, round(avg(CAST(label AS DOUBLE)), 6) AS label_rate
-FROM abt GROUP BY state_current"""
-    o["split_label_rate"] = f"""WITH abt AS ({abt})
-SELECT tag, CAST(count(*) AS BIGINT) AS n, CAST(sum(label) AS BIGINT) AS positives,
-       round(avg(CAST(label AS DOUBLE)), 6) AS label_rate FROM abt GROUP BY tag"""
-    seg = segmentation_sql(fx.SQL_ORD, cutoffs_cte(["2000-01-01"]), MAIN)
-    desc = []
-    for c in ("frequency", "points_pos"):
-        x = f"CAST({c} AS DOUBLE)"
-        desc.append(f"""round(avg({x}), 6) AS {c}_mean, round(stddev_samp({x}), 6) AS {c}_std,
-       round(min({x}), 6) AS {c}_min, round(quantile_disc({x}, 0.25), 6) AS {c}_p25,
-       round(quantile_disc({x}, 0.5), 6) AS {c}_p50, round(quantile_disc({x}, 0.75), 6) AS {c}_p75,
-       round(max({x}), 6) AS {c}_max""")
-    o["describe_by_cluster"] = f"""WITH seg AS ({seg})
-SELECT cluster, CAST(count(*) AS BIGINT) AS n, {', '.join(desc)}
-FROM seg WHERE cluster IS NOT NULL GROUP BY cluster"""
-    fvc = f"SELECT *, {rfv_case(MAIN)} AS cluster FROM ({fv_sql(fx.SQL_EV, '2024-01-31')})"
-    scaled = f"""WITH fv AS ({fvc}), b AS (SELECT min(frequency) lf, max(frequency) hf, min(points_pos) lp, max(points_pos) hp FROM fv)
-SELECT fv.*, CASE WHEN hf > lf THEN (frequency - lf) / (hf - lf) ELSE 0.0 END AS frequency_scaled,
-       CASE WHEN hp > lp THEN (points_pos - lp) / (hp - lp) ELSE 0.0 END AS points_pos_scaled FROM fv, b"""
-    o["minmax_scale"] = f"""SELECT * REPLACE (round(frequency_scaled, 6) AS frequency_scaled,
-                   round(points_pos_scaled, 6) AS points_pos_scaled) FROM ({scaled})"""
-    thin_scaled = scaled.replace(f"({fv_sql(fx.SQL_EV, '2024-01-31')})", f"({fv_sql(fx.SQL_EV_THIN, '2024-01-31')})")
-    o["calinski_harabasz"] = f"""WITH pts AS (SELECT cluster AS c, frequency_scaled AS x1, points_pos_scaled AS x2 FROM ({thin_scaled})),
-g AS (SELECT avg(x1) m1, avg(x2) m2, count(*) n, count(DISTINCT c) k FROM pts),
-cl AS (SELECT c, count(*) nj, avg(x1) c1, avg(x2) c2 FROM pts GROUP BY c),
-bb AS (SELECT sum(nj * ((c1 - m1) ^ 2 + (c2 - m2) ^ 2)) b FROM cl, g),
-ww AS (SELECT sum((x1 - c1) ^ 2 + (x2 - c2) ^ 2) w FROM pts JOIN cl USING (c))
-SELECT CAST(k AS INTEGER) AS k,
-       CASE WHEN k > 1 AND n > k AND w > 0 THEN round((b / (k - 1)) / (w / (n - k)), 6) END AS calinski_harabasz
-FROM bb, ww, g"""
-    o["davies_bouldin"] = f"""WITH pts AS (SELECT cluster AS c, frequency_scaled AS x1, points_pos_scaled AS x2 FROM ({thin_scaled})),
-cl AS (SELECT c, avg(x1) c1, avg(x2) c2 FROM pts GROUP BY c),
-s AS (SELECT c, avg(sqrt((x1 - c1) ^ 2 + (x2 - c2) ^ 2)) s FROM pts JOIN cl USING (c) GROUP BY c),
-r AS (SELECT a.c, max((sa.s + sb.s) / sqrt((a.c1 - b.c1) ^ 2 + (a.c2 - b.c2) ^ 2)) r
-      FROM cl a JOIN cl b ON a.c <> b.c JOIN s sa ON sa.c = a.c JOIN s sb ON sb.c = b.c GROUP BY a.c)
-SELECT CAST((SELECT count(*) FROM cl) AS INTEGER) AS k, round(avg(r), 6) AS davies_bouldin FROM r"""
-    imp_cols = {
-        "state_current": f"coalesce(state_current, {q(NON_USER_MAIN)})",
-        "state_d28": f"coalesce(state_d28, {q(NON_USER_MAIN)})",
-        "frequency": "coalesce(frequency, 0)",
-        "gap_mean_life": "round(coalesce(gap_mean_life, 1000.0), 6)",
-        "days_since_activity": "round(coalesce(days_since_activity, 1000.0), 6)",
-        "hours_d7": "round(coalesce(hours_d7, 0.0), 6)",
-        "share_brand_1": "round(coalesce(share_brand_1, 0.0), 6)",
-        "pct_02_fiel": "round(coalesce(pct_02_fiel, 0.0), 6)",
-        "avg_freq_group": "round(coalesce(avg_freq_group, 1000.0), 6)",
-        "tx_per_day_d28": "round(coalesce(tx_per_day_d28, 0.0), 6)",
-    }
-    o["impute_policy"] = f"""WITH abt AS ({abt})
-SELECT ref_date, user_id, {', '.join(f'{v} AS {k}' for k, v in imp_cols.items())}
-FROM abt WHERE age_days IS NOT NULL"""
-    import re as _re
-    vocab = list(LIFECYCLE_LABELS_MAIN) + [NON_USER_MAIN]
-    oh = ", ".join(
-        f"CAST(CASE WHEN coalesce(state_current, {q(NON_USER_MAIN)}) = {q(v)} THEN 1 ELSE 0 END AS BIGINT) AS "
-        f"is_{_re.sub(r'[^0-9a-zA-Z]+', '_', v).strip('_').lower()}" for v in vocab)
-    o["onehot_states"] = f"""WITH abt AS ({abt})
-SELECT ref_date, user_id, coalesce(state_current, {q(NON_USER_MAIN)}) AS state_current, {oh}
-FROM abt WHERE age_days IS NOT NULL"""
-    sc = f"""SELECT label, coalesce(pct_active_mau, 0.0) AS score FROM ({abt})"""
-    o["roc_curve"] = f"""WITH s AS ({sc}),
-b AS (SELECT round(score, 4) AS threshold, sum(label) pos, sum(1 - label) neg FROM s GROUP BY 1)
-SELECT threshold,
-       round(sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) / sum(pos) OVER (), 6) AS tpr,
-       round(sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) / sum(neg) OVER (), 6) AS fpr
-FROM b"""
-    o["lift_curve"] = f"""WITH s AS ({sc}),
-b AS (SELECT round(score, 4) AS threshold, sum(label) pos, sum(1 - label) neg FROM s GROUP BY 1),
-c AS (SELECT threshold,
-             sum(pos + neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) cn,
-             sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) cp,
-             sum(pos + neg) OVER () n, sum(pos) OVER () p FROM b)
-SELECT threshold, round(cn / n, 6) AS population, round(cp / cn, 6) AS precision,
-       round((cp / cn) / (p / n), 6) AS lift FROM c"""
-    o["confusion"] = f"""WITH s AS ({sc})
-SELECT CAST(label AS BIGINT) AS label,
-       CAST(sum(CASE WHEN score < 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS pred_0,
-       CAST(sum(CASE WHEN score >= 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS pred_1
-FROM s GROUP BY label"""
-    o["baseline"] = f"""WITH abt AS ({abt})
-SELECT tag, CAST(count(*) AS BIGINT) AS n, round(avg(CAST(label AS DOUBLE)), 6) AS base_rate,
-       round(avg(CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END), 6) AS accuracy_zero, CAST(0.5 AS DOUBLE) AS auc_constant
-FROM abt GROUP BY tag"""
+# ------------------------------------------------------ profiles and curves
+
+PROFILE_COLS = ["frequency", "active_days_d28", "tx_life", "pts_pos_d28", "hours_d7", "gap_mean_life", "pct_02_fiel",
+                "avg_freq_group", "days_since_activity", "n_in_progress"]
+IMPUTED = {"frequency": 0, "gap_mean_life": 1000.0, "days_since_activity": 1000.0, "hours_d7": 0.0, "share_brand_1": 0.0,
+           "pct_02_fiel": 0.0, "avg_freq_group": 1000.0, "tx_per_day_d28": 0.0}
+
+
+def scaled(fv: str) -> str:
+    """Min-max scaled frequency and value."""
+    parts = ", ".join(f"coalesce(({c} - min({c}) OVER ()) / nullif((max({c}) OVER () - min({c}) OVER ())::DOUBLE, 0), 0.0) AS {c}_scaled"
+                      for c in ("frequency", "points_pos"))
+    return f"SELECT *, {parts} FROM ({fv})"
+
+
+def profiles() -> dict:
+    from loyalspark.plans.catalog import POLICY_SQL
+    abt, o = abt_sql(), {}
+    o["feature_null_rate"] = f"""SELECT feature, round(avg((v IS NULL)::INT), 6) AS null_rate
+FROM (SELECT COLUMNS(* EXCLUDE (ref_date, user_id, label, tag))::VARCHAR FROM ({abt})) UNPIVOT INCLUDE NULLS (v FOR feature IN (COLUMNS(*)))
+GROUP BY feature"""
+    o["feature_profile"] = f"""SELECT r.feature, null_rate, null_rate > 0 AS has_null, policy_group, action, dtype, note, step
+FROM ({o['feature_null_rate']}) r LEFT JOIN ({POLICY_SQL}) p ON regexp_matches(r.feature, p.pattern)
+QUALIFY row_number() OVER (PARTITION BY r.feature ORDER BY step) = 1"""
+    longer = " UNION ALL ".join(f"SELECT '{c}' AS feature, label, {c}::DOUBLE AS x FROM abt" for c in PROFILE_COLS)
+    by_label = ", ".join(f"round({mean(f'CASE WHEN label = {v} THEN x END')}, 6) AS mean{v}, "
+                         f"quantile_cont(x, 0.5) FILTER (label = {v}) AS m{v}" for v in (0, 1))
+    o["feature_label_median_ratio"] = f"""WITH abt AS ({abt})
+SELECT feature, mean0, mean1, round(m0, 6) AS median0, round(m1, 6) AS median1, round((m1 + 0.001) / (m0 + 0.001), 6) AS median_ratio
+FROM (SELECT feature, {by_label} FROM ({longer}) GROUP BY feature)"""
+    o["uninformative_features"] = f"SELECT feature FROM ({o['feature_label_median_ratio']}) WHERE median_ratio = 1 OR median_ratio IS NULL"
+    o["label_rate_by_state"] = f"SELECT state_current, count(*) AS n, round(avg(label), 6) AS label_rate FROM ({abt}) GROUP BY state_current"
+    o["split_label_rate"] = f"SELECT tag, count(*) AS n, sum(label)::BIGINT AS positives, round(avg(label), 6) AS label_rate FROM ({abt}) GROUP BY tag"
+    desc = ", ".join(f"""round({mean(c)}, 6) AS {c}_mean, round(stddev_samp({c}), 6) AS {c}_std, min({c})::DOUBLE AS {c}_min,
+  round(quantile_cont({c}, 0.25), 6) AS {c}_p25, round(quantile_cont({c}, 0.5), 6) AS {c}_p50, round(quantile_cont({c}, 0.75), 6) AS {c}_p75,
+  max({c})::DOUBLE AS {c}_max""" for c in ("frequency", "points_pos"))
+    o["describe_by_cluster"] = f"""SELECT cluster, count(*) AS n, {desc} FROM ({segmentation(fx.SQL_ORD, dates('2000-01-01'))})
+WHERE cluster IS NOT NULL GROUP BY cluster"""
+    o["minmax_scale"] = f"""SELECT * REPLACE (round(frequency_scaled, 6) AS frequency_scaled, round(points_pos_scaled, 6) AS points_pos_scaled)
+FROM ({scaled(clustered(frequency_value(fx.SQL_EV, '2024-01-31')))})"""
+    points = f"""pts AS (SELECT cluster, frequency_scaled AS x, points_pos_scaled AS y FROM ({scaled(clustered(frequency_value(fx.SQL_EV_THIN, '2024-01-31')))})),
+ctr AS (SELECT cluster, count(*) AS m, avg(x) AS cx, avg(y) AS cy FROM pts GROUP BY cluster),
+dev AS (SELECT cluster, x, y, cx, cy, (x - cx) ** 2 + (y - cy) ** 2 AS d2 FROM pts JOIN ctr USING (cluster))"""
+    o["calinski_harabasz"] = f"""WITH {points}
+SELECT k::INT AS k, CASE WHEN k > 1 AND n > k AND within > 0 THEN round(((total - within) / (k - 1)) / (within / (n - k)), 6) END AS calinski_harabasz
+FROM (SELECT count(*) AS n, count(DISTINCT cluster) AS k, sum(d2) AS within FROM dev),
+     (SELECT var_pop(x) * count(*) + var_pop(y) * count(*) AS total FROM pts)"""
+    o["davies_bouldin"] = f"""WITH {points}, s AS (SELECT cluster, cx, cy, avg(sqrt(d2)) AS s FROM dev GROUP BY ALL)
+SELECT count(*)::INT AS k, round(avg(worst), 6) AS davies_bouldin FROM (
+  SELECT a.cluster, max((a.s + b.s) / sqrt((a.cx - b.cx) ** 2 + (a.cy - b.cy) ** 2)) AS worst FROM s a, s b WHERE a.cluster <> b.cluster GROUP BY ALL)"""
+    states = ", ".join(f"coalesce({c}, {q(NON_USER_MAIN)}) AS {c}" for c in ("state_current", "state_d28"))
+    filled = ", ".join(f"round(coalesce({c}, {v}), 6) AS {c}" if isinstance(v, float) else f"coalesce({c}, {v}) AS {c}" for c, v in IMPUTED.items())
+    o["impute_policy"] = f"SELECT ref_date, user_id, {states}, {filled} FROM ({abt}) WHERE age_days IS NOT NULL"
+    onehot = ", ".join(f"(state_current = {q(v)})::BIGINT AS is_{re.sub('[^0-9a-zA-Z]+', '_', v).strip('_').lower()}"
+                       for v in [*LIFECYCLE_LABELS_MAIN, NON_USER_MAIN])
+    o["onehot_states"] = f"SELECT ref_date, user_id, state_current, {onehot} FROM ({o['impute_policy']})"
+    o["stratified_split_sizes"] = f"""SELECT label, split, count(*) AS n FROM (
+  SELECT label, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY md5('42-' || user_id || '-' || ref_date), user_id, ref_date)
+              <= round(0.2 * count(*) OVER (PARTITION BY label)) THEN 'test' ELSE 'train' END AS split FROM ({abt})) GROUP BY ALL"""
+    above = f"""WITH s AS (SELECT label, coalesce(pct_active_mau, 0.0) AS score FROM ({abt})), t AS (SELECT DISTINCT score AS threshold FROM s),
+a AS (SELECT threshold, count(*) AS n, sum(label) AS pos FROM t JOIN s ON score >= threshold GROUP BY threshold),
+w AS (SELECT count(*) AS all_n, sum(label) AS all_pos FROM s)
+SELECT round(threshold, 6) AS threshold, """
+    o["roc_curve"] = above + "round(pos / all_pos, 6) AS tpr, round((n - pos) / (all_n - all_pos), 6) AS fpr FROM a, w"
+    o["lift_curve"] = above + "round(n / all_n, 6) AS population, round(pos / n, 6) AS precision, round((pos / n) / (all_pos / all_n), 6) AS lift FROM a, w"
+    o["confusion"] = f"""SELECT label::BIGINT AS label, count(*) FILTER (coalesce(pct_active_mau, 0) < 0.5) AS pred_0,
+       count(*) FILTER (pct_active_mau >= 0.5) AS pred_1 FROM ({abt}) GROUP BY label"""
+    o["metrics_fixed_score"] = f"""WITH s AS (SELECT tag AS split, label, coalesce(pct_active_mau, 0.0) AS score FROM ({abt}))
+SELECT split, accuracy, auc FROM (SELECT split, round(avg(((score >= 0.5)::INT = label)::INT), 6) AS accuracy FROM s GROUP BY split)
+LEFT JOIN (SELECT split, round(avg(CASE WHEN p.score > n.score THEN 1.0 WHEN p.score = n.score THEN 0.5 ELSE 0.0 END), 6) AS auc
+      FROM (FROM s WHERE label = 1) p JOIN (FROM s WHERE label = 0) n USING (split) GROUP BY split) USING (split)"""
+    o["wcss_one_cluster"] = f"""SELECT 1 AS k, round(var_pop(frequency_scaled) * count(*) + var_pop(points_pos_scaled) * count(*), 6) AS wcss
+FROM ({scaled(clustered(frequency_value(fx.SQL_EV, '2024-01-31')))})"""
+    o["baseline"] = f"""SELECT tag, count(*) AS n, round(avg(label), 6) AS base_rate, round(1 - avg(label), 6) AS accuracy_zero, 0.5::DOUBLE AS auc_constant
+FROM ({abt}) GROUP BY tag"""
     return o
 
 
-def build_tx_blocks() -> dict:
-    from loyalspark.plans.catalog import TX_BLOCKS
+def build() -> dict:
     o = {}
-    for name, (fixture, cols) in TX_BLOCKS.items():
-        if fixture == "ORD":
-            base = fs_transactional_sql(fx.SQL_ORD, cutoffs_cte(["2000-01-01"]), MAIN)
-        else:
-            base = fs_transactional_sql(fx.TX_SQL[fixture], cutoffs_cte(["2024-01-31"]), MAIN, with_products=False)
-        o[name] = f"SELECT ref_date, user_id, {', '.join(cols)} FROM ({base})"
+    for part in (activity, segments, transactional_stores, transactional_blocks, education_stores, life_cycle_stores, targets, profiles):
+        o.update(part())
     return o

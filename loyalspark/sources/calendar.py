@@ -1,8 +1,7 @@
 """Date spines, activity bounds and the canonical projections / filters.
 
-S7 daily spine, S8 month-start spine, S9 first/last activity, P1 calendar
-columns, P2 strict before-cut-off filter, P3 look-back filter, P15 month
-starts. Filters are written on the bare ``ts`` column so they reach the
+S7 daily spine, S8 month-start spine, S9 first/last activity, P3 look-back
+filter, P11 complete rows, P13 fixed columns. Filters are written on the bare ``ts`` column so they reach the
 parquet scan as pushed filters.
 """
 
@@ -10,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loyalspark.functions.expr import as_date
@@ -23,21 +22,23 @@ def date_spine(spark: SparkSession, start, stop, step: str = "day", pad: bool =
     variant's "dates ending in 01"); with ``pad=True`` one more month start is
     appended when the last start lies before ``stop`` (step-by-step variant).
     """
-    start, stop = as_date(start), as_date(stop)
-    if step == "day":
-        expr = F.sequence(F.lit(start), F.lit(stop), F.expr("INTERVAL 1 DAY"))
-        return spark.range(1).select(F.explode(expr).alias("cutoff"))
-    if step != "month":
+    bounds = spark.range(1).select(F.lit(as_date(start)).alias("first_day"), F.lit(as_date(stop)).alias("last_day"))
+    return spine_between(bounds, step, pad)
+
+
+def spine_between(bounds: DataFrame, step: str = "day", pad: bool = False) -> DataFrame:
+    """The same spine between two date columns ``first_day`` and ``last_day``
+    (such as ``activity_bounds``); empty where nothing lies between them."""
+    if step not in ("day", "month"):
         raise ValueError(f"unknown step {step!r}")
-    first = start if start.day == 1 else (start.replace(day=1) + _dt.timedelta(days=32)).replace(day=1)
-    months = F.sequence(F.lit(first), F.lit(stop), F.expr("INTERVAL 1 MONTH"))
-    out = spark.range(1).select(F.explode(months).alias("cutoff"))
-    if pad:
-        last_start = stop.replace(day=1)
-        if last_start < stop:
-            extra = (last_start + _dt.timedelta(days=32)).replace(day=1)
-            out = out.unionByName(spark.range(1).select(F.lit(extra).alias("cutoff")))
-    return out
+    lo, hi = F.col("first_day"), F.col("last_day")
+    if step == "month":
+        lo = F.when(F.dayofmonth(lo) == 1, lo).otherwise(F.add_months(F.trunc(lo, "MM"), 1))
+        if pad:  # one more start after a month that is already under way
+            hi = F.when((F.dayofmonth(hi) > 1) & (lo <= F.add_months(F.trunc(hi, "MM"), 1)),
+                        F.add_months(F.trunc(hi, "MM"), 1)).otherwise(hi)
+    days = F.sequence(lo, hi, F.expr(f"INTERVAL 1 {step.upper()}"))
+    return bounds.select(F.explode(F.when(lo <= hi, days)).alias("cutoff"))
 
 
 def spine_dates(start, stop, step: str = "day", pad: bool = False) -> list[_dt.date]:
@@ -65,43 +66,17 @@ def activity_bounds(tx: DataFrame) -> DataFrame:
                   F.max(F.to_date("ts")).alias("last_day"))
 
 
-def with_calendar(tx: DataFrame, cutoff=None) -> DataFrame:
-    """Add ``day`` (date), ``hour`` and optionally the ``cutoff`` column."""
-    out = tx.withColumn("day", F.to_date("ts")).withColumn("hour", F.hour("ts"))
-    if cutoff is not None:
-        out = out.withColumn("cutoff", F.lit(as_date(cutoff)))
-    return out
-
-
-def before(tx: DataFrame, cutoff, ts_col: str = "ts") -> DataFrame:
-    """Strict ``ts < cutoff`` (activity up to 23:59 of the previous day)."""
-    return tx.filter(F.col(ts_col) < F.lit(as_date(cutoff)))
-
-
 def lookback(tx: DataFrame, cutoff, days: int = 28, ts_col: str = "ts") -> DataFrame:
-    """``cutoff - days <= ts < cutoff``; midnight at ``cutoff - days`` is kept."""
-    c = as_date(cutoff)
+    """``cutoff - days <= ts < cutoff``; midnight at ``cutoff - days`` is kept.
+    An unparsable cut-off keeps nothing (S10)."""
+    try:
+        c = as_date(cutoff)
+    except ValueError:
+        return tx.filter(F.lit(False))
     lo = c - _dt.timedelta(days=days)
     return tx.filter((F.col(ts_col) >= F.lit(lo)) & (F.col(ts_col) < F.lit(c)))
 
 
-def in_range(df: DataFrame, column: str, lo, hi, extra=None) -> DataFrame:
-    """``lo <= column <= hi`` or one extra date."""
-    cond = F.col(column).between(F.lit(as_date(lo)), F.lit(as_date(hi)))
-    if extra is not None:
-        cond = cond | (F.col(column) == F.lit(as_date(extra)))
-    return df.filter(cond)
-
-
-def month_starts(df: DataFrame, column: str = "ref_date") -> DataFrame:
-    """Keep snapshot dates that are the first of a month."""
-    return df.filter(F.dayofmonth(column) == 1)
-
-
-def is_month_start(c: Column) -> Column:
-    return F.dayofmonth(c) == 1
-
-
 def drop_incomplete(df: DataFrame, subset: list[str]) -> DataFrame:
     """Drop rows with a NULL in any of ``subset``."""
     return df.dropna(subset=list(subset))

@@ -5,9 +5,8 @@ SQL text used by the DuckDB oracle. Canonical transaction columns are
 ``tx_id bigint, user_id bigint, ts timestamp, points bigint, kind string``.
 
 * ``EV``      dense activity: every event is a transaction.
-* ``EV_THIN`` EV restricted by a per-user visiting rhythm so that every
-              life-cycle state occurs (the filter shapes the data, it does not
-              sample it for speed; whole-table variants are registered too).
+* ``EV_THIN`` every event of EV, moved to the visit days of a per-user rhythm
+              so that every life-cycle state occurs.
 * ``ORD``     sparse long history: orders as transactions, line items as
               the transaction-product bridge and parts as the product register.
 * ``EDU``     a course platform derived from orders / line items / parts.
@@ -42,11 +41,16 @@ def tx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tx_events_thin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event, moved to its user's latest visit day (an event before the
+    first visit day moves to that one); the time of day stays."""
     tx = tx_events(spark, sf_dir)
-    di = F.datediff(F.to_date("ts"), F.lit(EV_START))
     uid = F.col("user_id")
-    keep = (((di + uid) % (F.lit(1) + uid % 29)) == 0) & (di >= (uid % 7) * 4)
-    return tx.filter(keep)
+    di = F.datediff(F.to_date("ts"), F.lit(EV_START))
+    every, start = F.lit(1) + uid % 29, (uid % 7) * 4
+    latest = di - (di + uid) % every
+    first = F.least(start + (every - (start + uid) % every) % every, F.lit(29))
+    shift = (F.when(latest >= start, latest).otherwise(first) - di).cast("int")
+    return tx.withColumn("ts", F.timestamp_add("DAY", shift, "ts"))
 
 
 def tx_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,11 +77,6 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_brand").alias("category"))
 
 
-def product_names(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Product names of the ORD register (6 part types)."""
-    return ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-
-
 # Two brands stand in for the two grouped categories of the original store.
 ORD_CATEGORIES = ("Brand#11", "Brand#22")
 ORD_PRODUCTS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -137,9 +136,9 @@ SQL_EV = """SELECT event_id AS tx_id, user_id, ts,
        event_type AS kind
 FROM events"""
 
-SQL_EV_THIN = f"""SELECT * FROM ({SQL_EV}) ev
-WHERE ((date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + user_id) % (1 + user_id % 29)) = 0
-  AND date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) >= (user_id % 7) * 4"""
+SQL_EV_THIN = f"""SELECT tx_id, user_id, ts + to_days(CAST(CASE WHEN di - (di + user_id) % every >= start THEN di - (di + user_id) % every
+         ELSE least(start + (every - (start + user_id) % every) % every, 29) END - di AS INTEGER)) AS ts, points, kind
+FROM (SELECT *, ts::DATE - DATE '2024-01-01' AS di, 1 + user_id % 29 AS every, user_id % 7 * 4 AS start FROM ({SQL_EV}))"""
 
 SQL_ORD = """SELECT o_orderkey AS tx_id, o_custkey AS user_id, o_orderdate AS ts,
        CAST((CASE WHEN o_orderstatus = 'F' THEN -1 ELSE 1 END) * CAST(floor(o_totalprice / 200) AS BIGINT) AS BIGINT) AS points,

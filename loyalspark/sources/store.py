@@ -30,8 +30,12 @@ class Sources:
         return os.path.join(self.root, database, table)
 
 
-def read_source(spark: SparkSession, sources: Sources, database: str, table: str) -> DataFrame:
-    """Scan an origin table (parquet)."""
+def read_source(spark: SparkSession, sources: Sources, database: str, table: str, jdbc: dict | None = None) -> DataFrame:
+    """Scan an origin table: parquet below the root, or with ``jdbc``
+    options (``url``, ``partitionColumn``, ``lowerBound``, ``upperBound``,
+    ``numPartitions``, ...) a database read in parallel ranges."""
+    if jdbc:
+        return spark.read.format("jdbc").options(dbtable=table, **jdbc).load()
     return spark.read.parquet(sources.path(database, table))
 
 
@@ -40,18 +44,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
-              lower: int, upper: int, num_partitions: int, **options) -> DataFrame:
-    """S1 (database origin): parallel JDBC scan split on a numeric column."""
-    reader = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
-              .option("partitionColumn", partition_column)
-              .option("lowerBound", lower).option("upperBound", upper)
-              .option("numPartitions", num_partitions))
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    return reader.load()
-
-
 def _hadoop_fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
@@ -67,22 +59,28 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def write_snapshot(df: DataFrame, path: str, dates=None, date_col: str = "ref_date") -> None:
     """S4 + S6: idempotent dated write.
 
-    The partitions of the requested ``dates`` are removed first (the
-    delete-then-append of the original jobs, so an empty re-run clears its
-    date), then ``df`` is written with ``partitionBy(date_col)`` and dynamic
-    partition overwrite, which replaces any other date present in ``df`` and
-    leaves every other date untouched. The job commit publishes files only
-    when all tasks succeed. The target is created on first run.
+    ``df`` is written with ``partitionBy(date_col)`` and dynamic partition
+    overwrite, which replaces the dates present in ``df`` and leaves every
+    other date untouched; files are published only when all tasks succeeded,
+    so a failed run keeps the old partitions. Only then are those of the
+    requested ``dates`` removed that the run did not write (an empty re-run
+    clears its date). The target is created on first run.
     """
     spark = df.sparkSession
-    for d in sorted({as_date(x) for x in (dates or [])}):
-        part = os.path.join(path, f"{date_col}={d.isoformat()}")
-        fs, p, _ = _hadoop_fs(spark, part)
-        if fs.exists(p):
-            fs.delete(p, True)
+    wanted = sorted({as_date(x) for x in (dates or [])})
+
+    def files(d) -> set:
+        fs, p, _ = _hadoop_fs(spark, os.path.join(path, f"{date_col}={d.isoformat()}"))
+        return {f.getPath().getName() for f in fs.listStatus(p)} if fs.exists(p) else set()
+
+    before = {d: files(d) for d in wanted}
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(date_col).parquet(path))
+    for d in wanted:  # file names carry the write's id: unchanged ones are old
+        if before[d] and files(d) == before[d]:
+            fs, p, _ = _hadoop_fs(spark, os.path.join(path, f"{date_col}={d.isoformat()}"))
+            fs.delete(p, True)
 
 
 def write_replace(df: DataFrame, path: str, partition_by: str | None = None) -> None:
