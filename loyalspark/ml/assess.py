@@ -1,46 +1,46 @@
 """Model assessment: M22-M27.
 
-Curves are computed on score bins (``round(score, digits)``), so the ordered
-cumulative pass runs over at most 10**digits + 1 rows whatever the data size;
-counting per bin is a plain partial aggregation.
+Curves have one row per distinct score; ``digits`` rounds scores first, as a
+named opt-in where a continuous score has too many values for the ordered
+cumulative pass. Counting per score is a plain partial aggregation.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def metrics(scored: DataFrame, label: str = "label", score: str = "score",
             prediction: str = "prediction", split: str | None = None) -> DataFrame:
-    """Accuracy and exact ROC AUC (per split when given)."""
-    spark = scored.sparkSession
-    groups = [None]
-    if split:
-        groups = [r[0] for r in scored.select(split).distinct().collect()]
-    rows = []
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score,
-                                       metricName="areaUnderROC", numBins=0)
-    for g in groups:
-        d = scored if g is None else scored.filter(F.col(split) == g)
-        acc = d.agg(F.avg((F.col(prediction) == F.col(label)).cast("double"))).first()[0]
-        n_pos = d.filter(F.col(label) == 1).limit(1).count()
-        n_neg = d.filter(F.col(label) == 0).limit(1).count()
-        auc = ev.evaluate(d.withColumn(score, F.col(score).cast("double"))
-                          .withColumn(label, F.col(label).cast("double"))) if n_pos and n_neg else None
-        rows.append((g, acc, auc))
-    return spark.createDataFrame(rows, "split string, accuracy double, auc double")
-
-
-def _bins(scored: DataFrame, label: str, score: str, digits: int) -> DataFrame:
-    return (scored.groupBy(F.round(F.col(score).cast("double"), digits).alias("threshold"))
+    """Accuracy and exact ROC AUC (per split when given), in one pass.
+
+    AUC is the share of (positive, negative) pairs in the right order, ties
+    counting half: from the rows per distinct score, each score's positives
+    beat all negatives below it. The running count goes over distinct scores.
+    """
+    part = F.col(split).cast("string") if split else F.lit(None).cast("string")
+    y = F.col(label).cast("long")
+    per = scored.groupBy(part.alias("split"), F.col(score).cast("double").alias("s")).agg(
+        F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"), F.sum((F.col(prediction) == F.col(label)).cast("long")).alias("ok"))
+    below = F.sum("neg").over(Window.partitionBy("split").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)) - F.col("neg")
+    wins = per.withColumn("wins", F.col("pos") * (below + F.col("neg") / 2))
+    p, n = F.sum("pos"), F.sum("neg")
+    return wins.groupBy("split").agg((F.sum("ok") / (p + n)).alias("accuracy"),
+                                     F.try_divide(F.sum("wins"), (p * n).cast("double")).alias("auc"))
+
+
+def _bins(scored: DataFrame, label: str, score: str, digits: int | None) -> DataFrame:
+    s = F.col(score).cast("double")
+    return (scored.groupBy((s if digits is None else F.round(s, digits)).alias("threshold"))
             .agg(F.sum(F.col(label).cast("long")).alias("pos"),
                  F.sum((1 - F.col(label)).cast("long")).alias("neg")))
 
 
-def roc_curve(scored: DataFrame, label: str = "label", score: str = "score", digits: int = 4) -> DataFrame:
-    """(threshold, tpr, fpr) with "score >= threshold" predicted positive."""
+def roc_curve(scored: DataFrame, label: str = "label", score: str = "score", digits: int | None = None) -> DataFrame:
+    """(threshold, tpr, fpr) with "score >= threshold" predicted positive,
+    one row per distinct score (of ``digits`` places where given)."""
     b = _bins(scored, label, score, digits)
     w = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
     tot = Window.partitionBy(F.lit(0))
@@ -50,7 +50,7 @@ def roc_curve(scored: DataFrame, label: str = "label", score: str = "score", dig
             .orderBy(F.desc("threshold")))
 
 
-def lift_curve(scored: DataFrame, label: str = "label", score: str = "score", digits: int = 4) -> DataFrame:
+def lift_curve(scored: DataFrame, label: str = "label", score: str = "score", digits: int | None = None) -> DataFrame:
     """Cumulative population share, precision and lift over the base rate."""
     b = _bins(scored, label, score, digits)
     w = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
@@ -84,24 +84,15 @@ def baseline(df: DataFrame, label: str = "label", split: str | None = None) -> D
             .withColumn("auc_constant", F.lit(0.5)))
 
 
-def importance(model, feature_names: list[str] | None = None, spark=None) -> DataFrame:
-    """Feature importances of the fitted tree model, names from the
-    assembled vector metadata, ranked descending."""
+def importance(model, df: DataFrame) -> DataFrame:
+    """Feature importances of the last stage of a fitted pipeline (or of
+    a tuned one), ranked descending. Names come from the vector that the
+    pipeline assembles from ``df``."""
+    model = getattr(model, "bestModel", model)
     stages = getattr(model, "stages", [model])
-    est = stages[-1]
-    if hasattr(est, "bestModel"):
-        est = est.bestModel.stages[-1]
-    imp = est.featureImportances.toArray().tolist()
-    names = feature_names or [f"f{i}" for i in range(len(imp))]
-    spark = spark or __import__("pyspark").sql.SparkSession.getActiveSession()
-    rows = list(zip(names, imp))
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
-
-
-def assembled_names(df: DataFrame, features_col: str = "features") -> list[str]:
-    """Names of the slots of an assembled vector (from ML attribute metadata)."""
-    meta = df.schema[features_col].metadata.get("ml_attr", {}).get("attrs", {})
-    slots = []
-    for group in meta.values():
-        slots += [(a["idx"], a["name"]) for a in group]
-    return [n for _, n in sorted(slots)]
+    at = stages[-1].getFeaturesCol()
+    field = PipelineModel(stages[:-1]).transform(df).schema[at]
+    groups = field.metadata.get("ml_attr", {}).get("attrs", {})
+    names = {a["idx"]: a["name"] for g in groups.values() for a in g}
+    rows = [(names.get(i, f"f{i}"), float(v)) for i, v in enumerate(stages[-1].featureImportances.toArray())]
+    return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))

@@ -3,19 +3,16 @@
 * ``build_pipeline``  StringIndexer + OneHotEncoder for the state columns,
                       VectorAssembler, and a random forest (150 trees, min
                       leaf 30), decision tree (min leaf 10) or GBT classifier.
-* ``AdaBoost``        SAMME boosting (Zhu et al., 2009) as a loop of Spark
-                      jobs: a depth-1 ``DecisionTreeClassifier`` with a weight
-                      column per round, weights updated with column
-                      expressions, lineage cut with ``checkpoint()`` into the
-                      shared ``spark.checkpoint.dir`` every few rounds.
-* ``tune``            ``CrossValidator`` (3 folds, ROC AUC) over a grid.
+                      The pipeline starts with the preparation stages of
+                      ``prepare.policy_stages``, so the saved model takes raw
+                      feature rows. AdaBoost is in ``adaboost.py``.
+* ``tune``            ``CrossValidator`` (3 folds, ROC AUC) over a grid,
+                      by default the one of ``GRIDS``.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -25,24 +22,37 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loyalspark.session import checkpoint_dir
+from loyalspark.ml.adaboost import AdaBoostClassifier
 
 CATEGORICAL = ("state_current", "state_d28")
 
+# Trees grow until their leaves are too small to split; 30 is as deep as
+# Spark's trees go.
+MAX_DEPTH = 30
+
+# Parameter grids of the tuned models (fixed values): 48, 36 and 6 points.
+GRIDS = {
+    "adaboost": {"maxIter": [50, 100, 150, 200, 300, 500], "stepSize": [0.001, 0.01, 0.05, 0.1, 0.2, 0.5, 0.9, 0.99]},
+    "rf": {"numTrees": [100, 150, 250, 500], "minInstancesPerNode": [10, 20, 30, 50, 75, 100, 150, 200, 300]},
+    "dt": {"minInstancesPerNode": [5, 10, 20, 30, 50, 100]},
+}
+
 
 def classifier(kind: str = "rf", label: str = "label", **params):
     if kind == "rf":
-        p = dict(numTrees=150, minInstancesPerNode=30, maxDepth=10, seed=42)
+        p = dict(numTrees=150, minInstancesPerNode=30, maxDepth=MAX_DEPTH, seed=42)
         p.update(params)
         return RandomForestClassifier(labelCol=label, featuresCol="features", **p)
     if kind == "dt":
-        p = dict(minInstancesPerNode=10, maxDepth=10, seed=42)
+        p = dict(minInstancesPerNode=10, maxDepth=MAX_DEPTH, seed=42)
         p.update(params)
         return DecisionTreeClassifier(labelCol=label, featuresCol="features", **p)
     if kind == "gbt":
         p = dict(maxIter=50, stepSize=0.1, maxDepth=3, seed=42)
         p.update(params)
         return GBTClassifier(labelCol=label, featuresCol="features", **p)
+    if kind == "adaboost":
+        return AdaBoostClassifier(labelCol=label, featuresCol="features", **{"maxIter": 150, "stepSize": 0.1, **params})
     raise ValueError(kind)
 
 
@@ -60,14 +70,17 @@ def feature_stages(numeric: list[str], categorical: list[str]) -> list:
 
 
 def build_pipeline(numeric: list[str], categorical: list[str] = (), kind: str = "rf",
-                   label: str = "label", **params) -> Pipeline:
-    """Preprocessing + model as one pipeline."""
-    return Pipeline(stages=feature_stages(numeric, list(categorical)) + [classifier(kind, label, **params)])
+                   label: str = "label", prepare: list = (), **params) -> Pipeline:
+    """Preparation (``prepare.policy_stages``), encoding and model as one
+    pipeline, saved and loaded as a whole."""
+    return Pipeline(stages=[*prepare, *feature_stages(numeric, list(categorical)), classifier(kind, label, **params)])
 
 
-def tune(pipeline: Pipeline, train: DataFrame, grid: dict, label: str = "label", folds: int = 3,
+def tune(pipeline: Pipeline, train: DataFrame, grid: dict | str, label: str = "label", folds: int = 3,
          parallelism: int = 2, seed: int = 42):
-    """Grid search with k-fold CV on ROC AUC, refit on all ``train``."""
+    """Grid search with k-fold CV on ROC AUC, refit on all ``train``.
+    ``grid`` maps parameters to values, or names one of ``GRIDS``."""
+    grid = GRIDS[grid] if isinstance(grid, str) else grid
     est = pipeline.getStages()[-1]
     b = ParamGridBuilder()
     for name, values in grid.items():
@@ -83,78 +96,6 @@ def with_score(scored: DataFrame) -> DataFrame:
     return scored.withColumn("score", vector_to_array("probability")[1])
 
 
-class AdaBoostModel(Model):
-    def __init__(self, stumps=None, alphas=None):
-        super().__init__()
-        self.stumps = stumps or []
-        self.alphas = alphas or []
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        total = sum(self.alphas) or 1.0
-        out = df.withColumn("_f", F.lit(0.0))
-        for i, (m, a) in enumerate(zip(self.stumps, self.alphas)):
-            pred = m.setPredictionCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setProbabilityCol(f"_q{i}")
-            out = (pred.transform(out)
-                   .withColumn("_f", F.col("_f") + F.lit(a / total) * (2 * F.col(f"_p{i}") - 1))
-                   .drop(f"_p{i}", f"_r{i}", f"_q{i}"))
-        return (out.withColumn("score", 1 / (1 + F.exp(-2 * F.col("_f"))))
-                .withColumn("prediction", (F.col("_f") > 0).cast("double"))
-                .drop("_f"))
-
-
-class AdaBoost(Estimator):
-    """Binary SAMME with decision stumps, as Spark jobs."""
-
-    def __init__(self, rounds: int = 150, learning_rate: float = 0.1, label: str = "label",
-                 features: str = "features", checkpoint_every: int = 5):
-        super().__init__()
-        self.rounds, self.lr, self.label, self.features = rounds, learning_rate, label, features
-        self.checkpoint_every = checkpoint_every
-
-    def _fit(self, df: DataFrame) -> AdaBoostModel:
-        spark = df.sparkSession
-        checkpoint_dir(spark)
-        data = df.select(self.features, self.label).checkpoint(eager=True)
-        n = data.count()
-        data = data.withColumn("_w", F.lit(1.0 / max(n, 1)))
-        stumps, alphas = [], []
-        for t in range(self.rounds):
-            tree = DecisionTreeClassifier(labelCol=self.label, featuresCol=self.features, maxDepth=1,
-                                          weightCol="_w", predictionCol="_pred", seed=42 + t)
-            m = tree.fit(data)
-            pred = m.transform(data).select(self.features, self.label, "_w", "_pred")
-            miss = (F.col("_pred") != F.col(self.label)).cast("double")
-            err_row = pred.agg(F.sum(F.col("_w") * miss).alias("e"), F.sum("_w").alias("s")).first()
-            err = (err_row["e"] or 0.0) / (err_row["s"] or 1.0)
-            if err >= 0.5:
-                break
-            err = max(err, 1e-10)
-            alpha = self.lr * math.log((1 - err) / err)
-            stumps.append(m)
-            alphas.append(alpha)
-            data = (pred.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * miss))
-                    .withColumn("_w", F.col("_w") / F.lit(err_row["s"] or 1.0))
-                    .select(self.features, self.label, "_w"))
-            if (t + 1) % self.checkpoint_every == 0:
-                data = data.checkpoint(eager=True)
-            if err <= 1e-10:
-                break
-        return AdaBoostModel(stumps, alphas)
-
-
-def fit_adaboost(df: DataFrame, numeric: list[str], categorical: list[str] = (), label: str = "label",
-                 rounds: int = 150, learning_rate: float = 0.1):
-    """Feature stages + AdaBoost; returns (PipelineModel of feature stages, AdaBoostModel)."""
-    feats = Pipeline(stages=feature_stages(numeric, list(categorical))).fit(df)
-    boosted = AdaBoost(rounds, learning_rate, label).fit(feats.transform(df))
-    return feats, boosted
-
-
-def predict(model, df: DataFrame) -> DataFrame:
-    """Score with a fitted pipeline or a (features, AdaBoostModel) pair."""
-    if isinstance(model, tuple):
-        feats, boosted = model
-        return boosted.transform(feats.transform(df))
-    if isinstance(model, PipelineModel) or hasattr(model, "transform"):
-        return with_score(model.transform(df))
-    raise TypeError(type(model))
+def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with the model's output and ``score``."""
+    return with_score(model.transform(df))

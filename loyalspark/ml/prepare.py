@@ -18,7 +18,8 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import SQLTransformer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loyalspark.config import NON_USER_MAIN
@@ -113,8 +114,8 @@ def feature_profile(df: DataFrame) -> DataFrame:
     rows = []
     for c in cols:
         r = rule_for(c)
-        rows.append((c, r.group if r else None, r.action if r else None, r.dtype if r else None))
-    pol = spark.createDataFrame(rows, "feature string, policy_group string, action string, dtype string")
+        rows.append((c, *((r.group, r.action, r.dtype, r.note, POLICY.index(r) + 1) if r else (None,) * 5)))
+    pol = spark.createDataFrame(rows, "feature string, policy_group string, action string, dtype string, note string, step int")
     return (rates.join(pol, "feature", "left")
             .withColumn("has_null", F.col("null_rate") > 0))
 
@@ -122,13 +123,60 @@ def feature_profile(df: DataFrame) -> DataFrame:
 def stratified_split(df: DataFrame, label: str = "label", test_fraction: float = 0.2, seed: int = 42,
                      keys=("user_id", "ref_date")) -> DataFrame:
     """M7: deterministic stratified split. Within each label the rows are
-    ordered by an md5 of (seed, keys) and the first ``test_fraction`` go to
-    test — the split is a per-row hash rank, reproducible anywhere.
-    Implemented with a hash bucket (no shuffle): ``conv(substr(md5, 1, 8))``
-    mapped to [0, 1)."""
+    ordered by an md5 of (seed, keys), and the first ``test_fraction`` of them
+    (rounded) are the test rows, so every label has the same share.
+
+    The place of a row in its label's order is counted in two steps, first the
+    rows per label and leading hash digits (65,536 cells), then the order
+    inside a cell, so a label with most rows is no single task.
+    """
     h = hash_order(seed, *keys)
-    u = F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(float(16 ** 8))
-    return df.withColumn("split", F.when(u < test_fraction, F.lit("test")).otherwise(F.lit("train")))
+    rows = df.withColumn("__h", h).withColumn("__cell", F.substring("__h", 1, 4))
+    cells = rows.groupBy(label, "__cell").agg(F.count(F.lit(1)).alias("__n"))
+    by_label = Window.partitionBy(label)
+    cells = cells.select(
+        F.col(label).alias("__label"), F.col("__cell").alias("__c"),
+        F.round(F.lit(test_fraction) * F.sum("__n").over(by_label)).alias("__quota"),
+        (F.sum("__n").over(by_label.orderBy("__cell")) - F.col("__n")).alias("__before"))
+    same = F.col(label).eqNullSafe(F.col("__label")) & (F.col("__cell") == F.col("__c"))
+    place = F.row_number().over(Window.partitionBy(label, "__cell").orderBy("__h", *keys)) + F.col("__before")
+    return (rows.join(cells, same).withColumn("split", F.when(place <= F.col("__quota"), "test").otherwise("train"))
+            .select(*df.columns, "split"))
+
+
+def policy_stages(columns: dict[str, str], keep: list[str] | None = None, non_user: str = NON_USER_MAIN,
+                  on_empty: str = "error") -> list:
+    """M11 + M13 + M14 as pipeline stages over raw feature rows: casts every
+    feature to its policy type, fills missing values by policy and leaves out
+    rows without an excluded feature's value.
+
+    ``columns`` maps the raw features to their types; ``keep`` are those that
+    survived ``drop_uninformative`` (all by default; categorical ones always
+    stay). ``on_empty`` says what happens when no numeric feature survived:
+    ``"error"`` or ``"pass"``. The stages are SQL over the row, so they are
+    saved with the model and run inside Spark's own expressions; columns that
+    are no features (keys, labels) pass through.
+    """
+    rules = {c: rule_for(c) for c in columns if rule_for(c)}
+    kept = [c for c in rules if keep is None or c in keep or rules[c].group == "categorical"]
+    if not [c for c in kept if rules[c].group != "categorical"] and on_empty == "error":
+        raise ValueError("no numeric feature survived")
+    out, needed = [], []
+    for c in rules:
+        r, x = rules[c], f"CAST(`{c}` AS {rules[c].dtype})"
+        if c not in kept:
+            continue
+        if r.action == "exclude_row":
+            needed.append(f"`{c}` IS NOT NULL")
+        else:
+            fill = "'" + non_user.replace("'", "''") + "'" if r.group == "categorical" else repr(r.fill)
+            x = f"coalesce({x}, CAST({fill} AS {r.dtype}))"
+        out.append(f"{x} AS `{c}`")
+    if not rules:
+        return []
+    gone = ", ".join(f"`{c}`" for c in rules)
+    sql = f"SELECT * EXCEPT ({gone}){', ' + ', '.join(out) if out else ''} FROM __THIS__"
+    return [SQLTransformer(statement=sql + (f" WHERE {' AND '.join(needed)}" if needed else ""))]
 
 
 def split_oot(df: DataFrame, how: str = "tag", oot_tag: str = "OOT", date_col: str = "ref_date"):

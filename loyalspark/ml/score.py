@@ -60,8 +60,8 @@ def score_frame(model: PipelineModel, df: DataFrame, keys=("ref_date", "user_id"
 
 def score_batch(spark: SparkSession, model_root: str, table: DataFrame, out_path: str | None = None,
                 keys=("ref_date", "user_id")) -> DataFrame:
-    """Latest model on the scoring table -> (ref_date, user_id, score),
-    fully replacing the output table when ``out_path`` is given."""
+    """Latest model on the raw scoring table -> (ref_date, user_id,
+    score); the model's own stages cast and impute it. Fully replacing the output table when ``out_path`` is given."""
     model, _ = load_latest(spark, model_root)
     scored = score_frame(model, table, keys)
     if out_path:

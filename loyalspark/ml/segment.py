@@ -1,24 +1,18 @@
 """Frequency-value segmentation with k-means and cluster-quality indices: M2-M6.
 
 Quality indices are computed from one grouped aggregate per cluster (counts,
-sums, sums of squares) plus, for Davies-Bouldin, one pass joining each point
-with its (broadcast, k-row) centroid table; only k-row results reach the
-driver.
+means, variances) plus, for Davies-Bouldin, one pass joining each point with
+the k-row centroid table.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# the pairwise centroid step of Davies-Bouldin is k x k on the driver
-MAX_CLUSTERS = 1_000
-
 
 def _vec(df: DataFrame, cols: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol="features").transform(df)
@@ -32,33 +26,28 @@ def kmeans(df: DataFrame, cols: list[str], k: int = 5, seed: int = 42, max_iter:
     return model.transform(v).drop("features")
 
 
-def total_sum_squares(df: DataFrame, cols: list[str]) -> float:
-    """Within-cluster sum of squares for k = 1 (Spark's KMeans needs k >= 2)."""
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 *[F.sum(c).alias(f"s_{c}") for c in cols],
-                 *[F.sum(F.col(c) * F.col(c)).alias(f"q_{c}") for c in cols]).first()
-    n = row["n"] or 0
-    if not n:
-        return 0.0
-    return float(sum(row[f"q_{c}"] - row[f"s_{c}"] ** 2 / n for c in cols))
+def total_sum_squares(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(k = 1, wcss): the sum of squares about the mean of all rows."""
+    return df.agg(sum((F.var_pop(c) * F.count(c) for c in cols), F.lit(0.0)).alias("wcss")).select(
+        F.lit(1).alias("k"), F.coalesce("wcss", F.lit(0.0)).alias("wcss"))
 
 
-def elbow(df: DataFrame, cols: list[str], ks=range(1, 7), seed: int = 42, max_iter: int = 1000) -> DataFrame:
-    """M3: (k, wcss) for each k."""
+def elbow(df: DataFrame, cols: list[str], ks=range(1, 11), seed: int = 42, max_iter: int = 1000) -> DataFrame:
+    """M3: (k, wcss) for each k, over scaled or raw columns. Spark's k-means
+    needs k >= 2; k = 1 is the total sum of squares."""
     v = _vec(df, cols).cache()
-    rows = []
-    for k in ks:
-        if k == 1:
-            rows.append((1, total_sum_squares(df, cols)))
-        else:
-            m = KMeans(k=k, seed=seed, maxIter=max_iter).fit(v)
-            rows.append((int(k), float(m.summary.trainingCost)))
+    rows = [(int(k), float(KMeans(k=k, seed=seed, maxIter=max_iter).fit(v).summary.trainingCost)) for k in ks if k > 1]
     v.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, wcss double")
+    out = df.sparkSession.createDataFrame(rows, "k int, wcss double")
+    return total_sum_squares(df, cols).unionByName(out) if 1 in ks else out
 
 
 def silhouette(df: DataFrame, cols: list[str], ks=range(2, 11), seed: int = 42, max_iter: int = 1000) -> DataFrame:
-    """M4: squared-Euclidean silhouette (Spark's evaluator) for each k."""
+    """M4: silhouette for each k, on squared Euclidean distances (Spark's
+    evaluator: linear in the rows). It ranks k as the plain Euclidean
+    silhouette does where clusters are compact, but is another number: that
+    one needs the distances of all pairs of rows, which no cluster can hold at
+    scale."""
     v = _vec(df, cols).cache()
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     rows = []
@@ -69,51 +58,42 @@ def silhouette(df: DataFrame, cols: list[str], ks=range(2, 11), seed: int = 42,
     return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
-def _cluster_stats(df: DataFrame, cols: list[str], cluster: str):
-    stats = (df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"),
-                                     *[F.avg(c).alias(f"c_{c}") for c in cols],
-                                     *[F.sum(F.col(c) * F.col(c)).alias(f"q_{c}") for c in cols])
-             .collect())
-    return stats
+def index_sweep(df: DataFrame, cols: list[str], ks=range(2, 11), seed: int = 42, max_iter: int = 1000) -> DataFrame:
+    """M5 + M6: Calinski-Harabasz and Davies-Bouldin of the k-means labels for
+    each k."""
+    out = None
+    for k in ks:
+        labelled = kmeans(df, cols, k, seed, max_iter)
+        row = calinski_harabasz(labelled, cols, "segment").join(davies_bouldin(labelled, cols, "segment"), "k")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def calinski_harabasz(df: DataFrame, cols: list[str], cluster: str) -> DataFrame:
     """M5: between-cluster / within-cluster dispersion ratio for a fixed
-    cluster column."""
-    st = _cluster_stats(df, cols, cluster)
-    n = sum(r["n"] for r in st)
-    k = len(st)
-    mean = {c: sum(r["n"] * r[f"c_{c}"] for r in st) / n for c in cols}
-    b = sum(r["n"] * sum((r[f"c_{c}"] - mean[c]) ** 2 for c in cols) for r in st)
-    w = sum(sum(r[f"q_{c}"] - r["n"] * r[f"c_{c}"] ** 2 for c in cols) for r in st)
-    val = (b / (k - 1)) / (w / (n - k)) if k > 1 and n > k and w > 0 else None
-    return df.sparkSession.createDataFrame([(k, val)], "k int, calinski_harabasz double")
+    cluster column, from one aggregate per cluster."""
+    per = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"c_{c}") for c in cols],
+                                  *[(F.var_pop(c) * F.count(F.lit(1))).alias(f"w_{c}") for c in cols])
+    total = per.agg(F.count(F.lit(1)).cast("int").alias("k"), F.sum("n").alias("n"),
+                    sum((F.sum(f"w_{c}") for c in cols), F.lit(0.0)).alias("w"),
+                    sum((F.sum(F.col("n") * F.col(f"c_{c}") ** 2) - F.sum(F.col("n") * F.col(f"c_{c}")) ** 2 / F.sum("n")
+                         for c in cols), F.lit(0.0)).alias("b"))
+    k, n, w = F.col("k"), F.col("n"), F.col("w")
+    return total.select("k", F.when((k > 1) & (n > k) & (w > 0), (F.col("b") / (k - 1)) / (w / (n - k))).alias("calinski_harabasz"))
 
 
 def davies_bouldin(df: DataFrame, cols: list[str], cluster: str) -> DataFrame:
     """M6: mean over clusters of the worst (s_i + s_j) / d(c_i, c_j), with s
-    the mean Euclidean distance of a cluster's points to its centroid."""
-    spark = df.sparkSession
+    the mean Euclidean distance of a cluster's points to its centroid. The
+    points meet the k centroids in one join; pairs of clusters are k x k rows
+    by the definition of the index."""
     cents = df.groupBy(cluster).agg(*[F.avg(c).alias(f"c_{c}") for c in cols])
-    if cents.limit(MAX_CLUSTERS + 1).count() > MAX_CLUSTERS:
-        raise ValueError(f"{cluster} has more than {MAX_CLUSTERS} clusters")
-    dist = F.sqrt(sum(((F.col(c) - F.col(f"c_{c}")) ** 2 for c in cols), F.lit(0.0)))
-    # k-row centroid table: broadcast only behind the row-count check
-    from loyalspark.plans.sizing import bounded_broadcast
-    spread = {r[0]: r[1] for r in df.join(bounded_broadcast(cents, 100_000), cluster)
-              .groupBy(cluster).agg(F.avg(dist)).collect()}
-    cen = {r[cluster]: [r[f"c_{c}"] for c in cols] for r in cents.collect()}
-    keys = sorted(cen)
-    worst = []
-    for i in keys:
-        best = None
-        for j in keys:
-            if i == j:
-                continue
-            d = math.sqrt(sum((a - b) ** 2 for a, b in zip(cen[i], cen[j])))
-            r = (spread[i] + spread[j]) / d if d > 0 else float("inf")
-            best = r if best is None else max(best, r)
-        if best is not None:
-            worst.append(best)
-    val = sum(worst) / len(worst) if worst else None
-    return spark.createDataFrame([(len(keys), val)], "k int, davies_bouldin double")
+    near = F.sqrt(sum(((F.col(c) - F.col(f"c_{c}")) ** 2 for c in cols), F.lit(0.0)))
+    spread = (df.join(cents, cluster).groupBy(cluster, *[f"c_{c}" for c in cols]).agg(F.avg(near).alias("s")))
+    each = F.struct(F.col(cluster).alias("k"), F.col("s"), *[F.col(f"c_{c}") for c in cols])
+    far = lambda a, b: F.sqrt(sum(((a[f"c_{c}"] - b[f"c_{c}"]) ** 2 for c in cols), F.lit(0.0)))
+    worst = lambda a: F.array_max(F.transform(
+        F.filter("all", lambda b: b["k"] != a["k"]), lambda b: (a["s"] + b["s"]) / F.nullif(far(a, b), F.lit(0.0))))
+    return (spread.agg(F.collect_list(each).alias("all"))
+            .select(F.size("all").cast("int").alias("k"), F.transform("all", worst).alias("w"))
+            .select("k", F.try_divide(F.aggregate("w", F.lit(0.0), lambda x, y: x + y), F.col("k").cast("double")).alias("davies_bouldin")))

@@ -38,6 +38,8 @@ def get_session(app: str = "loyalspark", master: str | None = None,
     conf = dict(_DEFAULTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):  # one machine: its own folder is shared
+        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="loyalspark-ckpt-")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -47,15 +49,11 @@ def get_session(app: str = "loyalspark", master: str | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    The cluster's setting is used as is. Only when it is unset (local tests)
-    a fresh scratch folder is created and registered.
-    """
+    """Shared checkpoint folder named by ``spark.checkpoint.dir``; an error
+    where it is unset, as a machine's own folder loses data on a cluster."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="loyalspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path

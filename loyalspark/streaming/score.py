@@ -3,13 +3,14 @@
 T1: ``readStream`` of JSON files (one request per line: a single object or a
 list of objects, each with ``IdCliente``/``user_id`` and the model features)
 with an explicit schema. Malformed lines land in the corrupt-record column
-and go to a reject sink; valid rows are scored with the latest model and
-appended per micro-batch through ``foreachBatch``. Checkpointing makes the
-sink exactly-once across restarts.
+and go to a reject sink; valid rows are scored with the latest model, whose own
+stages cast and impute them. Each micro-batch owns the folder of its number and
+replaces it, so a batch that is replayed after a failure is not doubled.
 
 T2: ``Trigger.AvailableNow`` over the transactions folder; each micro-batch
-re-runs the dated snapshot of the days it touched (idempotent dated write),
-so re-running the same day is safe.
+re-runs the dated snapshots of the days it touched and, as late activity
+changes every later state, of all later dates that were already written
+(idempotent dated writes).
 """
 
 from __future__ import annotations
@@ -54,11 +55,9 @@ def score_stream(spark: SparkSession, model_root: str, in_dir: str, out_dir: str
         good = batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
         from pyspark.ml.functions import vector_to_array
         scored = (model.transform(good)
-                  .select("user_id", vector_to_array("probability")[1].alias("score"))
-                  .withColumn("batch", F.lit(epoch)))
-        scored.write.mode("append").parquet(os.path.join(out_dir, "scores"))
-        bad.select(CORRUPT, F.lit(epoch).alias("batch")).write.mode("append").parquet(
-            os.path.join(out_dir, "rejected"))
+                  .select("user_id", vector_to_array("probability")[1].alias("score")))
+        scored.write.mode("overwrite").parquet(os.path.join(out_dir, "scores", f"batch={epoch}"))
+        bad.select(CORRUPT).write.mode("overwrite").parquet(os.path.join(out_dir, "rejected", f"batch={epoch}"))
 
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="10 seconds")
@@ -68,18 +67,23 @@ def score_stream(spark: SparkSession, model_root: str, in_dir: str, out_dir: str
 def run_incremental(spark: SparkSession, tx_dir: str, tx_schema: T.StructType, snapshot_path: str,
                     checkpoint: str, build):
     """For each new batch of transaction files, rebuild the dated
-    snapshots of the days the batch touches. ``build(tx_df, cutoffs)`` is a
-    multi-cut-off operator over the full transaction table (e.g.
-    ``segmentation_backfill``); returns the ``StreamingQuery``."""
-    from loyalspark.sources.store import write_snapshot
+    snapshots of the days the batch touches and of every later date in the
+    snapshot table. ``build(tx_df, cutoffs)`` is a multi-cut-off operator over
+    the transaction table (e.g. ``segmentation_backfill``), which it reads up
+    to the last of these dates; returns the ``StreamingQuery``."""
+    from loyalspark.sources.store import _exists, write_snapshot
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        days = [r[0] for r in batch.select(F.to_date("ts").alias("d")).distinct().collect()]
+        # distinct calendar days: bounded by the calendar, not by the data
+        days = {r[0] for r in batch.select(F.to_date("ts").alias("d")).distinct().collect()}
         if not days:
             return
-        cuts = sorted({d + _dt.timedelta(days=1) for d in days})
+        if _exists(spark, snapshot_path):
+            written = spark.read.parquet(snapshot_path).filter(F.col("ref_date") > F.lit(min(days)))
+            days |= {r[0] for r in written.select("ref_date").distinct().collect()}
+        cuts = sorted(d + _dt.timedelta(days=1) for d in days)
         full = spark.read.schema(tx_schema).parquet(tx_dir)
-        write_snapshot(build(full, cuts), snapshot_path, [c - _dt.timedelta(days=1) for c in cuts])
+        write_snapshot(build(full, cuts), snapshot_path, sorted(days))
 
     stream = spark.readStream.schema(tx_schema).parquet(tx_dir)
     return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
