@@ -6,8 +6,8 @@ from conftest import SF001
 
 import __spark_entry__ as E
 
-TRAINED = {"train_score_rf", "train_score_dt", "train_score_adaboost", "model_metrics",
-           "kmeans_segments", "elbow", "silhouette"}
+TRAINED = {"train_score_rf", "train_score_dt", "train_score_adaboost", "model_metrics", "kmeans_segments",
+           "elbow", "elbow_raw", "silhouette", "cluster_indices", "feature_importance", "tune_tree", "score_batch"}
 
 
 def _dealt(name):
@@ -48,3 +48,22 @@ def test_oracle_sql_parses_and_matches_columns(spark):
         res = con.execute(E.oracle_sql()[name])
         ocols = [d[0] for d in res.description]
         assert sorted(ocols) == sorted(qs[name](spark, SF001).columns), name
+
+
+def test_building_a_query_runs_no_job(spark):
+    """Nothing is computed before the first action, but for queries that
+    stage a table (the ABT's) or fit a model."""
+    from loyalspark.plans import catalog as C
+    import inspect
+    tracker = spark.sparkContext.statusTracker()
+    for name, fn in E.queries().items():
+        if name in TRAINED or _dealt(name):
+            continue
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        source = inspect.getsource(inspect.getclosurevars(fn).nonlocals["fn"])
+        if any(x in source for x in ("staged_abt", "abt_frame_keyed", "_scored_fixed")):
+            continue
+        fn(spark, SF001)
+        assert not tracker.getJobIdsForGroup(f"build-{name}"), name
+    spark.sparkContext.setJobGroup("", "")
+    assert C.QUERIES

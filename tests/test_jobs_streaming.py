@@ -45,7 +45,17 @@ def test_run_job_and_chain(spark, scratch):
     run_chain(spark, D(2000, 1, 1), src, "refs")
     fs_all = spark.read.parquet(src.path("analytics", "fs_all"))
     assert fs_all.count() > 0 and "state_current" in fs_all.columns and "n_complete" in fs_all.columns
-    assert set(JOBS) == {"life_cycle", "fs_transactional", "fs_education", "fs_life_cycle"}
+    assert set(JOBS) == {"life_cycle", "fs_transactional", "fs_education", "fs_life_cycle", "labels", "abt"}
+    # the step-by-step preset reads the snapshot of the cut-off day itself
+    run_chain(spark, D(2000, 1, 1), src, "main")
+    assert spark.read.parquet(src.path("analytics", "fs_life_cycle")).filter("ref_date = '1999-12-31'").count() > 0
+    # label and ABT jobs read the stored tables
+    for name in ("fs_transactional", "fs_education", "fs_life_cycle"):
+        run_job(spark, name, D(1999, 12, 1), D(1999, 12, 3), src, cfg="refs")
+    run_job(spark, "labels", D(1999, 12, 1), D(1999, 12, 3), src)
+    run_job(spark, "abt", D(1999, 12, 1), D(1999, 12, 3), src)
+    abt = spark.read.parquet(src.path("analytics", "abt"))
+    assert abt.count() > 0 and {"label", "tag", "state_current", "tx_life", "n_complete"} <= set(abt.columns)
 
 
 def test_model_versions_batch_and_stream(spark, scratch):
@@ -107,3 +117,36 @@ def test_incremental_stream_rebuilds_touched_days(spark, scratch):
     got = out.filter(F.col("ref_date") == F.lit(day)).select(*expect.columns)
     assert got.count() == expect.count() > 0
     assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
+
+
+def test_late_file_rebuilds_later_dates(spark, scratch):
+    from loyalspark.operators import lifecycle as lc
+    from loyalspark.streaming.score import run_incremental
+    tx = fx.tx_events_thin(spark, SF001)
+    tx_dir, snap, ck = (os.path.join(scratch, x) for x in ("tx", "life_cycle", "ck"))
+    late = F.to_date("ts") == F.lit(D(2024, 1, 9))
+    tx.filter(~late).write.parquet(tx_dir)
+    run_incremental(spark, tx_dir, tx.schema, snap, ck, lc.segmentation_backfill).awaitTermination(120)
+    dates = {r[0] for r in spark.read.parquet(snap).select("ref_date").distinct().collect()}
+    assert max(dates) > D(2024, 1, 9)
+    assert tx.filter(late).count() > 0
+    tx.filter(late).write.mode("append").parquet(tx_dir)
+    run_incremental(spark, tx_dir, tx.schema, snap, ck, lc.segmentation_backfill).awaitTermination(120)
+    want = lc.segmentation_backfill(tx, [d + dt.timedelta(days=1) for d in sorted(dates | {D(2024, 1, 9)})])
+    got = spark.read.parquet(snap).select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_replayed_batch_is_not_doubled(spark, scratch):
+    import shutil
+    data = spark.createDataFrame([(i, float(i % 2), i % 3) for i in range(60)], "user_id int, label double, tx_life int")
+    root, in_dir, out, ck = (os.path.join(scratch, x) for x in ("models", "in", "out", "ck"))
+    save_model(spark, mm.build_pipeline(["tx_life"], [], "dt").fit(data), {}, root)
+    os.makedirs(in_dir)
+    with open(os.path.join(in_dir, "a.json"), "w") as fh:
+        fh.write('{"user_id": "x", "tx_life": 1}\n')
+    for _ in range(2):  # the second run has lost the commit log and replays batch 0
+        score_stream(spark, root, in_dir, out, ck, {"tx_life": "int"}).awaitTermination(120)
+        assert spark.read.parquet(os.path.join(out, "scores")).count() == 1
+        for log in ("commits", "offsets", "sources"):
+            shutil.rmtree(os.path.join(ck, log), ignore_errors=True)

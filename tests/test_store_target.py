@@ -32,6 +32,17 @@ def test_write_snapshot_idempotent_and_empty_rerun(spark, scratch):
     assert left.filter(F.col("ref_date") == F.lit(D(1999, 12, 31))).count() > 0
 
 
+def test_failed_write_keeps_the_old_dates(spark, scratch):
+    import pytest
+    path = os.path.join(scratch, "t")
+    df = spark.createDataFrame([(D(2024, 1, 1), 1), (D(2024, 1, 2), 2)], "ref_date date, v long")
+    write_snapshot(df, path, [D(2024, 1, 1), D(2024, 1, 2)])
+    broken = df.withColumn("v", F.raise_error(F.lit("no")).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        write_snapshot(broken, path, [D(2024, 1, 1), D(2024, 1, 2)])
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2]
+
+
 def test_label_immature_and_mature_only(spark):
     rows = [(D(2024, 1, 1), 1, "02-FIEL"), (D(2024, 1, 8), 1, "02-FIEL"),
             (D(2024, 1, 1), 2, "03-TURISTA"), (D(2024, 1, 8), 2, "04-DESENCANTADO"),
