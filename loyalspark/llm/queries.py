@@ -69,9 +69,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     remaining counts of the first version are revised, digit by digit. The
     revision is committed twice, which changes nothing."""
     docs = table(spark, sf_dir, "documents")
-    count = {p: token_counts.count_by(p) for p in (token_counts.WORD, token_counts.WORD_DIGITS, token_counts.PIECE)}
-    counted = stage(spark, exact_dedup.digests(docs, more=(
-        "source", "lang", *[c.alias(f"n{i}") for i, c in enumerate(count.values())])), "counted")
+    counters = {"n0": token_counts.words, "n1": token_counts.words_and_digits, "n2": token_counts.pieces}
+    counted = stage(spark, token_counts.count_tokens(exact_dedup.digests(docs, more=("source", "lang", "text")), counters), "counted")
     counted = counted.join(exact_dedup.tree_merge(counted), exact_dedup.KEY)
     counted = stage(spark, counted.withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id"))), "counted")
     both = {"words-1": F.col("n0"), "pieces-1": F.col("n2")}

@@ -11,26 +11,74 @@ when it is committed again.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import slices, text_or_empty, utf8
 
 KEYS = ["source", "lang", "tokenizer"]
 _SCHEMA = "source string, lang string, tokenizer string, docs long, tokens long"
 _LISTED = "name string"
 
-#: Runs of ASCII letters, digits and characters from U+0080 on.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: The same, with each ASCII digit a token of its own.
-WORD_DIGITS = r"[0-9]|[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-#: Words, and each printable ASCII mark by itself.
-PIECE = WORD + r"|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]"
+# Classes of bytes of UTF-8: 1 digit, 2 letter (ASCII letters and every byte of
+# a longer character), 3 printable ASCII mark, 0 anything else.
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[33:127] = 3
+_CLASS[48:58] = 1
+_CLASS[65:91] = _CLASS[97:123] = _CLASS[128:] = 2
 
 
-def count_by(pattern: str, text_col: str = "text") -> Column:
-    """Tokens of a whole text; null counts as empty."""
-    return F.regexp_count(text_or_empty(text_col), F.lit(pattern)).cast("long")
+def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(flags)])[offsets]
+    return np.diff(total)
+
+
+def _runs(inside: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Number of runs in each text; no run spans two texts."""
+    start = inside.copy()
+    start[1:] &= ~inside[:-1]
+    first = offsets[:-1][np.diff(offsets) > 0]
+    start[first] = inside[first]
+    return _per_text(start, offsets)
+
+
+def words(kinds: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Runs of digits and letters."""
+    return _runs((kinds == 1) | (kinds == 2), offsets)
+
+
+def words_and_digits(kinds: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Runs of letters, and each digit by itself."""
+    return _runs(kinds == 2, offsets) + _per_text(kinds == 1, offsets)
+
+
+def pieces(kinds: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Words, and each mark by itself."""
+    return words(kinds, offsets) + _per_text(kinds == 3, offsets)
+
+
+def count_tokens(docs: DataFrame, counters: dict, text_col: str = "text") -> DataFrame:
+    """``docs`` without its text, with a long column per counter, each a
+    function of (classes of bytes, offsets). Null counts as empty."""
+    others = [c for c in docs.columns if c != text_col]
+    src = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), text_or_empty(text_col).alias("text"))
+
+    def run(batches):
+        for b in batches:
+            raw, offsets = utf8(b.column("text"))
+            found = {name: [] for name in counters}
+            for lo, hi in slices(offsets):
+                kinds, off = _CLASS[raw[offsets[lo]: offsets[hi]]], offsets[lo: hi + 1] - offsets[lo]
+                for name, f in counters.items():
+                    found[name].append(f(kinds, off))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("row"), *[pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in found.values()]],
+                names=["row", *found])
+
+    out = src.mapInArrow(run, f"row {src.schema['row'].dataType.simpleString()}, " + ", ".join(f"`{c}` long" for c in counters))
+    return out.select("row.*", *[F.col(f"`{c}`") for c in counters])
 
 
 def deltas(counted: DataFrame, counts: dict[str, Column], sign: int = 1, docs: int = 1) -> DataFrame:
