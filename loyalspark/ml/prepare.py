@@ -183,8 +183,8 @@ def split_oot(df: DataFrame, how: str = "tag", oot_tag: str = "OOT", date_col: s
     """M8: (in-time, out-of-time) by tag (main) or by the latest date (refs)."""
     if how == "tag":
         return df.filter(F.col("tag") != oot_tag), df.filter(F.col("tag") == oot_tag)
-    last = df.agg(F.max(date_col)).first()[0]
-    return df.filter(F.col(date_col) < F.lit(last)), df.filter(F.col(date_col) == F.lit(last))
+    last = F.broadcast(df.agg(F.max(date_col).alias(date_col)))
+    return df.join(last, date_col, "left_anti"), df.join(last, date_col, "left_semi")
 
 
 def clean_names(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loyalspark.config import LifecycleCfg, Preset, RfvCfg, preset as _preset
@@ -94,6 +94,16 @@ def life_cycle(tx: DataFrame, cutoff, cfg: Preset | str = "main") -> DataFrame:
             .withColumn("state", classify_lifecycle("first_age", "last_age", "prev_age", cfg.lifecycle)))
 
 
+def nth_latest(tx: DataFrame, cutoff, n: int = 2) -> DataFrame:
+    """(user_id, day) of the n-th latest active day before the cut-off, for
+    users with that many. Planned as a window group limit over user-days."""
+    cuts = Cutoffs([cutoff])
+    tx = utc(tx).filter((F.col("ts") < F.lit(cuts.last)) & F.lit(cuts.valid))
+    daily = tx.select("user_id", F.to_date("ts").alias("day")).distinct()
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("day")))
+    return daily.withColumn("_n", place).filter(F.col("_n") == n).drop("_n")
+
+
 def frequency_value(tx: DataFrame, cutoff, days: int = 28) -> DataFrame:
     """Per user over [cutoff - days, cutoff): active days and
     positive / absolute / gained / redeemed points. The window filter is on

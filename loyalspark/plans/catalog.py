@@ -148,6 +148,11 @@ def _lc_orders(spark, d):
     return lc.life_cycle(fx.tx_orders(spark, d), ORD_CUT, MAIN)
 
 
+@register("third_latest_day")
+def _third_latest(spark, d):
+    return lc.nth_latest(fx.tx_orders(spark, d), ORD_CUT, 3)
+
+
 @register("frequency_value")
 def _fv(spark, d):
     return lc.frequency_value(fx.tx_events_thin(spark, d), EV_CUT)
@@ -501,6 +506,13 @@ def _split_sizes(spark, d):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+@register("out_of_time_sizes")
+def _oot_sizes(spark, d):
+    parts = zip(("before", "latest"), mp.split_oot(staged_abt(spark, d), how="date"))
+    counts = [p.groupBy("tag").agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit(name)) for name, p in parts]
+    return counts[0].unionByName(counts[1])
+
+
 @register("label_rate_by_state")
 def _label_rate(spark, d):
     return pf.label_rate(staged_abt(spark, d), "state_current")

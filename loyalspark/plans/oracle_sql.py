@@ -168,6 +168,7 @@ def segments() -> dict:
     o["lifecycle_snapshot_main"] = snapshot_states(thin, cut, MAIN)
     o["lifecycle_snapshot_refs"] = snapshot_states(thin, cut, REFS)
     o["lifecycle_snapshot_orders"] = snapshot_states(ords, year, MAIN)
+    o["third_latest_day"] = f"SELECT user_id, h[-3].d AS day FROM ({known_at(ords, dates(year))}) WHERE len(h) >= 3"
     o["frequency_value"] = frequency_value(thin, cut)
     o["frequency_value_orders"] = frequency_value(ords, year)
     o["frequency_value_trimmed"] = f"SELECT * FROM ({frequency_value(ev, cut)}) WHERE points_pos < 3000"
@@ -446,6 +447,8 @@ QUALIFY row_number() OVER (PARTITION BY r.feature ORDER BY step) = 1"""
 SELECT feature, mean0, mean1, round(m0, 6) AS median0, round(m1, 6) AS median1, round((m1 + 0.001) / (m0 + 0.001), 6) AS median_ratio
 FROM (SELECT feature, {by_label} FROM ({longer}) GROUP BY feature)"""
     o["uninformative_features"] = f"SELECT feature FROM ({o['feature_label_median_ratio']}) WHERE median_ratio = 1 OR median_ratio IS NULL"
+    o["out_of_time_sizes"] = f"""SELECT tag, count(*) AS n, CASE WHEN late THEN 'latest' ELSE 'before' END AS part
+FROM (SELECT tag, ref_date = max(ref_date) OVER () AS late FROM ({abt})) GROUP BY ALL"""
     o["label_rate_by_state"] = f"SELECT state_current, count(*) AS n, round(avg(label), 6) AS label_rate FROM ({abt}) GROUP BY state_current"
     o["split_label_rate"] = f"SELECT tag, count(*) AS n, sum(label)::BIGINT AS positives, round(avg(label), 6) AS label_rate FROM ({abt}) GROUP BY tag"
     desc = ", ".join(f"""round({mean(c)}, 6) AS {c}_mean, round(stddev_samp({c}), 6) AS {c}_std, min({c})::DOUBLE AS {c}_min,

@@ -184,3 +184,10 @@ def test_policy_impute_and_drop(spark):
     assert sp.columns == [*t.columns, "split"] and sp.count() == t.count()
     for r in sp.groupBy("label").agg(F.count("*").alias("n"), F.sum((F.col("split") == "test").cast("int")).alias("k")).collect():
         assert r.k == int(0.2 * r.n + 0.5)
+
+
+def test_clean_names_and_out_of_time(spark):
+    df = spark.createDataFrame([(D(2024, 1, 1), "ABT"), (D(2024, 1, 2), "OOT"), (D(2024, 1, 2), "ABT")], ["ref_date", "tag"])
+    assert mp.clean_names(df.withColumnRenamed("tag", "a b-c.d")).columns == ["ref_date", "a_b_c_d"]
+    assert [x.count() for x in mp.split_oot(df)] == [2, 1]
+    assert [x.count() for x in mp.split_oot(df, how="date")] == [1, 2]
