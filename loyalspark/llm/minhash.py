@@ -11,8 +11,12 @@ in order and a process stops once it is beyond the last first point.
 
 Documents with the same word sequence are one node. Nodes that share a band
 are candidates. No bucket is expanded into pairs: each node is compared with
-pivots, exactly, on the words themselves; links make components; a bucket whose
-nodes are all in one component is done. The others are split around a pivot:
+a pivot, exactly, on the words themselves; links make components; a bucket
+whose nodes are all in one component is done. Of the others, those of bounded
+size are resolved in one task, comparing nodes whose prefixes meet: ordered
+rarest first, the shingles of two similar nodes meet before four fifths of
+their weight are left. Larger ones are first split by the same rule into parts
+that share a prefix shingle. What is still large then is split around pivots:
 by the triangle inequality of the weighted Jaccard distance, a node within 0.2
 of the pivot and a node beyond 0.4 cannot be similar, so only the ring between
 goes on with both sides. This ends when no bucket holds two components, hence
@@ -21,9 +25,11 @@ no link between candidates is lost, whatever a bucket's size.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -185,7 +191,7 @@ def pair_overlaps(left: tuple, right: tuple, at: np.ndarray, n: int, limit: int
 
 
 #: Pairs of one pivot that are dealt together, and bytes of text in a group of pairs.
-CHUNK, GROUP_BYTES = 256, 4 << 20
+CHUNK, GROUP_BYTES = 64, 1 << 20
 
 
 def overlaps(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -248,41 +254,159 @@ def _near():
     return 5 * F.col("both") >= 3 * F.col("either")
 
 
-def link_nodes(spark: SparkSession, members: DataFrame, docs: DataFrame, text_col: str) -> DataFrame | None:
-    """(node, label) of all nodes with a link, from (bucket, node) rows of
-    buckets with two nodes or more; None without any."""
+#: Words of a bucket that one task resolves by itself; larger ones are split first.
+BUCKET_WORDS = 1_000_000
+#: Words that a task shingles at once when it resolves buckets, about.
+GROUP_WORDS = 250_000
+
+
+def in_prefix(before, total):
+    """Whether a shingle with ``before`` weight ahead of it, in an order that
+    all texts share, is in its text's prefix: two texts of similarity 0.8 or
+    more share a shingle of both prefixes, as the rest weighs too little."""
+    return 5 * (total - before) >= 4 * total
+
+
+def resolve_bucket(group: np.ndarray, owner: np.ndarray, value: np.ndarray, weight: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of texts 0..m-1 that join all similar ones; ``group`` numbers the
+    components known before and is updated. Texts are compared only where
+    their prefixes, rarest shingles first, meet and their components differ."""
+    m = len(group)
+    at = np.searchsorted(owner, np.arange(m + 1))
+    total = np.bincount(owner, weight, m).astype(np.int64)
+    _, kind, count = np.unique(value, return_inverse=True, return_counts=True)
+    order = np.lexsort((kind, count[kind], owner))
+    before = np.cumsum(weight[order]) - weight[order] - (np.cumsum(total) - total)[owner[order]]
+    keep = order[in_prefix(before, total[owner[order]]) & (count[kind[order]] > 1)]
+    keep = keep[np.argsort(kind[keep], kind="stable")]
+    cut = np.flatnonzero(np.append(True, kind[keep][1:] != kind[keep][:-1])) if len(keep) else np.zeros(0, np.int64)
+    out: list[tuple[int, int]] = []
+    seen: set[int] = set()
+    for lo, hi in zip(cut.tolist(), np.append(cut[1:], len(keep)).tolist()):
+        texts = owner[keep[lo:hi]]
+        if hi - lo < 2 or (group[texts] == group[texts[0]]).all():
+            continue
+        for n, i in enumerate(texts[:-1].tolist()):
+            rest = texts[n + 1:]
+            rest = rest[group[rest] != group[i]]
+            rest = np.array([j for j in rest.tolist() if (min(i, j) * m + max(i, j)) not in seen], np.int64)
+            if not len(rest):
+                continue
+            seen.update((np.minimum(i, rest) * m + np.maximum(i, rest)).tolist())
+            size = at[rest + 1] - at[rest]
+            ends = np.cumsum(size)
+            take = np.arange(ends[-1]) + np.repeat(at[rest] - (ends - size), size)
+            who = np.repeat(np.arange(len(rest)), size)
+            own, w = value[at[i]: at[i + 1]], weight[at[i]: at[i + 1]]
+            k = np.minimum(np.searchsorted(own, value[take]), len(own) - 1)
+            hit = own[k] == value[take]
+            both = np.bincount(who[hit], np.minimum(w[k[hit]], weight[take][hit]), len(rest))
+            for j in rest[5 * both >= 4 * (total[i] + total[rest] - both)].tolist():
+                if group[j] != group[i]:
+                    out.append((i, j))
+                    group[group == group[j]] = group[i]
+    return out
+
+
+def resolve(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): links that join all similar nodes of each bucket of ``members``
+    (bucket, node, label, n_words), whose sizes are bounded."""
+    groups = int((members.agg(F.sum("n_words")).first()[0] or 0) // GROUP_WORDS) + 1
+    found = members.join(texts, "node").withColumn("g", F.pmod(F.xxhash64("bucket"), F.lit(groups)))
+
+    def run(key, table):
+        bucket = table.column("bucket").to_numpy()
+        order = np.argsort(bucket, kind="stable")
+        table, bucket = table.take(pa.array(order)), bucket[order]
+        node, label = table.column("node").to_pylist(), table.column("label").to_pylist()
+        _, _, owner, value, weight = shingles(*utf8(table.column("text")))
+        out: list[tuple[bytes, bytes]] = []
+        cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
+        for lo, hi in zip(cuts, np.append(cuts[1:], len(bucket))):
+            number = {x: i for i, x in enumerate(dict.fromkeys(label[lo:hi]))}
+            some = slice(*np.searchsorted(owner, [lo, hi]))
+            pairs = resolve_bucket(np.array([number[x] for x in label[lo:hi]]), owner[some] - lo, value[some], weight[some])
+            out += [(node[lo + i], node[lo + j]) for i, j in pairs]
+        return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
+
+    return found.groupBy("g").applyInArrow(run, "a binary, b binary")
+
+
+def split_by_prefix(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(bucket, node, n_words): the buckets of ``members`` split so that each
+    part holds the nodes whose prefixes share a shingle, rarest in the bucket
+    first. Similar nodes of a bucket meet in some part."""
+    def run(batches):
+        for b in batches:
+            raw, offsets = utf8(b.column("text"))
+            for lo, hi in slices(offsets, 1 << 20):
+                _, _, owner, value, weight = shingles(raw[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo])
+                total = np.bincount(owner, weight, hi - lo).astype(np.int64)[owner]
+                rows = pa.RecordBatch.from_arrays([b.column(c) for c in ("bucket", "node", "n_words")], names=["bucket", "node", "n_words"])
+                yield pa.RecordBatch.from_arrays([*rows.take(pa.array(owner + lo)).columns, pa.array(value.view(np.int64)),
+                                                  pa.array(weight, pa.int64()), pa.array(total)],
+                                                 names=["bucket", "node", "n_words", "shingle", "weight", "total"])
+
+    rows = members.select("bucket", "node", "n_words").join(texts, "node").select("bucket", "node", "n_words", "text").mapInArrow(
+        run, "bucket long, node binary, n_words long, shingle long, weight long, total long")
+    often = rows.groupBy("bucket", "shingle").agg(F.count("*").alias("often"))
+    order = Window.partitionBy("bucket", "node").orderBy("often", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.join(often, ["bucket", "shingle"]).withColumn("before", F.coalesce(F.sum("weight").over(order), F.lit(0)))
+    return placed.filter(in_prefix(F.col("before"), F.col("total")) & (F.col("often") > 1)).select(
+        F.xxhash64("bucket", "shingle", F.lit("prefix")).alias("bucket"), "node", "n_words")
+
+
+def link_nodes(spark: SparkSession, members: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+    """(node, label) of all nodes with a link, from staged (bucket, node,
+    n_words) rows of buckets with two nodes or more."""
     texts = stage(spark, node_texts(docs, text_col, stage(spark, members.select("node").distinct(), "nodes")), "node-texts")
-    # first round: every node against the smallest pivot of its buckets
+    # first every node against the smallest pivot of its buckets
     pivots = members.groupBy("bucket").agg(F.min("node").alias("p"))
     first = members.join(pivots, "bucket").groupBy("node").agg(F.min("p").alias("p")).filter("node != p")
     known = stage(spark, overlaps(first.select(F.col("node").alias("a"), F.col("p").alias("b")), texts), "overlaps")
-    links = known.filter(_similar()).select("a", "b")
-    labels = components(spark, links)
-    active = members.withColumn("side", F.lit(0))
+    labels = stage(spark, components(spark, known.filter(_similar()).select("a", "b")), "labels")
+    active = members.withColumn("side", F.lit(0)).withColumn("split", F.lit(False))
     while True:
-        labels = stage(spark, labels, "labels")
-        active = active.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_ = (active.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct("side", "node")).alias("p"))
-                 .filter("lo != hi").select("bucket", F.col("p.node").alias("p")))
-        # pivots come from side 0, the nodes that may still find links
-        active = stage(spark, active.join(open_, "bucket"), "buckets")
-        if not active.limit(1).count():
+        active = active.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        # buckets with two components or more; of equal ones (bands repeat each other) one is enough
+        open_ = (active.groupBy("bucket", "split").agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct("side", "node")).alias("p"),
+            F.count("*").alias("n"), F.sum("n_words").alias("words"),
+            *[F.sum(F.xxhash64("node", F.lit(i)).cast("decimal(38,0)")).alias(f"set{i}") for i in (0, 1)])
+            .filter("lo != hi").groupBy("n", "set0", "set1").agg(F.min(F.struct("bucket", "p", "words")).alias("w"))
+            .select("w.bucket", F.col("w.p.node").alias("p"), (F.col("w.words") <= BUCKET_WORDS).alias("small")))
+        active = stage(spark, active.join(open_, "bucket").withColumn("what", F.when(F.col("small"), "small")
+                       .when(F.col("split"), "large").otherwise("whole")), "buckets")
+        sizes = {r["what"]: r["count"] for r in active.groupBy("what").count().collect()}
+        if not sizes:
+            return labels
+        links, parts = labels.select(F.col("node").alias("a"), F.col("label").alias("b")), []
+        if "small" in sizes:
+            links = links.unionByName(stage(spark, resolve(
+                active.filter("what = 'small'").select("bucket", "node", "label", "n_words"), texts), "resolved"))
+        if "whole" in sizes:
+            parts.append(split_by_prefix(active.filter("what = 'whole'"), texts).withColumn("side", F.lit(0)))
+        if "large" in sizes:
+            large = active.filter("what = 'large'")
+            asked = large.filter("node != p").select(F.col("node").alias("a"), F.col("p").alias("b")).distinct()
+            asked = asked.join(known.select("a", "b"), ["a", "b"], "left_anti")
+            known = stage(spark, known.unionByName(overlaps(asked, texts)), "overlaps")
+            links = links.unionByName(known.filter(_similar()).select("a", "b"))
+            seen = large.filter("node != p").select("bucket", F.col("node").alias("a"), F.col("p").alias("b"), "n_words") \
+                .join(known, ["a", "b"]).withColumn("near", _near()).withColumn("like", _similar())
+            ring = F.col("near") & ~F.col("like")
+
+            def part(name: str, of: str, side):
+                return seen.filter(of).select(F.xxhash64("bucket", "b", F.lit(name)).alias("bucket"), F.col("a").alias("node"),
+                                              "n_words", side.alias("side"))
+
+            # pivots come from side 0, the nodes that may still find links; an
+            # inner part without a ring holds similar nodes only
+            parts += [part("in", "near", F.when(ring, 0).otherwise(1)), part("out", "not like", F.lit(0))]
+        labels = stage(spark, components(spark, links), "labels") if set(sizes) != {"whole"} else labels
+        if not parts:
             return labels
-        asked = active.filter("node != p").select(F.col("node").alias("a"), F.col("p").alias("b")).distinct()
-        asked = asked.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        known = stage(spark, known.unionByName(overlaps(asked, texts)), "overlaps")
-        links = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(
-            known.filter(_similar()).select("a", "b"))
-        labels = components(spark, links)
-        seen = active.filter("node != p").select("bucket", F.col("node").alias("a"), F.col("p").alias("b")) \
-            .join(known, ["a", "b"]).withColumn("near", _near()).withColumn("like", _similar())
-        ring = F.col("near") & ~F.col("like")
-        inner = seen.filter("near").select(F.xxhash64("bucket", "b", F.lit("in")).alias("bucket"), F.col("a").alias("node"),
-                                           F.when(ring, 0).otherwise(1).alias("side"))
-        outer = seen.filter("not like").select(F.xxhash64("bucket", "b", F.lit("out")).alias("bucket"), F.col("a").alias("node"),
-                                               F.lit(0).alias("side"))
-        # an inner part without a ring holds similar nodes only
-        active = inner.unionByName(outer)
+        active = reduce(DataFrame.unionByName, parts).withColumn("split", F.lit(True))
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -300,8 +424,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     seen = stage(spark, signatures(docs, id_col, text_col, bands, rows), "signatures")
     worded = seen.filter("n_words > 0")
-    nodes = worded.groupBy("node").agg(F.first("bands").alias("bands"))
-    listed = nodes.select("node", F.explode("bands").alias("bucket"))
+    nodes = worded.groupBy("node").agg(F.first("bands").alias("bands"), F.first("n_words").alias("n_words"))
+    listed = nodes.select("node", "n_words", F.explode("bands").alias("bucket"))
     shared = listed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     members = stage(spark, listed.join(shared, "bucket"), "members")
     rows_ = worded.select("id", "sha", "node")
