@@ -147,8 +147,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     cells = 1 << 20
     share = min(cells, cells * train_rows // n)
     y = y.filter(F.pmod(F.xxhash64("__id"), F.lit(cells)) < share)
-    picked = docs.join(F.broadcast(y), F.col(id_col) == F.col("__id"))  # train_rows rows at most
-    x = stage(spark, statistics(picked, text_col, ["__id", "label"]).select(
+    texts = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__t"))
+    picked = texts.join(F.broadcast(y), F.col("__doc") == F.col("__id"))  # train_rows rows at most
+    x = stage(spark, statistics(picked, "__t", ["label"]).select(
         "label", F.array(*[f"__s_{s}" for s in STATS]).alias("x")).coalesce(8), "quality-train")
     total = {r["label"]: r["count"] for r in x.groupBy("label").count().collect()}
     if len(total) < 2:

@@ -46,7 +46,7 @@ def pages(spark, rows):
 
 def test_style_tree_cuts_what_a_site_repeats(spark):
     """No tag or class says what is what: only the host's pages together do."""
-    page = "<body><div class=x1>Shop Cart Help</div><div class=x2><p>Story {0} tells of {0}.</p><p>More of {0}.</p></div><div class=x3>All rights</div>"
+    page = "<body><div class=xa>Shop Cart Help</div><div class=xb><p>Story {0} tells of {0}.</p><p>More of {0}.</p></div><div class=xc>All rights</div>"
     rows = [(i, "http://a.net/p", page.format(i)) for i in range(20)] + [(99, "http://b.net/", page.format("b"))]
     got = {r.page_id: r.text for r in H.extract(pages(spark, rows)).collect()}
     assert all(got[i] == f"Story {i} tells of {i}.\n\nMore of {i}." for i in range(20))
