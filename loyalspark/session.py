@@ -7,6 +7,7 @@ in settings that are unset, so a cluster's own configuration always wins.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,8 +39,6 @@ def get_session(app: str = "loyalspark", master: str | None = None,
     conf = dict(_DEFAULTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master and master.startswith("local"):  # one machine: its own folder is shared
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="loyalspark-ckpt-")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -49,11 +48,15 @@ def get_session(app: str = "loyalspark", master: str | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by ``spark.checkpoint.dir``; an error
-    where it is unset, as a machine's own folder loses data on a cluster."""
+    """Shared checkpoint folder named by ``spark.checkpoint.dir``. Where it is
+    unset: an error on a cluster, as a machine's own folder loses data there; a
+    scratch folder under a local master, whose only machine shares it."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="loyalspark-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
