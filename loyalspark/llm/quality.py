@@ -183,4 +183,7 @@ def keep_good(docs: DataFrame, model: RuleEnsemble, text_col: str = "text", thre
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
     packed = packed.withColumn("__t", F.col("__row").getField(text_col))
     s = statistics(packed, "__t", ["__row"])
-    return s.filter(model.column() >= threshold).select("__row.*")
+    # the row number keeps the optimiser from moving the filter below the
+    # statistics, where every rule would work them out again
+    s = s.select("__row", model.column().alias("__score"), F.monotonically_increasing_id().alias("__n"))
+    return s.filter((F.col("__score") >= threshold) & (F.col("__n") >= 0)).select("__row.*")
