@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import join_small, keep_rows, mix, slices, stage, text_or_empty, utf8
+from .common import SLICE_BYTES, join_small, keep_rows, mix, slices, stage, text_or_empty, utf8
 
 #: Words in a shingle.
 SHINGLE = 5
@@ -76,6 +76,17 @@ def shingles(raw: np.ndarray, offsets: np.ndarray):
     return names, n, text[cut], value[cut], np.diff(np.append(cut, len(value)))
 
 
+def all_shingles(raw: np.ndarray, offsets: np.ndarray):
+    """(owner, shingle, weight) of many texts, worked out slice by slice."""
+    parts = []
+    for lo, hi in slices(offsets, SLICE_BYTES // 2):
+        owner, value, weight = shingles(raw[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo])[2:]
+        parts.append((owner + lo, value, weight))
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def bag_minhash(texts: int, owner: np.ndarray, value: np.ndarray, weight: np.ndarray, slots: int) -> np.ndarray:
     """Signatures (texts x slots) as the bits of the first points; a text
     without shingles keeps infinity everywhere."""
@@ -142,7 +153,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int = BANDS,
     def run(batches):
         for b in batches:
             raw, offsets = utf8(b.column("text"))
-            for lo, hi in slices(offsets, 1 << 21):
+            for lo, hi in slices(offsets):
                 names, n, owner, value, weight = shingles(raw[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo])
                 keys = band_keys(bag_minhash(hi - lo, owner, value, weight, bands * rows), bands, rows)
                 yield pa.RecordBatch.from_arrays([
@@ -158,7 +169,7 @@ def node_texts(docs: DataFrame, text_col: str, nodes: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             raw, offsets = utf8(b.column("text"))
-            for lo, hi in slices(offsets, 1 << 21):
+            for lo, hi in slices(offsets):
                 names = shingles(raw[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo])[0]
                 yield pa.RecordBatch.from_arrays([_binary(names), b.column("text").slice(lo, hi - lo)], names=["node", "text"])
 
@@ -217,8 +228,7 @@ def overlaps(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def run(key, of_a, of_b):
         row = {b: i for i, b in enumerate(of_b.column("b").to_pylist())}
         at = np.array([row[b] for b in of_a.column("b").to_pylist()], np.int64)
-        both, either = pair_overlaps(shingles(*utf8(of_a.column("text")))[2:], shingles(*utf8(of_b.column("text")))[2:],
-                                     at, len(at))
+        both, either = pair_overlaps(all_shingles(*utf8(of_a.column("text"))), all_shingles(*utf8(of_b.column("text"))), at, len(at), 1 << 18)
         return pa.table({"a": of_a.column("a"), "b": of_a.column("b"), "both": pa.array(both), "either": pa.array(either)})
 
     return left.groupBy("g").cogroup(right.groupBy("g")).applyInArrow(run, "a binary, b binary, both long, either long")
@@ -257,7 +267,7 @@ def _near():
 #: Words of a bucket that one task resolves by itself; larger ones are split first.
 BUCKET_WORDS = 1_000_000
 #: Words that a task shingles at once when it resolves buckets, about.
-GROUP_WORDS = 250_000
+GROUP_WORDS = 100_000
 
 
 def in_prefix(before, total):
@@ -319,7 +329,7 @@ def resolve(members: DataFrame, texts: DataFrame) -> DataFrame:
         order = np.argsort(bucket, kind="stable")
         table, bucket = table.take(pa.array(order)), bucket[order]
         node, label = table.column("node").to_pylist(), table.column("label").to_pylist()
-        _, _, owner, value, weight = shingles(*utf8(table.column("text")))
+        owner, value, weight = all_shingles(*utf8(table.column("text")))
         out: list[tuple[bytes, bytes]] = []
         cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
         for lo, hi in zip(cuts, np.append(cuts[1:], len(bucket))):
