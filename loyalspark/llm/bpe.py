@@ -13,10 +13,11 @@ to tasks as tables bounded by the vocabulary. There is no shuffle.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import unicodedata
-from functools import lru_cache
+from array import array
 
 import ahocorasick
 import numpy as np
@@ -31,7 +32,7 @@ from .common import slices, text_or_empty, utf8
 #: Closes a word where the vocabulary has its end-of-word suffix.
 END = "\0"
 #: Entries of each of a worker's caches, which are emptied when full.
-CACHE = 200_000
+CACHE = 150_000
 #: White space of the splitting pattern; str.split() also takes U+001C-U+001F.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CONTROL = re.compile("[\x1c-\x1f]")
@@ -85,8 +86,8 @@ class Bpe:
         for token, i in vocab.items():
             self.key[i] = token[:-len(suffix)] + END if suffix and token.endswith(suffix) else token
         self._judged: dict[tuple[int, int], bool] = {}
-        self._words: dict[str, list[int]] = {}
-        self._chunks: dict[str, list[int]] = {}
+        self._words: dict[str, bytes] = {}
+        self._chunks: dict[str, bytes] = {}
         # usable: merging the token's own characters does end in the token
         usable = []
         good = [False] * size
@@ -139,7 +140,7 @@ class Bpe:
                 over_b, b = rb, self.parts[b][0]
 
     def compatible(self, a: int, b: int) -> bool:
-        if len(self._judged) >= CACHE:
+        if len(self._judged) >= CACHE // 2:
             self._judged.clear()
         known = self._judged[a, b] = self._apart(a, b, 1 << 60)
         return known
@@ -182,15 +183,15 @@ class Bpe:
                 at -= len(keys[token])
                 token = shorter[token]
 
-    def chunk(self, chunk: str) -> list[int]:
-        """Ids of a text without white space: composed, lower-cased character
+    def chunk(self, chunk: str) -> bytes:
+        """Packed ids of a text without white space: composed, lower-cased character
         by character (no final sigma), split, encoded word by word. Characters
         that this Python's Unicode tables lack are left to the tokenizers
         library's tables."""
         end = END if self.suffix else ""
         if _PLAIN.fullmatch(chunk):
             return self.known(chunk.lower() + end)
-        out: list[int] = []
+        out = b""
         if _RARE.search(chunk) and any(unicodedata.category(c) == "Cn" for c in chunk):
             if self._newer is None:
                 self._newer = Tokenizer.from_str(self.rules)
@@ -204,11 +205,11 @@ class Bpe:
                                w.encode("utf-8").decode("latin-1").translate(self.byte_map)) + end)
         return out
 
-    def known(self, key: str) -> list[int]:
-        """``word`` behind a cache."""
+    def known(self, key: str) -> bytes:
+        """``word`` as packed ids, behind a cache."""
         found = self._words.get(key)
         if found is None:
-            found = self.word(key)
+            found = array("I", self.word(key)).tobytes()
             if len(key) <= 64:
                 if len(self._words) >= CACHE:
                     self._words.clear()
@@ -216,12 +217,12 @@ class Bpe:
         return found
 
     def encode(self, text: str) -> np.ndarray:
-        ids: list[int] = []
+        out: list[bytes] = []
         parts = self.split_special.split(text) if self.split_special and "<|" in text else (text,)
         known = self._chunks
         for part in parts:
             if part in self.special:
-                ids.append(self.special[part])
+                out.append(array("I", [self.special[part]]).tobytes())
                 continue
             for c in regex.split(f"[{SPACE}]+", part) if _CONTROL.search(part) else part.split():
                 found = known.get(c)
@@ -231,8 +232,8 @@ class Bpe:
                         if len(known) >= CACHE:
                             known.clear()
                         known[c] = found
-                ids += found
-        return np.array(ids, "<u4")
+                out.append(found)
+        return np.frombuffer(b"".join(out), "<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The tokens' texts joined by one space, by gathering from the table."""
@@ -244,9 +245,16 @@ class Bpe:
         return self.table[at[:-1]].tobytes()
 
 
-@lru_cache(maxsize=2)
-def _built(known) -> Bpe:
-    return Bpe(known.value)
+#: The worker's encoder, by the digest of its vocabulary file: kept from task to
+#: task and query to query, and only one at a time.
+_BUILT: dict[str, Bpe] = {}
+
+
+def _built(digest: str, known) -> Bpe:
+    if digest not in _BUILT:
+        _BUILT.clear()
+        _BUILT[digest] = Bpe(known.value)
+    return _BUILT[digest]
 
 
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -258,14 +266,16 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     at. Batches leave a task slice by slice, so memory is bounded by the
     slice, or the longest single text.
     """
-    known = docs.sparkSession.sparkContext.broadcast(read_spec(path))
+    spec = read_spec(path)
+    digest = hashlib.sha256(repr(spec).encode()).hexdigest()
+    known = docs.sparkSession.sparkContext.broadcast(spec)
     src = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
 
     def run(batches):
-        bpe = _built(known)
+        bpe = _built(digest, known)
         for b in batches:
             _, offsets = utf8(b.column("text"))
-            for lo, hi in slices(offsets, 1 << 22):
+            for lo, hi in slices(offsets):
                 ids = [bpe.encode(t) for t in b.column("text").slice(lo, hi - lo).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id").slice(lo, hi - lo), pa.array([x.tobytes() for x in ids], pa.binary()),
