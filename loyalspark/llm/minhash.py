@@ -113,7 +113,8 @@ def bag_minhash(texts: int, owner: np.ndarray, value: np.ndarray, weight: np.nda
         step = np.arange(k + 1, k + group + 1, dtype=np.uint64) * _GOLD
         draw = mix(seed[:, None] + step)
         gap = -np.log(((draw >> np.uint64(11)).astype(float) + 0.5) * 2.0 ** -53) / width[:, None]
-        at = time[:, None] + np.cumsum(gap, axis=1)
+        # gaps are added one by one, so a point's bits do not depend on the group
+        at = np.cumsum(np.concatenate([time[:, None], gap], axis=1), axis=1)[:, 1:]
         draw = mix(draw ^ np.uint64(0xE7037ED1A0B428DB))
         slot = (draw & np.uint64(0xFFFFFFFF)) * np.uint64(slots) >> np.uint64(32)
         level = low[:, None] + ((draw >> np.uint64(32)) * width[:, None].astype(np.uint64) >> np.uint64(32)).astype(np.int64)

@@ -71,6 +71,22 @@ def test_signatures_estimate_weighted_similarity():
             assert abs((s[0] == s[1]).mean() - true) < 0.035
 
 
+def test_signatures_do_not_depend_on_the_slice():
+    """Bit-equal whether a text is signed alone or among many others, whose
+    processes change the number of points drawn at once."""
+    rnd = random.Random(6)
+    texts = [" ".join(rnd.choice("abcdefghijklmnop") + str(rnd.randint(0, 99)) for _ in range(n))
+             for n in [3, 5, 9, 14, 24, 44, 104, 400] * 12 + [3000, 6000]]
+
+    def sign(some):
+        _, _, owner, value, weight = M.shingles(*common.utf8(pa.array(some)))
+        return M.bag_minhash(len(some), owner, value, weight, 80)
+
+    alone = np.concatenate([sign([t]) for t in texts])
+    for some in (len(texts), 40, 8):
+        assert (sign(texts[-some:]) == alone[-some:]).all()
+
+
 def test_classes_against_all_pairs(frame):
     rows = [*enumerate(near_texts(), 100), *ODD, (20, "one two"), (21, "One TWO."), (22, "one two three")]
     got = M.near_classes(frame(rows)).collect()
