@@ -2,7 +2,8 @@
 
 Pattern spans (``assign``, ``access``, ``hex``) are always reported. Every
 other run of 20 or more characters of ``[A-Za-z0-9+/_=-]`` that mixes letters
-and digits is a candidate: its encoding is inferred from its alphabet, and
+and digits is a candidate, split at ``=`` that is not padding at its end (a name
+and its value are two candidates): its encoding is inferred from its alphabet, and
 three tests say how well it fits random symbols of that encoding -- the
 chi-squared statistic of alphabet uniformity, the runs test about the middle
 of the alphabet, the lag-one serial correlation. Fisher's method joins them
@@ -37,6 +38,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "random")
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+#: The parts of a candidate: names and values, the last with its padding.
+PART = re.compile(r"[^=]{20,}(?:=+\Z)?")
 #: Encodings by alphabet size; symbols count by their place in the alphabet.
 ENCODINGS = {
     "hex": "0123456789abcdef",
@@ -122,15 +125,16 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     starts = [s for s, _, _ in base]
     reach = list(accumulate((e for _, _, e in base), max))
     for m in CANDIDATE.finditer(text):
-        start, end = m.span()
-        k = bisect_left(starts, end)
-        if k and reach[k - 1] > start:
-            continue
-        body = m[0].strip("=")
-        encoding = infer_encoding(body) if len(body) >= BANDS[0] and "=" not in body else None
-        if encoding:
-            band = sum(len(body) >= b for b in BANDS) - 1
-            out.append({"start": start, "end": end, "encoding": encoding, "band": band, "p": battery(body, encoding)})
+        for part in PART.finditer(m[0]):
+            start, end = m.start() + part.start(), m.start() + part.end()
+            k = bisect_left(starts, end)
+            if k and reach[k - 1] > start:
+                continue
+            body = part[0].rstrip("=")
+            encoding = infer_encoding(body)
+            if encoding:
+                band = sum(len(body) >= b for b in BANDS) - 1
+                out.append({"start": start, "end": end, "encoding": encoding, "band": band, "p": battery(body, encoding)})
     return out
 
 

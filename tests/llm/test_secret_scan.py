@@ -66,6 +66,18 @@ def test_frame_finds_planted_and_leaves_clean(frame):
     assert not any(found[i] for i in range(1, 9))
 
 
+def test_value_behind_a_name(frame):
+    rnd = random.Random(4)
+    alphabet = string.ascii_letters + string.digits
+    names = ["auth=", "?sig=", "PRIVATE_KEY=", "pwd=", "a=b=", "="]
+    keys = {i: (names[i % 6], rnd_of(rnd, alphabet, 41) + "Aa0") for i in range(100, 400)}
+    got = S.find_secrets(frame([(i, f"See {n}{k}{'=' * (i % 3)} end") for i, (n, k) in keys.items()])).collect()
+    right = sum([tuple(s) for s in r.spans] == [(at := 4 + len(keys[r.doc_id][0]), 3, at + 44 + r.doc_id % 3, "random")] for r in got)
+    assert right >= 270
+    long = S.candidates(f"{'aB3' * 8}={'cD4' * 8}==x=token=abcdef", [(32, 0, 64)])
+    assert [(c["start"], c["end"]) for c in long] == [(0, 24)]
+
+
 def test_spans_and_empty(frame):
     text = "password = hunter2x " + "é" + "0123456789abcdef" * 2
     row = S.find_secrets(frame([(1, text), (2, None)])).orderBy("doc_id").collect()
