@@ -30,11 +30,11 @@ CATEGORICAL = ("state_current", "state_d28")
 # Spark's trees go.
 MAX_DEPTH = 30
 
-# Parameter grids of the tuned models (fixed values): 48, 36 and 6 points.
+# Parameter grids of the tuned models (the original's values): 48, 36 and 6 points.
 GRIDS = {
-    "adaboost": {"maxIter": [50, 100, 150, 200, 300, 500], "stepSize": [0.001, 0.01, 0.05, 0.1, 0.2, 0.5, 0.9, 0.99]},
-    "rf": {"numTrees": [100, 150, 250, 500], "minInstancesPerNode": [10, 20, 30, 50, 75, 100, 150, 200, 300]},
-    "dt": {"minInstancesPerNode": [5, 10, 20, 30, 50, 100]},
+    "adaboost": {"maxIter": [50, 100, 150, 200, 500, 1000], "stepSize": [0.001, 0.01, 0.05, 0.1, 0.2, 0.5, 0.9, 0.99]},
+    "rf": {"numTrees": [50, 100, 150, 200, 500, 1000], "minInstancesPerNode": [3, 5, 10, 20, 30, 50]},
+    "dt": {"minInstancesPerNode": [3, 5, 10, 20, 30, 50]},
 }
 
 

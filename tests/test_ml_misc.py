@@ -174,6 +174,12 @@ def test_default_grids():
     assert size == {"adaboost": 48, "rf": 36, "dt": 6}
 
 
+def test_default_grids_hold_the_values_of_the_original():
+    leaves, rounds = [3, 5, 10, 20, 30, 50], [50, 100, 150, 200, 500, 1000]
+    assert mm.GRIDS == {"dt": {"minInstancesPerNode": leaves}, "rf": {"minInstancesPerNode": leaves, "numTrees": rounds},
+                        "adaboost": {"maxIter": rounds, "stepSize": [0.001, 0.01, 0.05, 0.1, 0.2, 0.5, 0.9, 0.99]}}
+
+
 def test_policy_impute_and_drop(spark):
     t = _table(spark)
     t2, dropped = mp.drop_uninformative(t)
