@@ -355,7 +355,7 @@ COHORT_TRAIN = (D(2024, 1, 4), D(2024, 1, 26))
 COHORT_OOT = (D(2024, 1, 27), D(2024, 1, 30))
 ABT_CUTS = spine_dates(D(2024, 1, 5), D(2024, 1, 31))
 ABT_PRESET = MAIN.with_features(lc_current_offset=1)
-# the whole order history, every seventh day up to the cut-off
+# every seventh day of the order history up to the cut-off, not every day: see the README
 LC_ORD_CUTS = [ORD_CUT - _dt.timedelta(days=7 * k) for k in range(260, -1, -1)]
 
 
