@@ -9,7 +9,10 @@ page shows its own or there is one page only. A node's composite importance
 weighs content with presentation and with a prior for elements whose tag, role
 or class says what they are (menus, footers, adverts, ... weigh nothing). A
 branch whose importance is small against the best branch of its host is cut
-from every page; what is left are the page's blocks.
+from every page; what is left are the page's blocks. Class words alone never
+remove main, an article (unless all its classes say so, as a comment's do) or
+the branch with most of a page's article, or of its text if it has none: there
+the host's statistics decide.
 
 Trees are aggregated node by node with map-side combining, so a host with a
 third of all pages is no single task; pages meet only the list of branches
@@ -76,13 +79,17 @@ def _hash(text: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "noise", "inside", "children")
+    __slots__ = ("tag", "path", "parent", "noise", "worded", "inside", "body", "chars", "children")
 
-    def __init__(self, tag: str, key: str, parent: Element | None, noise: bool):
+    def __init__(self, tag: str, key: str, parent: Element | None, noise: bool, worded: bool):
         self.tag, self.parent = tag, parent
         self.path = _hash(f"{parent.path if parent else ''}/{key}")
         self.noise = noise or bool(parent and parent.noise)
+        #: the innermost branch, up to here, that class words call noise
+        self.worded: Element | None = self if worded else parent.worded if parent else None
         self.inside = tag in PROTECTED or bool(parent and parent.inside)
+        self.body = tag in PROTECTED and not worded or bool(parent and parent.body)
+        self.chars = 0
         self.children: list[str] = []
 
     def up(self) -> tuple[int, ...]:
@@ -93,13 +100,25 @@ class Element:
             e = e.parent
         return tuple(out)
 
+    def word_branches(self):
+        """Branches around this element that class words call noise."""
+        e = self.worded
+        while e:
+            yield e
+            e = e.parent.worded
+
+
+def _worded(words: list[str], inside: bool) -> bool:
+    return not NOISE_WORDS.isdisjoint(words) or HEADER in words and not inside
+
 
-def describe(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
-    """(tag and class words without digits, whether its role is noise)."""
+def describe(tag: str, attributes: str, inside: bool) -> tuple[str, bool, bool]:
+    """(tag and class words without digits, whether its tag or role is noise,
+    whether its class words are)."""
     noise = tag in NOISE_TAGS or tag == HEADER and not inside
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return tag, noise
-    words: list[str] = []
+        return tag, noise, False
+    names: list[list[str]] = []
     for name, *value in _ATTRIBUTE.findall(attributes):
         value = next((v for v in value if v), "")
         name = name.lower()
@@ -108,19 +127,24 @@ def describe(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
         elif name == "hidden":
             noise = True
         else:
-            words += [w.lower() for w in _WORD.findall(html.unescape(value))]
-    if tag not in ("html", "body"):
-        noise = noise or not NOISE_WORDS.isdisjoint(words) or HEADER in words and not inside
-    return ".".join([tag, *sorted(set(words))]), noise
+            names += [[w.lower() for w in _WORD.findall(v)] for v in html.unescape(value).split()]
+    words = [w for v in names for w in v]
+    if tag in ("html", "body", "main"):
+        worded = False
+    elif tag == "article":
+        worded = bool(words) and all(_worded(v, inside) for v in names if v)
+    else:
+        worded = _worded(words, inside)
+    return ".".join([tag, *sorted(set(words))]), noise, worded
 
 
 def parse(page: str):
     """(blocks, styles): blocks as (text, path, ancestors, noise, inside the
     article) in page order; styles as {(path, variant of its children)}. Tags may be left open
     or closed out of order, as browsers take them."""
-    root = Element("#", "#", None, False)
+    root = Element("#", "#", None, False, False)
     stack, text, is_open = [root], [], Counter()
-    blocks: list[tuple[str, int, tuple, bool, bool]] = []
+    blocks: list[tuple[str, Element]] = []
     styles: set[tuple[int, int]] = set()
 
     def flush():
@@ -128,8 +152,7 @@ def parse(page: str):
             joined = " ".join("".join(text).split())
             text.clear()
             if joined:
-                e = stack[-1]
-                blocks.append((joined, e.path, e.up(), e.noise, e.inside))
+                blocks.append((joined, stack[-1]))
 
     def close(n: int):
         flush()
@@ -138,8 +161,8 @@ def parse(page: str):
             is_open[e.tag] -= 1
             styles.add((e.path, _hash(" ".join(k for k, _ in groupby(e.children)))))
 
-    def start(tag: str, key: str, noise: bool):
-        stack.append(Element(tag, key, stack[-1], noise))
+    def start(tag: str, key: str, noise: bool, worded: bool):
+        stack.append(Element(tag, key, stack[-1], noise, worded))
         is_open[tag] += 1
 
     def open_at(tags, barrier) -> int | None:
@@ -175,11 +198,11 @@ def parse(page: str):
             close(len(stack) - 1)
         if tag in INLINE:
             if m[3]:
-                key, noise = describe(tag, m[3], stack[-1].inside)
-                if noise and tag not in VOID:  # an inline advert, say, is a branch of its own
+                key, noise, worded = describe(tag, m[3], stack[-1].inside)
+                if (noise or worded) and tag not in VOID:  # an inline advert, say, is a branch of its own
                     flush()
                     stack[-1].children.append(key)
-                    start(tag, key, True)
+                    start(tag, key, noise, worded)
                     continue
             if tag == "br":
                 text.append(" ")
@@ -193,18 +216,26 @@ def parse(page: str):
             close(n)
         if tag in ("html", "body") and is_open[tag]:
             continue
-        key, noise = describe(tag, m[3], stack[-1].inside)
+        key, noise, worded = describe(tag, m[3], stack[-1].inside)
         stack[-1].children.append(key)
         if tag in VOID:
             continue
-        start(tag, key, noise)
+        start(tag, key, noise, worded)
         if tag in RAW:
             end = re.compile(f"</{tag}", re.I).search(page, at)
             at = end.start() if end else size
         elif m[3].rstrip().endswith("/") and tag in ("svg", "path", "g", "use"):
             close(len(stack) - 1)
     close(0)
-    return blocks, styles
+    live = [(len(joined), e) for joined, e in blocks if not e.noise]
+    if any(e.body for _, e in live):
+        live = [(n, e) for n, e in live if e.body]
+    for n, e in live:
+        for branch in e.word_branches():
+            branch.chars += n
+    half = sum(n for n, _ in live) / 2
+    return [(joined, e.path, e.up(), e.noise or any(x.chars <= half for x in e.word_branches()), e.inside)
+            for joined, e in blocks], styles
 
 
 def main_text(page: str, cut: frozenset) -> str:

@@ -22,6 +22,23 @@ def test_blocks_of_tag_soup():
         assert H.main_text(page, frozenset()) == want.replace("|", "\n\n"), page
 
 
+def test_class_words_alone_do_not_remove_the_article():
+    art = "<h1>T</h1><p>A long story.</p><div class=share-box>no</div>"
+    cases = {
+        f"<div class='content has-sidebar'><article>{art}</article><div class=sidebar>no</div></div>": "T|A long story.",
+        f"<main class=no-sidebar>{art}</main><div class=comments>{'no ' * 40}</div>": "T|A long story.",
+        f"<article class='post comments-open'>{art}</article><article class=comment>{'no ' * 40}</article>": "T|A long story.",
+        f"<div class='page nav-fixed'><div class=story>{art}</div></div><div class=related>no</div>": "T|A long story.",
+        f"<article>{art}</article><div class=related><article>no</article></div>": "T|A long story.",
+        f"<div class=has-sidebar><nav>{'no ' * 40}</nav><div hidden>no</div>{art}</div>": "T|A long story.",
+    }
+    for page, want in cases.items():
+        assert H.main_text(page, frozenset()) == want.replace("|", "\n\n"), page
+    page = f"<div class='content has-sidebar'><p>x</div><p>{art}"
+    path = next(p for t, p, *_ in H.parse(page)[0] if t == "A long story.")
+    assert "A long story." not in H.main_text(page, frozenset([path]))  # the tree still decides
+
+
 def test_deep_and_long_pages_take_linear_time():
     assert H.main_text("<div>" * 20_000 + "x", frozenset()) == "x"
     assert len(H.main_text("<p>word " * 50_000, frozenset()).split("\n\n")) == 50_000
