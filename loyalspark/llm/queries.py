@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, html_extract, minhash, quality, secret_scan, suffix_dedup, token_counts, url_filter
+from . import bpe, decontaminate, exact_dedup, html_extract, merkle, minhash, quality, secret_scan, suffix_dedup, token_counts, url_filter
 from .common import shared_dir, ship, stage, table
 
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -90,6 +90,31 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+#: Columns of ``documents`` that a leaf holds.
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def crc32_of(col: str):
+    """Unsigned CRC-32 of a number written in decimal."""
+    return F.crc32(F.col(col).cast("string").cast("binary"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents by source. Each witness is then held
+    against its row, every fifth of which (by checksum of the id) has been
+    tampered with: text in lower case. A null id is not tampered with."""
+    docs = table(spark, sf_dir, "documents").select(*LEAF)
+    changed = merkle.leaf(*[F.translate("text", _UPPER, _LOWER) if c == "text" else F.col(c) for c in LEAF])
+    leaf = merkle.leaf(*map(F.col, LEAF))
+    rows = stage(spark, docs.select("doc_id", "source", leaf.alias("leaf"), F.when(
+        F.coalesce(crc32_of("doc_id") % 5 == 0, F.lit(False)), changed).otherwise(leaf).alias("shown")), "leaves")
+    out = merkle.manifest(rows, "source", "doc_id", "leaf")
+    out = out.withColumn("folded_root", merkle.fold(F.col("shown"), F.col("witness")))
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof(F.col("witness")), 256).alias("proof_sha256"),
+                      "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def _ready(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -109,5 +134,6 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 QUERIES = {name: _ready(query) for name, query in QUERIES.items()}
