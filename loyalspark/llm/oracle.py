@@ -144,5 +144,35 @@ SELECT doc_id, leaf, subroot, t.d AS root, sha256(proof) AS proof_sha256, folded
 FROM src_end CROSS JOIN src_top t
 """
 
+# Turns of one number stand by digest, as the operator has them. A prefix is
+# the list of its turns' digests.
+OP11 = f"""
+WITH turns AS (
+  SELECT conv_id, sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS t, turn,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id AS c, list({{'t': t, 'w': w}} ORDER BY turn NULLS FIRST, t) AS own, {crc32('conv_id')} % 4 AS h FROM turns GROUP BY conv_id
+), rebuilt AS (
+  SELECT a.c, list_concat(coalesce(b.own[1 : CAST(a.h AS INTEGER)], []), a.own[CAST(a.h AS INTEGER) + 1 :]) AS s
+  FROM convs a LEFT JOIN convs b ON b.c = a.c - a.c % 20
+), prefixes AS (
+  SELECT c, len(s) = d AS last, d, array_to_string(list_transform(s[1 : d], lambda x: x.t), '') AS p,
+         array_to_string(list_transform(s[1 : d - 1], lambda x: x.t), '') AS q, CASE WHEN d > 0 THEN s[d].w ELSE 0 END AS w
+  FROM (SELECT c, s, CAST(unnest(range(0, len(s) + 1)) AS INTEGER) AS d FROM rebuilt)
+), nodes AS (
+  SELECT d, p, any_value(q) AS q, any_value(w) AS w, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE last), '')) AS ends_sha256
+  FROM prefixes GROUP BY d, p
+), children AS (SELECT d - 1 AS d, q AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (d, p)),
+below AS (
+  SELECT u.d, u.p, count(*) FILTER (WHERE n.n_children = 0) AS n_leaves, CAST(sum((n.n_convs - 1) * n.w) AS BIGINT) AS saved_tokens
+  FROM full_nodes n JOIN prefixes m ON m.c = n.conv_id AND m.d <= n.d JOIN nodes u ON u.d = m.d AND u.p = m.p GROUP BY u.d, u.p
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN below b ON b.d = n.d AND b.p = n.p LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = n.q AND n.d > 0
+"""
+
 SQL = {"op1_url_filters": OP1, "op5_exact_dedup": OP5, "op8_decontamination": OP8, "op9_token_counts": OP9,
-       "op12_merkle_manifest": OP12}
+       "op11_conversation_trie": OP11, "op12_merkle_manifest": OP12}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, html_extract, merkle, minhash, quality, secret_scan, suffix_dedup, token_counts, url_filter
+from . import bpe, decontaminate, exact_dedup, html_extract, merkle, minhash, prefix_trie, quality, secret_scan, suffix_dedup, token_counts, url_filter
 from .common import shared_dir, ship, stage, table
 
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -100,6 +100,22 @@ def crc32_of(col: str):
     return F.crc32(F.col(col).cast("string").cast("binary"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each rebuilt with up to three first
+    turns of the conversation that its id, less its rest by 20, names."""
+    turns = stage(spark, prefix_trie.turn_rows(table(spark, sf_dir, "conversations")), "turns")
+    turns = stage(spark, prefix_trie.in_order(turns), "turns")
+    convs = turns.filter("rank = 0").select("conv_id", (F.col("conv_id") - F.col("conv_id") % 20).alias("base"),
+                                            (crc32_of("conv_id") % 4).alias("h"))
+    starts = turns.filter("rank < 3 and conv_id % 20 = 0").select(F.col("conv_id").alias("base"), "rank", "t1", "t2", "tokens")
+    none = F.lit(0).cast("long")
+    # a base has three such turns and twenty conversations at most
+    taken = convs.join(starts, "base").filter(F.col("rank") < F.col("h")).select("conv_id", (F.col("rank") - 3).alias("place"), "t1", "t2", "tokens")
+    own = turns.filter(F.col("rank") >= crc32_of("conv_id") % 4).select("conv_id", F.col("rank").alias("place"), "t1", "t2", "tokens")
+    themselves = convs.select("conv_id", F.lit(None).cast("long").alias("place"), none.alias("t1"), none.alias("t2"), none.alias("tokens"))
+    return prefix_trie.prefix_trie(stage(spark, themselves.unionAll(taken).unionAll(own), "rebuilt"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of all documents by source. Each witness is then held
     against its row, every fifth of which (by checksum of the id) has been
@@ -134,6 +150,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
 QUERIES = {name: _ready(query) for name, query in QUERIES.items()}

@@ -63,8 +63,9 @@ def _scanner(group: str, sums: list[str], hashes: list[str]):
                 own = _longs(b.column(c)) * (powers(rank) if c in hashes else np.uint64(1))
                 upto = np.append(np.uint64(0), np.cumsum(own, dtype=np.uint64))
                 ahead = upto[:-1] + np.where(begun, np.uint64(0) - upto[at], state[c])
-                state[c] = ahead[-1] + own[-1]
-                out += [pa.array(ahead.view(np.int64)), pa.array((ahead + own).view(np.int64))]
+                behind = ahead + own
+                state[c] = behind[-1]
+                out += [pa.array(ahead.view(np.int64)), pa.array(behind.view(np.int64))]
                 names += [f"{c}_before", f"{c}_upto"]
             count, before, seen = int(rank[-1]) + 1, column[n - 1].as_py(), int(groups[-1])
             held = (pa.RecordBatch.from_arrays(out, names=names), new[1:])
