@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, html_extract, merkle, minhash, prefix_trie, quality, secret_scan, suffix_dedup, token_counts, url_filter
+from . import bpe, decontaminate, exact_dedup, html_extract, merkle, minhash, prefix_trie, product_quantiser, quality, secret_scan, suffix_dedup, token_counts, url_filter
 from .common import shared_dir, ship, stage, table
 
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -131,6 +131,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_quantiser.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def _ready(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -152,5 +156,6 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_conversation_trie": op11_conversation_trie,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
 QUERIES = {name: _ready(query) for name, query in QUERIES.items()}

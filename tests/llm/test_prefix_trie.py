@@ -58,8 +58,8 @@ def shared_convs():
         turns = (["a"] if r.random() < 0.5 else []) + [r.choice("abcdefgh") for _ in range(r.choice([0, 0, 1, 2, 3, 5]))]
         convs[c] = [(t, size[t]) for t in turns]
     convs |= {c: [("x", 2), ("y", 3)] for c in range(6000, 6900)}
-    convs[7000] = [(f"long {i}", i) for i in range(3000)]
-    convs[7001] = convs[7000][:2000]
+    convs[7000] = [(f"long {i}", i) for i in range(700)]
+    convs[7001] = convs[7000][:500]
     convs[7002] = convs[7000]
     return convs
 
