@@ -48,6 +48,8 @@ _SLICE = 256
 
 def _kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     """At most k centroids; fewer where x has fewer distinct rows."""
+    if not x.shape[1]:
+        return np.zeros((1, 0))
     start = np.random.default_rng(seed).permutation(len(x))
     at = np.unique(x[start], axis=0, return_index=True)[1]
     c = x[start[np.sort(at)[:k]]].copy()
