@@ -71,8 +71,8 @@ def tasks_for(spark: SparkSession, rows: int, per_task: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-rows // per_task))
 
 
-def join_hot(left: DataFrame, right: DataFrame, on: list[str], share: int = 1000) -> DataFrame:
-    """Inner join of a staged ``left`` with a staged ``right``, which has one
+def join_hot(left: DataFrame, right: DataFrame, on: list[str], share: int = 1000, how: str = "inner") -> DataFrame:
+    """Inner or left join of a staged ``left`` with a staged ``right``, which has one
     row per key, where few keys may hold most rows of ``left``.
 
     Keys with more than one ``share``-th of the left rows are less than
@@ -83,10 +83,10 @@ def join_hot(left: DataFrame, right: DataFrame, on: list[str], share: int = 1000
     counts = left.groupBy(*on).count().filter(F.col("count") > max(total // share, 100))
     hot = counts.drop("count").collect()
     if not hot:
-        return left.join(right, on)
+        return left.join(right, on, how)
     few = F.broadcast(left.sparkSession.createDataFrame(hot, left.select(*on).schema))
-    return (left.join(few, on, "left_semi").join(F.broadcast(right.join(few, on, "left_semi")), on)
-            .unionByName(left.join(few, on, "left_anti").join(right, on)))
+    return (left.join(few, on, "left_semi").join(F.broadcast(right.join(few, on, "left_semi")), on, how)
+            .unionByName(left.join(few, on, "left_anti").join(right, on, how)))
 
 
 def text_or_empty(col: str):

@@ -63,10 +63,14 @@ def turn_rows(conversations: DataFrame) -> DataFrame:
     return rows.select("conv_id", "turn", half(1).alias("t1"), half(17).alias("t2"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("tokens"))
 
 
+#: Order of the digests' hexadecimal digits: halves as unsigned numbers.
+_BY_DIGEST = ("t1 < 0", "t1", "t2 < 0", "t2")
+
+
 def in_order(rows: DataFrame) -> DataFrame:
     """Turn rows (staged) with ``rank``, their place in their conversation by
     turn (null first); turns of one number stand by digest."""
-    return ranked(rows, "conv_id", [F.col("turn"), F.col("t1"), F.col("t2")], name="turns")
+    return ranked(rows, "conv_id", [F.col("turn"), *map(F.expr, _BY_DIGEST)], name="turns")
 
 
 def _cells(depth: np.ndarray, p1: np.ndarray, p2: np.ndarray, width: int) -> list[np.ndarray]:
@@ -217,7 +221,7 @@ def prefix_trie(rows: DataFrame) -> DataFrame:
     node. Turns of one place stand by digest.
     """
     spark = rows.sparkSession
-    walked = ranked(rows, "conv_id", [F.col("place"), F.col("t1"), F.col("t2")], sums=["tokens"], hashes=["t1", "t2"], name="trie-turns")
+    walked = ranked(rows, "conv_id", [F.col("place"), *map(F.expr, _BY_DIGEST)], sums=["tokens"], hashes=["t1", "t2"], name="trie-turns")
     prefixes = stage(spark, walked.select(
         "conv_id", F.col("rank").alias("depth"), F.col("t1_upto").alias("p1"), F.col("t2_upto").alias("p2"),
         F.col("t1_before").alias("q1"), F.col("t2_before").alias("q2"), "tokens", F.col("tokens_before").alias("above"), "last"), "trie-prefixes")
@@ -262,7 +266,9 @@ def prefix_trie(rows: DataFrame) -> DataFrame:
 
     columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
     root = nodes.filter("depth = 0").withColumn("parent_conv_id", F.lit(None).cast("long"))
-    inner = join_hot(nodes.filter("depth > 0"), parent, parent_key)
+    # a group whose parent is no group was taken for shared below a singleton
+    inner = join_hot(nodes.filter("depth > 0"), parent, parent_key, how="left").withColumn(
+        "parent_conv_id", F.coalesce("parent_conv_id", "conv_id"))
 
     def single(df: DataFrame) -> DataFrame:
         one = F.lit(1).cast("long")
