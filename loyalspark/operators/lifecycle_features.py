@@ -70,32 +70,38 @@ def fs_life_cycle(lc: DataFrame, cutoffs, cfg: Preset | str = "main",
                  *[F.lag(dn, k).over(wl).alias(f"_d{k}") for k in range(1, 7)],
                  F.avg("frequency").over(w.rangeBetween(-13, 0)).alias("avg_freq_d14")]
     wanted = [c - _dt.timedelta(days=off) for c in cuts.dates] if cuts.valid else []
-    cur = (base.select(*cols)
-           .filter(F.col("ref_date").isin(wanted))
-           .withColumn("cutoff", F.date_add("ref_date", off))
-           .withColumnRenamed("state", "state_current"))
-    # the group mean is over all current users (not only requested keys)
-    group = cur.groupBy("cutoff", "state_current").agg(F.avg("frequency").alias("avg_freq_group"))
-    if keys is not None:
-        cur = cur.join(keys.select("user_id", "cutoff").distinct(), ["user_id", "cutoff"], "left_semi")
-    # cut-offs x 7 states by construction
-    out = (cur.join(F.broadcast(group), ["cutoff", "state_current"], "left")
-           .withColumn("ratio_freq_group",
-                       F.try_divide(F.col("frequency").cast("double"), F.col("avg_freq_group"))))
-    shares = [F.try_divide(F.col(f"_c{i}").cast("double"),
-                           F.when(F.col("_n") > 0, F.col("_n")).cast("double")).alias(pct_column(s))
-              for i, s in enumerate(labels)]
-    sel = [F.date_sub("cutoff", 1).alias("ref_date"), "cutoff", "user_id", "state_current", "frequency",
-           "state_d28", *shares, "avg_freq_group", "ratio_freq_group"]
+    cur = base.select(*cols).filter(F.col("ref_date").isin(wanted)).withColumn("cutoff", F.date_add("ref_date", off))
     if fc.moving_average:
         rowcur = F.unix_date("ref_date")
         terms = [(F.col("frequency"), F.lit(True))] + [
             (F.col(f"_f{k}"), F.col(f"_d{k}") >= rowcur - 13) for k in range(1, 7)]
         s7 = sum((F.when(ok & v.isNotNull(), v).otherwise(0) for v, ok in terms), F.lit(0))
         n7 = sum((F.when(ok & v.isNotNull(), 1).otherwise(0) for v, ok in terms), F.lit(0))
-        d7 = F.try_divide(s7.cast("double"), n7.cast("double"))
-        out = out.withColumn("avg_freq_d7", d7)
-        sel += ["avg_freq_d7", "avg_freq_d14",
-                F.try_divide(F.col("frequency").cast("double"), F.col("avg_freq_d7")).alias("ratio_freq_d7"),
-                F.try_divide(F.col("frequency").cast("double"), F.col("avg_freq_d14")).alias("ratio_freq_d14")]
+        cur = cur.withColumn("avg_freq_d7", F.try_divide(s7.cast("double"), n7.cast("double")))
+    return finish(cur, cfg, keys)
+
+
+def finish(cur: DataFrame, cfg: Preset, keys: DataFrame | None = None) -> DataFrame:
+    """The store's columns from one row per user and cut-off: state, frequency,
+    state_d28, the number of snapshots before the cut-off (``_n``) and of those
+    in each state (``_c0`` ...), and the own mean frequencies. The per-state
+    mean is over all users, also where ``keys`` asks for few."""
+    fc, labels = cfg.features, cfg.lifecycle.labels
+    cur = cur.withColumnRenamed("state", "state_current")
+    group = cur.groupBy("cutoff", "state_current").agg(F.avg("frequency").alias("avg_freq_group"))
+    if keys is not None:
+        cur = cur.join(keys.select("user_id", "cutoff").distinct(), ["user_id", "cutoff"], "left_semi")
+    # cut-offs x 7 states by construction
+    out = cur.join(F.broadcast(group), ["cutoff", "state_current"], "left")
+
+    def over(x, y):
+        return F.try_divide(x.cast("double"), y.cast("double"))
+
+    f = F.col("frequency")
+    shares = [over(F.col(f"_c{i}"), F.when(F.col("_n") > 0, F.col("_n"))).alias(pct_column(s)) for i, s in enumerate(labels)]
+    sel = [F.date_sub("cutoff", 1).alias("ref_date"), "cutoff", "user_id", "state_current", "frequency",
+           "state_d28", *shares, "avg_freq_group", over(f, F.col("avg_freq_group")).alias("ratio_freq_group")]
+    if fc.moving_average:
+        sel += ["avg_freq_d7", "avg_freq_d14", over(f, F.col("avg_freq_d7")).alias("ratio_freq_d7"),
+                over(f, F.col("avg_freq_d14")).alias("ratio_freq_d14")]
     return out.select(*sel)

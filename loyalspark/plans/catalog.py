@@ -322,6 +322,8 @@ def _fs_education_monthly(spark, d):
 # ------------------------------------------------------- life-cycle features
 
 from loyalspark.operators import lifecycle_features as lf  # noqa: E402
+from loyalspark.operators import state_history as sh  # noqa: E402
+from loyalspark.sources.store import stage  # noqa: E402
 
 LC_DAILY_CUTS = spine_dates(D(2024, 1, 1), D(2024, 1, 31))
 
@@ -346,17 +348,31 @@ def _fs_lc_backfill(spark, d):
     return lf.fs_life_cycle(lc_daily(spark, d), spine_dates(D(2024, 1, 8), D(2024, 1, 30)), MAIN)
 
 
+@register("fs_life_cycle_daily")
+def _fs_lc_daily(spark, d):
+    return sh.fs_life_cycle_daily(fx.tx_events_thin(spark, d), spine_dates(D(2024, 1, 8), D(2024, 1, 30)), D(2024, 1, 1), MAIN)
+
+
+@register("fs_life_cycle_incremental")
+def _fs_lc_incremental(spark, d):
+    """Three days on from the first state table, each from the one before."""
+    snapshots = stage(lc_daily(spark, d), "lc_daily")
+    states = stage(sh.begin(snapshots, D(2024, 1, 27), MAIN), "lc_states")
+    for day in spine_dates(D(2024, 1, 28), D(2024, 1, 30)):
+        states = stage(sh.advance(states, snapshots.filter(F.col("ref_date") == F.lit(day)), day, MAIN), "lc_states")
+    return sh.features_of(states, MAIN)
+
+
 # -------------------------------------------------------- labels, cohort, ABT
 
 from loyalspark.operators import target as tg  # noqa: E402
-from loyalspark.sources.store import stage  # noqa: E402
 
 COHORT_TRAIN = (D(2024, 1, 4), D(2024, 1, 26))
 COHORT_OOT = (D(2024, 1, 27), D(2024, 1, 30))
 ABT_CUTS = spine_dates(D(2024, 1, 5), D(2024, 1, 31))
 ABT_PRESET = MAIN.with_features(lc_current_offset=1)
-# every seventh day of the order history up to the cut-off, not every day: see the README
-LC_ORD_CUTS = [ORD_CUT - _dt.timedelta(days=7 * k) for k in range(260, -1, -1)]
+# daily snapshots over the whole order history up to the cut-off
+LC_ORD_SINCE = D(1995, 1, 7)
 
 
 def labels_7d(spark, d):
@@ -457,8 +473,7 @@ def _abt_lc(spark, d):
 @register("fs_all")
 def _fs_all(spark, d):
     fs_tx = _fs_tx_orders(spark, d, [ORD_CUT], ORD_FEATURES_REFS)
-    lc_ord = lc.segmentation_backfill(fx.tx_orders(spark, d), LC_ORD_CUTS, REFS)
-    fs_lc = lf.fs_life_cycle(lc_ord, [ORD_CUT], REFS)
+    fs_lc = sh.fs_life_cycle_daily(fx.tx_orders(spark, d), [ORD_CUT], LC_ORD_SINCE, REFS)
     fs_ed = edu_by_user(_edu(spark, d, [ORD_CUT], REFS))
     return tg.fs_all(fs_tx, fs_lc, fs_ed)
 

@@ -25,10 +25,11 @@ from loyalspark.functions.expr import as_date
 from loyalspark.operators import education as ed
 from loyalspark.operators import lifecycle as lc
 from loyalspark.operators import lifecycle_features as lf
+from loyalspark.operators import state_history as sh
 from loyalspark.operators import target as tg
 from loyalspark.operators import transactional as tr
 from loyalspark.sources.calendar import spine_dates
-from loyalspark.sources.store import Sources, read_source, read_table, write_replace, write_snapshot
+from loyalspark.sources.store import Sources, dates_of, drop_dates, read_date, read_source, read_table, write_replace, write_snapshot
 
 LOYALTY, EDUCATION, ANALYTICS = "loyalty-system", "education-platform", "analytics"
 
@@ -64,8 +65,34 @@ def _build_fs_edu(spark, src, cuts, cfg):
                            cuts, slugs, cfg)
 
 
+def next_states(spark: SparkSession, src: Sources, day, cfg) -> DataFrame | None:
+    """The ``life_cycle_state`` rows of ``day``: the latest earlier ones merged
+    with the day's snapshot. Reads two dates; only without earlier states, or
+    with a snapshot between them and the day, the snapshots up to the day."""
+    snapshots, states = src.path(ANALYTICS, "life_cycle"), src.path(ANALYTICS, "life_cycle_state")
+    made = dates_of(spark, snapshots)
+    if day not in made:
+        return None
+    before = max((d for d in dates_of(spark, states) if d < day), default=None)
+    if before is None or any(before < d < day for d in made):
+        return sh.begin(read_table(spark, snapshots), day, cfg)
+    return sh.advance(read_date(spark, states, before), read_date(spark, snapshots, day), day, cfg, (day - before).days)
+
+
 def _build_fs_lc(spark, src, cuts, cfg):
-    return lf.fs_life_cycle(read_table(spark, src.path(ANALYTICS, "life_cycle")), cuts, cfg)
+    """The store from state rows: those of its dates that are not there yet
+    are made first, each from the one before."""
+    off = cfg.features.lc_current_offset
+    states = src.path(ANALYTICS, "life_cycle_state")
+    wanted = [c - _dt.timedelta(days=off) for c in cuts]
+    for day in wanted:
+        if day not in dates_of(spark, states):
+            rows = next_states(spark, src, day, cfg)
+            if rows is not None:
+                write_snapshot(rows, states, [day])
+    if not any(day in dates_of(spark, states) for day in wanted):
+        return lf.fs_life_cycle(read_table(spark, src.path(ANALYTICS, "life_cycle")), cuts, cfg)
+    return sh.features_of(read_table(spark, states).filter(F.col("ref_date").isin(wanted)), cfg)
 
 
 def _dates(cuts):
@@ -109,6 +136,8 @@ def run_job(spark: SparkSession, name: str, start, stop, sources: Sources, month
     if not cuts:
         return []
     df = job.build(spark, sources, cuts, _preset(cfg))
+    if name == "life_cycle":  # states from these dates on hold what is replaced
+        drop_dates(spark, sources.path(ANALYTICS, "life_cycle_state"), cuts[0] - _dt.timedelta(days=1))
     write_snapshot(df, sources.path(ANALYTICS, job.target_table),
                    [c - _dt.timedelta(days=1) for c in cuts])
     return cuts

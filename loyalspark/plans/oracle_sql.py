@@ -343,6 +343,8 @@ def life_cycle_stores() -> dict:
     return {
         "fs_life_cycle": life_cycle_store(january(), dates("2024-01-30"), MAIN),
         "fs_life_cycle_refs": life_cycle_store(january(REFS), dates("2024-01-31"), REFS),
+        "fs_life_cycle_daily": life_cycle_store(january(), every("2024-01-08", "2024-01-30"), MAIN),
+        "fs_life_cycle_incremental": life_cycle_store(january(), dates("2024-01-30"), MAIN),
         "fs_life_cycle_backfill": life_cycle_store(january(), every("2024-01-08", "2024-01-30"), MAIN),
     }
 
@@ -364,7 +366,7 @@ COHORT_TRAIN = ("2024-01-04", "2024-01-26")
 COHORT_OOT = ("2024-01-27", "2024-01-30")
 ABT_CUTS = ("2024-01-05", "2024-01-31")
 ABT_PRESET = MAIN.with_features(lc_current_offset=1)
-LC_ORD_CUTS = ("1995-01-07", "2000-01-01", "7 DAY")
+LC_ORD_CUTS = ("1995-01-07", "2000-01-01")
 WEEK = "ref_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-30'"
 
 

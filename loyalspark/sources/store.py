@@ -83,6 +83,27 @@ def write_snapshot(df: DataFrame, path: str, dates=None, date_col: str = "ref_da
             fs.delete(p, True)
 
 
+def dates_of(spark: SparkSession, path: str, date_col: str = "ref_date") -> list:
+    """Dates of a dated table, in order, from its folders' names."""
+    fs, p, _ = _hadoop_fs(spark, path)
+    names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(as_date(n.split("=", 1)[1]) for n in names if n.startswith(f"{date_col}="))
+
+
+def read_date(spark: SparkSession, path: str, day, date_col: str = "ref_date") -> DataFrame:
+    """One date of a dated table; other dates are not even listed."""
+    one = os.path.join(path, f"{date_col}={as_date(day).isoformat()}")
+    return spark.read.option("basePath", path).parquet(one)
+
+
+def drop_dates(spark: SparkSession, path: str, since, date_col: str = "ref_date") -> None:
+    """Remove the dates from ``since`` on."""
+    for d in dates_of(spark, path, date_col):
+        if d >= as_date(since):
+            fs, p, _ = _hadoop_fs(spark, os.path.join(path, f"{date_col}={d.isoformat()}"))
+            fs.delete(p, True)
+
+
 def write_replace(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Full replace (CTAS after DROP)."""
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
