@@ -1,16 +1,18 @@
 """Model assessment: M22-M27.
 
-Curves have one row per distinct score; ``digits`` rounds scores first, as a
-named opt-in where a continuous score has too many values for the ordered
-cumulative pass. Counting per score is a plain partial aggregation.
+Curves have one row per distinct score, counted by partial aggregation and
+summed up by ``plans.running``, which deals them by range: no task holds them
+all. ``digits`` rounds scores first, as a named opt-in for shorter curves.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loyalspark.plans.running import running_sums
+
 
 def metrics(scored: DataFrame, label: str = "label", score: str = "score",
             prediction: str = "prediction", split: str | None = None) -> DataFrame:
@@ -24,8 +26,8 @@ def metrics(scored: DataFrame, label: str = "label", score: str = "score",
     y = F.col(label).cast("long")
     per = scored.groupBy(part.alias("split"), F.col(score).cast("double").alias("s")).agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"), F.sum((F.col(prediction) == F.col(label)).cast("long")).alias("ok"))
-    below = F.sum("neg").over(Window.partitionBy("split").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)) - F.col("neg")
-    wins = per.withColumn("wins", F.col("pos") * (below + F.col("neg") / 2))
+    run = running_sums(per, "s", ["neg"], group="split")
+    wins = run.withColumn("wins", F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2))
     p, n = F.sum("pos"), F.sum("neg")
     return wins.groupBy("split").agg((F.sum("ok") / (p + n)).alias("accuracy"),
                                      F.try_divide(F.sum("wins"), (p * n).cast("double")).alias("auc"))
@@ -41,26 +43,19 @@ def _bins(scored: DataFrame, label: str, score: str, digits: int | None) -> Data
 def roc_curve(scored: DataFrame, label: str = "label", score: str = "score", digits: int | None = None) -> DataFrame:
     """(threshold, tpr, fpr) with "score >= threshold" predicted positive,
     one row per distinct score (of ``digits`` places where given)."""
-    b = _bins(scored, label, score, digits)
-    w = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy(F.lit(0))
-    return (b.select("threshold",
-                     (F.sum("pos").over(w) / F.sum("pos").over(tot)).alias("tpr"),
-                     (F.sum("neg").over(w) / F.sum("neg").over(tot)).alias("fpr"))
+    b = running_sums(_bins(scored, label, score, digits), "threshold", ["pos", "neg"], descending=True)
+    return (b.select("threshold", F.try_divide("cum_pos", "all_pos").alias("tpr"), F.try_divide("cum_neg", "all_neg").alias("fpr"))
             .orderBy(F.desc("threshold")))
 
 
 def lift_curve(scored: DataFrame, label: str = "label", score: str = "score", digits: int | None = None) -> DataFrame:
     """Cumulative population share, precision and lift over the base rate."""
-    b = _bins(scored, label, score, digits)
-    w = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy(F.lit(0))
-    cum_n = F.sum(F.col("pos") + F.col("neg")).over(w)
-    n = F.sum(F.col("pos") + F.col("neg")).over(tot)
-    base = F.sum("pos").over(tot) / n
-    prec = F.sum("pos").over(w) / cum_n
+    b = running_sums(_bins(scored, label, score, digits), "threshold", ["pos", "neg"], descending=True)
+    cum_n, n = F.col("cum_pos") + F.col("cum_neg"), F.col("all_pos") + F.col("all_neg")
+    base = F.col("all_pos") / n
+    prec = F.col("cum_pos") / cum_n
     return (b.select("threshold", (cum_n / n).alias("population"), prec.alias("precision"),
-                     (prec / base).alias("lift"))
+                     F.try_divide(prec, base).alias("lift"))
             .orderBy(F.desc("threshold")))
 
 

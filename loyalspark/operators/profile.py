@@ -2,9 +2,10 @@
 
 Every profile is one aggregate job over all columns at once (no per-column
 loops of jobs) and is returned long (one row per feature) with ``stack``.
-Medians and quartiles are exact and interpolated (``percentile``, which keeps
-counts per distinct value). ``approx=accuracy`` is the named opt-in for columns
-with too many distinct values: a bounded sketch, within 1/accuracy in rank.
+Medians and quartiles are exact and interpolated, by selection in refining
+histograms over all columns at once (``plans.running``): no buffer grows with
+the number of distinct values. ``approx=accuracy`` is the named opt-in for one
+pass with a bounded sketch, within 1/accuracy in rank.
 Means are sums of decimals over a count, so they do not depend on the order
 in which partitions are added up.
 """
@@ -15,16 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from loyalspark.plans.running import exact_quantiles
+
 
 def mean(x) -> Column:
     """Mean over decimals with nine places."""
     return F.sum(x.cast("decimal(28,9)")).cast("double") / F.nullif(F.count(x), F.lit(0))
 
 
-def quantile(x, at, approx: int | None = None) -> Column:
-    return F.percentile(x, at) if approx is None else F.percentile_approx(x, at, approx)
-
-
 def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
     return [f.name for f in df.schema.fields
             if isinstance(f.dataType, NumericType) and f.name not in set(exclude)]
@@ -51,10 +50,16 @@ def label_median_ratio(df: DataFrame, label: str, cols: list[str], approx: int |
         x = F.col(f"`{c}`").cast("double")
         for v in (0, 1):
             sel = F.when(F.col(label) == v, x)
-            aggs += [mean(sel).alias(f"mean{v}_{c}"), quantile(sel, 0.5, approx).alias(f"med{v}_{c}")]
+            aggs += [mean(sel).alias(f"mean{v}_{c}"), *([F.percentile_approx(sel, 0.5, approx).alias(f"med{v}_{c}")] if approx else [])]
     row = df.agg(*aggs)
-    parts = ", ".join(f"'{c}', `mean0_{c}`, `mean1_{c}`, `med0_{c}`, `med1_{c}`" for c in cols)
+    medians = [f"`med{v}_{{c}}`" if approx else "CAST(NULL AS DOUBLE)" for v in (0, 1)]
+    parts = ", ".join(f"'{c}', `mean0_{c}`, `mean1_{c}`, " + ", ".join(m.format(c=c) for m in medians) for c in cols)
     long = row.selectExpr(f"stack({len(cols)}, {parts}) as (feature, mean0, mean1, median0, median1)")
+    if not approx:
+        # two rows per column
+        found = exact_quantiles(df.filter(F.col(label).isin(0, 1)).withColumn("__y", F.col(label).cast("int")), cols, [0.5], "__y")
+        both = found.groupBy("feature").agg(*[F.max(F.when(F.col("__y") == str(v), F.col("q")[0])).alias(f"median{v}") for v in (0, 1)])
+        long = long.drop("median0", "median1").join(F.broadcast(both), "feature", "left").select("feature", "mean0", "mean1", "median0", "median1")
     return (long.withColumn("median_ratio", (F.col("median1") + 0.001) / (F.col("median0") + 0.001))
             .orderBy(F.desc_nulls_last("median_ratio")))  # O4: most informative first
 
@@ -87,11 +92,18 @@ def describe_by(df: DataFrame, group: str, cols: list[str], approx: int | None =
     aggs = [F.count(F.lit(1)).cast("long").alias("n")]
     for c in cols:
         x = F.col(f"`{c}`").cast("double")
-        q = quantile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)) if approx is None else [0.25, 0.5, 0.75], approx)
-        aggs += [mean(x).alias(f"{c}_mean"), F.stddev(x).alias(f"{c}_std"),
-                 F.min(x).alias(f"{c}_min"), q[0].alias(f"{c}_p25"), q[1].alias(f"{c}_p50"),
-                 q[2].alias(f"{c}_p75"), F.max(x).alias(f"{c}_max")]
-    return df.groupBy(group).agg(*aggs).orderBy(group)
+        aggs += [mean(x).alias(f"{c}_mean"), F.stddev(x).alias(f"{c}_std"), F.min(x).alias(f"{c}_min"), F.max(x).alias(f"{c}_max")]
+        if approx:
+            q = F.percentile_approx(x, [0.25, 0.5, 0.75], approx)
+            aggs += [q[i].alias(f"{c}_{name}") for i, name in enumerate(("p25", "p50", "p75"))]
+    out = df.groupBy(group).agg(*aggs)
+    if not approx:
+        found = exact_quantiles(df, cols, [0.25, 0.5, 0.75], group).withColumnRenamed(group, "__g")
+        wide = found.groupBy("__g").agg(*[F.max(F.when(F.col("feature") == c, F.col("q")[i])).alias(f"{c}_{name}")
+                                          for c in cols for i, name in enumerate(("p25", "p50", "p75"))])
+        out = out.join(wide, F.col(group).cast("string").eqNullSafe(F.col("__g")), "left").drop("__g")
+    order = [group, "n", *[f"{c}_{s}" for c in cols for s in ("mean", "std", "min", "p25", "p50", "p75", "max")]]
+    return out.select(*order).orderBy(group)
 
 
 def minmax(df: DataFrame, cols: list[str], suffix: str = "_scaled") -> DataFrame:
