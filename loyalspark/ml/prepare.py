@@ -188,5 +188,17 @@ def split_oot(df: DataFrame, how: str = "tag", oot_tag: str = "OOT", date_col: s
 
 
 def clean_names(df: DataFrame) -> DataFrame:
-    """Column names as plain identifiers (invalid characters -> _)."""
-    return df.select(*[F.col(f"`{c}`").alias(re.sub(r"[^0-9A-Za-z_]", "_", str(c))) for c in df.columns])
+    """Column names as plain identifiers (invalid characters -> _). Names
+    that would clash, as those of ``a b`` and ``a_b``, are numbered from the
+    second on; a name that is plain already keeps it."""
+    plain = [re.sub(r"[^0-9A-Za-z_]", "_", str(c)) for c in df.columns]
+    taken = {c.lower() for c, p in zip(df.columns, plain) if c == p}
+    names = []
+    for c, p in zip(df.columns, plain):
+        name, n = p, 1
+        while c != p and name.lower() in taken:
+            n += 1
+            name = f"{p}_{n}"
+        taken.add(name.lower())
+        names.append(name)
+    return df.toDF(*names)

@@ -323,7 +323,7 @@ def _fs_education_monthly(spark, d):
 
 from loyalspark.operators import lifecycle_features as lf  # noqa: E402
 from loyalspark.operators import state_history as sh  # noqa: E402
-from loyalspark.sources.store import stage  # noqa: E402
+from loyalspark.sources.store import folder_state, stage  # noqa: E402
 
 LC_DAILY_CUTS = spine_dates(D(2024, 1, 1), D(2024, 1, 31))
 
@@ -453,8 +453,8 @@ _STAGED: dict[tuple, object] = {}
 
 def staged_abt(spark, d):
     """The ABT as one table that all its consumers read: staged by the first
-    of them in an application, per input folder."""
-    key = (spark.sparkContext.applicationId, d)
+    of them in an application, per input folder and state of its files."""
+    key = (spark.sparkContext.applicationId, d, folder_state(spark, d))
     if key not in _STAGED:
         _STAGED[key] = stage(abt_frame_keyed(spark, d), "abt")
     return _STAGED[key]
@@ -484,6 +484,7 @@ from loyalspark.ml import assess as ma  # noqa: E402
 from loyalspark.ml import model as mm  # noqa: E402
 from loyalspark.ml import prepare as mp  # noqa: E402
 from loyalspark.ml import segment as ms  # noqa: E402
+from loyalspark.ml.train import pipeline_for  # noqa: E402
 from loyalspark.operators import profile as pf  # noqa: E402
 from loyalspark.config import LIFECYCLE_LABELS_MAIN, NON_USER_MAIN  # noqa: E402
 
@@ -651,15 +652,8 @@ def model_table(spark, d):
 
 
 def fit_model(t, kind, **params):
-    """The whole pipeline, from raw rows to score, fitted on the train split
-    with the features that separate its labels."""
-    train = t.filter((F.col("tag") == "ABT") & (F.col("split") == "train"))
-    types = {c: k for c, k in t.dtypes if c in mp.feature_columns(t) and c != "split"}
-    dropped = set(mp.drop_uninformative(train.drop("split"))[1])
-    numeric = [c for c, k in types.items() if c not in mm.CATEGORICAL and k in ("bigint", "int", "double")
-               and c not in dropped and mp.rule_for(c)]
-    pipeline = mm.build_pipeline(numeric, list(mm.CATEGORICAL), kind, prepare=mp.policy_stages(types, numeric), **params)
-    return pipeline, train
+    """The whole pipeline, from raw rows to score, and its train rows."""
+    return pipeline_for(t, kind, **params)[:2]
 
 
 def _train_score(spark, d, kind):
@@ -710,9 +704,9 @@ def _score_batch(spark, d):
     from loyalspark.ml import score as mscore
     from loyalspark.session import scratch_path
     t = model_table(spark, d)
-    pipeline, train = fit_model(t, "adaboost")
+    pipeline, train, features = pipeline_for(t, "adaboost")
     root = scratch_path(spark, f"models-{spark.sparkContext.applicationId}")
-    mscore.save_model(spark, pipeline.fit(train), {"kind": "adaboost"}, root)
+    mscore.save_model(spark, pipeline.fit(train), {"kind": "adaboost", "features": features}, root)
     return mscore.score_batch(spark, root, t)
 
 

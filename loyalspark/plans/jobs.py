@@ -29,7 +29,7 @@ from loyalspark.operators import state_history as sh
 from loyalspark.operators import target as tg
 from loyalspark.operators import transactional as tr
 from loyalspark.sources.calendar import spine_dates
-from loyalspark.sources.store import Sources, dates_of, drop_dates, read_date, read_source, read_table, write_replace, write_snapshot
+from loyalspark.sources.store import Sources, _exists, dates_of, drop_dates, publish, read_date, read_source, read_table, write_snapshot
 
 LOYALTY, EDUCATION, ANALYTICS = "loyalty-system", "education-platform", "analytics"
 
@@ -145,9 +145,9 @@ def run_job(spark: SparkSession, name: str, start, stop, sources: Sources, month
 
 def run_chain(spark: SparkSession, day, sources: Sources, cfg="refs") -> None:
     """The ordered daily chain for cut-off ``day`` — life_cycle ->
-    fs_transactional -> fs_education -> fs_life_cycle -> fs_all. Re-runnable
-    for the same day (every step is an idempotent dated write, fs_all a full
-    replace)."""
+    fs_transactional -> fs_education -> fs_life_cycle -> fs_all, and the scores
+    once a model was trained. Re-runnable for the same day (every step is an
+    idempotent dated write, fs_all and the scores are published whole)."""
     d = as_date(day)
     # fs_life_cycle reads the snapshot stamped cut-off - offset; the job at
     # cut-off c writes the one stamped c - 1
@@ -155,18 +155,49 @@ def run_chain(spark: SparkSession, day, sources: Sources, cfg="refs") -> None:
     run_job(spark, "life_cycle", d, ahead, sources, cfg=cfg)
     for name in ("fs_transactional", "fs_education", "fs_life_cycle"):
         run_job(spark, name, d, d, sources, cfg=cfg)
+    run_fs_all(spark, sources, d - _dt.timedelta(days=1))
+    if _exists(spark, sources.path(ANALYTICS, MODELS)):
+        run_predict(spark, sources)
+
+
+#: Folders of the target database that hold no dated table.
+MODELS, RUNS = "models", "runs"
+
+
+def run_fs_all(spark: SparkSession, sources: Sources, ref_date=None) -> None:
+    """C18 as a job: the scoring table of ``ref_date``, by default the latest
+    of the stored transactional features."""
     a = lambda t: read_table(spark, sources.path(ANALYTICS, t))
     # the id bridge maps course-platform users to loyalty customer ids
     fs_ed = a("fs_education").drop("user").withColumnRenamed("customer_id", "user_id")
-    fs_all = tg.fs_all(a("fs_transactional"), a("fs_life_cycle"), fs_ed, ref_date=d - _dt.timedelta(days=1))
-    write_replace(fs_all, sources.path(ANALYTICS, "fs_all"))
+    out = tg.fs_all(a("fs_transactional"), a("fs_life_cycle"), fs_ed, ref_date=ref_date)
+    publish(out, sources.path(ANALYTICS, "fs_all"))
+
+
+def run_train(spark: SparkSession, sources: Sources, kind: str = "rf", oot_from=None, **params) -> dict:
+    """Fit on the stored ABT; rows from ``oot_from`` on (by default those of
+    the latest date) are held out as out-of-time. The model and its metadata
+    become the next version, the run is logged."""
+    from loyalspark.ml.train import train
+    abt = read_table(spark, sources.path(ANALYTICS, "abt"))
+    last = oot_from or abt.agg(F.max("ref_date")).first()[0]
+    abt = abt.withColumn("tag", F.when(F.col("ref_date") >= F.lit(as_date(last)), "OOT").otherwise("ABT"))
+    return train(spark, abt, sources.path(ANALYTICS, MODELS), sources.path(ANALYTICS, RUNS), kind, **params)
+
+
+def run_predict(spark: SparkSession, sources: Sources) -> None:
+    """M28 as a job: the latest model over the scoring table, published as
+    ``score`` (ref_date, user_id, score)."""
+    from loyalspark.ml.score import score_batch
+    score_batch(spark, sources.path(ANALYTICS, MODELS), read_table(spark, sources.path(ANALYTICS, "fs_all")), sources.path(ANALYTICS, "score"))
 
 
 def main(argv=None) -> None:
     """``spark-submit -m loyalspark.plans.jobs --job life_cycle --start ... --stop ...``"""
     ap = argparse.ArgumentParser(description="Run a dated snapshot job")
     ap.add_argument("--root", required=True)
-    ap.add_argument("--job", choices=sorted(JOBS) + ["chain"])
+    ap.add_argument("--job", choices=sorted(JOBS) + ["chain", "fs_all", "train", "predict"])
+    ap.add_argument("--kind", default="rf", help="model to train: rf, dt, gbt or adaboost")
     ap.add_argument("--start", type=_dt.date.fromisoformat, default=_dt.date.today())
     ap.add_argument("--stop", type=_dt.date.fromisoformat, default=_dt.date.today())
     ap.add_argument("--monthly", action="store_true")
@@ -184,6 +215,12 @@ def main(argv=None) -> None:
     src = Sources(args.root)
     if args.job == "chain":
         run_chain(spark, args.stop, src, args.preset)
+    elif args.job == "fs_all":
+        run_fs_all(spark, src)
+    elif args.job == "train":
+        run_train(spark, src, args.kind)
+    elif args.job == "predict":
+        run_predict(spark, src)
     else:
         run_job(spark, args.job, args.start, args.stop, src, args.monthly, args.preset)
 

@@ -9,6 +9,7 @@ jobs does.
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,8 +41,9 @@ def read_source(spark: SparkSession, sources: Sources, database: str, table: str
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a derived table."""
-    return spark.read.parquet(path)
+    """Scan a derived table; of a published one its current version."""
+    now = current_version(spark, path)
+    return spark.read.parquet(os.path.join(path, now[1]) if now else path)
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -83,6 +85,17 @@ def write_snapshot(df: DataFrame, path: str, dates=None, date_col: str = "ref_da
             fs.delete(p, True)
 
 
+def folder_state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of all files below a folder: another value
+    whenever its tables changed."""
+    fs, p, _ = _hadoop_fs(spark, path)
+    files, out = fs.listFiles(p, True), []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def dates_of(spark: SparkSession, path: str, date_col: str = "ref_date") -> list:
     """Dates of a dated table, in order, from its folders' names."""
     fs, p, _ = _hadoop_fs(spark, path)
@@ -104,12 +117,73 @@ def drop_dates(spark: SparkSession, path: str, since, date_col: str = "ref_date"
             fs.delete(p, True)
 
 
-def write_replace(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Full replace (CTAS after DROP)."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+class PublishConflict(RuntimeError):
+    """Another writer published first."""
+
+
+_POINTERS = "_versions"
+
+
+def create_once(spark: SparkSession, path: str, content: str) -> bool:
+    """Create a small file unless it exists; the file system lets one of
+    several writers through."""
+    fs, p, jvm = _hadoop_fs(spark, path)
+    fs.mkdirs(p.getParent())
+    try:
+        out = fs.create(p, False)
+    except Exception as e:
+        if "AlreadyExists" in str(e) or "already exists" in str(e):
+            return False
+        raise
+    out.write(bytearray(content.encode()))
+    out.close()
+    return True
+
+
+def current_version(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """(number, folder) that a published table's latest pointer names."""
+    fs, p, jvm = _hadoop_fs(spark, os.path.join(path, _POINTERS))
+    numbers = [int(f.getPath().getName()) for f in fs.listStatus(p) if f.getPath().getName().isdigit()] if fs.exists(p) else []
+    if not numbers:
+        return None
+    last = max(numbers)
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(p, str(last)))
+    try:
+        return last, bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def publish(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Full replace. The rows go to a folder of their own; the pointer that
+    makes it the table is created last, under the number after the one that
+    was current when the write began. So a failed write leaves the table as it
+    was, and of two writers that began from one version the second gets a
+    ``PublishConflict``. Readers follow the pointer (``read_table``); the
+    version before stays for those still at it, older ones are removed."""
+    spark = df.sparkSession
+    before = current_version(spark, path)
+    folder = f"data-{uuid.uuid4().hex}"
+    w = df.write.mode("errorifexists")
+    number = before[0] + 1 if before else 1
+    fs, p, jvm = _hadoop_fs(spark, path)
+    try:
+        (w.partitionBy(partition_by) if partition_by else w).parquet(os.path.join(path, folder))
+    except Exception:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(p, folder), True)
+        raise
+    if not create_once(spark, os.path.join(path, _POINTERS, str(number)), folder):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(p, folder), True)
+        raise PublishConflict(f"{path} was published by another writer meanwhile")
+    held = {folder, before[1] if before else None}
+    for old in range(max(1, number - 10), number - 1):
+        pointer = jvm.org.apache.hadoop.fs.Path(p, f"{_POINTERS}/{old}")
+        if fs.exists(pointer):
+            stream = fs.open(pointer)
+            name = bytes(stream.readAllBytes()).decode()
+            stream.close()
+            if name not in held:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(p, name), True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -117,7 +191,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     read it back: iterative consumers (model fitting) then scan a compact
     table instead of recomputing the lineage, and the table survives the
     loss of executors."""
-    import uuid
     from loyalspark.session import scratch_path
     return materialize(df, scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}"))
 

@@ -1,11 +1,12 @@
-"""Streaming jobs: T1 score JSON records as they arrive, T2 daily increment.
+"""Streaming jobs: T1 score JSON requests as they arrive, T2 daily increment.
 
-T1: ``readStream`` of JSON files (one request per line: a single object or a
-list of objects, each with ``IdCliente``/``user_id`` and the model features)
-with an explicit schema. Malformed lines land in the corrupt-record column
-and go to a reject sink; valid rows are scored with the latest model, whose own
-stages cast and impute them. Each micro-batch owns the folder of its number and
-replaces it, so a batch that is replayed after a failure is not doubled.
+T1: ``readStream`` of text files with one request per line: an object, a list
+of objects, or either inside ``{"data": ...}``. An object has ``IdCliente`` or
+``user_id`` and the model's features. Objects that are no JSON, have no id, or
+hold a feature's value that is not of its type go to a reject sink with their
+text; the rest are scored with the latest model, whose own stages cast and
+impute them. Each micro-batch owns the folder of its number and replaces it,
+so a batch that is replayed after a failure is not doubled.
 
 T2: ``Trigger.AvailableNow`` over the transactions folder; each micro-batch
 re-runs the dated snapshots of the days it touched and, as late activity
@@ -18,48 +19,58 @@ from __future__ import annotations
 import datetime as _dt
 import os
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loyalspark.ml.score import load_latest
+from loyalspark.ml.score import check_features, load_latest
 
-CORRUPT = "_corrupt_record"
+ID_NAMES = ("IdCliente", "user_id")
 
 
 def request_schema(features: dict) -> T.StructType:
-    """Schema of one scoring request: id + feature columns (name -> type)."""
-    fields = [T.StructField("user_id", T.StringType(), True)]
-    fields += [T.StructField(n, T.DataType.fromDDL(t) if isinstance(t, str) else t, True)
-               for n, t in features.items()]
-    fields.append(T.StructField(CORRUPT, T.StringType(), True))
-    return T.StructType(fields)
-
-
-def read_requests(spark: SparkSession, in_dir: str, schema: T.StructType, streaming: bool = True) -> DataFrame:
-    """JSON requests (objects or arrays of objects) with a corrupt-record column."""
-    r = spark.readStream if streaming else spark.read
-    return (r.schema(schema).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).json(in_dir))
+    """Schema of one scoring request: its id, under either name, and the
+    feature columns (name -> type)."""
+    fields = [T.StructField(n, T.StringType()) for n in ID_NAMES]
+    return T.StructType([*fields, *(T.StructField(n, T.DataType.fromDDL(t) if isinstance(t, str) else t) for n, t in features.items())])
+
+
+def parse_requests(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """(request, text, bad) per requested object of ``lines`` (value); a line
+    that holds none is one bad row. The two readings of a line, typed and as
+    text, have the same objects in the same order."""
+    body = F.ltrim(F.coalesce(F.get_json_object("value", "$.data"), "value"))
+    # a single object is a list of one
+    body = F.when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)
+    typed = F.from_json(body, T.ArrayType(schema))
+    plain = F.from_json(body, T.ArrayType(T.MapType(T.StringType(), T.StringType())))
+    objects = lines.select("value", F.explode_outer(F.arrays_zip(typed.alias("request"), plain.alias("text"))).alias("o"))
+    request, text = F.col("o.request"), F.col("o.text")
+    wrong = [F.try_element_at(text, F.lit(n)).isNotNull() & request[n].isNull() for n in schema.names]
+    missing = F.coalesce(*[request[n] for n in ID_NAMES]).isNull()
+    bad = F.coalesce(request.isNull() | missing, F.lit(True))
+    for w in wrong:
+        bad = bad | F.coalesce(w, F.lit(False))
+    return objects.select(request.alias("request"), F.coalesce(F.to_json(text), "value").alias("text"), bad.alias("bad"))
 
 
 def score_stream(spark: SparkSession, model_root: str, in_dir: str, out_dir: str, checkpoint: str,
                  features: dict, trigger_once: bool = True):
-    """Start the scoring stream; returns the ``StreamingQuery``."""
+    """Start the scoring stream; returns the ``StreamingQuery``. Scores
+    have ``IdCliente`` and ``user_id``, both the request's id."""
     model, meta = load_latest(spark, model_root)
+    check_features(meta, features)
     schema = request_schema(features)
-    stream = read_requests(spark, in_dir, schema)
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        bad = batch.filter(F.col(CORRUPT).isNotNull())
-        good = batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        from pyspark.ml.functions import vector_to_array
-        scored = (model.transform(good)
-                  .select("user_id", vector_to_array("probability")[1].alias("score")))
+        found = parse_requests(batch, schema)
+        good = found.filter(~F.col("bad")).select("request.*").withColumn("user_id", F.coalesce(*ID_NAMES)).withColumn("IdCliente", F.col("user_id"))
+        scored = model.transform(good).select("IdCliente", "user_id", vector_to_array("probability")[1].alias("score"))
         scored.write.mode("overwrite").parquet(os.path.join(out_dir, "scores", f"batch={epoch}"))
-        bad.select(CORRUPT).write.mode("overwrite").parquet(os.path.join(out_dir, "rejected", f"batch={epoch}"))
+        found.filter("bad").select("text").write.mode("overwrite").parquet(os.path.join(out_dir, "rejected", f"batch={epoch}"))
 
-    w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    w = spark.readStream.text(in_dir).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="10 seconds")
     return w.start()
 

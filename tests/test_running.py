@@ -78,3 +78,19 @@ def test_profile_without_percentile_buffers(spark):
         assert "percentile" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
     got = {r.feature: r for r in pr.label_median_ratio(df, "y", ["a", "b"]).collect()}
     assert got["b"].median1 is None and got["b"].median0 == 99.0 and got["a"].median1 == 5.0
+
+
+def test_clean_names_number_clashes(spark):
+    from loyalspark.ml.prepare import clean_names
+    df = spark.createDataFrame([(1, 2, 3, 4, 5)], ["a b", "a_b", "a-b", "A?B", "c"])
+    out = clean_names(df)
+    assert out.columns == ["a_b_2", "a_b", "a_b_3", "A_B_4", "c"] and tuple(out.first()) == (1, 2, 3, 4, 5)
+
+
+def test_staged_abt_follows_its_files(spark, scratch):
+    from loyalspark.sources.store import folder_state
+    spark.range(3).write.parquet(f"{scratch}/t.parquet")
+    before = folder_state(spark, scratch)
+    assert before == folder_state(spark, scratch)
+    spark.range(4).write.mode("overwrite").parquet(f"{scratch}/t.parquet")
+    assert folder_state(spark, scratch) != before
