@@ -69,8 +69,13 @@ widget login banner masthead toolbar pagination skip""".split())
 HEADER = "header"
 PROTECTED = frozenset(["article", "main"])
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*)>?""", re.S)
-_ATTRIBUTE = re.compile(r"""(?i)(?:^|[\s"'/])(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?=[\s/>]|\Z))""")
+# An attribute's value is quoted only if the quote stands right after the
+# equals sign; other values run to white space or the tag's end, and a quote
+# anywhere else is a character like any other.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)"
+                    rf"((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+{_VALUE})?+)*+)>?", re.S)
+_ATTRIBUTE = re.compile(rf"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+({_VALUE}))?+")
 _WORD = re.compile("[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -119,9 +124,12 @@ def describe(tag: str, attributes: str, inside: bool) -> tuple[str, bool, bool]:
     if not attributes or "=" not in attributes and "hidden" not in attributes:
         return tag, noise, False
     names: list[list[str]] = []
-    for name, *value in _ATTRIBUTE.findall(attributes):
-        value = next((v for v in value if v), "")
+    for name, value in _ATTRIBUTE.findall(attributes):
         name = name.lower()
+        if name not in ("class", "id", "role", "hidden"):
+            continue
+        if value[:1] in ("'", '"') and len(value) > 1 and value[-1] == value[0]:
+            value = value[1:-1]
         if name == "role":
             noise = noise or value.strip().lower() in NOISE_ROLES
         elif name == "hidden":

@@ -174,5 +174,25 @@ SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n
 FROM full_nodes n JOIN below b ON b.d = n.d AND b.p = n.p LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = n.q AND n.d > 0
 """
 
+# All pairs. Equal to the operator as long as its index looks at every list,
+# up to some ten thousand vectors.
+OP13 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, row_number() OVER () AS k FROM embeddings
+), good AS (
+  SELECT * FROM v WHERE vec_id IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.k AS a, b.k AS b FROM good a JOIN good b ON len(a.e) = len(b.e) AND a.k <> b.k WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (SELECT a, min(vec_id) AS c FROM reach JOIN v ON v.k = b GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(coalesce(c, vec_id), vec_id) AS component_id,
+       least(coalesce(c, vec_id), vec_id) IS NOT DISTINCT FROM vec_id AS kept
+FROM v LEFT JOIN n ON n.a = k LEFT JOIN least ON least.a = k
+"""
+
 SQL = {"op1_url_filters": OP1, "op5_exact_dedup": OP5, "op8_decontamination": OP8, "op9_token_counts": OP9,
-       "op11_conversation_trie": OP11, "op12_merkle_manifest": OP12}
+       "op11_conversation_trie": OP11, "op12_merkle_manifest": OP12,
+       "op13_embedding_near_dedup": OP13}

@@ -71,8 +71,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counters = {"n0": token_counts.words, "n1": token_counts.words_and_digits, "n2": token_counts.pieces}
     counted = stage(spark, token_counts.count_tokens(exact_dedup.digests(docs, more=("source", "lang", "text")), counters), "counted")
+    # rows may repeat an id or have none: the row's number settles which one stays
+    counted = counted.withColumn("id", F.struct("id", F.monotonically_increasing_id().alias("row")))
     counted = counted.join(exact_dedup.tree_merge(counted), exact_dedup.KEY)
-    counted = stage(spark, counted.withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id"))), "counted")
+    counted = stage(spark, counted.withColumn("kept", F.col("id") == F.col("keep_id")), "counted")
     both = {"words-1": F.col("n0"), "pieces-1": F.col("n2")}
     rollup = token_counts.Rollup(spark, f"{shared_dir(spark)}/llm/rollup-{uuid.uuid4().hex}")
     rollup.commit("insert", token_counts.inserts(counted, both))

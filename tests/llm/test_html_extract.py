@@ -86,3 +86,17 @@ def test_odd_rows(spark, monkeypatch):
         assert got == sorted([(1, None, ""), (1, None, ""), (2, "no host", ""), (None, "http://a.net", "x"),
                               (3, "http://a.net", "\n\n".join("y" * 3000))], key=str)
     assert H.extract(pages(spark, [])).count() == 0
+
+
+def test_stray_quotes_lose_no_text():
+    pages = {
+        1: "<p class=it's>hello world</p><p>I don't stop</p><p>end</p>",
+        2: '<p title=5">hello world</p><p>next para</p><p>a "quoted" end</p>',
+        3: """<p title="a > b" class='x'>one</p><p a"b c'd>two</p><p = x="1"y='2'/>three</p><p title = "class=ad">four</p>""",
+        4: '<p title="never closed>five</p><p>six',
+        5: "<p " + "a'" * 50_000 + ">seven</p>" + "<p x=" + "y\"" * 50_000 + ">eight</p>",
+    }
+    want = {1: "hello world\n\nI don't stop\n\nend", 2: 'hello world\n\nnext para\n\na "quoted" end', 3: "one\n\ntwo\n\nthree\n\nfour",
+            4: "five\n\nsix", 5: "seven\n\neight"}
+    for i, page in pages.items():
+        assert H.main_text(page, frozenset()) == want[i], i

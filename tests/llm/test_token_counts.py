@@ -67,3 +67,20 @@ def test_names_and_counts(frame, rollup, spark):
     want = sorted((str(i), *(len(re.findall(x, t or "")) for x in rules.values())) for i, t in rows_)
     assert sorted((str(r.doc_id), r.w, r.d, r.p) for r in got) == want and "text" not in got[0].asDict()
     assert C.count_tokens(frame([]), counters).count() == 0
+
+
+def test_query_on_repeated_rows_and_rows_without_id(spark, scratch):
+    """Against the SQL: one row of each text counts."""
+    import duckdb
+
+    from loyalspark.llm.oracle import OP9
+    from loyalspark.llm.queries import op9_token_counts
+    rows = [(1, "a b 12", "en", "s"), (1, "a b 12", "en", "s"), (None, "no id 7", "de", "s"), (None, "no id 7", "de", "s"), (2, "a b 12", "en", "s"),
+            (3, None, None, None), (4, "", None, None), (None, "x-y", "en", None), (5, "x-y", "en", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").selectExpr("*", "1 AS id", "2 AS row", "3 AS kept").coalesce(
+        1).write.parquet(f"{scratch}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{scratch}/documents.parquet/*.parquet')")
+    cols = ["source", "lang", "tokenizer", "docs", "tokens"]
+    got = sorted((tuple(r[c] for c in cols) for r in op9_token_counts(spark, scratch).collect()), key=str)
+    assert got == sorted(con.execute(f"SELECT {', '.join(cols)} FROM ({OP9})").fetchall(), key=str)
