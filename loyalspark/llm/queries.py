@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, exact_dedup, html_extract, merkle, minhash, prefix_trie, product_quantiser, quality, secret_scan, suffix_dedup, token_counts, url_filter
-from .common import shared_dir, ship, stage, table
+from .common import MAX_BROADCAST_IDS, join_small, shared_dir, ship, stage, table
 
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
@@ -71,10 +71,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counters = {"n0": token_counts.words, "n1": token_counts.words_and_digits, "n2": token_counts.pieces}
     counted = stage(spark, token_counts.count_tokens(exact_dedup.digests(docs, more=("source", "lang", "text")), counters), "counted")
-    # rows may repeat an id or have none: the row's number settles which one stays
-    counted = counted.withColumn("id", F.struct("id", F.monotonically_increasing_id().alias("row")))
     counted = counted.join(exact_dedup.tree_merge(counted), exact_dedup.KEY)
-    counted = stage(spark, counted.withColumn("kept", F.col("id") == F.col("keep_id")), "counted")
+    first = F.col("id").eqNullSafe(F.col("keep_id"))
+    counted = stage(spark, counted.withColumn("row", F.monotonically_increasing_id()), "counted")
+    # rows may repeat an id or have none: of those of one text, one stays
+    rivals = stage(spark, counted.filter(first).groupBy(*exact_dedup.KEY).agg(F.max("row").alias("stays"), F.count("*").alias("n"))
+                   .filter("n > 1").drop("n"), "rivals")
+    counted = join_small(counted, rivals, exact_dedup.KEY, "left", MAX_BROADCAST_IDS)
+    counted = stage(spark, counted.withColumn("kept", first & (F.col("row") == F.coalesce("stays", "row"))), "counted")
     both = {"words-1": F.col("n0"), "pieces-1": F.col("n2")}
     rollup = token_counts.Rollup(spark, f"{shared_dir(spark)}/llm/rollup-{uuid.uuid4().hex}")
     rollup.commit("insert", token_counts.inserts(counted, both))
