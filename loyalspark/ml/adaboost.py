@@ -1,10 +1,13 @@
 """Binary SAMME boosting (Zhu et al., 2009) over decision stumps.
 
-Features are cut into at most ``maxBins`` bins once; the binned rows are staged
-as one compact column of bytes. A round is one scan of that table: every task
-works out its rows' weights from the stumps found so far and adds them up per
-feature, bin and label, so what reaches the driver is bounded by features x
-bins, whatever the number of rows. The model is a list of (feature, threshold,
+Features are cut into at most ``maxBins`` (255 at most) bins once; the binned
+rows are staged as one compact column of bytes, with their weights. A round is
+one scan of that table: every task brings its rows' weights up to date with the
+stumps found since they were written and adds them up per feature, bin and
+label. Tasks' sums are merged in Spark, ``MERGE`` at a time, so the driver gets
+at most that many arrays of features x bins. After ``REWEIGH`` rounds the
+weights are written anew, so a row never replays more stumps than that. The
+model is a list of (feature, threshold,
 side) with weights; it scores with one column expression over the feature
 vector, and is saved as parameters.
 """
@@ -28,6 +31,10 @@ from pyspark.sql import functions as F
 from loyalspark.session import scratch_path
 
 
+#: Rounds after which rows are written with their weights; tasks' sums merged at once.
+REWEIGH, MERGE = 50, 64
+
+
 class _AdaBoostParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasRawPredictionCol):
     pass
 
@@ -81,7 +88,9 @@ class AdaBoostClassifier(Estimator, _AdaBoostParams, HasMaxIter, HasStepSize, De
         self._set(**params)
 
     def _fit(self, df: DataFrame) -> AdaBoostModel:
-        spark, bins = df.sparkSession, min(255, self.getOrDefault("maxBins"))
+        spark, bins = df.sparkSession, self.getOrDefault("maxBins")
+        if not 2 <= bins <= 255:
+            raise ValueError(f"maxBins is {bins}; a bin is stored in one byte, so 2 to 255 are possible")
         rows = df.select(vector_to_array(self.getFeaturesCol()).alias("x"), F.col(self.getLabelCol()).cast("double").alias("y"))
         first = rows.first()
         size = len(first["x"]) if first else 0
@@ -100,36 +109,68 @@ class AdaBoostClassifier(Estimator, _AdaBoostParams, HasMaxIter, HasStepSize, De
                 codes = np.empty(x.shape, np.uint8)
                 for i, e in enumerate(edges):
                     codes[:, i] = np.searchsorted(e, x[:, i], side="left")  # NaN goes last
-                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in codes], pa.binary()), b.column("y")], names=["x", "y"])
+                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in codes], pa.binary()), b.column("y"), pa.array(np.ones(len(codes)))],
+                                                 names=["x", "y", "w"])
+
+        def staged(frame: DataFrame) -> DataFrame:
+            path = scratch_path(spark, f"adaboost-{uuid.uuid4().hex}")
+            frame.write.parquet(path)
+            return spark.read.parquet(path)
 
-        path = scratch_path(spark, f"adaboost-{uuid.uuid4().hex}")
-        rows.mapInArrow(binned, "x binary, y double").write.parquet(path)
-        data = spark.read.parquet(path)
+        data = staged(rows.mapInArrow(binned, "x binary, y double, w double"))
+        tasks = data.rdd.getNumPartitions()
         width = max(len(e) for e in edges) + 1
         stumps: list[tuple[int, int, float, float]] = []
 
+        def weighed(b, found):
+            """(codes, labels, weights) of a batch after the stumps ``found``."""
+            codes = np.frombuffer(b"".join(b.column("x").to_pylist()), np.uint8).reshape(-1, size)
+            y, w = b.column("y").to_numpy(), b.column("w").to_numpy().copy()
+            for f, cut, vote, alpha in found:
+                wrong = np.where(codes[:, f] <= cut, vote, -vote) != np.where(y > 0, 1.0, -1.0)
+                w[wrong] *= math.exp(alpha)
+            return codes, y, w
+
+        def reweighed(found):
+            def run(batches):
+                for b in batches:
+                    yield pa.RecordBatch.from_arrays([b.column("x"), b.column("y"), pa.array(weighed(b, found)[2])], names=["x", "y", "w"])
+            return run
+
         def histogram(found):
             def run(batches):
+                from pyspark import TaskContext
                 sums = np.zeros((2, size, width))
                 for b in batches:
                     if not b.num_rows:
                         continue
-                    codes = np.frombuffer(b"".join(b.column("x").to_pylist()), np.uint8).reshape(-1, size)
-                    y = b.column("y").to_numpy()
-                    w = np.ones(len(y))
-                    for f, cut, vote, alpha in found:
-                        wrong = np.where(codes[:, f] <= cut, vote, -vote) != np.where(y > 0, 1.0, -1.0)
-                        w[wrong] *= math.exp(alpha)
+                    codes, y, w = weighed(b, found)
                     for k in (0, 1):
                         mine = (y > 0) == k
                         for f in range(size):
                             sums[k, f] += np.bincount(codes[mine, f], w[mine], width)
-                yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["s"])
+                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([sums.tobytes()], pa.binary())],
+                                                 names=["t", "s"])
             return run
 
+        def merged(key, table):
+            # in the order of the tasks, so that a fit can be repeated
+            parts = table.sort_by("t").column("s").to_pylist()
+            total = sum((np.frombuffer(p) for p in parts), np.zeros(2 * size * width))
+            return pa.table({"t": pa.array([key[0].as_py()], pa.int32()), "s": pa.array([total.tobytes()], pa.binary())})
+
+        written = 0
         for _ in range(self.getMaxIter()):
-            parts = data.mapInArrow(histogram(list(stumps)), "s binary").collect()  # one row per task
-            sums = sum((np.frombuffer(p["s"]).reshape(2, size, width) for p in parts), np.zeros((2, size, width)))
+            if len(stumps) - written >= REWEIGH:
+                data, written = staged(data.mapInArrow(reweighed(stumps[written:]), "x binary, y double, w double")), len(stumps)
+                tasks = data.rdd.getNumPartitions()
+            parts = data.mapInArrow(histogram(stumps[written:]), "t int, s binary")
+            left = tasks
+            while left > MERGE:
+                parts = parts.groupBy(F.floor(F.col("t") / MERGE).cast("int").alias("n")).applyInArrow(merged, "t int, s binary")
+                left = -(-left // MERGE)
+            parts = sorted(parts.collect())
+            sums = sum((np.frombuffer(p["s"]) for p in parts), np.zeros(2 * size * width)).reshape(2, size, width)
             below = np.cumsum(sums, axis=2)
             whole = below[:, :, -1:]
             all_w = float(whole[:, 0].sum())

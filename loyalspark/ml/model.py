@@ -86,7 +86,7 @@ def tune(pipeline: Pipeline, train: DataFrame, grid: dict | str, label: str = "l
     for name, values in grid.items():
         b = b.addGrid(est.getParam(name), list(values))
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=b.build(),
-                        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
+                        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0),
                         numFolds=folds, parallelism=parallelism, seed=seed)
     return cv.fit(train)
 

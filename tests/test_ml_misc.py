@@ -137,6 +137,29 @@ def test_adaboost_learns_and_is_saved(spark, scratch):
         assert all(abs(r.probability[1] - 1 / (1 + 2.718281828459045 ** (-2 * r.rawPrediction[1]))) < 1e-9 for r in out)
 
 
+def test_adaboost_weights_written_and_sums_merged(spark, monkeypatch):
+    """Weights written every three rounds and sums merged two at a time give
+    the stumps of a fit that does neither."""
+    import random
+
+    import pytest
+    from pyspark.ml.linalg import Vectors
+
+    from loyalspark.ml import adaboost
+    rnd = random.Random(9)
+    rows = [(float((a := rnd.random()) + rnd.random() / 3 > 0.6), Vectors.dense([a, rnd.random(), float(rnd.randint(0, 5))])) for _ in range(300)]
+    df = spark.createDataFrame(rows, ["label", "features"]).repartition(7)
+    found = []
+    for reweigh, merge in ((50, 64), (3, 2)):
+        monkeypatch.setattr(adaboost, "REWEIGH", reweigh)
+        monkeypatch.setattr(adaboost, "MERGE", merge)
+        m = mm.classifier("adaboost", maxIter=10, stepSize=0.5).fit(df)
+        found.append([[round(v, 9) for v in m.getOrDefault(p)] for p in ("features", "thresholds", "votes", "alphas")])
+    assert found[0] == found[1] and len(found[0][0]) == 10
+    with pytest.raises(ValueError, match="maxBins"):
+        mm.classifier("adaboost", maxBins=300).fit(df)
+
+
 def test_saved_pipeline_scores_raw_rows_as_in_training(spark, scratch):
     """Rows with missing values get the same score in training, after loading
     and through the scoring job."""
