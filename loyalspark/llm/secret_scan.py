@@ -1,13 +1,18 @@
 """Secret scans: fixed patterns, then a battery of randomness tests.
 
 Pattern spans (``assign``, ``access``, ``hex``) are always reported. Every
-other run of 20 or more characters of ``[A-Za-z0-9+/_=-]`` that mixes letters
-and digits is a candidate, split at ``=`` that is not padding at its end (a name
-and its value are two candidates): its encoding is inferred from its alphabet, and
-three tests say how well it fits random symbols of that encoding -- the
-chi-squared statistic of alphabet uniformity, the runs test about the middle
-of the alphabet, the lag-one serial correlation. Fisher's method joins them
-to one p-value, which is uniform for truly random strings and near 0 for text.
+other run of 16 or more characters of ``[A-Za-z0-9+/_=-]`` is a candidate, split
+at ``=`` that is not padding at its end (a name and its value are two
+candidates): its encoding is inferred from its alphabet, and three tests say how
+well it fits random symbols of that encoding -- the chi-squared statistic of
+alphabet uniformity, the runs test about the middle of the alphabet, the lag-one
+serial correlation. Fisher's method joins them to one p-value, which is uniform
+for truly random strings and near 0 for text.
+
+``-`` and ``_`` are symbols where letters of both cases stand beside them and
+separators otherwise: each piece that is long enough is a candidate
+(``xoxb-20485-abc..``); without such a piece all are one (UUIDs). Letters alone are tested from 32 symbols on: shorter ones leave the tests no
+power to tell them from words. Digits alone are numbers and have no encoding.
 
 Short strings give the tests little power, so discovery is controlled for
 each encoding and band of lengths: over the whole corpus, p-values above one
@@ -29,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_or_empty
+from .common import slices, stage, text_or_empty, utf8
 
 # The contract's patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -37,48 +42,62 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "random")
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+#: Symbols that a candidate needs: at all, and if all are letters.
+LEAST, LETTERS = 16, 32
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 #: The parts of a candidate: names and values, the last with its padding.
-PART = re.compile(r"[^=]{20,}(?:=+\Z)?")
+PART = re.compile(r"[^=]{%d,}(?:=+\Z)?" % LEAST)
+SEPARATORS = re.compile("[-_]+")
+PIECE = re.compile("[^-_]{%d,}=*" % LEAST)
 #: Encodings by alphabet size; symbols count by their place in the alphabet.
 ENCODINGS = {
     "hex": "0123456789abcdef",
+    "base26": "abcdefghijklmnopqrstuvwxyz",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+    "base52": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
 _PLACE = {e: {c: i for i, c in enumerate(a)} for e, a in ENCODINGS.items()}
 #: Lower ends of the bands of lengths, and cells of the p-value histogram.
-BANDS = (20, 24, 32, 48, 64, 128)
+BANDS = (LEAST, 20, 24, 32, 48, 64, 128)
 CELLS = 20
 
 
-def infer_encoding(token: str) -> str | None:
-    """Smallest encoding that spells the token; None for words and numbers."""
-    if not re.search("[0-9]", token) or not re.search("[A-Za-z]", token):
+def infer_encoding(token: str) -> tuple[str, str] | None:
+    """(smallest encoding that spells the token, its symbols); None for numbers
+    and for what is too short to be tested."""
+    symbols = SEPARATORS.sub("", token)
+    lower, upper = re.search("[a-z]", symbols), re.search("[A-Z]", symbols)
+    digit = re.search("[0-9]", symbols)
+    if not lower and not upper or len(symbols) < (LEAST if digit else LETTERS):
         return None
-    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", token):
-        return "hex"
-    if re.fullmatch("[A-Z2-7]+", token):
-        return "base32"
-    if re.fullmatch("[0-9a-z]+|[0-9A-Z]+", token):
-        return "base36"
-    if not (re.search("[a-z]", token) and re.search("[A-Z]", token)):
-        return None
-    return "base62" if re.fullmatch("[0-9A-Za-z]+", token) else "base64"
-
-
-def battery(token: str, encoding: str) -> float:
+    if re.search("[+/]", symbols):
+        return "base64", token.replace("-", "+").replace("_", "/")
+    if not digit:
+        return ("base52", symbols) if lower and upper else ("base26", symbols.lower())
+    if lower and upper:
+        return ("base62", token) if symbols == token else ("base64", token.replace("-", "+").replace("_", "/"))
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", symbols):
+        return "hex", symbols.lower()
+    return ("base32", symbols) if re.fullmatch("[A-Z2-7]+", symbols) else ("base36", symbols.lower())
+
+
+def readings(part: str) -> list[tuple[int, int, str, str]]:
+    """(start, end, encoding, symbols) of what is tested of a candidate."""
+    if SEPARATORS.search(part) and not (re.search("[a-z]", part) and re.search("[A-Z]", part)):
+        pieces = [(m.start(), m.end(), read) for m in PIECE.finditer(part) if (read := infer_encoding(m[0].rstrip("=")))]
+        if pieces:
+            return [(a, b, *read) for a, b, read in pieces]
+    read = infer_encoding(part.rstrip("="))
+    return [(0, len(part), *read)] if read else []
+
+
+def battery(symbols: str, encoding: str) -> float:
     """Joint p-value of the three tests for random symbols of the encoding."""
-    if encoding == "hex":
-        token = token.lower()
-    elif encoding == "base36":
-        token = token.lower()
-    elif encoding == "base64":
-        token = token.replace("-", "+").replace("_", "/")
     place, k = _PLACE[encoding], len(ENCODINGS[encoding])
-    x = np.array([place[c] for c in token if c in place], float)
+    x = np.array([place[c] for c in symbols], float)
     n = len(x)
     if n < 2:
         return 0.0
@@ -126,15 +145,14 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     reach = list(accumulate((e for _, _, e in base), max))
     for m in CANDIDATE.finditer(text):
         for part in PART.finditer(m[0]):
-            start, end = m.start() + part.start(), m.start() + part.end()
-            k = bisect_left(starts, end)
-            if k and reach[k - 1] > start:
-                continue
-            body = part[0].rstrip("=")
-            encoding = infer_encoding(body)
-            if encoding:
-                band = sum(len(body) >= b for b in BANDS) - 1
-                out.append({"start": start, "end": end, "encoding": encoding, "band": band, "p": battery(body, encoding)})
+            at = m.start() + part.start()
+            for start, end, encoding, symbols in readings(part[0]):
+                k = bisect_left(starts, at + end)
+                if k and reach[k - 1] > at + start:
+                    continue
+                band = sum(len(symbols) >= b for b in BANDS) - 1
+                out.append({"start": at + start, "end": at + end, "encoding": encoding, "band": band,
+                            "p": battery(symbols, encoding)})
     return out
 
 
@@ -145,15 +163,16 @@ _CAND = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("encoding", pa.s
 
 def _scan(batches):
     for b in batches:
-        base, cand = [], []
-        for text in b.column("text"):
-            text = text.as_py() or ""
-            found = base_spans(text)
-            base.append([{"start": s, "kind": k, "end": e} for s, k, e in found])
-            cand.append(candidates(text, found))
-        yield pa.RecordBatch.from_arrays(
-            [b.column("id"), pa.array(base, pa.list_(_SPAN)), pa.array(cand, pa.list_(_CAND))],
-            names=["id", "base", "cand"])
+        _, offsets = utf8(b.column("text"))
+        for lo, hi in slices(offsets):
+            base, cand = [], []
+            for text in b.column("text").slice(lo, hi - lo).to_pylist():
+                found = base_spans(text)
+                base.append([{"start": s, "kind": k, "end": e} for s, k, e in found])
+                cand.append(candidates(text, found))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id").slice(lo, hi - lo), pa.array(base, pa.list_(_SPAN)), pa.array(cand, pa.list_(_CAND))],
+                names=["id", "base", "cand"])
 
 
 def thresholds(cells: list, rate: float = 0.05) -> dict[tuple[str, int], float]:
@@ -177,7 +196,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, spans) for every row; spans are (start, kind, end, name) in code
     points, end exclusive, by start and then kind.
 
-    Null and empty texts have none; rows that repeat are each scanned; other
+    Null and empty texts have none; rows that repeat are each scanned; texts of
+    any length are scanned whole, in slices; an empty table gives no rows; other
     columns are not looked at.
     """
     src = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))

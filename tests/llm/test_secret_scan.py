@@ -78,6 +78,32 @@ def test_value_behind_a_name(frame):
     assert [(c["start"], c["end"]) for c in long] == [(0, 24)]
 
 
+def test_encodings():
+    for token, want in [("550e8400-e29b-41d4-a716-446655440000", ("hex", "550e8400e29b41d4a716446655440000")),
+                        ("xoxb-2048573920-abcdefk29dk3js8f7dh", ("base36", "xoxb2048573920abcdefk29dk3js8f7dh")),
+                        ("sk-proj-9f8a7b6c5d4e3f2a1b0c", ("base36", "skproj9f8a7b6c5d4e3f2a1b0c")),
+                        ("ABCDEFGH-234567AB", ("base32", "ABCDEFGH234567AB")), ("aB3-xY9_" * 3, ("base64", "aB3+xY9/" * 3)),
+                        ("q" * 32, ("base26", "q" * 32)), ("q" * 31, None), ("Qq" * 16, ("base52", "Qq" * 16)),
+                        ("2024-01-31_123456789012", None), ("a1" * 7, None), ("----------------", None)]:
+        assert S.infer_encoding(token) == want, token
+
+
+def test_one_case_secrets_with_separators(frame):
+    rnd = random.Random(6)
+    low, hexa = string.ascii_lowercase + string.digits, "0123456789abcdef"
+    make = [lambda: (f"xoxb-{rnd_of(rnd, string.digits, 10)}-", rnd_of(rnd, low, 24) + "a1"), lambda: ("sk-proj-", rnd_of(rnd, low, 30)),
+            lambda: ("", "-".join(rnd_of(rnd, hexa, n) for n in (8, 4, 4, 4, 12))), lambda: ("", rnd_of(rnd, string.ascii_letters, 48)),
+            lambda: ("", rnd_of(rnd, low, 18) + "a1")]
+    keys = {i: make[i % 5]() for i in range(100, 600)}
+    rows = [(i, f"key: {name}{k}, end") for i, (name, k) in keys.items()]
+    rows += [(i, f"the release-{i}-main-server-backup-of-the-year-2024 and aVeryLongNameOfAFunctionThatHasNoDigits{'Or' * 5}") for i in range(700, 900)]
+    found = {r.doc_id: r.s for r in S.find_secrets(frame(rows)).select("doc_id", S.digest("spans").alias("s")).collect()}
+    for kind in range(5):
+        ids = [i for i in keys if i % 5 == kind]
+        assert sum(found[i] == f"random:{(at := 5 + len(keys[i][0]))}:{at + len(keys[i][1])}" for i in ids) >= 80, kind
+    assert sum(bool(found[i]) for i in range(700, 900)) <= 10
+
+
 def test_spans_and_empty(frame):
     text = "password = hunter2x " + "é" + "0123456789abcdef" * 2
     row = S.find_secrets(frame([(1, text), (2, None)])).orderBy("doc_id").collect()
