@@ -1,7 +1,8 @@
 """Exact BPE encoding in linear time, and decoding by an offset table.
 
-An Aho-Corasick automaton finds the longest token at every place of a word. A
-backtracking search takes the longest one whose pair with the token before it
+An Aho-Corasick automaton of the tokens, read backwards in one pass over the
+word, finds the longest token at every place. A backtracking search over that
+table takes the longest one whose pair with the token before it
 is compatible (byte-pair merging of both would leave them as they are), goes
 on to shorter tokens where it is not, and back one token where none is left; a
 place that failed once is never tried again, so the work is linear. The result
@@ -99,20 +100,13 @@ class Bpe:
         self.id_of = {self.key[i]: i for i in usable}
         self.automaton = ahocorasick.Automaton()
         for i in usable:
-            self.automaton.add_word(self.key[i], i)
+            self.automaton.add_word(self.key[i][::-1], i)
         self.automaton.make_automaton()
-        # longest token that starts each path of the automaton's trie, and the
-        # next shorter token that starts each token
-        self.first: dict[str, int] = {}
+        # the next shorter token that starts each token
         self.shorter = [-1] * size
         for i in usable:
             k = self.key[i]
-            found = -1
-            for n in range(1, len(k)):
-                found = self.id_of.get(k[:n], found)
-                self.first[k[:n]] = found
-            self.shorter[i] = found
-        self.first.update(self.id_of)
+            self.shorter[i] = next((self.id_of[k[:n]] for n in range(len(k) - 1, 0, -1) if k[:n] in self.id_of), -1)
         self.byte_map = {b: c for b, c in enumerate(byte_alphabet())}
         texts = [b""] * size
         for token, i in [*vocab.items(), *self.special.items()]:
@@ -150,12 +144,16 @@ class Bpe:
         whole = self.id_of.get(key)
         if whole is not None:
             return [whole]
-        keys, shorter, judged, first = self.key, self.shorter, self._judged, self.first
-        reach = self.automaton.longest_prefix
+        keys, shorter, judged = self.key, self.shorter, self._judged
         n = len(key)
+        # longest token from each place, by its distance to the end: failure
+        # links give the longest match first, and a dict keeps the last
+        found = list(self.automaton.iter(key[::-1]))
+        found.reverse()
+        longest = dict(found).get
         open_to = bytearray(b"\1") * (n + 1)
         out: list[int] = []
-        at, token = 0, first[key[:reach(key)]]
+        at, token = 0, longest(n - 1, -1)
         while True:
             while token >= 0:
                 end = at + len(keys[token])
@@ -173,8 +171,7 @@ class Bpe:
                 at = end
                 if at == n:
                     return out
-                rest = key[at:]
-                token = first.get(rest[:reach(rest)], -1)
+                token = longest(n - 1 - at, -1)
             else:
                 open_to[at] = 0
                 if not out:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -37,6 +38,16 @@ def test_random_strings(both):
     same(both, ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40))) for _ in range(3000)])
 
 
+def test_one_very_long_word(both):
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice(letters) for _ in range(200_000)) for letters in ("abcdefghijklmnopqrstuvwxyz", "a", "in", "漢字é")]
+    began = time.process_time()
+    own = [both[1].encode(w) for w in words]
+    assert time.process_time() - began < 8
+    for w, ids in zip(words, own):
+        assert ids.tolist() == both[0].encode(w, add_special_tokens=False).ids
+
+
 def plain_merges(spec, key):
     """Byte-pair merging as defined: the best ranked pair, leftmost first."""
     rank = {(a, b): i for i, (a, b) in enumerate(spec["merges"])}
