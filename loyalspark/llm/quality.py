@@ -150,7 +150,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__t"))
     picked = texts.join(F.broadcast(y), F.col("__doc") == F.col("__id"))  # train_rows rows at most
     x = stage(spark, statistics(picked, "__t", ["label"]).select(
-        "label", F.array(*[f"__s_{s}" for s in STATS]).alias("x")).coalesce(8), "quality-train")
+        "label", F.array(*[f"__s_{s}" for s in STATS]).alias("x")), "quality-scanned")
+    # the sample alone is dealt anew, in an order that no file layout changes
+    x = stage(spark, x.repartitionByRange(8, "x", "label").sortWithinPartitions("x", "label"), "quality-train")
     total = {r["label"]: r["count"] for r in x.groupBy("label").count().collect()}
     if len(total) < 2:
         return RuleEnsemble(0.0 if not total else math.log(1e3) * (1 if 1.0 in total else -1))
@@ -171,7 +173,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(docs: DataFrame, model: RuleEnsemble, id_col: str = "doc_id", text_col: str = "text",
           threshold: float = 0.3) -> DataFrame:
-    """(id, held_out, score, predicted) for every row, repeated rows included."""
+    """(id, held_out, score, predicted) for every row, repeated rows included.
+
+    A null text counts as empty and is scored like any other; a text of any
+    length is scored whole; an empty table gives no rows; other columns are not
+    looked at.
+    """
     s = statistics(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t")), "__t", ["__id"])
     s = s.select(F.col("__id").alias(id_col), model.column().alias("score"))
     return s.select(id_col, held_out(id_col).alias("held_out"), "score",
