@@ -148,7 +148,7 @@ MAX_BROADCAST_IDS = 500_000
 def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of ``docs`` that ``decided`` (id, sha, kept; staged) keeps, all
     columns unchanged. Rows are told apart by id and SHA-256 of the text; of
-    kept rows that repeat both, one stays. Rows without an id stay.
+    kept rows that repeat both, one stays. A null id is an id like any other.
 
     Only the dropped ids travel, unless they are too many for a broadcast.
     """
@@ -156,11 +156,6 @@ def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -
         F.col("id").alias("__id"), F.col("sha").alias("__sha")).distinct(), "lost")
     sha = F.unhex(F.sha2(text_or_empty(text_col), 256))
     side = F.broadcast(lost) if size_of(lost, MAX_BROADCAST_IDS) else lost
-    rest = docs.join(side, (F.col(id_col) == F.col("__id")) & (sha == F.col("__sha")), "left_anti")
-    repeated = (decided.filter(F.col("kept") & F.col("id").isNotNull())
-                .groupBy("id", "sha").count().filter("count > 1").limit(1).count())
-    if repeated:
-        one = rest.filter(F.col(id_col).isNotNull()).withColumn("__sha", sha)
-        one = one.dropDuplicates([id_col, "__sha"]).drop("__sha")
-        rest = one.unionByName(rest.filter(F.col(id_col).isNull()))
-    return rest
+    rest = docs.join(side, F.col(id_col).eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left_anti")
+    repeated = decided.filter("kept").groupBy("id", "sha").count().filter("count > 1").limit(1).count()
+    return rest.withColumn("__sha", sha).dropDuplicates([id_col, "__sha"]).drop("__sha") if repeated else rest

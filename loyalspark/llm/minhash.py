@@ -456,6 +456,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one of each class, columns unchanged."""
+    """The rows of ``docs`` that stay, one of each class, columns unchanged.
+
+    Of rows that repeat id and text one stays. A row without an id stays only if
+    its class has no id, then the first text by digest; a text without words
+    (null, empty) is a class of its own. An empty table gives no rows.
+    """
     out = stage(docs.sparkSession, near_classes(docs, id_col, text_col), "near-classes")
     return keep_rows(docs, out.withColumnRenamed(id_col, "id").select("id", "sha", "kept"), id_col, text_col)

@@ -71,7 +71,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counters = {"n0": token_counts.words, "n1": token_counts.words_and_digits, "n2": token_counts.pieces}
     counted = stage(spark, token_counts.count_tokens(exact_dedup.digests(docs, more=("source", "lang", "text")), counters), "counted")
-    counted = counted.join(exact_dedup.tree_merge(counted), exact_dedup.KEY)
+    counted = exact_dedup.with_groups(counted)
     first = F.col("id").eqNullSafe(F.col("keep_id"))
     counted = stage(spark, counted.withColumn("row", F.monotonically_increasing_id()), "counted")
     # rows may repeat an id or have none: of those of one text, one stays
