@@ -2,17 +2,18 @@
 
 Quality indices are computed from one grouped aggregate per cluster (counts,
 means, variances) plus, for Davies-Bouldin, one pass joining each point with
-the k-row centroid table.
+the k-row centroid table. Curves over many k come from ``kmeans_sweep``.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loyalspark.ml.kmeans_sweep import indices, sweep
+
 
 def _vec(df: DataFrame, cols: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol="features").transform(df)
@@ -33,40 +34,27 @@ def total_sum_squares(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def elbow(df: DataFrame, cols: list[str], ks=range(1, 11), seed: int = 42, max_iter: int = 1000) -> DataFrame:
-    """M3: (k, wcss) for each k, over scaled or raw columns. Spark's k-means
-    needs k >= 2; k = 1 is the total sum of squares."""
-    v = _vec(df, cols).cache()
-    rows = [(int(k), float(KMeans(k=k, seed=seed, maxIter=max_iter).fit(v).summary.trainingCost)) for k in ks if k > 1]
-    v.unpersist()
-    out = df.sparkSession.createDataFrame(rows, "k int, wcss double")
-    return total_sum_squares(df, cols).unionByName(out) if 1 in ks else out
+    """M3: (k, wcss) for each k, over scaled or raw columns, all k together
+    (``kmeans_sweep``)."""
+    got = sweep(df, cols, ks, seed, max_iter)
+    return df.sparkSession.createDataFrame(sorted(got.wcss.items()), "k int, wcss double")
 
 
 def silhouette(df: DataFrame, cols: list[str], ks=range(2, 11), seed: int = 42, max_iter: int = 1000) -> DataFrame:
-    """M4: silhouette for each k, on squared Euclidean distances (Spark's
-    evaluator: linear in the rows). It ranks k as the plain Euclidean
-    silhouette does where clusters are compact, but is another number: that
-    one needs the distances of all pairs of rows, which no cluster can hold at
-    scale."""
-    v = _vec(df, cols).cache()
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-    rows = []
-    for k in ks:
-        m = KMeans(k=k, seed=seed, maxIter=max_iter).fit(v)
-        rows.append((int(k), float(ev.evaluate(m.transform(v)))))
-    v.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
+    """M4: silhouette for each k, on squared Euclidean distances (linear in the
+    rows). It ranks k as the plain Euclidean silhouette does where clusters are
+    compact, but is another number: that one needs the distances of all pairs
+    of rows, which no cluster can hold at scale."""
+    got = indices(sweep(df, cols, ks, seed, max_iter), len(cols))
+    return df.sparkSession.createDataFrame([(k, v[2]) for k, v in sorted(got.items())], "k int, silhouette double")
 
 
 def index_sweep(df: DataFrame, cols: list[str], ks=range(2, 11), seed: int = 42, max_iter: int = 1000) -> DataFrame:
     """M5 + M6: Calinski-Harabasz and Davies-Bouldin of the k-means labels for
     each k."""
-    out = None
-    for k in ks:
-        labelled = kmeans(df, cols, k, seed, max_iter)
-        row = calinski_harabasz(labelled, cols, "segment").join(davies_bouldin(labelled, cols, "segment"), "k")
-        out = row if out is None else out.unionByName(row)
-    return out
+    got = indices(sweep(df, cols, ks, seed, max_iter), len(cols))
+    return df.sparkSession.createDataFrame([(k, v[0], v[1]) for k, v in sorted(got.items())],
+                                           "k int, calinski_harabasz double, davies_bouldin double")
 
 
 def calinski_harabasz(df: DataFrame, cols: list[str], cluster: str) -> DataFrame:
