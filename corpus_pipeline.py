@@ -17,36 +17,50 @@ from loyalspark.llm.common import ship, stage, table
 from loyalspark.llm.queries import TOKENIZER
 
 
+#: Rows of an Arrow batch, so that a worker and its executor hold a few MB of
+#: text at a time; Spark's 10,000 documents are tens of MB on both sides.
+BATCH_ROWS = "2000"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def ready(spark: SparkSession) -> None:
+    """Sends the package to the executors and, where the session sets no batch
+    size of its own, sets ``BATCH_ROWS``."""
+    ship(spark)
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the rule ensemble, fitted on labelled ones of
     ``docs``, rejects."""
-    ship(spark)
+    ready(spark)
     return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text stays, the one with the largest id."""
-    ship(spark)
+    ready(spark)
     return exact_dedup.exact_dedup(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays, the smallest id."""
-    ship(spark)
+    ready(spark)
     return minhash.near_dedup(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold benchmark passages for 5 % of their
     words or more."""
-    ship(spark)
+    ready(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All columns but the text, which is given as token ids: ``ids`` (32-bit
     little-endian), their number and digest, and the decoded text's digest."""
-    ship(spark)
+    ready(spark)
     others = [c for c in docs.columns if c not in ("text", "n_tokens", "ids", "ids_sha256", "decoded_sha256")]
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), "text")
     return bpe.encode_decode(packed, TOKENIZER, "row", "text").select(
