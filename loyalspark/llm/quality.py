@@ -149,10 +149,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     y = y.filter(F.pmod(F.xxhash64("__id"), F.lit(cells)) < share)
     texts = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__t"))
     picked = texts.join(F.broadcast(y), F.col("__doc") == F.col("__id"))  # train_rows rows at most
-    x = stage(spark, statistics(picked, "__t", ["label"]).select(
-        "label", F.array(*[f"__s_{s}" for s in STATS]).alias("x")), "quality-scanned")
-    # the sample alone is dealt anew, in an order that no file layout changes
-    x = stage(spark, x.repartitionByRange(8, "x", "label").sortWithinPartitions("x", "label"), "quality-train")
+    x = stage(spark, statistics(picked, "__t", ["__doc", "label"]).select(
+        "__doc", "label", F.array(*[f"__s_{s}" for s in STATS]).alias("x")), "quality-scanned")
+    # the sample alone is dealt anew, by a hash of its ids: bagging follows the
+    # order of rows, which neither file layout nor range sampling then changes
+    x = stage(spark, x.repartition(8, F.xxhash64("__doc")).sortWithinPartitions("x", "label").drop("__doc"), "quality-train")
     total = {r["label"]: r["count"] for r in x.groupBy("label").count().collect()}
     if len(total) < 2:
         return RuleEnsemble(0.0 if not total else math.log(1e3) * (1 if 1.0 in total else -1))

@@ -64,3 +64,12 @@ def test_rules_as_columns(frame):
     kept = Q.keep_good(frame([(1, "good words"), (2, "bad!"), (3, None), (3, None)]), model)
     assert kept.columns == ["doc_id", "text", *[c.split()[-1] for c in CLASHES]]
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+
+def test_model_does_not_depend_on_layout_or_run(spark):
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    one = Q.fit(docs, labels)
+    # another order, other numbers of files and of plans made before
+    other = Q.fit(docs.repartition(5).sortWithinPartitions("text"), labels.repartition(3))
+    assert [r for r, _ in one.rules] == [r for r, _ in other.rules]
+    assert all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(one.rules, other.rules))
