@@ -96,6 +96,9 @@ def fs_education(done: DataFrame, register: DataFrame, rewards: DataFrame, skill
     cuts = Cutoffs(cutoffs)
     lim = F.col("ts") < F.lit(cuts.last)
     day = F.to_date("ts").alias("day")
+    if keys is not None:  # other users' rows go before the shuffles
+        asked = keys.select("user")
+        done, rewards, skills = (s.join(asked, "user", "left_semi") for s in (done, rewards, skills))
     # only episodes have a course; rewards and skills never meet the register
     eps = (done.filter(lim).groupBy("user", "course", day).agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_ts"))
            .join(episodes_per_course(register), "course", "left"))

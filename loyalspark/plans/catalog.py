@@ -17,9 +17,11 @@ from pyspark.sql.types import DoubleType, FloatType
 from loyalspark.config import MAIN, REFS
 from loyalspark.operators import lifecycle as lc
 from loyalspark.operators import metrics as mt
+from loyalspark.session import bound_tasks
 from loyalspark.sources import calendar as cal
 from loyalspark.sources import fixtures as fx
 from loyalspark.sources.calendar import spine_dates
+from loyalspark.sources.store import bytes_of
 
 D = _dt.date
 
@@ -37,7 +39,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 def register(name: str):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: finish(fn(spark, sf_dir))
+        def query(spark, sf_dir):
+            bound_tasks(spark, bytes_of(spark, fx.paths(sf_dir)))
+            return finish(fn(spark, sf_dir))
+        QUERIES[name] = query
         QUERIES[name].__doc__ = fn.__doc__
         QUERIES[name].__name__ = name
         return fn

@@ -65,3 +65,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+# Feature rows are wide: a few MB of compressed shuffle become hundreds in the
+# sorts, hash maps and windows of a task. Spark's defaults (64 MB a task after
+# the shuffle, 200 partitions whatever the input) make that grow with the input.
+_BOUNDED = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.files.maxPartitionBytes": "32m",
+}
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_OWN = "spark.loyalspark.initialPartitions"
+
+#: Bytes of input files for each partition of a shuffle.
+PARTITION_BYTES = 2 << 20
+
+
+def bound_tasks(spark: SparkSession, input_bytes: int) -> None:
+    """Lets the number of tasks grow with the input, so that no task's memory
+    does: a shuffle starts with one partition per ``PARTITION_BYTES`` of input
+    files (adaptive execution joins small ones up to 8 MB). Settings that the
+    session has stay as they are; ours only ever grows."""
+    for k, v in _BOUNDED.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
+    now, own = spark.conf.get(_INITIAL, None), spark.conf.get(_OWN, None)
+    want = -(-input_bytes // PARTITION_BYTES)
+    if now == own and want > int(own or spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(_INITIAL, str(want))
+        spark.conf.set(_OWN, str(want))

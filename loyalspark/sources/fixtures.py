@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def paths(sf_dir: str) -> list:
+    """The tables that the views read."""
+    return [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("customer", "part", "orders", "lineitem", "events")]
+
+
 # ---------------------------------------------------------------- Spark side
 
 def tx_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,6 +96,15 @@ def folder_state(spark: SparkSession, path: str) -> tuple:
     return tuple(sorted(out))
 
 
+def bytes_of(spark: SparkSession, paths) -> int:
+    """Bytes of the files at or below the paths that exist."""
+    total = 0
+    for path in paths:
+        fs, p, _ = _hadoop_fs(spark, path)
+        total += fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+    return total
+
+
 def dates_of(spark: SparkSession, path: str, date_col: str = "ref_date") -> list:
     """Dates of a dated table, in order, from its folders' names."""
     fs, p, _ = _hadoop_fs(spark, path)
