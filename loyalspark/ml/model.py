@@ -40,7 +40,9 @@ GRIDS = {
 
 def classifier(kind: str = "rf", label: str = "label", **params):
     if kind == "rf":
-        p = dict(numTrees=150, minInstancesPerNode=30, maxDepth=MAX_DEPTH, seed=42)
+        # rows keep their node of every tree: a level would else walk each row
+        # down all trees from the root; the model is the same
+        p = dict(numTrees=150, minInstancesPerNode=30, maxDepth=MAX_DEPTH, seed=42, cacheNodeIds=True)
         p.update(params)
         return RandomForestClassifier(labelCol=label, featuresCol="features", **p)
     if kind == "dt":
