@@ -82,7 +82,8 @@ def fs_education(done: DataFrame, register: DataFrame, rewards: DataFrame, skill
     integer deltas: episodes per pivoted course, and +1 / -1 when a course
     becomes complete (count = register total) or is in progress (below it).
     Per (user, day) these deltas, the courses' totals and the latest activity
-    feed one as-of rollup per user; shares are ratios of exact counts.
+    feed one as-of rollup per user; shares are ratios of exact counts. One
+    cut-off is grouped sums instead, without days and windows.
     Users without a completed episode before the cut-off are dropped, and the
     bridge maps the rest to loyalty customer ids (inner join).
 
@@ -99,6 +100,9 @@ def fs_education(done: DataFrame, register: DataFrame, rewards: DataFrame, skill
     if keys is not None:  # other users' rows go before the shuffles
         asked = keys.select("user")
         done, rewards, skills = (s.join(asked, "user", "left_semi") for s in (done, rewards, skills))
+    if cuts.n == 1 and keys is None:
+        r = _at_one_cutoff(done.filter(lim), register, [rewards.filter(lim), skills.filter(lim)], cuts, slugs)
+        return _store(r, bridge, slugs, fc)
     # only episodes have a course; rewards and skills never meet the register
     eps = (done.filter(lim).groupBy("user", "course", day).agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_ts"))
            .join(episodes_per_course(register), "course", "left"))
@@ -122,9 +126,36 @@ def fs_education(done: DataFrame, register: DataFrame, rewards: DataFrame, skill
     frames += [Frame(f"c_{i}", "sum", f"d_{i}", None) for i in range(len(slugs))]
     frames += [Frame(f"t_{i}", "max", f"t_{i}", None) for i in range(len(slugs))]
     r = asof_rollup(per_day, ["user"], cuts, frames, requested=keys).filter(F.col("n_eps") > 0)
+    shares = [F.try_divide(F.col(f"c_{i}").cast("double"), F.col(f"t_{i}").cast("double")) for i in range(len(slugs))]
+    return _store(r.select("user", "cutoff", "n_complete", "n_in_progress", "last_ts",
+                           *[v.alias(f"s_{i}") for i, v in enumerate(shares)]), bridge, slugs, fc)
+
+
+def _at_one_cutoff(done: DataFrame, register: DataFrame, others: list, cuts: Cutoffs, slugs: list) -> DataFrame:
+    """Rows for ``_store`` from episodes, rewards and skills before the only
+    cut-off: no day matters, so episodes are counted per (user, course), and a
+    user's shares meet as one short map."""
+    if not cuts.valid:
+        done = done.filter(F.lit(False))
+    n, t = F.col("n"), F.col("total_eps")
+    per_course = (done.groupBy("user", "course").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_ts"))
+                  .join(episodes_per_course(register), "course", "left"))
+    share = F.when(F.col("course").isin(*slugs), F.struct("course", F.try_divide(n.cast("double"), t.cast("double")).alias("share")))
+    users = per_course.groupBy("user").agg(
+        F.max("last_ts").alias("last_done"), F.sum(F.when(n == t, 1).otherwise(0)).alias("n_complete"),
+        F.sum(F.when((n > 0) & (n < t), 1).otherwise(0)).alias("n_in_progress"), F.map_from_entries(F.collect_list(share)).alias("m"))
+    acts = others[0].select("user", "ts").unionByName(others[1].select("user", "ts")).groupBy("user").agg(F.max("ts").alias("last_other"))
+    return users.join(acts, "user", "left").select(
+        "user", F.lit(cuts.last).alias("cutoff"), "n_complete", "n_in_progress", F.greatest("last_done", "last_other").alias("last_ts"),
+        *[F.try_element_at("m", F.lit(c)).alias(f"s_{i}") for i, c in enumerate(slugs)])
+
+
+def _store(r: DataFrame, bridge: DataFrame, slugs: list, fc) -> DataFrame:
+    """The store's columns from one row per user and cut-off, with the share of
+    each slug's course as ``s_<i>``."""
     shares = []
     for i, c in enumerate(slugs):
-        v = F.try_divide(F.col(f"c_{i}").cast("double"), F.col(f"t_{i}").cast("double"))
+        v = F.col(f"s_{i}")
         shares.append((F.coalesce(v, F.lit(0.0)) if fc.course_fill_zero else v).alias(f"share_{slug(c)}"))
     if fc.fractional_edu_recency:
         days = fractional_days("last_ts", F.col("cutoff").cast("timestamp_ntz"))
